@@ -2,9 +2,68 @@
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from readloom.llm import cotraining, line_dedup, packing, positional_index, simhash
+from readloom.llm.common import staged
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return cotraining.accepted(docs, _table(spark, sf_dir, "labels")).select(*COLUMNS)
+
+
+def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that many sources share; n_chars is counted again."""
+    out = line_dedup.remove_shared_lines(docs, keep=("lang", "source"))
+    return out.select("doc_id", "text", "kept.lang", "kept.source", F.length("text").cast("long").alias("n_chars")).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id, once; rows without doc_id stay."""
+    groups = staged(simhash.near_groups(simhash.fingerprints(docs)), "groups").where("doc_id is not null")
+    out = docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    again = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return out
+    first = out.join(again, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
+    return out.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(first)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark items don't contaminate."""
+    found = positional_index.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and the sequences that they fill."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("line dedup", drop_shared_lines),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
+#: A fitted classifier decides in the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(*COLUMNS)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = staged(docs, f"stage-{k + 1}")
+    return docs

@@ -1,11 +1,11 @@
-"""The queries opN_<name>: each operator over its whole table, with production parameters."""
+"""The queries opN_<name>: each operator over its whole table, with production parameters; SQL where it can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, simhash, substring_dedup
+from . import cotraining, license_scan, line_dedup, link_graph, lm_scoring, minhash, packing, positional_index, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,15 +16,105 @@ def op1_document_fingerprints(spark, sf_dir):
     return minhash.compared_with_next(_table(spark, sf_dir, "documents"))
 
 
+def op2_license_scans(spark, sf_dir):
+    found = license_scan.scan(_table(spark, sf_dir, "documents"))
+    words = F.transform("places", lambda p: p["word"])
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"), F.array_join(base, ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op3_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op4_benchmark_decontamination(spark, sf_dir):
+    found = positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op5_quality_classifier(spark, sf_dir):
+    return cotraining.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_url_filters(spark, sf_dir):
+    return link_graph.judged(_table(spark, sf_dir, "pages"))
+
+
+def op7_line_dedup(spark, sf_dir):
+    found = line_dedup.remove_shared_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_substring_dedup(spark, sf_dir):
     out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_groups(simhash.fingerprints(_table(spark, sf_dir, "documents")))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op8_substring_dedup, op10_simhash_near_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_document_fingerprints,
+        op2_license_scans,
+        op3_packing,
+        op4_benchmark_decontamination,
+        op5_quality_classifier,
+        op6_url_filters,
+        op7_line_dedup,
+        op8_substring_dedup,
+        op9_lm_scoring,
+        op10_simhash_near_dedup,
+    )
+}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL = {
+    "op4_benchmark_decontamination": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes)
+),
+m AS (SELECT doc_id, i, dw.n AS n, item FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
+p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list_distinct(list(item))), ',') AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""",
+    "op7_line_dedup": """
+WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, source, i, l[i] AS line FROM (SELECT doc_id, source, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+s AS (SELECT line, min(doc_id) AS keeper FROM x WHERE trim(line) <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+k AS (
+  SELECT doc_id, count(*) AS n_left, string_agg(line, chr(10) ORDER BY i) AS kept
+  FROM (SELECT x.* FROM x LEFT JOIN s ON x.line = s.line WHERE s.line IS NULL OR x.doc_id = s.keeper) GROUP BY doc_id
+)
+SELECT d.doc_id AS doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(l), 0) - coalesce(n_left, 0) AS BIGINT) AS n_removed,
+  CASE WHEN text IS NULL THEN NULL ELSE sha256(coalesce(kept, '')) END AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op8_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+m AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS n FROM g) WHERE n > 1),
+h AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM m)),
+x AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+k AS (SELECT x.doc_id AS doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.p) AS kept FROM x LEFT JOIN h ON x.doc_id = h.doc_id AND x.p = h.p WHERE h.p IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+}
