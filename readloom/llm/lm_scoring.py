@@ -151,8 +151,10 @@ def build_filter(counts: DataFrame, filter_bytes: int = FILTER_BYTES) -> Filter:
             yield batch(_PART, ids[at : at + 256], [made[k].bits.tobytes() for k in ids[at : at + 256]])
 
     out, width = Filter(log_bits), 1 << (log_bits - 3)
-    for part, bits in counts.where(F.col("n") >= cutoff).mapInArrow(work, "part int, bits binary").collect():
-        out.bits[part * width : (part + 1) * width] |= np.frombuffer(bits, np.uint8)
+    parts = staged(counts.where(F.col("n") >= cutoff).mapInArrow(work, "part int, bits binary"), "filter")
+    for at in range(0, PARTS, PARTS // 8):  # an eighth at a time, to spare the driver
+        for part, bits in parts.where(F.col("part").between(at, at + PARTS // 8 - 1)).collect():
+            out.bits[part * width : (part + 1) * width] |= np.frombuffer(bits, np.uint8)
     return out
 
 
@@ -210,11 +212,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
 
     exact = None
     if n_types <= (MOST_BROADCAST if most_broadcast is None else most_broadcast):
-        table = ones.toArrow()
-        keys, n = (table.column(c).to_numpy() for c in ("key", "n"))
-        order = np.argsort(keys.view(U64))
-        exact = spark.sparkContext.broadcast((keys.view(U64)[order], n[order].astype(np.uint32 if n_all < 1 << 32 else np.int64)))
-        del table, keys, n, order
+        table = ones.orderBy("key").toArrow()
+        keys, n = table.column("key").to_numpy(), table.column("n").to_numpy().astype(np.uint32 if n_all < 1 << 32 else np.int64)
+        del table
+        exact = spark.sparkContext.broadcast((keys, n))
+        del keys, n
+        pa.default_memory_pool().release_unused()
 
     def scored(batches):
         from pyspark import TaskContext
@@ -239,8 +242,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
             lists = [[None] * len(ids)] * 2
             if exact is not None:
                 have, counts = exact.value
-                at = np.minimum(np.searchsorted(have, distinct), max(0, len(have) - 1))
-                c = np.where(have[at] == distinct, counts[at], 0) if len(have) else np.zeros(len(distinct))
+                at = np.minimum(np.searchsorted(have, signed(distinct)), max(0, len(have) - 1))
+                c = np.where(have[at] == signed(distinct), counts[at], 0) if len(have) else np.zeros(len(distinct))
                 known = np.add.reduceat((c > 0)[back].astype(np.int64), first[:-1])
                 base = np.add.reduceat(np.log10((c + 0.5) / (n_all + 0.5 * (n_types + 1)))[back], first[:-1])
             else:
