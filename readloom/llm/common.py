@@ -46,10 +46,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _staging(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables; frames that were made of them can't be read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str, row_group: int = 16 << 20) -> DataFrame:
     """`df` written to the shared folder and read back: cuts lineage, and survives the loss of executors."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{name}-{uuid.uuid4().hex}"
+    path = f"{_staging(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("parquet.block.size", row_group).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -3,10 +3,12 @@
 A count is quantised to a level, and the n-gram is put into the filter once for each level
 from 1 on; reading a count means probing levels until one is missing. Unigrams and bigrams
 have a filter each, made of parts of equal size by the leading bits of the n-gram's hash, so
-parts are built apart and a probe stays in one part. Filters have at most
-`FILTER_BYTES`; where all n-grams don't fit at `BITS` bits for an entry, those below the
-smallest count that fits are left to the lower order (a count cutoff, from the exact
-histogram of counts; 1 on small corpora).
+parts are built apart and a probe stays in one part. A filter has `BITS` bits for an entry,
+however many there are; no n-gram is left out. What is broadcast at once is at most
+`filter_bytes`: a larger bigram filter is broadcast a range of its parts at a time, and each
+pass over the texts adds up the tokens whose bigram lies in its range. The unigram filter is
+needed in every pass; past `filter_bytes` it has fewer bits for an entry, so raise
+filter_bytes with the vocabulary (64 MB hold about 50 million entries).
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ from .common import NONSPACE, U64, Words, batch, grams, mixed, signed, slices, s
 LEVELS = np.array([1, 2, 3, *(round(4 * 2 ** (k / 2)) for k in range(59))], np.int64)
 #: What a level stands for: the middle of its counts.
 MEANS = np.concatenate([[0.0], (LEVELS[:-1] + LEVELS[1:] - 1) / 2, [float(LEVELS[-1])]])
-PARTS, HASHES, BITS = 4096, 4, 12
+PARTS, HASHES, BITS = 4096, 4, 10
 FILTER_BYTES = 64 << 20
 #: Distinct tokens of which the exact counts are broadcast (16 bytes each); more are joined.
 MOST_BROADCAST = 6_000_000
@@ -85,18 +88,22 @@ def bigrams(seq: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Filter:
-    """A log-frequency Bloom filter: `PARTS` parts of 2**log_bits bits."""
+    """A log-frequency Bloom filter with `size` bits (full bytes) a part, or the parts from `low` to `high` of one."""
 
-    def __init__(self, log_bits: int, bits: np.ndarray | None = None):
-        self.log_bits = log_bits
-        self.bits = np.zeros(PARTS << (log_bits - 3), np.uint8) if bits is None else bits
+    def __init__(self, size: int, low: int = 0, high: int = PARTS):
+        self.size, self.low, self.high = size, low, high
+        self.bits = np.zeros((high - low) * size // 8, np.uint8)
 
     def places(self, key: np.ndarray, level: np.ndarray) -> Iterator[np.ndarray]:
         h = mixed(key + level.astype(U64) * U64(0x9E3779B97F4A7C15))
         step = (h >> U64(32)) | U64(1)
-        base = (key >> U64(52)) << U64(self.log_bits)
+        base = ((key >> U64(52)) - U64(self.low)) * U64(self.size)
         for k in range(HASHES):
-            yield base | ((h + U64(k) * step) & U64((1 << self.log_bits) - 1))
+            yield base + (h + U64(k) * step) % U64(self.size)
+
+    def holds(self, key: np.ndarray) -> np.ndarray:
+        part = key >> U64(52)
+        return (part >= self.low) & (part < self.high)
 
     def add(self, key: np.ndarray, count: np.ndarray) -> None:
         levels = np.searchsorted(LEVELS, count, side="right")
@@ -106,8 +113,8 @@ class Filter:
             np.bitwise_or.at(self.bits, (place >> U64(3)).astype(np.int64), (1 << (place & U64(7))).astype(np.uint8))
 
     def level(self, key: np.ndarray) -> np.ndarray:
-        """The level of each n-gram: probed from 1 until one is missing (0: not there)."""
-        out, on = np.zeros(len(key), np.int64), np.arange(len(key))
+        """The level of each n-gram: probed from 1 until one is missing (0: not there, or in another part)."""
+        out, on = np.zeros(len(key), np.int64), np.flatnonzero(self.holds(key))
         while len(on) and out[on[0]] < len(LEVELS):
             there = np.ones(len(on), bool)
             for place in self.places(key[on], out[on] + 1):
@@ -120,20 +127,14 @@ class Filter:
 _PART = pa.schema([("part", pa.int32()), ("bits", pa.binary())])
 
 
-def build_filter(counts: DataFrame, filter_bytes: int = FILTER_BYTES) -> Filter:
-    """The filter of counts(key long, n long), one row for each n-gram; made of the partial filters of all tasks.
+def _part_filters(counts: DataFrame, most: int) -> tuple[int, DataFrame]:
+    """The bits of a part (`most` bytes at most), and rows (part, bits) of the filter of counts(key long, n long).
 
-    The driver gets each part from each task that has keys of it; for that keys lie together by part.
+    A part has a row for each task that has keys of it; keys of a part lie together.
     """
-    histogram = {int(level): n for level, n in counts.groupBy(_level("n").alias("level")).agg(F.count("*")).collect()}
-    entries, cutoff = 0, 1
-    for level in sorted(histogram, reverse=True):
-        more = entries + histogram[level] * level
-        if more * BITS > filter_bytes * 8:
-            cutoff = int(LEVELS[level])
-            break
-        entries = more
-    log_bits = max(6, min(int(math.log2(filter_bytes * 8 // PARTS)), math.ceil(math.log2(max(1, entries * BITS / PARTS)))))
+    histogram = counts.groupBy(_level("n").alias("level")).agg(F.count("*")).collect()  # at most 62 rows
+    entries = sum(int(level) * n for level, n in histogram)
+    size = 8 * max(8, min(most, math.ceil(entries * BITS / PARTS / 8)))
 
     def work(batches):
         made: dict[int, Filter] = {}
@@ -142,29 +143,39 @@ def build_filter(counts: DataFrame, filter_bytes: int = FILTER_BYTES) -> Filter:
             part = (key >> U64(52)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             key, n, part = key[order], n[order], part[order]
-            begins = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
-            for a, b in zip(begins, np.append(begins[1:], len(part)) if len(part) else [], strict=True):
-                one = made.setdefault(int(part[a]), _OnePart(log_bits))
-                one.add(key[a:b], n[a:b])
+            edges = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, np.int64)
+            for a, b in zip(edges, np.append(edges[1:], len(part)), strict=False):
+                k = int(part[a])
+                made.setdefault(k, Filter(size, k, k + 1)).add(key[a:b], n[a:b])
         ids = sorted(made)
         for at in range(0, len(ids), 256):
             yield batch(_PART, ids[at : at + 256], [made[k].bits.tobytes() for k in ids[at : at + 256]])
 
-    out, width = Filter(log_bits), 1 << (log_bits - 3)
-    parts = staged(counts.where(F.col("n") >= cutoff).mapInArrow(work, "part int, bits binary"), "filter")
-    for at in range(0, PARTS, PARTS // 8):  # an eighth at a time, to spare the driver
-        for part, bits in parts.where(F.col("part").between(at, at + PARTS // 8 - 1)).collect():
-            out.bits[part * width : (part + 1) * width] |= np.frombuffer(bits, np.uint8)
+    return size, staged(counts.mapInArrow(work, "part int, bits binary"), "filter")
+
+
+def _loaded(parts: DataFrame, size: int, low: int, high: int) -> Filter:
+    """The parts from low to high, an eighth at a time, to spare the driver."""
+    out, width = Filter(size, low, high), size // 8
+    step = max(1, (high - low) // 8)
+    for at in range(low, high, step):
+        for part, bits in parts.where(F.col("part").between(at, min(at + step, high) - 1)).collect():
+            out.bits[(part - low) * width : (part - low + 1) * width] |= np.frombuffer(bits, np.uint8)
     return out
 
 
-class _OnePart(Filter):
-    def __init__(self, log_bits: int):
-        super().__init__(log_bits, np.zeros(1 << (log_bits - 3), np.uint8))
+def build_filter(counts: DataFrame, filter_bytes: int = FILTER_BYTES) -> Filter:
+    """One filter of filter_bytes at most that holds counts(key long, n long)."""
+    size, parts = _part_filters(counts, max(8, filter_bytes // PARTS))
+    return _loaded(parts, size, 0, PARTS)
+
 
-    def places(self, key, level):
-        for place in super().places(key, level):
-            yield place & U64((1 << self.log_bits) - 1)
+def build_filters(counts: DataFrame, filter_bytes: int = FILTER_BYTES) -> Iterator[Filter]:
+    """Filters of filter_bytes at most that hold counts(key long, n long) between them, by ranges of parts."""
+    size, parts = _part_filters(counts, filter_bytes)
+    each = max(1, min(PARTS, filter_bytes * 8 // size))
+    for low in range(0, PARTS, each):
+        yield _loaded(parts, size, low, min(PARTS, low + each))
 
 
 def _level(column: str):
@@ -176,8 +187,8 @@ def _level(column: str):
     return out
 
 
-_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("keys", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64()))])
-_SCORED_DDL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, keys array<long>, ns array<long>"
+_SCORED = pa.schema([("row", pa.int64()), ("text_hash", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("keys", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64()))])
+_SCORED_DDL = "row long, text_hash long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, keys array<long>, ns array<long>"
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_bytes: int = FILTER_BYTES, most_broadcast: int | None = None) -> DataFrame:
@@ -193,7 +204,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     row's distinct tokens are joined with the counts.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
     ones = staged(_summed(rows.mapInArrow(lambda b: _counted(b, lambda seq, first: seq), "key long, n long")), "unigrams")
     n_types, n_all = ones.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     unigram = spark.sparkContext.broadcast(build_filter(ones, filter_bytes))
@@ -208,7 +219,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     share = np.full(64, 0.01)
     for level, known, every in twos.groupBy(F.col("key").bitwiseAND(63).alias("level")).agg(F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)), F.sum("n")).collect():
         share[level] = min(0.99, max(0.01, known / every))
-    bigram = spark.sparkContext.broadcast(build_filter(twos, filter_bytes))
+    shared = [spark.sparkContext.broadcast(f) for f in build_filters(twos, filter_bytes)]
 
     exact = None
     if n_types <= (MOST_BROADCAST if most_broadcast is None else most_broadcast):
@@ -219,7 +230,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
         del keys, n
         pa.default_memory_pool().release_unused()
 
-    def scored(batches):
+    def scored(batches, bigram, first_pass):
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 40
@@ -232,27 +243,35 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
             h, second = bigrams(seq, first)
             v = level[back[second - 1]]
             h = (h & ~U64(63)) | v.astype(U64)
+            ours = bigram.value.holds(h)
+            h, v, place = h[ours], v[ours], second[ours]
             kinds, kind = np.unique(h, return_inverse=True)
             both = MEANS[bigram.value.level(kinds)][kind]
-            p = alone[back]
             weight = np.where(v > 0, share[v], 0.0)
-            p[second] = weight * np.minimum(1.0, both / np.maximum(MEANS[v], 1.0)) + (1 - weight) * p[second]
-            total = np.add.reduceat(np.log10(p), first[:-1])
+            logs = np.zeros(len(seq))
+            logs[place] = np.log10(weight * np.minimum(1.0, both / np.maximum(MEANS[v], 1.0)) + (1 - weight) * alone[back[place]])
+            if first_pass:  # tokens without one before them
+                logs[first[:-1]] = np.log10(alone[back[first[:-1]]])
+            total = np.add.reduceat(logs, first[:-1])
             known = base = np.zeros(len(ids))
             lists = [[None] * len(ids)] * 2
-            if exact is not None:
+            if exact is not None and first_pass:
                 have, counts = exact.value
                 at = np.minimum(np.searchsorted(have, signed(distinct)), max(0, len(have) - 1))
                 c = np.where(have[at] == signed(distinct), counts[at], 0) if len(have) else np.zeros(len(distinct))
                 known = np.add.reduceat((c > 0)[back].astype(np.int64), first[:-1])
                 base = np.add.reduceat(np.log10((c + 0.5) / (n_all + 0.5 * (n_types + 1)))[back], first[:-1])
-            else:
+            elif first_pass:
                 each = [np.unique(seq[a:b], return_counts=True) for a, b in zip(first[:-1], first[1:], strict=True)]
                 lists = [[signed(k) for k, _ in each], [n for _, n in each]]
-            yield batch(_SCORED, row + np.arange(len(ids)), ids, [held_out(i) for i in ids], np.diff(first), known.astype(np.int64), base.astype(float), total, *lists)
+            yield batch(_SCORED, row + np.arange(len(ids)), part.column("text_hash"), ids, [held_out(i) for i in ids], np.diff(first), known.astype(np.int64), base.astype(float), total, *lists)
             row += len(ids)
 
-    out = rows.mapInArrow(scored, _SCORED_DDL)
+    out, *more = [rows.mapInArrow(lambda b, f=f, k=k: scored(b, f, k == 0), _SCORED_DDL) for k, f in enumerate(shared)]
+    if more:  # rows of one doc_id and text have the same share of the score
+        shares = reduce(DataFrame.unionByName, [m.select("doc_id", "text_hash", "score").dropDuplicates(["doc_id", "text_hash"]) for m in more])
+        shares = shares.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(F.sum("score").alias("rest"))
+        out = out.join(shares, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))).withColumn("score", F.col("score") + F.col("rest"))
     if exact is None:
         out = staged(out, "scored")  # fixes the row numbers
         terms = out.select("row", F.explode(F.arrays_zip("keys", "ns")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.ns").alias("times"))

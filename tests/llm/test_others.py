@@ -308,11 +308,20 @@ def test_model_beats_unigrams_on_unseen_texts(spark):
     assert got.score.sum() > got.base_score.sum()
 
 
+def test_passes_add_up(spark, docs):
+    one = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
+    many = {r.doc_id: r for r in lm_scoring.score(docs.unionByName(docs.where("doc_id = 7")), filter_bytes=1 << 13, most_broadcast=0).collect()}
+    few = {r.doc_id: r for r in lm_scoring.score(docs, filter_bytes=1 << 13).collect()}
+    # the unigram filter is as large as before, so scores agree
+    assert all(few[i].score == pytest.approx(one[i].score, rel=1e-9) and few[i].base_score == one[i].base_score for i in one)
+    assert many.keys() == one.keys() and all(math.isfinite(many[i].score) for i in many)
+
+
 def test_filter_holds_levels():
     r = np.random.default_rng(2)
     key = r.integers(0, 1 << 63, 20000, dtype=np.uint64) * np.uint64(2)
     count = np.minimum(10**9, np.exp(r.exponential(2, 20000))).astype(np.int64)
-    f = lm_scoring.Filter(8)
+    f = lm_scoring.Filter(256)
     f.add(key, count)
     level = np.searchsorted(lm_scoring.LEVELS, count, side="right")
     assert (f.level(key) >= level).all() and (f.level(key) == level).mean() > 0.95
