@@ -90,7 +90,7 @@ class Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > len(self.up):
-            size = max(n, SLICE_BYTES * 2)
+            size = n + n // 4
             self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, U64), np.full(size, b, U64)])) for b in (self.base, self.inverse))
         return self.up[:n], self.down[:n]
 

@@ -8,7 +8,7 @@ however many there are; no n-gram is left out. What is broadcast at once is at m
 `filter_bytes`: a larger bigram filter is broadcast a range of its parts at a time, and each
 pass over the texts adds up the tokens whose bigram lies in its range. The unigram filter is
 needed in every pass; past `filter_bytes` it has fewer bits for an entry, so raise
-filter_bytes with the vocabulary (64 MB hold about 50 million entries).
+filter_bytes with the vocabulary (96 MB hold about 80 million entries).
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pandas import factorize
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ LEVELS = np.array([1, 2, 3, *(round(4 * 2 ** (k / 2)) for k in range(59))], np.i
 #: What a level stands for: the middle of its counts.
 MEANS = np.concatenate([[0.0], (LEVELS[:-1] + LEVELS[1:] - 1) / 2, [float(LEVELS[-1])]])
 PARTS, HASHES, BITS = 4096, 4, 10
-FILTER_BYTES = 64 << 20
+FILTER_BYTES = 96 << 20
 #: Distinct tokens of which the exact counts are broadcast (16 bytes each); more are joined.
 MOST_BROADCAST = 6_000_000
 #: Bytes of text whose n-grams are counted before they are shuffled.
@@ -212,7 +213,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     # a pair's hash has the level of its first word in its lowest six bits
     def pairs(seq, first):
         h, second = bigrams(seq, first)
-        distinct, back = np.unique(seq, return_inverse=True)
+        back, distinct = factorize(seq)
         return (h & ~U64(63)) | unigram.value.level(distinct)[back][second - 1].astype(U64)
 
     twos = staged(_summed(rows.mapInArrow(lambda b: _counted(b, pairs), "key long, n long")), "bigrams")
@@ -237,7 +238,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
         for part, texts in slices(batches):
             seq, first = tokens(texts)
             ids = part.column("doc_id").to_pylist()
-            distinct, back = np.unique(seq, return_inverse=True)
+            back, distinct = factorize(seq)
             level = unigram.value.level(distinct)
             alone = (MEANS[level] + 0.5) / (n_all + 0.5 * (n_types + 1))
             h, second = bigrams(seq, first)
@@ -245,7 +246,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
             h = (h & ~U64(63)) | v.astype(U64)
             ours = bigram.value.holds(h)
             h, v, place = h[ours], v[ours], second[ours]
-            kinds, kind = np.unique(h, return_inverse=True)
+            kind, kinds = factorize(h)
             both = MEANS[bigram.value.level(kinds)][kind]
             weight = np.where(v > 0, share[v], 0.0)
             logs = np.zeros(len(seq))
@@ -257,8 +258,11 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
             lists = [[None] * len(ids)] * 2
             if exact is not None and first_pass:
                 have, counts = exact.value
-                at = np.minimum(np.searchsorted(have, signed(distinct)), max(0, len(have) - 1))
-                c = np.where(have[at] == signed(distinct), counts[at], 0) if len(have) else np.zeros(len(distinct))
+                order = np.argsort(signed(distinct))
+                wanted, c = signed(distinct)[order], np.zeros(len(distinct), np.int64)
+                if len(have):
+                    at = np.minimum(np.searchsorted(have, wanted), len(have) - 1)
+                    c[order] = np.where(have[at] == wanted, counts[at], 0)
                 known = np.add.reduceat((c > 0)[back].astype(np.int64), first[:-1])
                 base = np.add.reduceat(np.log10((c + 0.5) / (n_all + 0.5 * (n_types + 1)))[back], first[:-1])
             elif first_pass:
