@@ -74,3 +74,8 @@ def dataset_name(path: Column) -> Column:
 def path_base(path: Column) -> Column:
     """The folder of a path, with its slash; empty without one."""
     return F.regexp_extract(path, r"^(.*/)?", 1)
+
+
+def base_codes(base: Column) -> Column:
+    """A digit for each base: A, C, G, T are 0 to 3 in either case, - is 5, all else 4."""
+    return F.regexp_replace(F.translate(F.upper(base), "ACGT-", "01235"), "[^01235]", "4")

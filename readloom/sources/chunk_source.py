@@ -205,3 +205,22 @@ def read_chunks(spark: SparkSession, folder: str, columns: list[str]) -> DataFra
         return pa.Table.from_arrays([pa.array(range(one.first, one.last), pa.int64()), *(_values(c, found[c].records) for c in columns)], names=["ordinal", *columns])
 
     return files.groupBy("chunk").applyInArrow(rows, ", ".join(["ordinal bigint", *(f"{c} {_type(c)}" for c in columns)]))
+
+
+def write_samples(assigned: DataFrame, folder: str, chunk: int = 100_000) -> list[tuple[str, str]]:
+    """A dataset for each sample of demultiplexed reads (sample, ordinal, base, qual, meta), numbered anew.
+
+    Returns name and folder of each. There is a pass for each sample over the numbered reads,
+    which are laid down by sample first.
+    """
+    from ..operators.chunking import numbered
+
+    spark, laid = assigned.sparkSession, f"{folder}/.by-sample"
+    rows = numbered(assigned.where("sample is not null").select("sample", "ordinal", "base", "qual", "meta"))
+    rows.write.mode("overwrite").partitionBy("sample").parquet(laid)
+    by_sample = spark.read.schema(rows.schema).parquet(laid)
+    names = sorted(r.sample for r in by_sample.select("sample").distinct().collect())
+    for name in names:
+        own = by_sample.where(F.col("sample") == name).select(F.col("row").alias("ordinal"), "base", "qual", "meta")
+        write(own, f"{folder}/{name}", name, chunk)
+    return [(name, f"{folder}/{name}") for name in names]

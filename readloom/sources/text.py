@@ -86,3 +86,11 @@ def with_column(manifests: DataFrame, column: str, ref_genome=None) -> DataFrame
     """The manifest with one more column, added once, and another reference."""
     out = manifests.withColumn("columns", F.array_union("columns", F.array(F.lit(column))))
     return out if ref_genome is None else out.withColumn("ref_genome", F.lit(None).cast("array<struct<name: string, length: bigint>>") if not ref_genome else F.array(*[F.struct(F.lit(n).alias("name"), F.lit(size).cast("long").alias("length")) for n, size in ref_genome]))
+
+
+def fasta(spark: SparkSession, path: str) -> DataFrame:
+    """ref_index, name, length, sequence of the contigs of one FASTA file, in its order."""
+    records = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
+    numbered = spark.createDataFrame(records.rdd.map(lambda r: r.value).zipWithIndex(), "value string, ref_index long")
+    body = F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", ""))
+    return numbered.select(F.col("ref_index").cast("int").alias("ref_index"), F.regexp_extract("value", r"^\S+", 0).alias("name"), F.length(body).cast("long").alias("length"), body.alias("sequence"))

@@ -41,3 +41,8 @@ def process(queue: DataFrame, work: Callable[[DataFrame], DataFrame], done: str,
 def completed(spark: SparkSession, done: str) -> DataFrame:
     """All results so far, with the batch of each."""
     return spark.read.parquet(done)
+
+
+def depths(query: StreamingQuery) -> list[tuple[str, int]]:
+    """Time and messages of each recent batch of a query."""
+    return [(p["timestamp"], p["numInputRows"]) for p in query.recentProgress]
