@@ -282,11 +282,11 @@ def _folder(x) -> str:
 
 
 @query("SELECT rd.ordinal AS ordinal, base, qual, meta, CASE WHEN is_empty THEN NULL ELSE cigar END AS cigar, CASE WHEN is_empty THEN NULL ELSE CAST(ref_index AS VARCHAR) END AS ref_index FROM rd JOIN al ON rd.ordinal = al.ordinal WHERE rd.ordinal >= 150")
-def agd_roundtrip(x):
+def chunk_roundtrip(x):
     spark, folder = x.reads.sparkSession, _folder(x)
     chunk_source.write(_with_aln(x).drop("aln"), folder, "reads", 300)
     chunk_source.append_column(spark, folder, _with_aln(x), "aln")
-    return spark.read.format("agd").load(folder).where("ordinal >= 150").select("ordinal", "base", "qual", "meta", "aln.cigar", F.col("aln.position.ref_index").cast("string").alias("ref_index"))
+    return spark.read.format("readchunks").load(folder).where("ordinal >= 150").select("ordinal", "base", "qual", "meta", "aln.cigar", F.col("aln.position.ref_index").cast("string").alias("ref_index"))
 
 
 @query()

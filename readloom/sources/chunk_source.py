@@ -1,4 +1,4 @@
-"""Datasets of chunk files as a Spark data source, format("agd").
+"""Datasets of chunk files as a Spark data source, format("readchunks").
 
 Reading: a partition for each chunk; option columns (comma-separated) opens only those
 files; filters on ordinal drop chunks before they are opened. Writing: rows must come with
@@ -132,7 +132,7 @@ class ChunkWriter(DataSourceArrowWriter):
 class ChunkSource(DataSource):
     @classmethod
     def name(cls):
-        return "agd"
+        return "readchunks"
 
     def _columns(self) -> list[str]:
         with open(f"{_local(self.options['path'])}/metadata.json", encoding="utf-8") as f:
@@ -164,7 +164,7 @@ def write(rows: DataFrame, folder: str, name: str, chunk: int = 100_000, mode: s
         raise ValueError("the chunk size must be positive")
     register(rows.sparkSession)
     dealt = rows.repartition(F.floor(F.col("ordinal") / chunk)).sortWithinPartitions("ordinal")
-    dealt.write.format("agd").option("dataset", name).option("chunk", chunk).mode(mode).save(folder)
+    dealt.write.format("readchunks").option("dataset", name).option("chunk", chunk).mode(mode).save(folder)
 
 
 def append_column(spark: SparkSession, folder: str, rows: DataFrame, column: str) -> None:

@@ -122,13 +122,13 @@ def test_dataset_source(spark, tmp_path):
     chunk_source.write(rows.select("ordinal", "base", "qual", "meta"), folder, "ds", 64)
     chunk_source.append_column(spark, folder, rows, "aln")
     want = {r.ordinal: r for r in rows.collect()}
-    got = spark.read.format("agd").load(folder)
+    got = spark.read.format("readchunks").load(folder)
     assert {r.ordinal: r for r in got.select(*rows.columns).collect()} == want
-    few = spark.read.format("agd").option("columns", "qual").load(folder).where("ordinal >= 100 and ordinal < 130")
+    few = spark.read.format("readchunks").option("columns", "qual").load(folder).where("ordinal >= 100 and ordinal < 130")
     assert few.columns == ["ordinal", "qual"] and sorted(r.ordinal for r in few.collect()) == list(range(100, 130)) and few.rdd.getNumPartitions() == 2
     assert {r.ordinal: r for r in chunk_source.read_chunks(spark, folder, ["base", "qual", "meta", "aln"]).collect()} == want
     with pytest.raises(Exception, match="no column"):
-        spark.read.format("agd").option("columns", "nope").load(folder).collect()
+        spark.read.format("readchunks").option("columns", "nope").load(folder).collect()
     with pytest.raises(Exception, match="holds a dataset"):
         chunk_source.write(rows.select("ordinal", "base"), folder, "ds", 64)
     with pytest.raises(ValueError):

@@ -39,7 +39,7 @@ def test_reads_to_counts(spark, tmp_path):
     assert [n for n, _ in made] == ["A", "B"]
     for name, folder in made:
         own = assigned.where(F.col("sample") == name).orderBy("ordinal").collect()
-        back = spark.read.format("agd").load(folder).orderBy("ordinal").collect()
+        back = spark.read.format("readchunks").load(folder).orderBy("ordinal").collect()
         assert [(x.ordinal, x.base, x.meta) for x in back] == [(k, x.base, x.meta) for k, x in enumerate(own)]
 
 
