@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, slices
+from .common import batch, slices, staged
 
 CAPACITY, END_ID = 2048, 1
 #: Documents that are packed together.
@@ -82,7 +82,7 @@ def fill(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, list[i
     return out
 
 
-_DOC = pa.schema([("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("crcs", pa.list_(pa.int64()))])
+_DOC = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("doc_tokens", pa.int64()), ("crcs", pa.list_(pa.int64()))])
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
@@ -90,19 +90,23 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: a row for each piece.
 
     Every row is a document of its own, even if doc_ids repeat or are null; a null or empty
-    text is the end id alone. Only counts and checksums are shuffled, no text or ids; groups
-    are dealt by a hash of doc_id and checksums, about `group_docs` rows each.
+    text is the end id alone. Only counts and checksums are staged and shuffled, no text or ids;
+    groups are dealt by a hash of doc_id, checksums and row number, about `group_docs` rows
+    each, so rows that are alike are spread too.
     """
 
     def cut(batches):
-        encode = encoder(vocabulary or vocabulary_file())
+        from pyspark import TaskContext
+
+        encode, row = encoder(vocabulary or vocabulary_file()), TaskContext.get().partitionId() << 40
         for rows, texts in slices(batches):
             sizes, crcs = [], []
             for t in texts:
                 ids = np.append(np.asarray(encode.encode_to_numpy(t.decode(), disallowed_special=()), "<u4"), np.uint32(END_ID)).astype("<u4")
                 sizes.append(len(ids))
                 crcs.append([zlib.crc32(ids[at : at + capacity].tobytes()) for at in range(0, len(ids), capacity)])
-            yield batch(_DOC, rows.column("doc_id"), sizes, crcs)
+            yield batch(_DOC, rows.column("doc_id"), row + np.arange(len(texts)), sizes, crcs)
+            row += len(texts)
 
     def packed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         ids, sizes, crcs = (table.column(c).to_pylist() for c in ("doc_id", "doc_tokens", "crcs"))
@@ -125,6 +129,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _PIECE.types, strict=True)], schema=_PIECE)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    groups = max(1, -(-rows.count() // group_docs))
-    dealt = rows.mapInArrow(cut, "doc_id long, doc_tokens long, crcs array<long>").withColumn("pack", F.pmod(F.xxhash64("doc_id", "crcs"), F.lit(groups)))
+    sizes = staged(rows.mapInArrow(cut, "doc_id long, row long, doc_tokens long, crcs array<long>"), "sizes")  # fixes the row numbers
+    groups = max(1, -(-sizes.count() // group_docs))
+    dealt = sizes.withColumn("pack", F.pmod(F.xxhash64("doc_id", "crcs", "row"), F.lit(groups))).drop("row")
     return dealt.groupBy("pack").applyInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
