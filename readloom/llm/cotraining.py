@@ -144,21 +144,24 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     """The model from documents (doc_id, text, source, lang, n_chars) and labels (doc_id, quality 0/1).
 
     Labels without doc_id or quality are left out; of labels that disagree the better counts.
+    Of the rows of one doc_id that with the smallest hash is taken.
     """
     order = F.xxhash64("doc_id")
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("quality"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     chosen = ids.join(known, "doc_id").orderBy(order, "doc_id").limit(labelled)
     others = ids.join(known, "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool).withColumn("quality", F.lit(None).cast("double"))
-    sample = chosen.unionByName(others).dropDuplicates(["doc_id"])
-    schema = pa.schema([("doc_id", pa.int64()), ("quality", pa.float64()), ("text", pa.list_(pa.float32())), ("meta", pa.list_(pa.float32()))])
+    sample = chosen.unionByName(others)
+    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("quality", pa.float64()), ("text", pa.list_(pa.float32())), ("meta", pa.list_(pa.float32()))])
 
     def work(batches):
         for rows, texts in slices(batches):
-            yield batch(schema, rows.column("doc_id"), rows.column("quality"), *(list(v.astype(np.float32)) for v in _views(rows, texts)))
+            yield batch(schema, rows.column("doc_id"), rows.column("hash"), rows.column("quality"), *(list(v.astype(np.float32)) for v in _views(rows, texts)))
 
     # at most labelled + pool rows of about 160 numbers
-    got = _rows(docs).join(F.broadcast(sample), "doc_id").mapInArrow(work, "doc_id long, quality double, text array<float>, meta array<float>").toArrow().sort_by("doc_id")
+    rows = _rows(docs).join(F.broadcast(sample), "doc_id").withColumn("hash", F.xxhash64("text", "source", "lang", "n_chars"))
+    found = rows.mapInArrow(work, "doc_id long, hash long, quality double, text array<float>, meta array<float>")
+    got = found.groupBy("doc_id").agg(F.min_by(F.struct("quality", "text", "meta"), "hash").alias("x")).select("doc_id", "x.*").toArrow().sort_by("doc_id")
     y = got.column("quality").to_numpy()
     views = [np.stack(got.column(c).to_numpy()).astype(float) if len(y) else np.zeros((0, 1)) for c in ("text", "meta")]
     has = ~np.isnan(y)
