@@ -24,22 +24,23 @@ def remove_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     doc_id keeps them, and rows of one doc_id are treated alike.
 
     Sketches are merged map-side first, so a line that a third of all rows have costs one
-    sketch a task. Estimates further than five standard errors from `min_sites` decide
+    sketch a task. What goes is gathered by doc_id and hash of the text, so a set has no more
+    hashes than one text has lines, whatever rows share a doc_id or have none. Estimates further than five standard errors from `min_sites` decide
     alone; of the lines between, sites are counted exactly.
     """
     parts = F.split("text", "\n")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(site).cast("string").alias("site"), F.struct(*keep).alias("kept") if keep else F.lit(None).alias("kept"))
-    lines = rows.select("doc_id", "site", F.explode(parts).alias("line")).where(F.trim("line") != "").select("doc_id", "site", F.xxhash64("line").alias("h"))
+    whole = F.xxhash64("text").alias("whole")
+    lines = rows.select("doc_id", whole, "site", F.explode(parts).alias("line")).where(F.trim("line") != "").select("doc_id", "whole", "site", F.xxhash64("line").alias("h"))
     margin = 5 * 1.04 / sqrt(2**LOG_REGISTERS) * min_sites
     spread = lines.groupBy("h").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LOG_REGISTERS)).alias("sites"), F.min("doc_id").alias("keeper")).where(F.col("sites") >= int(min_sites - margin))
     spread = staged(spread, "spread")
     near = spread.where(F.col("sites") <= ceil(min_sites + margin))
     exact = lines.join(near.select("h"), "h", "left_semi").where("site is not null").select("h", "site").distinct().groupBy("h").agg(F.count("*").alias("exact"))
     shared = staged(spread.join(exact, "h", "left").where(F.coalesce("exact", "sites") >= min_sites).select("h", "keeper"), "shared")
-    cut = lines.join(shared, "h").where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).groupBy("doc_id").agg(F.collect_set("h").alias("cut"))
-    cut = cut.select(F.col("doc_id").alias("cut_id"), "cut")
+    cut = lines.join(shared, "h").where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).groupBy(F.col("doc_id").alias("cut_id"), F.col("whole").alias("cut_whole")).agg(F.collect_set("h").alias("cut"))
     left = F.filter(parts, lambda x: (F.trim(x) == "") | ~F.array_contains("cut", F.xxhash64(x)))
-    joined = rows.join(cut, rows["doc_id"].eqNullSafe(cut["cut_id"]), "left")
+    joined = rows.withColumn("whole", whole).join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id")) & (F.col("whole") == F.col("cut_whole")), "left")
     out = joined.withColumn("left", F.when(F.col("cut").isNotNull(), left))
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long")
     return out.select("doc_id", F.coalesce(F.array_join("left", "\n"), "text").alias("text"), n.alias("n_lines"), F.when(F.col("left").isNull(), 0).otherwise(n - F.size("left")).cast("long").alias("n_removed"), "kept")
