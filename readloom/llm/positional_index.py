@@ -19,7 +19,8 @@ from .common import WORD, Words, batch, block_slices, slices, staged
 WINDOW = 13
 SEGMENT_BYTES = 8 << 20
 #: Bytes of benchmark text that are looked up, and broadcast, at once; more takes another pass over the index.
-QUERY_BYTES = 16 << 20
+#: Some 350,000 phrases, for which driver and workers need about 300 MB.
+QUERY_BYTES = 2 << 20
 
 _SEGMENT = pa.schema([("segment_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("terms", pa.binary()), ("begins", pa.binary()), ("postings", pa.binary())])
 _HITS = pa.schema([("segment_id", pa.int64()), ("row", pa.int32()), ("items", pa.list_(pa.string())), ("hits", pa.list_(pa.int32()))])
@@ -136,8 +137,8 @@ class Segment:
 
 
 def _groups(items: DataFrame, item_id: str, text: str) -> list[list[tuple[str, str | None]]]:
-    """The items with an id, in groups of about QUERY_BYTES."""
-    items = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).where("item is not null")
+    """The distinct items with an id, in groups of about QUERY_BYTES."""
+    items = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).where("item is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // QUERY_BYTES) or 1
     for k in range(n):
