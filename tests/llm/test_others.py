@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pytest
@@ -91,6 +92,14 @@ def test_packing_ids_and_places(spark):
     assert len(sequences) <= math.ceil(sum(map(len, ids.values())) / 2048) + 1
 
 
+def test_packing_spreads_rows_that_are_alike(spark):
+    rows = spark.createDataFrame([(None, "the same text")] * 600, "doc_id long, text string").repartition(3)
+    got = packing.pack(rows, group_docs=50).collect()
+    groups = Counter(r.sequence_id >> 32 for r in got)
+    assert sum(groups.values()) == 600 and max(groups.values()) < 150
+    assert len({(r.sequence_id, r.offset) for r in got}) == 600
+
+
 def test_fill_is_closest_to_capacity():
     r = random.Random(6)
     for _ in range(60):
@@ -185,6 +194,14 @@ def test_classifier(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(got.index[got.accepted])
 
 
+def test_classifier_takes_one_row_of_each_doc_id(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    again = reduce(lambda a, b: a.unionByName(b), [d] + [d.where("doc_id in (3, 4)")] * 30)
+    one = {r.doc_id: r.score for r in cotraining.score(d, labels).collect()}
+    many = cotraining.score(again, labels).collect()
+    assert len(many) == len(one) + 60 and all(r.score == pytest.approx(one[r.doc_id]) for r in many)
+
+
 def test_views_teach_each_other():
     r = np.random.default_rng(1)
     y = (r.random(4000) < 0.5).astype(float)
@@ -285,6 +302,12 @@ def test_shared_lines(spark):
     assert sorted(((x.doc_id, x.text, x.n_lines, x.n_removed, x.kept.source) for x in got), key=str) == sorted(want, key=str)
 
 
+def test_shared_lines_of_rows_without_doc_id(spark):
+    rows = [(None, f"shared\nown {i}", f"site{i % 12}") for i in range(200)] + [(None, "shared\nother", "site1")] * 100 + [(7, "shared", "site2")]
+    got = line_dedup.remove_shared_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert Counter(r.text for r in got) == Counter([f"own {i}" for i in range(200)] + ["other"] * 100 + ["shared"])
+
+
 # language model
 
 
