@@ -78,7 +78,29 @@ QUERIES = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_PHRASES = ", ".join(f"('{t.label}', '{t.text}', {len(t.text.split())})" for t in license_scan.BASE)
+_TEMPLATES = ", ".join(f"('{t.label}', '{t.text}', {t.threshold})" for t in license_scan.TEMPLATES)
+
 ORACLE_SQL = {
+    "op2_license_scans": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p(label, phrase, n) AS (VALUES {_PHRASES}),
+t AS (SELECT label, list_distinct(string_split(phrase, ' ')) AS own, least FROM (VALUES {_TEMPLATES}) v(label, phrase, least)),
+x AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+f AS (SELECT doc_id, label, i - 1 AS word FROM x JOIN p ON array_to_string(w[i:i + n - 1], ' ') = phrase),
+b AS (
+  SELECT doc_id, list_distinct(w[i + 1:i + {license_scan.BLOCK}]) AS block
+  FROM (SELECT doc_id, w, unnest(range(0, len(w), {license_scan.BLOCK // 2})) AS i FROM d) WHERE i = 0 OR len(w) > i + {license_scan.BLOCK // 2}
+),
+m AS (SELECT doc_id, label, len(list_intersect(own, block)) AS k, len(own) AS n FROM b, t WHERE len(list_intersect(own, block)) >= least * len(own) - 1e-9),
+s AS (
+  SELECT doc_id, max(c) AS score, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels
+  FROM (SELECT doc_id, label, CAST(k AS DOUBLE) / n AS c FROM m UNION ALL SELECT doc_id, label, 1.0 FROM f) GROUP BY doc_id
+),
+g AS (SELECT doc_id, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word, array_to_string(list_sort(list_distinct(list(label))), ',') AS base_labels FROM f GROUP BY doc_id)
+SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id LEFT JOIN g ON d.doc_id = g.doc_id""",
     "op4_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
