@@ -101,6 +101,22 @@ def test_minhash_over_many_ranges(spark, monkeypatch):
             assert got[a].edited_sha256 == hashlib.sha256((t[: len(t) - len(t) // 2] + by[b][: len(t) // 2]).encode()).hexdigest()
 
 
+def test_minhash_splits_a_doc_id_of_many_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(minhash, "BUCKET_ROWS", 10)
+    r = random.Random(4)
+    ids = [None] * 80 + [5] * 90 + [3, 6, 7, 10**12] * 5 + list(range(100, 160))
+    docs = spark.createDataFrame([(i, " ".join(r.choices("abcdef", k=r.randint(0, 9)))) for i in ids] + [(5, "same")] * 40, "doc_id long, text string").repartition(3)
+    rows = docs.select(F.coalesce("doc_id", F.lit(minhash.LEAST)).alias("k"), "text")
+    bounds = minhash._bounds(rows)
+    assert len(bounds) == len(set(bounds)) and sum(k == 5 for k, _ in bounds) > 4 and sum(k == minhash.LEAST for k, _ in bounds) > 4
+    order = sorted(rows.select("k", F.xxhash64("text").alias("h"), "text").collect())
+    want = sorted((a.k, hashlib.sha256((a.text[: len(a.text) - len(a.text) // 2] + b.text[: len(a.text) // 2]).encode()).hexdigest()) for a, b in zip(order, order[1:] + order[:1]))
+    got = minhash.compared_with_next(docs).collect()
+    assert sorted((minhash.LEAST if x.doc_id is None else x.doc_id, x.edited_sha256) for x in got) == want
+
+
 @pytest.mark.parametrize("name", ["op1_document_fingerprints", "op8_substring_dedup", "op10_simhash_near_dedup"])
 def test_empty_tables(spark, tmp_path, name):
     spark.read.parquet(f"{DATA}/documents.parquet").where("false").write.parquet(f"{tmp_path}/documents.parquet")
