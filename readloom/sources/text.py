@@ -10,8 +10,10 @@ from ..schema import FEATURES, MANIFEST
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """value, line (from 0) of one file. Plain or compressed (.gz, which is one task until it is read)."""
-    numbered = spark.sparkContext.textFile(path).zipWithIndex()
-    return spark.createDataFrame(numbered, "value string, line long")
+    context, encoders = spark.sparkContext._jsc.sc(), spark._jvm.org.apache.spark.sql.Encoders
+    numbered = context.textFile(path, context.defaultMinPartitions()).zipWithIndex()
+    rows = spark._jsparkSession.createDataset(numbered, encoders.tuple(encoders.STRING(), encoders.LONG()))  # no line passes through Python
+    return DataFrame(rows.toDF(), spark).toDF("value", "line")
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
