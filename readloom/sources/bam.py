@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 
@@ -15,6 +16,9 @@ from ..functions import cigar, sequence
 NIBBLES = "=ACMGRSVTWYHKDBN"
 EOF_BLOCK = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 BLOCK = 60_000
+#: A base's nibble as a hexadecimal digit (others: N), and a quality byte's score.
+_DIGIT = b"".join(b"%x" % (NIBBLES.find(chr(b)) % 16) for b in range(256))
+_SCORE = bytes((b - 33) % 256 for b in range(256))
 
 
 def block(data: bytes) -> bytes:
@@ -41,12 +45,11 @@ def header(ref_genome: list[tuple[str, int]]) -> bytes:
 
 def record(r: dict) -> bytes:
     name = r["name"].encode()[:254] + b"\0"
-    base = r["base"].upper()
-    nibbles = [NIBBLES.find(c) if c in NIBBLES else 15 for c in base] + [0] * (len(base) % 2)
-    packed = bytes(a << 4 | b for a, b in zip(nibbles[::2], nibbles[1::2], strict=True))
+    base = r["base"].upper().encode("ascii", "replace")
+    packed = bytes.fromhex(base.translate(_DIGIT).decode() + "0" * (len(base) % 2))
     codes = r["codes"] or []
     body = struct.pack("<iiBBHHHiiii", r["ref_index"], r["position"], len(name), r["mapping_quality"], r["bin"] & 0xFFFF, len(codes), r["flag"], len(base), r["next_index"], r["next_position"], r["template_length"])
-    body += name + struct.pack(f"<{len(codes)}I", *codes) + packed + bytes(r["phred"] or [])
+    body += name + struct.pack(f"<{len(codes)}I", *codes) + packed + (r["qual"] or "").encode("latin-1").translate(_SCORE)
     return struct.pack("<i", len(body)) + body
 
 
@@ -60,7 +63,7 @@ def fields(rows: DataFrame) -> DataFrame:
     mate = (a["flag"].bitwiseAND(8) == 0) & (m["ref_index"] >= 0)
     begin = F.when(~unmapped, p["position"]).when(mate, m["position"]).otherwise(-1)
     end = F.when(~unmapped, p["position"] + cigar.reference_span(a["cigar"], F.length("base"))).when(mate, m["position"] + 1).otherwise(0)
-    return rows.where("aln is not null").select("ordinal", sequence.read_name(F.col("meta")).alias("name"), "base", sequence.phred(F.col("qual")).alias("phred"), a["flag"].alias("flag"), a["mapping_quality"].alias("mapping_quality"), p["ref_index"].alias("ref_index"), F.when(p["ref_index"] < 0, -1).otherwise(p["position"]).alias("position"), m["ref_index"].alias("next_index"), m["position"].alias("next_position"), a["template_length"].alias("template_length"), cigar.bam_codes(a["cigar"]).alias("codes"), sequence.bam_bin(begin, end).alias("bin"))
+    return rows.where("aln is not null").select("ordinal", sequence.read_name(F.col("meta")).alias("name"), "base", "qual", a["flag"].alias("flag"), a["mapping_quality"].alias("mapping_quality"), p["ref_index"].alias("ref_index"), F.when(p["ref_index"] < 0, -1).otherwise(p["position"]).alias("position"), m["ref_index"].alias("next_index"), m["position"].alias("next_position"), a["template_length"].alias("template_length"), cigar.bam_codes(a["cigar"]).alias("codes"), sequence.bam_bin(begin, end).alias("bin"))
 
 
 def parts(rows: DataFrame) -> DataFrame:
@@ -84,3 +87,29 @@ def write(rows: DataFrame, ref_genome: list[tuple[str, int]], path: str) -> None
         for r in parts(rows).toLocalIterator():
             f.write(r.data)
         f.write(EOF_BLOCK)
+
+
+def write_parts(rows: DataFrame, ref_genome: list[tuple[str, int]], folder: str) -> int:
+    """A new folder whose files, put together by name, are a BAM file; gives the number of bytes.
+
+    Each task writes the blocks of its partition, so no record passes through the driver. The
+    folder lies where all executors mount it; a task that is repeated writes the same file.
+    """
+    os.makedirs(folder)
+    schema = pa.schema([("size", pa.int64())])
+
+    def put(name: str, pieces) -> int:
+        temporary = f"{folder}/.{name}.{os.getpid()}"
+        with open(temporary, "wb") as f:
+            size = sum(f.write(p) for p in pieces)
+        os.replace(temporary, f"{folder}/{name}")
+        return size
+
+    def work(batches):
+        from pyspark import TaskContext
+
+        size = put(f"1-part-{TaskContext.get().partitionId():06d}", (p for b in batches for p in b.column("data").to_pylist()))
+        yield pa.RecordBatch.from_arrays([pa.array([size], pa.int64())], schema=schema)
+
+    size = put("0-header", [blocks(header(ref_genome))]) + put("2-end", [EOF_BLOCK])
+    return size + (parts(rows).mapInArrow(work, "size long").agg(F.sum("size")).first()[0] or 0)

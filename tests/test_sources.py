@@ -169,3 +169,21 @@ def test_bam(spark, tmp_path):
         at += 4 + size
     want = [(r.meta.split(" ")[0], r.aln.flag, r.aln.position.ref_index, r.aln.position.position if r.aln.position.ref_index >= 0 else -1, r.aln.mapping_quality, r.aln.cigar, r.base, r.qual) for r in rows.orderBy("ordinal").collect() if r.aln]
     assert got == want
+
+
+def test_bam_in_parts(spark, tmp_path):
+    rows, contigs = _with_aln(Fixtures(spark, DATA)), [("chr0", 20000)]
+    bam.write(rows, contigs, f"{tmp_path}/a.bam")
+    size = bam.write_parts(rows, contigs, f"{tmp_path}/parts")
+    files = sorted((tmp_path / "parts").iterdir())
+    raw = b"".join(f.read_bytes() for f in files)
+    assert len(raw) == size and raw.endswith(bam.EOF_BLOCK) and len(files) > 2
+    assert gzip.decompress(raw) == gzip.decompress((tmp_path / "a.bam").read_bytes())
+    with pytest.raises(FileExistsError):
+        bam.write_parts(rows, contigs, f"{tmp_path}/parts")
+
+
+def test_bam_bases_and_scores():
+    read = {"name": "r", "base": "acgtnX", "qual": "!I~", "codes": None, "ref_index": 0, "position": 0, "mapping_quality": 0, "bin": 0, "flag": 0, "next_index": -1, "next_position": -1, "template_length": 0}
+    assert bam.record(read).endswith(b"r\0" + bytes([0x12, 0x48, 0xFF]) + bytes([0, 40, 93]))
+    assert bam.record(read | {"base": "A=C", "qual": None}).endswith(b"r\0" + bytes([0x10, 0x20]))
