@@ -38,17 +38,13 @@ def pack_bases(base: Column, lenient: bool = False) -> Column:
 
     Case and line ends don't matter. A length that is a multiple of 21 has a word with END alone.
     """
-    s = F.upper(F.replace(base, F.lit("\n"), F.lit("")))
-
-    def code(i):
-        at = F.instr(F.lit(BASES), F.substring(s, i + 1, 1))
-        bad = F.lit(BASES.index("N")) if lenient else F.raise_error(F.concat(F.lit("not a base: "), F.substring(s, i + 1, 1))).cast("int")
-        return F.when(i == F.length(s), END_CODE).when(i > F.length(s), 0).when(at == 0, bad).otherwise(at - 1).cast("long")
-
-    def word(k):
-        return F.aggregate(F.sequence(F.lit(0), F.lit(BASES_PER_WORD - 1)), F.lit(0).cast("long"), lambda w, i: w.bitwiseOR(F.call_function("shiftleft", code(k * BASES_PER_WORD + i), i * 3)))
-
-    return F.transform(F.sequence(F.lit(0), F.floor(F.length(s) / BASES_PER_WORD).cast("int")), word)
+    s, other = F.upper(F.replace(base, F.lit("\n"), F.lit(""))), f"[^{BASES}]"
+    bad = F.raise_error(F.concat(F.lit("not a base: "), F.regexp_extract(s, other, 0))).cast("string")
+    known = F.regexp_replace(s, other, "N") if lenient else F.when(s.rlike(other), bad).otherwise(s)
+    # a code is an octal digit, the first base's the lowest
+    digits = F.concat(F.translate(known, BASES, "".join(map(str, range(len(BASES))))), F.lit(str(END_CODE)))
+    first = F.sequence(F.lit(1), F.length(digits), F.lit(BASES_PER_WORD))
+    return F.transform(first, lambda at: F.conv(F.reverse(F.substring(digits, at, F.lit(BASES_PER_WORD))), 8, 10).cast("long"))
 
 
 def base_at(words: Column, place: Column) -> Column:

@@ -82,6 +82,11 @@ def test_bad_bases(spark):
         chunk_format.unpack(struct.pack("<Q", 0))
     with pytest.raises(Exception, match="not a base"):
         spark.createDataFrame([("AX",)], "s string").select(sequence.pack_bases(F.col("s"))).collect()
+    rows = spark.createDataFrame([("aX3\nT",), (None,)], "s string")
+    found = [r.w for r in rows.select(sequence.pack_bases(F.col("s"), lenient=True).alias("w")).collect()]
+    assert found == [[0 | 4 << 3 | 4 << 6 | 2 << 9 | 7 << 12], None]
+    with pytest.raises(Exception, match="not a base"):
+        spark.createDataFrame([("A3",)], "s string").select(sequence.pack_bases(F.col("s"))).collect()
 
 
 def test_chunk_files():
