@@ -92,7 +92,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def runs_of(batches):
         for rows in batches:
             for i in range(rows.num_rows):
-                parts = [Runs(part, window, gram) for _, part in block_slices(rows.column("texts")[i].as_py())]
+                parts = (Runs(part, window, gram) for _, part in block_slices(rows.column("texts")[i].as_py()))  # one is held at a time
                 pairs = np.concatenate([np.stack([p.run, p.anchor]) for p in parts], axis=1).astype(np.uint64)
                 run, at, n = np.unique(pairs[0], return_index=True, return_counts=True)
                 yield batch(_SHARED, np.full(len(run), rows.column("block_id")[i].as_py()), signed(pairs[1][at]), signed(run), n)
