@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import cotraining, line_dedup, packing, positional_index, simhash
+from readloom.llm import cotraining, line_dedup, packing, positional_index, shingle_dedup, simhash
 from readloom.llm.common import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,6 +26,29 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return out.select("doc_id", "text", "kept.lang", "kept.source", F.length("text").cast("long").alias("n_chars")).select(*COLUMNS)
 
 
+def _hashed(docs: DataFrame) -> DataFrame:
+    """`docs` with text_hash (null: as empty)."""
+    return docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def _kept(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows that are keepers of groups(doc_id, text_hash, keeper_id, keeper_hash, stays) that stay, each once.
+
+    A row is known by doc_id, null or not, and text_hash; only rows that are alike in both are taken for one.
+    """
+    keeps = F.col("stays") & F.col("doc_id").eqNullSafe(F.col("keeper_id")) & (F.col("text_hash") == F.col("keeper_hash"))
+    rows = groups.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")).agg(F.count("*").alias("n"), F.bool_or(keeps).alias("keeps"))
+    rows = staged(rows.where("n > 1 or not keeps"), "rows")
+    alike = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))
+    docs = _hashed(docs)
+    out = docs.join(rows, alike, "left_anti").select(*COLUMNS)
+    again = rows.where("keeps").select("d", "t")
+    if again.isEmpty():
+        return out
+    first = docs.join(again, alike).select(*COLUMNS, "text_hash").dropDuplicates(["doc_id", "text_hash"])
+    return out.unionByName(first.select(*COLUMNS))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id, once; rows without doc_id stay."""
     groups = staged(simhash.near_groups(simhash.fingerprints(docs)), "groups").where("doc_id is not null")
@@ -37,6 +60,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return out.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(first)
 
 
+def drop_shared_shingles(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """No two documents that share four fifths of their five-word shingles; the smallest doc_id stays.
+
+    A document that goes is near one before it, or near one that goes so. Decided for each row: see `_kept`.
+    """
+    return _kept(docs, shingle_dedup.groups(_hashed(docs).withColumn("doc_id", F.col("doc_id").cast("long"))))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark items don't contaminate."""
     found = positional_index.contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -52,6 +83,7 @@ STAGES = [
     ("quality classifier", keep_quality),
     ("line dedup", drop_shared_lines),
     ("SimHash near-dedup", drop_near_copies),
+    ("shingle near-dedup", drop_shared_shingles),
     ("benchmark decontamination", drop_contaminated),
     ("packing", pack),
 ]

@@ -1,0 +1,111 @@
+"""Near copies by the Jaccard likeness of their sets of five-word shingles: MinHash bands, then an exact check.
+
+Texts of the same shingles form a node. A node has `BANDS` keys, each made of `ROWS`
+least values of its shingles; two nodes with a likeness of 0.8 have no key in common
+once in 13,000 times, more alike ones less often. Who meets at a key is compared by the
+whole sets, a few smallest nodes of each key with all others there, until no key has two
+nodes that were not compared; who is near a smaller node leaves. So no two texts that
+stay, and share a key, are near copies, and a large group costs a few comparisons a member.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import NONSPACE, U64, Words, batch, gram_places, grams, mixed, signed, slices, span_hashes, staged
+
+SHINGLE, BANDS, ROWS = 5, 24, 5
+#: Near copies share at least NEAR[0] / NEAR[1] of their shingles.
+NEAR = (4, 5)
+#: Smallest nodes of a key that are compared with the others, in the first round and later.
+FIRST, LATER = 1, 16
+_FACTORS = np.random.default_rng(11).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=U64) * U64(2) + U64(1)
+
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64()))])
+_SET = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+_PAIR = pa.schema([("node", pa.int64())])
+
+
+def shingles(texts: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of some texts, repeats included, text by text, and how many each text has.
+
+    Shingles of `shingle` words between white space, A-Z lower-cased; fewer words form one shingle.
+    """
+    w = Words(texts, NONSPACE, lower=True)
+    h = w.hashes()
+    places, owner = gram_places(w.first, shingle), w.owner()
+    few = np.flatnonzero((w.counts > 0) & (w.counts < shingle))
+    found = np.concatenate([grams(h, shingle)[places], span_hashes(h, w.first[few], w.first[few + 1])])
+    owner = np.concatenate([owner[places], few])
+    return found[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(texts))
+
+
+def sketch(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The node of each text (0: no words), and its keys, a row of `BANDS`."""
+    h, n = shingles(texts)
+    node, keys = np.zeros(len(texts), U64), np.zeros((len(texts), BANDS), U64)
+    some = np.flatnonzero(n)
+    if len(some):
+        first = (np.cumsum(n) - n)[some]
+        node[some] = mixed(np.add.reduceat(mixed(h), first) + n[some].astype(U64))
+        for b in range(BANDS):
+            key = np.full(len(some), U64(b), U64)
+            for k in range(b * ROWS, (b + 1) * ROWS):
+                key = mixed(key * U64(0x9E3779B97F4A7C15) + np.minimum.reduceat(h * _FACTORS[0, k] + _FACTORS[1, k], first))
+            keys[some, b] = key
+    return node, keys
+
+
+def near(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets (sorted, without repeats) are as alike as `NEAR` says."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return NEAR[1] * both >= NEAR[0] * (len(a) + len(b) - both)
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, keeper_id, keeper_hash, stays of every row (doc_id long, text_hash long, text): the smallest row of its node, and whether the node stays.
+
+    Rows are ordered by doc_id (none last) and text_hash.
+    """
+
+    def sketched(batches):
+        for rows, texts in slices(batches):
+            node, keys = sketch(texts)
+            yield batch(_SKETCH, rows.column("doc_id"), rows.column("text_hash"), signed(node), [k if x else [] for x, k in zip(node, signed(keys), strict=True)])
+
+    def sets(batches):
+        for rows, texts in slices(batches):
+            h, n = shingles(texts)
+            yield batch(_SET, rows.column("node"), [np.unique(x).tobytes() for x in np.split(h, np.cumsum(n)[:-1])])
+
+    def compared(batches):
+        for rows in batches:
+            own, other = (rows.column(c) for c in ("shingles", "low_shingles"))
+            ok = [near(np.frombuffer(a.as_buffer(), U64), np.frombuffer(b.as_buffer(), U64)) for a, b in zip(own, other, strict=True)]
+            yield batch(_PAIR, rows.column("node").filter(pa.array(ok, pa.bool_())))
+
+    found = staged(docs.select("doc_id", "text_hash", "text").mapInArrow(sketched, "doc_id long, text_hash long, node long, keys array<long>"), "sketches")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
+    nodes = staged(found.groupBy("node").agg(F.min(order).alias("low"), F.min("keys").alias("keys")), "nodes")
+    members = nodes.select(F.explode("keys").alias("key"), "low", "node")
+    shared = lambda m: m.join(m.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key")
+    members = staged(shared(members), "members")
+    wanted = members.select("node", "low").distinct().select("node", F.col("low.doc_id").alias("d"), F.col("low.text_hash").alias("t"))
+    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["text_hash"] == F.col("t"))).select("node", "text")
+    full = staged(texts.mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
+    gone, most = None, FIRST
+    while not members.isEmpty():
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("low", "node"))
+        low = staged(members.withColumn("rank", rank).where(F.col("rank") <= most).select("key", F.col("low").alias("low_order"), F.col("node").alias("low_node")), "low")
+        pairs = members.join(low, "key").where("low_order < low or low_order = low and low_node < node").select("node", "low_node").distinct()
+        pairs = pairs.join(full, "node").join(full.select(F.col("node").alias("low_node"), F.col("shingles").alias("low_shingles")), "low_node")
+        left = staged(pairs.select("node", "shingles", "low_shingles").mapInArrow(compared, "node long").distinct(), "near")
+        gone = left if gone is None else gone.unionByName(left)
+        rest = members.join(low, (members["key"] == low["key"]) & (members["node"] == low["low_node"]), "left_anti").join(left, "node", "left_anti")
+        members, most = staged(shared(rest), "members"), LATER
+    stays = nodes.select("node", "low") if gone is None else nodes.select("node", "low").join(gone, "node", "left_anti")
+    named = nodes.select("node").join(stays, "node", "left").select("node", F.col("low.doc_id").alias("keeper_id"), F.col("low.text_hash").alias("keeper_hash"), F.col("low").isNotNull().alias("stays"))
+    return found.select("doc_id", "text_hash", "node").join(named, "node").select("doc_id", "text_hash", "keeper_id", "keeper_hash", "stays")
