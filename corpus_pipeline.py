@@ -50,14 +50,14 @@ def _kept(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id, once; rows without doc_id stay."""
-    groups = staged(simhash.near_groups(simhash.fingerprints(docs)), "groups").where("doc_id is not null")
-    out = docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
-    again = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if again.isEmpty():
-        return out
-    first = out.join(again, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
-    return out.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(first)
+    """Of each group of texts with near fingerprints the row with the smallest doc_id, once; a row without doc_id only if none has one."""
+    rows = _hashed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "text")
+    texts = simhash.near_groups(simhash.fingerprints(rows, "text_hash")).select(F.col("doc_id").alias("text_hash"), F.col("component_id").alias("group")).distinct()
+    named = staged(rows.select("doc_id", "text_hash").join(texts, "text_hash"), "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
+    low = named.groupBy("group").agg(F.min(order).alias("low"))
+    groups = named.join(low, "group").select("doc_id", "text_hash", F.col("low.doc_id").alias("keeper_id"), F.col("low.text_hash").alias("keeper_hash"), F.lit(True).alias("stays"))
+    return _kept(docs, groups)
 
 
 def drop_shared_shingles(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,9 +69,10 @@ def drop_shared_shingles(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that benchmark items don't contaminate."""
-    found = positional_index.contamination(docs, _table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Rows whose text benchmark items don't contaminate, whatever doc_id they have."""
+    rows = _hashed(docs)
+    found = positional_index.contamination(rows.select("text_hash", "text"), _table(spark, sf_dir, "benchmark"), "text_hash")
+    return rows.join(found.where("contaminated").select(F.col("doc_id").alias("text_hash")).distinct(), "text_hash", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

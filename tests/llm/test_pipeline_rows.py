@@ -57,3 +57,18 @@ def test_many_nodes_at_one_key(spark, monkeypatch):
 def test_near_is_exact():
     a = np.arange(9, dtype=np.uint64)
     assert shingle_dedup.near(a[:8], a[:8]) and shingle_dedup.near(a[:4], a[:5]) and not shingle_dedup.near(a[:7], a)
+
+
+def test_near_copies_go_by_row(spark):
+    r = random.Random(7)
+    texts = [" ".join(words(r, 80)) for _ in range(6)]
+    rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (5, texts[2]), (5, texts[2]), (None, texts[1]), (None, texts[3]), (None, texts[3]), (None, texts[4])]
+    want = [(1, texts[0]), (5, texts[1]), (5, texts[2]), (None, texts[3]), (None, texts[4])]
+    for name in ("SimHash near-dedup", "shingle near-dedup"):
+        assert sorted(map(repr, stage(spark, name, rows))) == sorted(map(repr, want)), name
+
+
+def test_contaminated_rows_go_by_row(spark):
+    item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").where("length(text) > 60").first().text
+    rows = [(1, item), (1, "clean text"), (None, item), (None, "clean as well"), (2, None)]
+    assert sorted(map(repr, stage(spark, "benchmark decontamination", rows))) == sorted(map(repr, [(1, "clean text"), (None, "clean as well"), (2, None)]))
