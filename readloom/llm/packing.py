@@ -31,9 +31,12 @@ def vocabulary_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str):
-    """The tokenizer in a tokenizers JSON file of byte-level BPE, run by tiktoken, which gives the same ids at a quarter of the time."""
+@lru_cache(maxsize=4)
+def encoder(path: str, added: bool = False):
+    """The tokenizer in a tokenizers JSON file of byte-level BPE, run by tiktoken, which gives the same ids at a quarter of the time.
+
+    added: the file's added tokens are ids of their own where a text has them, as in tokenizers; else they are plain text.
+    """
     import public_tokenizers
     import tiktoken
 
@@ -41,9 +44,11 @@ def encoder(path: str):
         found = json.load(f)
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that stand for themselves
     byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))}
-    special = {x["content"] for x in found["added_tokens"]}
+    special = {x["content"]: x["id"] for x in found["added_tokens"]}
+    if added and any(x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"] and found["normalizer"] for x in found["added_tokens"]):
+        raise ValueError("added tokens that take more than their text")
     ranks = {bytes(byte[c] for c in t): i for t, i in found["model"]["vocab"].items() if t not in special}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special if added else {})
 
 
 def fill(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, list[int]]]:
@@ -86,11 +91,12 @@ _DOC = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("doc_tokens", pa
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, group_docs: int = GROUP_DOCS) -> DataFrame:
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, group_docs: int = GROUP_DOCS, added: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: a row for each piece.
 
     Every row is a document of its own, even if doc_ids repeat or are null; a null or empty
-    text is the end id alone. Only counts and checksums are staged and shuffled, no text or ids;
+    text is the end id alone. added: the vocabulary's added tokens, such as <|endoftext|>, are
+    found in the texts, which is what `add_special_tokens=False` leaves on. Only counts and checksums are staged and shuffled, no text or ids;
     groups are dealt by a hash of doc_id, checksums and row number, about `group_docs` rows
     each, so rows that are alike are spread too.
     """
@@ -98,11 +104,12 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     def cut(batches):
         from pyspark import TaskContext
 
-        encode, row = encoder(vocabulary or vocabulary_file()), TaskContext.get().partitionId() << 40
+        encode, row = encoder(vocabulary or vocabulary_file(), added), TaskContext.get().partitionId() << 40
+        allowed = encode.special_tokens_set
         for rows, texts in slices(batches):
             sizes, crcs = [], []
             for t in texts:
-                ids = np.append(np.asarray(encode.encode_to_numpy(t.decode(), disallowed_special=()), "<u4"), np.uint32(END_ID)).astype("<u4")
+                ids = np.append(np.asarray(encode.encode_to_numpy(t.decode(), allowed_special=allowed, disallowed_special=()), "<u4"), np.uint32(END_ID)).astype("<u4")
                 sizes.append(len(ids))
                 crcs.append([zlib.crc32(ids[at : at + capacity].tobytes()) for at in range(0, len(ids), capacity)])
             yield batch(_DOC, rows.column("doc_id"), row + np.arange(len(texts)), sizes, crcs)

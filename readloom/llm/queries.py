@@ -24,7 +24,7 @@ def op2_license_scans(spark, sf_dir):
 
 
 def op3_packing(spark, sf_dir):
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    return packing.pack(_table(spark, sf_dir, "documents"), added=True)
 
 
 def op4_benchmark_decontamination(spark, sf_dir):
