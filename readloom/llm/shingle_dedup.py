@@ -20,8 +20,8 @@ from .common import NONSPACE, U64, Words, batch, gram_places, grams, mixed, sign
 SHINGLE, BANDS, ROWS = 5, 24, 5
 #: Near copies share at least NEAR[0] / NEAR[1] of their shingles.
 NEAR = (4, 5)
-#: Smallest nodes of a key that are compared with the others, in the first round and later.
-FIRST, LATER = 1, 16
+#: Smallest nodes of a key that are compared with the others in the first round, and how many times as many in each next one.
+FIRST, GROWTH = 4, 4
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=U64) * U64(2) + U64(1)
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64()))])
@@ -105,7 +105,7 @@ def groups(docs: DataFrame) -> DataFrame:
         left = staged(pairs.select("node", "shingles", "low_shingles").mapInArrow(compared, "node long").distinct(), "near")
         gone = left if gone is None else gone.unionByName(left)
         rest = members.join(low, (members["key"] == low["key"]) & (members["node"] == low["low_node"]), "left_anti").join(left, "node", "left_anti")
-        members, most = staged(shared(rest), "members"), LATER
+        members, most = staged(shared(rest), "members"), most * GROWTH
     stays = nodes.select("node", "low") if gone is None else nodes.select("node", "low").join(gone, "node", "left_anti")
     named = nodes.select("node").join(stays, "node", "left").select("node", F.col("low.doc_id").alias("keeper_id"), F.col("low.text_hash").alias("keeper_hash"), F.col("low").isNotNull().alias("stays"))
     return found.select("doc_id", "text_hash", "node").join(named, "node").select("doc_id", "text_hash", "keeper_id", "keeper_hash", "stays")

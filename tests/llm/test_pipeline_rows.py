@@ -50,7 +50,7 @@ def test_many_nodes_at_one_key(spark, monkeypatch):
     base = words(r, 300)
     rows = [(k, " ".join(edited(r, base, 25))) for k in range(60)]  # about 0.3 alike
     rows += [(100 + k, " ".join(edited(r, rows[k][1].split(), 2))) for k in range(60)]  # near one each
-    monkeypatch.setattr(shingle_dedup, "LATER", 3)
+    monkeypatch.setattr(shingle_dedup, "FIRST", 1)
     assert sorted(i for i, _ in stage(spark, "shingle near-dedup", rows)) == list(range(60))
 
 
