@@ -1,31 +1,40 @@
-"""Near copies by the Jaccard likeness of their sets of five-word shingles: MinHash bands, then an exact check.
-
-Texts of the same shingles form a node. A node has `BANDS` keys, each made of `ROWS`
-least values of its shingles; two nodes with a likeness of 0.8 have no key in common
-once in 13,000 times, more alike ones less often. Who meets at a key is compared by the
-whole sets, a few smallest nodes of each key with all others there, until no key has two
-nodes that were not compared; who is near a smaller node leaves. So no two texts that
-stay, and share a key, are near copies, and a large group costs a few comparisons a member.
+"""SimHash near-dedup of texts: who meets is compared by whole sets of five-word shingles.
+
+Texts of the same shingles form a node. A node has as keys the ball of its SimHash (as in
+`simhash`), and `BANDS` keys made of `ROWS` least values of its shingles: a likeness of 0.8
+is some ten differing bits, out of reach for a ball of 64-bit patterns, while two such nodes
+have no band in common once in 13,000 times. Whoever meets at a key is a candidate only
+if sizes allow a likeness of 0.8, and so do bitmaps of the shingles (their differing bits
+are at most as many as the differing shingles); candidates are compared by whole sets, so
+both filters and the keys change no verdict on a pair. A few smallest nodes of each key are
+compared with all others there, until no key has two nodes that were not; who is near a
+smaller node leaves, so a large group costs a few comparisons a member.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NONSPACE, U64, Words, batch, gram_places, grams, mixed, signed, slices, span_hashes, staged
+from .simhash import ball, simhash
 
-SHINGLE, BANDS, ROWS = 5, 24, 5
+SHINGLE, BANDS, ROWS, RADIUS = 5, 24, 5, 2
 #: Near copies share at least NEAR[0] / NEAR[1] of their shingles.
 NEAR = (4, 5)
 #: Smallest nodes of a key that are compared with the others in the first round, and how many times as many in each next one.
 FIRST, GROWTH = 4, 4
+#: Numbers of 64 bits in a bitmap.
+BITMAP = 16
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, (2, BANDS * ROWS), dtype=U64) * U64(2) + U64(1)
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64()))])
-_SET = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("fingerprint", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_SET = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("bitmap", pa.list_(pa.int64())), ("shingles", pa.binary())])
 _PAIR = pa.schema([("node", pa.int64())])
 
 
@@ -59,27 +68,43 @@ def sketch(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return node, keys
 
 
+def bitmap(distinct: np.ndarray) -> np.ndarray:
+    """For each of `BITMAP` * 64 places whether an odd number of the shingles falls there, as 64-bit numbers."""
+    odd = np.bincount((distinct >> U64(64 - (BITMAP * 64 - 1).bit_length())).astype(np.int64), minlength=BITMAP * 64) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
+
+
 def near(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets (sorted, without repeats) are as alike as `NEAR` says."""
     both = len(np.intersect1d(a, b, assume_unique=True))
     return NEAR[1] * both >= NEAR[0] * (len(a) + len(b) - both)
 
 
+def _may_be_near() -> Column:
+    """Whether sizes and bitmaps allow a likeness of `NEAR`: with d differing shingles it is (all - d) / (all + d)."""
+    size, other = F.col("size"), F.col("low_size")
+    differ = reduce(add, [F.bit_count(F.get("bitmap", F.lit(k)).bitwiseXOR(F.get("low_bitmap", F.lit(k)))) for k in range(BITMAP)])
+    return (F.least(size, other) * NEAR[1] >= F.greatest(size, other) * NEAR[0]) & (differ * sum(NEAR) <= (size + other) * (NEAR[1] - NEAR[0]))
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, keeper_id, keeper_hash, stays of every row (doc_id long, text_hash long, text): the smallest row of its node, and whether the node stays.
 
-    Rows are ordered by doc_id (none last) and text_hash.
+    Rows are ordered by doc_id (none last) and text_hash. Null and empty texts, and those of
+    spaces, are one node, which stays. A node that leaves is near a smaller one, which stays or
+    is itself near a smaller one; of two near nodes that meet at a key one leaves.
     """
 
     def sketched(batches):
         for rows, texts in slices(batches):
             node, keys = sketch(texts)
-            yield batch(_SKETCH, rows.column("doc_id"), rows.column("text_hash"), signed(node), [k if x else [] for x, k in zip(node, signed(keys), strict=True)])
+            yield batch(_SKETCH, rows.column("doc_id"), rows.column("text_hash"), signed(node), signed(simhash(texts, SHINGLE)), [k if x else [] for x, k in zip(node, signed(keys), strict=True)])
 
     def sets(batches):
         for rows, texts in slices(batches):
             h, n = shingles(texts)
-            yield batch(_SET, rows.column("node"), [np.unique(x).tobytes() for x in np.split(h, np.cumsum(n)[:-1])])
+            own = [np.unique(x) for x in np.split(h, np.cumsum(n)[:-1])]
+            yield batch(_SET, rows.column("node"), [len(x) for x in own], [bitmap(x) for x in own], [x.tobytes() for x in own])
 
     def compared(batches):
         for rows in batches:
@@ -87,20 +112,23 @@ def groups(docs: DataFrame) -> DataFrame:
             ok = [near(np.frombuffer(a.as_buffer(), U64), np.frombuffer(b.as_buffer(), U64)) for a, b in zip(own, other, strict=True)]
             yield batch(_PAIR, rows.column("node").filter(pa.array(ok, pa.bool_())))
 
-    found = staged(docs.select("doc_id", "text_hash", "text").mapInArrow(sketched, "doc_id long, text_hash long, node long, keys array<long>"), "sketches")
+    found = staged(docs.select("doc_id", "text_hash", "text").mapInArrow(sketched, "doc_id long, text_hash long, node long, fingerprint long, bands array<long>"), "sketches")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
-    nodes = staged(found.groupBy("node").agg(F.min(order).alias("low"), F.min("keys").alias("keys")), "nodes")
-    members = nodes.select(F.explode("keys").alias("key"), "low", "node")
+    nodes = staged(found.groupBy("node").agg(F.min(order).alias("low"), F.min(F.struct("fingerprint", "bands")).alias("s")).select("node", "low", "s.fingerprint", "s.bands"), "nodes")
+    patterns = F.transform(ball(F.col("fingerprint"), RADIUS // 2), lambda v: F.xxhash64(F.lit("ball"), v))
+    keys = nodes.where(F.size("bands") > 0).select("node", F.explode(F.concat("bands", patterns)).alias("key"))
     shared = lambda m: m.join(m.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "key")
-    members = staged(shared(members), "members")
-    wanted = members.select("node", "low").distinct().select("node", F.col("low.doc_id").alias("d"), F.col("low.text_hash").alias("t"))
+    met = staged(shared(keys), "met")
+    wanted = met.select("node").distinct().join(nodes.select("node", "low"), "node").select("node", F.col("low.doc_id").alias("d"), F.col("low.text_hash").alias("t"))
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["text_hash"] == F.col("t"))).select("node", "text")
-    full = staged(texts.mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
+    full = staged(texts.mapInArrow(sets, "node long, size long, bitmap array<long>, shingles binary").dropDuplicates(["node"]), "sets")
+    members = staged(met.join(nodes.select("node", "low"), "node").join(full.select("node", "size", "bitmap"), "node"), "members")
     gone, most = None, FIRST
     while not members.isEmpty():
         rank = F.row_number().over(Window.partitionBy("key").orderBy("low", "node"))
-        low = staged(members.withColumn("rank", rank).where(F.col("rank") <= most).select("key", F.col("low").alias("low_order"), F.col("node").alias("low_node")), "low")
-        pairs = members.join(low, "key").where("low_order < low or low_order = low and low_node < node").select("node", "low_node").distinct()
+        low = staged(members.withColumn("rank", rank).where(F.col("rank") <= most).select("key", *[F.col(c).alias(f"low_{c}") for c in ("node", "low", "size", "bitmap")]), "low")
+        earlier = (F.col("low_low") < F.col("low")) | (F.col("low_low") == F.col("low")) & (F.col("low_node") < F.col("node"))
+        pairs = members.join(low, (members["key"] == low["key"]) & earlier & _may_be_near()).select("node", "low_node").distinct()
         pairs = pairs.join(full, "node").join(full.select(F.col("node").alias("low_node"), F.col("shingles").alias("low_shingles")), "low_node")
         left = staged(pairs.select("node", "shingles", "low_shingles").mapInArrow(compared, "node long").distinct(), "near")
         gone = left if gone is None else gone.unionByName(left)

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from readloom.llm import shingle_dedup
+from readloom.llm import simhash_texts
 
 from . import brute
 from .test_near import made
@@ -34,7 +34,7 @@ def test_no_near_copies_are_left(spark):
         base = words(r, r.choice([60, 200, 500]))
         rows += [(len(rows) + k, " ".join(edited(r, base, r.randint(0, len(base) // 50)))) for k in range(8)]
     rows += [(None, rows[-1][1]), (None, "on its own"), (None, "on its own"), (7, "another of that id")]
-    got = stage(spark, "shingle near-dedup", rows)
+    got = stage(spark, "SimHash near-dedup", rows)
     near = lambda a, b: brute.jaccard(a, b) >= 0.8
     assert not [1 for i, a in enumerate(got) for b in got[:i] if near(a[1], b[1])]
     low = {}
@@ -50,13 +50,23 @@ def test_many_nodes_at_one_key(spark, monkeypatch):
     base = words(r, 300)
     rows = [(k, " ".join(edited(r, base, 25))) for k in range(60)]  # about 0.3 alike
     rows += [(100 + k, " ".join(edited(r, rows[k][1].split(), 2))) for k in range(60)]  # near one each
-    monkeypatch.setattr(shingle_dedup, "FIRST", 1)
-    assert sorted(i for i, _ in stage(spark, "shingle near-dedup", rows)) == list(range(60))
+    monkeypatch.setattr(simhash_texts, "FIRST", 1)
+    assert sorted(i for i, _ in stage(spark, "SimHash near-dedup", rows)) == list(range(60))
 
 
 def test_near_is_exact():
     a = np.arange(9, dtype=np.uint64)
-    assert shingle_dedup.near(a[:8], a[:8]) and shingle_dedup.near(a[:4], a[:5]) and not shingle_dedup.near(a[:7], a)
+    assert simhash_texts.near(a[:8], a[:8]) and simhash_texts.near(a[:4], a[:5]) and not simhash_texts.near(a[:7], a)
+
+
+def test_bitmaps_bound_the_differing_shingles():
+    r = np.random.default_rng(3)
+    for n in (1, 7, 200, 5000):
+        a, b = (np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)) for _ in range(2))
+        b = np.union1d(r.permutation(b)[: n // 4], r.permutation(a)[n // 8 :])
+        differ = len(np.setxor1d(a, b))
+        bits = sum(int(x).bit_count() for x in (simhash_texts.bitmap(a) ^ simhash_texts.bitmap(b)).view(np.uint64))
+        assert bits <= differ and (n != 200 or bits > 0.7 * differ)
 
 
 def test_near_copies_go_by_row(spark):
@@ -64,8 +74,7 @@ def test_near_copies_go_by_row(spark):
     texts = [" ".join(words(r, 80)) for _ in range(6)]
     rows = [(1, texts[0]), (5, texts[0]), (5, texts[1]), (5, texts[2]), (5, texts[2]), (None, texts[1]), (None, texts[3]), (None, texts[3]), (None, texts[4])]
     want = [(1, texts[0]), (5, texts[1]), (5, texts[2]), (None, texts[3]), (None, texts[4])]
-    for name in ("SimHash near-dedup", "shingle near-dedup"):
-        assert sorted(map(repr, stage(spark, name, rows))) == sorted(map(repr, want)), name
+    assert sorted(map(repr, stage(spark, "SimHash near-dedup", rows))) == sorted(map(repr, want))
 
 
 def test_contaminated_rows_go_by_row(spark):
