@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readloom.llm import cotraining, line_dedup, packing, positional_index, shingle_dedup, simhash
+from readloom.llm import cotraining, line_dedup, packing, positional_index, simhash_texts
 from readloom.llm.common import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -50,22 +50,11 @@ def _kept(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts with near fingerprints the row with the smallest doc_id, once; a row without doc_id only if none has one."""
-    rows = _hashed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash", "text")
-    texts = simhash.near_groups(simhash.fingerprints(rows, "text_hash")).select(F.col("doc_id").alias("text_hash"), F.col("component_id").alias("group")).distinct()
-    named = staged(rows.select("doc_id", "text_hash").join(texts, "text_hash"), "groups")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
-    low = named.groupBy("group").agg(F.min(order).alias("low"))
-    groups = named.join(low, "group").select("doc_id", "text_hash", F.col("low.doc_id").alias("keeper_id"), F.col("low.text_hash").alias("keeper_hash"), F.lit(True).alias("stays"))
-    return _kept(docs, groups)
+    """One document of each group whose five-word shingles are alike by 0.8; the smallest doc_id stays, a row without doc_id only if none has one.
 
-
-def drop_shared_shingles(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """No two documents that share four fifths of their five-word shingles; the smallest doc_id stays.
-
-    A document that goes is near one before it, or near one that goes so. Decided for each row: see `_kept`.
+    Decided for each row, see `_kept`; `simhash_texts` says what a group is.
     """
-    return _kept(docs, shingle_dedup.groups(_hashed(docs).withColumn("doc_id", F.col("doc_id").cast("long"))))
+    return _kept(docs, simhash_texts.groups(_hashed(docs).withColumn("doc_id", F.col("doc_id").cast("long"))))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,7 +73,6 @@ STAGES = [
     ("quality classifier", keep_quality),
     ("line dedup", drop_shared_lines),
     ("SimHash near-dedup", drop_near_copies),
-    ("shingle near-dedup", drop_shared_shingles),
     ("benchmark decontamination", drop_contaminated),
     ("packing", pack),
 ]
