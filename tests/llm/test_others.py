@@ -331,13 +331,57 @@ def test_model_beats_unigrams_on_unseen_texts(spark):
     assert got.score.sum() > got.base_score.sum()
 
 
-def test_passes_add_up(spark, docs):
-    one = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
-    many = {r.doc_id: r for r in lm_scoring.score(docs.unionByName(docs.where("doc_id = 7")), filter_bytes=1 << 13, most_broadcast=0).collect()}
-    few = {r.doc_id: r for r in lm_scoring.score(docs, filter_bytes=1 << 13).collect()}
-    # the unigram filter is as large as before, so scores agree
-    assert all(few[i].score == pytest.approx(one[i].score, rel=1e-9) and few[i].base_score == one[i].base_score for i in one)
-    assert many.keys() == one.keys() and all(math.isfinite(many[i].score) for i in many)
+def quantised(n):
+    level = int(np.searchsorted(lm_scoring.LEVELS, n, side="right"))
+    return level, float(lm_scoring.MEANS[level])
+
+
+def model(rows):
+    """The scores with quantised counts from a dictionary, no filter."""
+    toks = {i: [*brute.NONSPACE.findall(brute.lower(t)), None] for i, t in rows}
+    train = [w for i, w in toks.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    one, two = Counter(x for w in train for x in w), Counter(x for w in train for x in zip(w, w[1:]))
+    n, v = sum(one.values()), len(one)
+    known, every = Counter(), Counter()
+    for (a, _), k in two.items():
+        every[quantised(one[a])[0]] += k
+        known[quantised(one[a])[0]] += k * (k > 1)
+    share = {x: min(0.99, max(0.01, known[x] / every[x])) for x in every}
+    out = {}
+    for i, w in toks.items():
+        total = 0.0
+        for k, x in enumerate(w):
+            p = (quantised(one[x])[1] + 0.5) / (n + 0.5 * (v + 1))
+            if k and one[w[k - 1]]:
+                level, c = quantised(one[w[k - 1]])
+                s = share.get(level, 0.01)
+                p = s * min(1.0, quantised(two[w[k - 1], x])[1] / c) + (1 - s) * p
+            total += math.log10(p)
+        out[i] = total
+    return out
+
+
+def test_score_is_that_of_the_model(spark, docs, monkeypatch):
+    want = model(made())
+    got = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
+    # a probe that is wrong, one in a hundred, raises a count by a level
+    assert all(abs(got[i].score - want[i]) <= 0.1 * got[i].n_tokens for i in want)
+    assert abs(sum(got[i].score for i in want) / sum(want.values()) - 1) < 0.01
+    monkeypatch.setattr(lm_scoring, "BITS", 400)  # next to none is wrong
+    got = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
+    assert all(got[i].score == pytest.approx(want[i], rel=1e-9) for i in want)
+
+
+def test_scores_do_not_depend_on_what_is_broadcast(spark, docs, monkeypatch):
+    docs = docs.unionByName(docs.where("doc_id = 7")).unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    rows = lambda **how: sorted(lm_scoring.score(docs, **how).collect(), key=str)
+    one = rows()
+    monkeypatch.setattr(lm_scoring, "PART_TOKENS", 1)
+    for how in ({"filter_bytes": 0}, {"most_broadcast": 0, "range_bytes": 1 << 12}, {"most_broadcast": 0, "filter_bytes": 0, "range_bytes": 1 << 10}):
+        monkeypatch.setattr(lm_scoring, "MOST_PARTS", lm_scoring.PARTS)
+        assert [tuple(r) for r in rows(**how)] == [tuple(r) for r in one], how
+    monkeypatch.setattr(lm_scoring, "MOST_PARTS", 4 * lm_scoring.PARTS)
+    assert [r.base_score for r in rows(most_broadcast=0, filter_bytes=0)] == [r.base_score for r in one]
 
 
 def test_filter_holds_levels():
