@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +36,12 @@ LOWER[0x41:0x5B] += 32
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and staged tables; a folder of our own only where none is set."""
+    """The shared folder for checkpoints and staged tables; a folder of our own only where none is set and all runs in one process."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        found, master = spark.sparkContext._jsc.sc().getCheckpointDir(), spark.sparkContext.master
+        if not found.isDefined() and master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = found.get() if found.isDefined() else f"file://{tempfile.mkdtemp(prefix='checkpoint-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -46,17 +49,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Folders of `staging` blocks that are open, the innermost last.
+_OPEN: list[str] = []
+
+
 def _staging(spark: SparkSession) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+    return "/".join([f"{checkpoint_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}", *_OPEN])
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete this application's staged tables; frames that were made of them can't be read any more."""
+    """Delete the staged tables of this application, or of the open `staging` block; frames that were made of them can't be read any more."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(_staging(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted at its end, so results must be written before."""
+    _OPEN.append(f"block-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        drop_staged(spark)
+        _OPEN.pop()
+
+
 def staged(df: DataFrame, name: str, row_group: int = 16 << 20) -> DataFrame:
     """`df` written to the shared folder and read back: cuts lineage, and survives the loss of executors."""
     spark = df.sparkSession
@@ -171,13 +189,19 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 
 BLOCK_BYTES = 8 << 20
-BLOCK = pa.schema([("block_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.large_binary()))])
+BLOCK = pa.schema([("block_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("packed", pa.binary())])
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def _block(number: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
+    return batch(BLOCK, [number], [ids], [[len(t) for t in texts]], [_ZSTD.compress(b"".join(texts), asbytes=True)])
 
 
 def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A staged table of blocks of about `BLOCK_BYTES` of text: block_id, doc_ids, texts (null: empty).
+    """A staged table of blocks of about `BLOCK_BYTES` of text: block_id, doc_ids, sizes and packed texts (null: empty).
 
-    Once written the blocks are fixed, whatever is computed again later.
+    Once written the blocks are fixed, whatever is computed again later. Texts are packed by
+    zstd, so a join of blocks shuffles half their bytes; `block_texts` unpacks them.
     """
 
     def pack(batches):
@@ -189,13 +213,20 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             texts += raw
             size += sum(map(len, raw))
             if size >= BLOCK_BYTES or len(ids) >= 50_000:
-                yield batch(BLOCK, [made], [ids], [texts])
+                yield _block(made, ids, texts)
                 made, ids, texts, size = made + 1, [], [], 0
         if ids:
-            yield batch(BLOCK, [made], [ids], [texts])
+            yield _block(made, ids, texts)
 
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("binary").alias("text"))
-    return staged(rows.mapInArrow(pack, "block_id long, doc_ids array<long>, texts array<binary>"), "blocks")
+    return staged(rows.mapInArrow(pack, "block_id long, doc_ids array<long>, sizes array<long>, packed binary"), "blocks")
+
+
+def block_texts(rows: pa.RecordBatch, i: int) -> list[bytes]:
+    """The texts of a block."""
+    ends = np.cumsum(rows.column("sizes")[i].as_py(), dtype=np.int64).tolist()
+    raw = _ZSTD.decompress(rows.column("packed")[i].as_py(), ends[-1] if ends else 0, asbytes=True) if ends and ends[-1] else b""
+    return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
 
 def block_slices(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:

@@ -25,7 +25,7 @@ from pandas import factorize
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NONSPACE, U64, Words, batch, block_slices, blocks, grams, mixed, signed, slices, staged
+from .common import NONSPACE, U64, Words, batch, block_slices, block_texts, blocks, grams, mixed, signed, slices, staged
 
 #: Least counts of the levels 1 to 62.
 LEVELS = np.array([1, 2, 3, *(round(4 * 2 ** (k / 2)) for k in range(59))], np.int64)
@@ -327,8 +327,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
 
         def words_of(batches):
             for b in batches:
-                for block, texts in zip(b.column("block_id").to_pylist(), b.column("texts"), strict=True):
-                    yield batch(_ASKED, [block], [_distinct(seq for seq, _ in _slices_of(texts.as_py())).tobytes()])
+                for i, block in enumerate(b.column("block_id").to_pylist()):
+                    yield batch(_ASKED, [block], [_distinct(seq for seq, _ in _slices_of(block_texts(b, i))).tobytes()])
 
         told = staged(table.answers(whole.mapInArrow(words_of, "block_id long, keys binary"), ones, range_bytes), "unigrams-told")
         whole = whole.join(told.withColumnRenamed("levels", "word_levels").withColumnRenamed("counts", "word_counts"), "block_id", "left")
@@ -337,7 +337,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
         """Slices of blocks (ids, texts, known): known has the answers to a block's words, and to its pairs."""
         for b in batches:
             for i in range(b.num_rows):
-                ids, texts = b.column("doc_ids")[i].as_py(), b.column("texts")[i].as_py()
+                ids, texts = b.column("doc_ids")[i].as_py(), block_texts(b, i)
                 known = {}
                 if unigram is None:
                     words = _distinct(seq for seq, _ in _slices_of(texts))
@@ -389,7 +389,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
                 for i in range(b.num_rows):
                     one = b.slice(i, 1)
                     known = next((k for _, _, k in of_blocks([one])), {})
-                    yield batch(_ASKED, b.column("block_id").slice(i, 1), [_distinct(pairs(*x, level_of(known)) for x in _slices_of(one.column("texts")[0].as_py())).tobytes()])
+                    yield batch(_ASKED, b.column("block_id").slice(i, 1), [_distinct(pairs(*x, level_of(known)) for x in _slices_of(block_texts(one, 0))).tobytes()])
 
         told = table.answers(whole.mapInArrow(pairs_of, "block_id long, keys binary"), None, range_bytes).select("block_id", F.col("levels").alias("pair_levels"))
         units, source = (lambda b: of_blocks(b, True)), whole.join(told, "block_id", "left")

@@ -1,25 +1,33 @@
 """Repeated passages by relative Lempel-Ziv parsing against all blocks of the corpus.
 
-Every document is a reference and is parsed against all others. The index holds anchors:
-in each window of `window` words the smallest hash of `GRAM` words, which equal windows
-share at the same place. Consecutive windows with one anchor form a run (14 on average).
-A run that occurs twice as a whole lies inside a factor: all its windows are copied. Where
-an anchor recurs in different runs a factor begins or ends, and only there the windows are
-looked up one by one. Windows copied from elsewhere, laid together, are the long factors;
-the words they cover are removed.
-
-What is shuffled is one row for each distinct run of a block of documents, so a passage
-that a third of all documents share costs one row a block.
+Every block of documents is a reference, and every document is factored against all of them:
+from left to right a factor begins at the first window of `window` words that the index
+knows from another place, and takes in one window after the other as long as their places
+there follow each other too. A factor is kept with its length and its place in the reference;
+what is not in a factor is literal. A factor is a window long at least, so its words are a
+duplicate span. The index gives one place for each window, its smallest (for that one itself
+its largest), so a factor ends where another place takes over; the windows that straddle two
+factors are looked up one by one.
+
+The index is built of anchors: in each window the smallest hash of `GRAM` words, which equal
+windows share at the same offset. Consecutive windows with one anchor form a run (14 on
+average). A run that occurs twice as a whole lies inside a factor, and one entry of the
+index stands for all its windows. Where an anchor recurs in different runs a factor begins or
+ends, and only there single windows are entered.
+
+What is shuffled is one row for each distinct run of a block, and each distinct window of the
+runs at a factor's edge, aggregated before the shuffle; a passage that a third of all documents
+share costs one row a block. Texts are shuffled twice, packed, in blocks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NONSPACE, Words, batch, block_slices, blocks, gram_places, grams, mixed, signed, span_hashes, staged
+from .common import NONSPACE, Words, batch, block_slices, block_texts, blocks, gram_places, grams, mixed, signed, span_hashes, staged
 
 WINDOW, GRAM = 35, 8
 
@@ -50,12 +58,13 @@ class Runs:
         self.anchor = g[chosen[new]]
         self.run = mixed(span_hashes(self.h, first, last + window) + (chosen[new] - first).astype(np.uint64))
 
-    def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of all windows of some runs."""
+    def windows(self, runs: np.ndarray) -> np.ndarray:
+        """All windows of some runs, as indices of places."""
         n = self.stop[runs] - self.begin[runs]
-        at = np.repeat(self.begin[runs], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        place = self.places[at]
-        return place, span_hashes(self.h, place, place + self.window)
+        return np.repeat(self.begin[runs], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+    def hashes(self, windows: np.ndarray) -> np.ndarray:
+        return span_hashes(self.h, self.places[windows], self.places[windows] + self.window)
 
 
 def _find(keys: np.ndarray, sorted_keys: np.ndarray) -> np.ndarray:
@@ -71,91 +80,166 @@ def _column(rows: pa.RecordBatch, name: str, i: int) -> np.ndarray:
     return np.empty(0, np.int64) if value is None else value.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _distinct(key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, an index of each, how often it occurs, its smallest and its largest place (given ascending)."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+    stop = np.append(begin[1:], len(key))[: len(begin)]
+    return key[begin], order[begin], stop - begin, place[order[begin]], place[order[stop - 1]]
+
+
+class Factors:
+    """A parse of some texts: windows `start` to `stop` (exclusive, as indices of places) follow places from (`block`, `word`) on."""
+
+    def __init__(self, windows: np.ndarray, places: np.ndarray, first: np.ndarray, block: np.ndarray, word: np.ndarray):
+        order = np.argsort(windows)
+        windows, block, word = windows[order], block[order], word[order]
+        at = places[windows]
+        text = np.searchsorted(first, at, side="right")
+        follows = (np.diff(at) == 1) & (np.diff(word) == 1) & (block[1:] == block[:-1]) & (text[1:] == text[:-1])
+        begin = np.flatnonzero(np.append(True, ~follows)) if len(at) else np.empty(0, np.int64)
+        self.n = np.diff(np.append(begin, len(at)))
+        self.start, self.block, self.word = at[begin], block[begin], word[begin]
+
+
 #: What is known of a run: it occurs elsewhere; its windows take part in the look-up.
 COPIED, LOOKED_UP = 1, 2
 
-_SHARED = pa.schema([("block_id", pa.int64()), ("anchor", pa.int64()), ("run", pa.int64()), ("n", pa.int64())])
-_WINDOWS = pa.schema([("block_id", pa.int64()), ("win", pa.int64()), ("n", pa.int64())])
-_KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.large_binary()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
+_SHARED = pa.schema([("block_id", pa.int64()), ("anchor", pa.int64()), ("run", pa.int64()), ("n", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
+_WINDOWS = pa.schema([("block_id", pa.int64()), ("win", pa.int64()), ("n", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
+_FACTOR = pa.struct([("start", pa.int64()), ("words", pa.int64()), ("source_block", pa.int64()), ("source_word", pa.int64())])
+_KEPT = pa.schema([("block_id", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.large_binary()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("factors", pa.list_(_FACTOR))])
+
+
+def _places() -> list[Column]:
+    """How often a key occurs in all blocks, and its smallest and largest place."""
+    return [F.sum("n").alias("total"), F.min(F.struct("block_id", F.col("first").alias("word"))).alias("low"), F.max(F.struct("block_id", F.col("last").alias("word"))).alias("high")]
+
+
+def _source() -> list[Column]:
+    """Where a block's occurrences of a key are copied from: the smallest place, and for that one itself the largest."""
+    own = F.col("low.block_id") == F.col("block_id")
+    return [F.col("low.block_id").alias("source"), F.col("low.word").alias("word"), F.when(own, F.col("high.block_id")).alias("other"), F.when(own, F.col("high.word")).alias("other_word")]
+
+
+def _gathered(rows: DataFrame, key: str, *more: str) -> DataFrame:
+    """The keys of each block with what is known of them, as arrays in the order of the keys; at most as many as a block has words."""
+    named = ["source", "word", "other", "other_word", *more]
+    x = rows.groupBy("block_id").agg(F.sort_array(F.collect_list(F.struct(key, *named))).alias("x"))
+    return x.select("block_id", F.col(f"x.{key}").alias(f"{key}s"), *[F.col(f"x.{c}").alias(f"{key}_{c}s") for c in named])
+
+
+def _taken(rows: pa.RecordBatch, key: str, i: int, found: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Block and word from which the occurrences at some places of a block are copied; `found` are places in the arrays."""
+    block = rows.column("block_id")[i].as_py()
+    source, word = _column(rows, f"{key}_sources", i)[found], _column(rows, f"{key}_words", i)[found]
+    own = (source == block) & (word == place)
+    if own.any():
+        others = [rows.column(f"{key}_{c}s")[i].values.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("other", "other_word")]
+        source, word = np.where(own, others[0][found], source), np.where(own, others[1][found], word)
+    return source, word
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_removed, kept string, spans array<struct<start, end>> of every row.
+    """block_id, doc_id, n_words, n_removed, kept string, spans array<struct<start, end>>, factors of every row.
 
     Words lie between white space. Each word is removed that a window of `window` words
     covers whose words also start anywhere else, in the same row or in another; spans are
-    the removed words, from start to end (exclusive). Null texts have no words; rows that
-    are repeated are copies of each other; null doc_ids are kept as they are.
+    the removed words, from start to end (exclusive). factors array<struct<start, words,
+    source_block, source_word>> are the copied stretches of the parse: words of the row from
+    `start` on that also stand in a block from a word on, counted from the block's first;
+    those of neighbours overlap in the windows that straddle them. Null texts have no
+    words; rows that are repeated are copies of each other; null doc_ids are kept as they are;
+    an empty table gives none. A text of any length is parsed as a whole.
     """
     whole = blocks(docs, doc_id, text)
 
     def runs_of(batches):
         for rows in batches:
             for i in range(rows.num_rows):
-                parts = (Runs(part, window, gram) for _, part in block_slices(rows.column("texts")[i].as_py()))  # one is held at a time
-                pairs = np.concatenate([np.stack([p.run, p.anchor]) for p in parts], axis=1).astype(np.uint64)
-                run, at, n = np.unique(pairs[0], return_index=True, return_counts=True)
-                yield batch(_SHARED, np.full(len(run), rows.column("block_id")[i].as_py()), signed(pairs[1][at]), signed(run), n)
+                found, base = [], 0
+                for _, part in block_slices(block_texts(rows, i)):  # one is held at a time
+                    r = Runs(part, window, gram)
+                    found.append((r.run, r.anchor, r.places[r.begin] + base))
+                    base += len(r.h)
+                run, anchor, place = map(np.concatenate, zip(*found, strict=True))
+                run, at, n, first, last = _distinct(run, place)
+                yield batch(_SHARED, np.full(len(run), rows.column("block_id")[i].as_py()), signed(anchor[at]), signed(run), n, first, last)
 
-    found = staged(whole.mapInArrow(runs_of, "block_id long, anchor long, run long, n long"), "runs")
+    found = staged(whole.mapInArrow(runs_of, "block_id long, anchor long, run long, n int, first int, last int"), "runs")
     anchors = found.groupBy("anchor").agg(F.sum("n").alias("total"), F.min("run").alias("lo"), F.max("run").alias("hi")).where("total > 1")
-    met = found.join(anchors, "anchor").select("block_id", "run", "n", (F.col("lo") != F.col("hi")).alias("differ"))
-    same = Window.partitionBy("run")  # at most a row for each block
+    met = staged(found.join(anchors.select("anchor", (F.col("lo") != F.col("hi")).alias("differ")), "anchor").drop("anchor"), "met")
     copied = F.col("total") > 1
-    asked = F.col("differ") & (~copied | (F.col("low") == F.col("block_id")))
-    known = met.select("*", F.sum("n").over(same).alias("total"), F.min("block_id").over(same).alias("low")).select("block_id", "run", (copied.cast("int") * COPIED + asked.cast("int") * LOOKED_UP).alias("what")).where("what > 0")
-    known = staged(known.groupBy("block_id").agg(F.sort_array(F.collect_list(F.struct("run", "what"))).alias("k")).select("block_id", F.col("k.run").alias("runs"), F.col("k.what").alias("whats")), "known")
+    asked = F.col("differ") & (~copied | (F.col("low.block_id") == F.col("block_id")))
+    known = met.select("block_id", "run", "differ").join(met.groupBy("run").agg(*_places()), "run")
+    known = known.withColumn("what", copied.cast("int") * COPIED + asked.cast("int") * LOOKED_UP).where("what > 0")
+    known = staged(_gathered(known.select("block_id", "run", "what", *_source()), "run", "what"), "known")
 
     def windows_of(batches):
         for rows in batches:
             for i in range(rows.num_rows):
-                runs, whats = _column(rows, "runs", i), _column(rows, "whats", i)
+                runs, whats = _column(rows, "runs", i), _column(rows, "run_whats", i)
                 runs = runs[(whats & LOOKED_UP) > 0]
-                fresh, out = np.ones(len(runs), bool), []
-                for _, part in block_slices(rows.column("texts")[i].as_py()):
+                fresh, out, base = np.ones(len(runs), bool), [], 0
+                for _, part in block_slices(block_texts(rows, i)):
                     r = Runs(part, window, gram)
-                    at = _find(signed(r.run), runs)
-                    ours, firsts = np.unique(at, return_index=True)
+                    ours, firsts = np.unique(_find(signed(r.run), runs), return_index=True)
                     firsts = firsts[(ours >= 0) & fresh[ours]]
                     fresh[ours[ours >= 0]] = False
-                    out.append(r.windows(firsts)[1])
-                win, n = np.unique(np.concatenate(out), return_counts=True)
-                yield batch(_WINDOWS, np.full(len(win), rows.column("block_id")[i].as_py()), signed(win), n)
+                    at = r.windows(np.sort(firsts))
+                    out.append((r.hashes(at), r.places[at] + base))
+                    base += len(r.h)
+                win, _, n, first, last = _distinct(*map(np.concatenate, zip(*out, strict=True)))
+                yield batch(_WINDOWS, np.full(len(win), rows.column("block_id")[i].as_py()), signed(win), n, first, last)
 
-    asking = known.where(F.exists("whats", lambda x: x >= LOOKED_UP))
-    seen = whole.join(asking, "block_id").mapInArrow(windows_of, "block_id long, win long, n long")
-    twice = seen.withColumn("total", F.sum("n").over(Window.partitionBy("win"))).where("total > 1")  # at most a row for each block
-    twice = twice.groupBy("block_id").agg(F.sort_array(F.collect_list("win")).alias("wins"))
+    asking = known.where(F.exists("run_whats", lambda x: x >= LOOKED_UP)).select("block_id", "runs", "run_whats")
+    seen = staged(whole.join(asking, "block_id").mapInArrow(windows_of, "block_id long, win long, n int, first int, last int"), "windows")
+    again = seen.groupBy("win").agg(*_places()).where("total > 1")
+    twice = _gathered(seen.select("block_id", "win").join(again, "win").select("block_id", "win", *_source()), "win")
 
     def kept_of(batches):
         for rows in batches:
             for i in range(rows.num_rows):
-                runs, whats, wins = (_column(rows, c, i) for c in ("runs", "whats", "wins"))
-                ids, texts = rows.column("doc_ids")[i].as_py(), rows.column("texts")[i].as_py()
-                for at, part in block_slices(texts):
+                block, runs, whats, wins = rows.column("block_id")[i].as_py(), *(_column(rows, c, i) for c in ("runs", "run_whats", "wins"))
+                ids, base = rows.column("doc_ids")[i].as_py(), 0
+                for at, part in block_slices(block_texts(rows, i)):
                     r = Runs(part, window, gram)
                     place = _find(signed(r.run), runs)
                     what = np.where(place >= 0, whats[place] if len(whats) else 0, 0)
-                    covered = [r.windows(np.flatnonzero(what & COPIED))[0]]
-                    where, h = r.windows(np.flatnonzero(what == LOOKED_UP))
-                    covered.append(where[_find(signed(h), wins) >= 0])
-                    places, first = np.concatenate(covered), r.words.first
+                    inside = np.flatnonzero(what & COPIED)
+                    source, word = _taken(rows, "run", i, place[inside], r.places[r.begin[inside]] + base)
+                    n = r.stop[inside] - r.begin[inside]
+                    windows = r.windows(inside)
+                    source, word = np.repeat(source, n), np.repeat(word, n) + r.places[windows] - np.repeat(r.places[r.begin[inside]], n)
+                    edges = r.windows(np.flatnonzero(what == LOOKED_UP))
+                    there = _find(signed(r.hashes(edges)), wins)
+                    edges, there = edges[there >= 0], there[there >= 0]
+                    more = _taken(rows, "win", i, there, r.places[edges] + base)
+                    first = r.words.first
+                    parse = Factors(np.concatenate([windows, edges]), r.places, first, np.concatenate([source, more[0]]), np.concatenate([word, more[1]]))
+                    size = parse.n + window - 1
                     edge = np.zeros(int(first[-1]) + 1, np.int64)
-                    np.add.at(edge, places, 1)
-                    np.add.at(edge, places + window, -1)
+                    np.add.at(edge, parse.start, 1)
+                    np.add.at(edge, parse.start + size, -1)
                     gone = np.cumsum(edge)[:-1] > 0
-                    kept, starts, ends, removed = [], [], [], []
+                    lead = np.searchsorted(parse.start, first)
+                    kept, starts, ends, removed, factors = [], [], [], [], []
                     for k, t in enumerate(part):
                         mine = gone[first[k] : first[k + 1]]
                         words = t.split()
                         if n := int(mine.sum()):
                             words = [words[j] for j in np.flatnonzero(~mine)]
                         steps = np.flatnonzero(np.diff(mine.view(np.int8), prepend=np.int8(0), append=np.int8(0))) if n else np.empty(0, np.int64)
+                        own = slice(lead[k], lead[k + 1])
                         kept.append(b" ".join(words))
                         starts.append(steps[::2])
                         ends.append(steps[1::2])
                         removed.append(n)
-                    yield batch(_KEPT, ids[at : at + len(part)], r.words.counts, removed, kept, starts, ends)
+                        factors.append([dict(zip(_FACTOR.names, x, strict=True)) for x in zip((parse.start[own] - first[k]).tolist(), size[own].tolist(), parse.block[own].tolist(), parse.word[own].tolist(), strict=True)] if n else [])
+                    yield batch(_KEPT, np.full(len(part), block), ids[at : at + len(part)], r.words.counts, removed, kept, starts, ends, factors)
+                    base += len(r.h)
 
-    out = whole.join(known, "block_id", "left").join(twice, "block_id", "left").mapInArrow(kept_of, "doc_id long, n_words long, n_removed long, kept binary, starts array<long>, ends array<long>")
-    return out.select("doc_id", "n_words", "n_removed", F.decode("kept", "UTF-8").alias("kept"), F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end")).alias("spans"))
+    ddl = "block_id long, doc_id long, n_words long, n_removed long, kept binary, starts array<long>, ends array<long>, factors array<struct<start: long, words: long, source_block: long, source_word: long>>"
+    out = whole.join(known, "block_id", "left").join(twice, "block_id", "left").mapInArrow(kept_of, ddl)
+    return out.select("block_id", "doc_id", "n_words", "n_removed", F.decode("kept", "UTF-8").alias("kept"), F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end")).alias("spans"), "factors")

@@ -63,6 +63,34 @@ def test_repeats(docs):
     assert got == brute.repeats(made())
 
 
+def factors_hold(rows, texts, window):
+    """Each factor's words also stand at its place in the reference, which is another place."""
+    words, begin = {}, {}
+    for k, r in enumerate(rows):  # blocks come out in the order of their texts
+        begin[k] = len(words.setdefault(r.block_id, []))
+        words[r.block_id] += brute.NONSPACE.findall(texts[r.doc_id] or "")
+    for k, r in enumerate(rows):
+        own = words[r.block_id][begin[k] :]
+        covered = set()
+        for f in r.factors:
+            assert f.words >= window and own[f.start : f.start + f.words] == words[f.source_block][f.source_word : f.source_word + f.words]
+            assert (f.source_block, f.source_word) != (r.block_id, begin[k] + f.start)
+            covered |= set(range(f.start, f.start + f.words))
+        assert len(covered) == r.n_removed and covered == {x for a, b in r.spans for x in range(a, b)}
+
+
+def test_factors(spark):
+    texts = dict(made())
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    rows = substring_dedup.remove_repeats(docs).collect()
+    assert len({r.block_id for r in rows}) > 2 and sum(len(r.factors) for r in rows) > 20
+    factors_hold(rows, texts, 35)
+    r = random.Random(8)
+    texts = {i: " ".join(r.choice("ab") for _ in range(r.randint(0, 60))) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    factors_hold(substring_dedup.remove_repeats(docs, window=7, gram=3).collect(), texts, 7)
+
+
 def test_repeats_narrow_alphabet(spark):
     r = random.Random(5)
     rows = [(i, " ".join(r.choice("ab") for _ in range(r.randint(0, 60)))) for i in range(60)]
