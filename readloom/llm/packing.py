@@ -32,7 +32,7 @@ def vocabulary_file() -> str:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, added: bool = False):
+def encoder(path: str, added: bool = True):
     """The tokenizer in a tokenizers JSON file of byte-level BPE, run by tiktoken, which gives the same ids at a quarter of the time.
 
     added: the file's added tokens are ids of their own where a text has them, as in tokenizers; else they are plain text.
@@ -91,12 +91,15 @@ _DOC = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("doc_tokens", pa
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, group_docs: int = GROUP_DOCS, added: bool = False) -> DataFrame:
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY, group_docs: int = GROUP_DOCS, added: bool = True) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: a row for each piece.
 
     Every row is a document of its own, even if doc_ids repeat or are null; a null or empty
-    text is the end id alone. added: the vocabulary's added tokens, such as <|endoftext|>, are
-    found in the texts, which is what `add_special_tokens=False` leaves on. Only counts and checksums are staged and shuffled, no text or ids;
+    text is the end id alone, and an empty table gives no rows. Bytes that are no UTF-8 count as
+    U+FFFD. added: the vocabulary's added tokens, such as <|endoftext|>, are found in the texts,
+    which is what `add_special_tokens=False` leaves on; else they are plain text. Rows of one
+    length are interchangeable: which of them fills a place follows from doc_id (none last), length
+    and checksums. Only counts and checksums are staged and shuffled, no text or ids;
     groups are dealt by a hash of doc_id, checksums and row number, about `group_docs` rows
     each, so rows that are alike are spread too.
     """
@@ -109,7 +112,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
         for rows, texts in slices(batches):
             sizes, crcs = [], []
             for t in texts:
-                ids = np.append(np.asarray(encode.encode_to_numpy(t.decode(), allowed_special=allowed, disallowed_special=()), "<u4"), np.uint32(END_ID)).astype("<u4")
+                ids = np.append(np.asarray(encode.encode_to_numpy(t.decode("utf-8", "replace"), allowed_special=allowed, disallowed_special=()), "<u4"), np.uint32(END_ID)).astype("<u4")
                 sizes.append(len(ids))
                 crcs.append([zlib.crc32(ids[at : at + capacity].tobytes()) for at in range(0, len(ids), capacity)])
             yield batch(_DOC, rows.column("doc_id"), row + np.arange(len(texts)), sizes, crcs)
