@@ -25,8 +25,8 @@ RULES = (Rule("allow", "com"), Rule("block", "example.com", "/en/"), Rule("allow
 #: A host is a seed if rules decide alike on this share of its pages at least.
 SEED_SHARE = 0.9
 DAMPING, ROUNDS, TOLERANCE = 0.85, 30, 1e-6
-#: Rounds of which one is staged and compared with the one before.
-STAGED_ROUNDS = 3
+#: Rounds after which ranks are compared with the round before.
+COMPARED_ROUNDS = 3
 
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
@@ -46,7 +46,7 @@ def path_of(url: Column) -> Column:
 
 def _first_fitting(rules: tuple[Rule, ...], host: Column, path: Column, value) -> Column:
     out = F.lit(None).cast("string")
-    for r in sorted(rules, key=lambda r: len(r.host + r.path)):  # the longest is asked first
+    for r in sorted(rules[::-1], key=lambda r: len(r.host + r.path)):  # the longest is asked first, of equals the first
         out = F.when(((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path), F.lit(value(r))).otherwise(out)
     return out
 
@@ -63,6 +63,8 @@ def propagated(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> Data
 
     Of each kind ranks sum up to 1. Mass at hosts without a way on goes back to the seeds.
     Ranks are sums over pre-aggregated edges; a host with many links is split by the join.
+    What a round moves is one staged table, so no plan holds more than a round. Without
+    seeds there are no ranks; seeds and edges without a host are left out.
     """
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("total"))
     seeds = staged(seeds.join(total, "kind").select("kind", "host", (F.col("weight") / F.col("total")).alias("weight")), "seeds")
@@ -71,18 +73,16 @@ def propagated(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> Data
     rank = seeds.select("kind", "host", F.col("weight").alias("rank"))
     if ways.isEmpty():
         return rank
+    moved = None
     for k in range(rounds):
-        moved = rank.join(ways, ["kind", "host"]).groupBy("kind", F.col("to").alias("host")).agg((F.sum(F.col("rank") * F.col("share")) * DAMPING).alias("rank"))
-        back = moved.groupBy("kind").agg(F.sum("rank").alias("gone"))
-        home = seeds.join(back, "kind", "left").select("kind", "host", (F.col("weight") * (1 - F.coalesce("gone", F.lit(0.0)))).alias("rank"))
-        after = moved.unionByName(home).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if k % STAGED_ROUNDS < STAGED_ROUNDS - 1 and k < rounds - 1:
-            rank = after
-            continue
-        before, rank = rank, staged(after, "ranks")
-        change = rank.join(before.withColumnRenamed("rank", "old"), ["kind", "host"], "full").agg(F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
-        if (change or 0) < TOLERANCE:
-            break
+        before, moved = moved, staged(rank.join(ways, ["kind", "host"]).groupBy("kind", F.col("to").alias("host")).agg((F.sum(F.col("rank") * F.col("share")) * DAMPING).alias("rank")), "moved")
+        back = moved.groupBy("kind").agg(F.sum("rank").alias("gone"))  # two rows
+        home = seeds.join(F.broadcast(back), "kind", "left").select("kind", "host", (F.col("weight") * (1 - F.coalesce("gone", F.lit(0.0)))).alias("rank"))
+        rank = moved.unionByName(home).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        if before is not None and k % COMPARED_ROUNDS == COMPARED_ROUNDS - 1:
+            change = moved.join(before.withColumnRenamed("rank", "old"), ["kind", "host"], "full").agg(F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
+            if (change or 0) < TOLERANCE:
+                break
     return rank
 
 
@@ -92,7 +92,8 @@ def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
     The longest rule that fits decides. Other pages are blocked if their host's distrust is
     above its trust, else allowed; hosts that neither reaches are allowed. Null urls and urls
     without :// have an empty host and are allowed; null html has no links; repeated rows
-    are judged alike.
+    are judged alike. Of rules as long as each other that fit the first in `rules` decides; equal trust
+    and distrust allow. An empty table gives none.
     """
     found = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule = _first_fitting(rules, F.col("host"), F.col("path"), lambda r: r.host + r.path)
