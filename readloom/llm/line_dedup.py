@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from math import ceil, sqrt
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,22 @@ MIN_SITES = 10
 LOG_REGISTERS = 12
 
 
+def _without(text: pa.Array, hashes: pa.Array, cut: pa.Array) -> pa.Array:
+    """The lines of a text whose hashes are not among those cut, in time that grows with their number; null where nothing is cut."""
+    left, gone = [], []
+    for t, h, c in zip(text, hashes, cut, strict=True):
+        if not t.is_valid:
+            left.append(None)
+            gone.append(None)
+            continue
+        own = h.values.fill_null(0).to_numpy(zero_copy_only=False)
+        out = np.isin(own, c.values.to_numpy(zero_copy_only=False)) & h.values.is_valid().to_numpy(zero_copy_only=False)
+        lines = t.as_py().split("\n")
+        left.append("\n".join([lines[k] for k in np.flatnonzero(~out)]))
+        gone.append(int(out.sum()))
+    return pa.StructArray.from_arrays([pa.array(left, pa.string()), pa.array(gone, pa.int64())], ["text", "gone"], mask=pa.array([x is None for x in gone]))
+
+
 def remove_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, n_lines, n_removed, kept struct<keep...> of every row: lines of `min_sites` distinct sites or more go.
 
@@ -25,7 +43,9 @@ def remove_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
 
     Sketches are merged map-side first, so a line that a third of all rows have costs one
     sketch a task. What goes is gathered by doc_id and hash of the text, so a set has no more
-    hashes than one text has lines, whatever rows share a doc_id or have none. Estimates further than five standard errors from `min_sites` decide
+    hashes than one text has lines, whatever rows share a doc_id or have none, and a text is cut
+    in time that grows with its lines. A doc_id that ties for the smallest keeps the line in all its
+    rows; an empty table gives none. Estimates further than five standard errors from `min_sites` decide
     alone; of the lines between, sites are counted exactly.
     """
     parts = F.split("text", "\n")
@@ -39,8 +59,8 @@ def remove_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     exact = lines.join(near.select("h"), "h", "left_semi").where("site is not null").select("h", "site").distinct().groupBy("h").agg(F.count("*").alias("exact"))
     shared = staged(spread.join(exact, "h", "left").where(F.coalesce("exact", "sites") >= min_sites).select("h", "keeper"), "shared")
     cut = lines.join(shared, "h").where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).groupBy(F.col("doc_id").alias("cut_id"), F.col("whole").alias("cut_whole")).agg(F.collect_set("h").alias("cut"))
-    left = F.filter(parts, lambda x: (F.trim(x) == "") | ~F.array_contains("cut", F.xxhash64(x)))
     joined = rows.withColumn("whole", whole).join(cut, F.col("doc_id").eqNullSafe(F.col("cut_id")) & (F.col("whole") == F.col("cut_whole")), "left")
-    out = joined.withColumn("left", F.when(F.col("cut").isNotNull(), left))
+    touched, without = F.col("cut").isNotNull(), F.arrow_udf(_without, "struct<text: string, gone: long>")
+    out = joined.withColumn("left", without(F.when(touched, F.col("text")), F.when(touched, F.transform(parts, lambda x: F.when(F.trim(x) != "", F.xxhash64(x)))), "cut"))
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long")
-    return out.select("doc_id", F.coalesce(F.array_join("left", "\n"), "text").alias("text"), n.alias("n_lines"), F.when(F.col("left").isNull(), 0).otherwise(n - F.size("left")).cast("long").alias("n_removed"), "kept")
+    return out.select("doc_id", F.coalesce("left.text", "text").alias("text"), n.alias("n_lines"), F.coalesce("left.gone", F.lit(0)).cast("long").alias("n_removed"), "kept")
