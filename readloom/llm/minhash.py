@@ -127,7 +127,7 @@ def compared_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """Each text's fingerprint against that of its edited text and of the next document, by ascending doc_id.
 
     The edited text has its last floor(n / 2) code points replaced by the first as many of
-    the next document's. Rows without doc_id come first; rows of one doc_id are ordered by
+    the next document's; bytes that are no UTF-8 count as U+FFFD there. Rows without doc_id come first; rows of one doc_id are ordered by
     a hash of their text; the last row's next is the first row (a single row's: itself).
 
     One shuffle of the texts: rows are dealt to ranges of (doc_id, hash), whose bounds occur
@@ -162,7 +162,7 @@ def compared_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     def compared(held):
         pairs = [i for i in range(len(held) - 1) if not held[i][1]]
         raw = [x[3] for x in held]
-        text = [x.decode() for x in raw]
+        text = [x.decode("utf-8", "replace") for x in raw]
         sizes = [len(text[i]) for i in pairs]
         edited = [(text[i][: n - n // 2] + text[i + 1][: n // 2]).encode() for i, n in zip(pairs, sizes, strict=True)]
         at = np.array(pairs, np.int64)

@@ -109,7 +109,7 @@ def near_groups(found: DataFrame, radius: int = 2) -> DataFrame:
         raise ValueError("the radius must be even")
     found = staged(found, "fingerprints")
     nodes = found.groupBy("fingerprint").agg(F.min("doc_id").alias("low_id"))
-    variants = nodes.select("fingerprint", F.explode(ball(F.col("fingerprint"), radius // 2)).alias("variant"))
+    variants = nodes.repartition("fingerprint").select("fingerprint", F.explode(ball(F.col("fingerprint"), radius // 2)).alias("variant"))
     low = F.min("fingerprint").over(Window.partitionBy("variant"))
     pairs = variants.withColumn("b", low).where((F.col("fingerprint") != F.col("b")) & (F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("b"))) <= radius))
     roots = connected_components(pairs.select(F.col("fingerprint").alias("a"), "b"))
