@@ -76,7 +76,7 @@ def term_counts(index: DataFrame, terms: np.ndarray) -> np.ndarray:
 
 
 class Phrases:
-    """Distinct phrases, as term hashes in order, with the names of the items that have them."""
+    """Distinct phrases, as term hashes in order, with the names of the items that have them (an item without id has none)."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int | None):
         w = Words([(t or "").encode() for _, t in items], WORD, lower=True)
@@ -85,20 +85,26 @@ class Phrases:
             own = h[w.first[k] : w.first[k + 1]]
             n = min(window or len(own), len(own))
             for i in range(len(own) - n + 1 if n else 0):
-                found.setdefault(own[i : i + n].tobytes(), set()).add(name)
+                found.setdefault(own[i : i + n].tobytes(), set()).update([] if name is None else [name])
         self.terms = [np.frombuffer(k, np.uint64) for k in found]
         self.items = [sorted(v) for v in found.values()]
         self.vocabulary = np.unique(np.concatenate(self.terms)) if found else np.empty(0, np.uint64)
         self.size = np.array([len(t) for t in self.terms], np.int64)
-        width = int(self.size.max(initial=1))
-        #: each phrase's terms as places in the vocabulary, filled up with its first
-        self.ids = np.zeros((len(found), width), np.int64)
-        for k, t in enumerate(self.terms):
-            self.ids[k] = np.searchsorted(self.vocabulary, np.append(t, np.full(width - len(t), t[0])))
+        #: all phrases' terms as places in the vocabulary, one phrase after the other, and where each begins
+        self.flat = np.searchsorted(self.vocabulary, np.concatenate(self.terms)).astype(np.int32) if found else np.empty(0, np.int32)
+        self.begin = np.cumsum(self.size) - self.size
+        self.terms = None
+
+    def ids(self, k: int) -> np.ndarray:
+        return self.flat[self.begin[k] : self.begin[k] + self.size[k]]
 
     def order_by(self, counts: np.ndarray) -> None:
-        """Fix the order in which each phrase's terms are taken: rarest first."""
-        self.order = [np.argsort(counts[row[:n]], kind="stable") for row, n in zip(self.ids, self.size, strict=True)]
+        """Fix the order in which each phrase's terms are taken: rarest first, of equals the first."""
+        self.order = [np.argsort(counts[self.ids(k)], kind="stable") for k in range(len(self.size))]
+
+    def possible(self, known: np.ndarray) -> np.ndarray:
+        """The phrases of which all terms are known."""
+        return np.flatnonzero(np.minimum.reduceat(known[self.flat], self.begin) >= 0) if len(self.size) else np.empty(0, np.int64)
 
 
 class Segment:
@@ -137,8 +143,8 @@ class Segment:
 
 
 def _groups(items: DataFrame, item_id: str, text: str) -> list[list[tuple[str, str | None]]]:
-    """The distinct items with an id, in groups of about QUERY_BYTES."""
-    items = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).where("item is not null").distinct()
+    """The distinct items, in groups of about QUERY_BYTES; a longer item is a group of its own."""
+    items = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // QUERY_BYTES) or 1
     for k in range(n):
@@ -150,8 +156,8 @@ def phrase_matches(index: DataFrame, items: DataFrame, item_id: str = "item_id",
 
     A phrase is `window` consecutive words of an item, or all of an item with fewer (None: all
     words of each). hits are the document's words that lie inside a match, items the items that
-    match. Documents without a match, items without words and items without id give no row;
-    a document has a row for each group of items that it matches.
+    match. Documents without a match and items without words give no row; items without id match
+    but are not named; a document has a row for each group of items that it matches.
     """
     spark, found = index.sparkSession, None
     for group in _groups(items, item_id, text):
@@ -172,13 +178,13 @@ def phrase_matches(index: DataFrame, items: DataFrame, item_id: str = "item_id",
             known = seg.known(p.vocabulary)
             where, names = {}, {}
             doc_start = seg.docs_end - n_words
-            for k in np.flatnonzero((known[p.ids] >= 0).all(axis=1)) if len(p.ids) else []:
+            for k in p.possible(known):
                 n = p.size[k]
-                at = seg.find(known[p.ids[k, :n]], p.order[k])
+                at = seg.find(known[p.ids(k)], p.order[k])
                 docs = np.searchsorted(seg.docs_end, at, side="right")
                 for d, place in zip(docs.tolist(), (at - doc_start[docs]).tolist(), strict=True):
                     where.setdefault(d, set()).update(range(place, place + n))
-                    names.setdefault(d, set()).update(p.items[k])
+                    names.setdefault(d, set()).update(p.items[k])  # none, if items have no id
             docs = sorted(where)
             return batch(_HITS, [row["segment_id"]] * len(docs), docs, [sorted(names[d]) for d in docs], [sorted(where[d]) for d in docs])
 
@@ -190,7 +196,8 @@ def phrase_matches(index: DataFrame, items: DataFrame, item_id: str = "item_id",
 def proximity_matches(index: DataFrame, items: DataFrame, slop: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """doc_id, item: documents that have all words of an item, each at most `slop` words from its place.
 
-    Places are counted from the item's rarest word. An item counts once for a document.
+    Places are counted from the item's rarest word, of equals the first. An item counts once for a document;
+    items without id or words give no row.
     """
     spark, found = index.sparkSession, None
     schema = pa.schema([("doc_id", pa.int64()), ("item", pa.string())])
@@ -207,9 +214,8 @@ def proximity_matches(index: DataFrame, items: DataFrame, slop: int, item_id: st
                     seg = Segment(*(rows.column(c)[i].as_py() for c in ("terms", "begins", "postings")), n_words)
                     ids = rows.column("doc_ids")[i].as_py()
                     known, pairs = seg.known(p.vocabulary), set()
-                    for k in np.flatnonzero((known[p.ids] >= 0).all(axis=1)) if len(p.ids) else []:
-                        n, order = p.size[k], p.order[k]
-                        mine = known[p.ids[k, :n]]
+                    for k in p.possible(known):
+                        order, mine = p.order[k], known[p.ids(k)]
                         anchors = seg.of(mine[order[0]])
                         docs = np.searchsorted(seg.docs_end, anchors, side="right")
                         lo, hi = (seg.docs_end - n_words)[docs], seg.docs_end[docs]
@@ -233,7 +239,8 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
     contaminated: some word is hit, and one word in twenty at least. Rows are kept apart even
     if doc_ids repeat or are null; null and empty texts have no words; an empty table of items
-    hits nothing.
+    hits nothing. Words of items without id are hit, but such items are not among `items`; items
+    of one id count as one, and an empty table of documents gives none.
     """
     index = build_index(docs, doc_id, text)
     hits = phrase_matches(index, items, item_id, item_text, window).groupBy("segment_id", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"))
