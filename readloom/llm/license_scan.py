@@ -6,8 +6,10 @@ first n - o + 1 tokens is there: only blocks that hold such a prefix token are c
 Of these, blocks with fewer than o template tokens (length filter), and those whose tokens
 from the met one on cannot reach o (positional filter), fall out before tokens are counted.
 
-Blocks are stretches of `BLOCK` words, each half over the next, so whatever is no longer
-than half a block lies in one of them as a whole.
+Blocks are stretches of words, each half over the next, so whatever is no longer than half a
+block lies in one of them as a whole. Their length follows the template: `BLOCK` words, doubled
+until half a block holds the template, so a sentence is sought in short blocks and a whole
+license text in long ones.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import WORD, Words, batch, slices
 
-#: Words of a block; templates have half as many at most.
+#: Words of the shortest blocks.
 BLOCK = 48
-#: Templates are broadcast; their words at most.
+#: Templates are broadcast; their words at most in one scan (some 16 MB), which is four times all SPDX license texts.
 MOST_TEMPLATE_WORDS = 1_000_000
 
 
@@ -36,9 +38,44 @@ class Template(NamedTuple):
     phrase: bool = False
 
 
+def block_length(words: int) -> int:
+    """Words of the blocks in which a template of so many words is sought."""
+    length = BLOCK
+    while length // 2 < words:
+        length *= 2
+    return length
+
+
 BASE = (Template("cc-by", "cc by", 1.0, True), Template("gpl", "general public license", 1.0, True), Template("reserved", "all rights reserved", 1.0, True))
-#: Templates of the method: opening sentences of well-known licenses.
+# Wordings of well-known licenses and notices, as published.
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+_GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""
+
+#: Templates of the method: opening sentences and whole texts.
 TEMPLATES = (
+    Template("apache-2.0", _APACHE),
+    Template("bsd", _BSD),
+    Template("gpl-3.0", _GPL),
+    Template("isc", _ISC),
+    Template("mit", _MIT),
+    Template("zlib", _ZLIB),
     Template("apache-2.0", "licensed under the apache license version 2 0"),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     Template("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
@@ -60,8 +97,9 @@ class Index:
         w = Words(texts, WORD, lower=True)
         if len(w.start) > MOST_TEMPLATE_WORDS:
             raise ValueError("too many template words for one scan; scan with parts of the templates")
-        if (w.counts > BLOCK // 2).any() or not w.counts.all():
-            raise ValueError(f"a template has 1 to {BLOCK // 2} words")
+        if not w.counts.all():
+            raise ValueError("a template without words")
+        self.length = [block_length(int(n)) for n in w.counts]
         h = w.hashes()
         self.sequence = [h[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         self.words = [[bytes(w.data[s:e]) for s, e in zip(w.start[a:b], w.end[a:b], strict=True)] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
@@ -77,11 +115,13 @@ class Index:
         self.rank = rank  # of a vocabulary place in the global order
         self.tokens = [np.sort(rank[np.unique(np.searchsorted(self.vocabulary, s))]) for s in self.sequence]
         self.needed = [max(1, math.ceil(t.threshold * len(r) - 1e-9)) for t, r in zip(self.templates, self.tokens, strict=True)]
-        self.starts: list[list[tuple[int, int]]] = [[] for _ in counts]  # by rank: (template, place in its order)
+        #: by length of block and rank: (template, place in its order)
+        self.starts: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for k, (r, o) in enumerate(zip(self.tokens, self.needed, strict=True)):
-            for i, x in enumerate(r[: len(r) - o + 1]):
-                self.starts[x].append((k, i))
-        self.first = np.array([bool(x) for x in self.starts])
+            own = self.starts.setdefault(self.length[k], {})
+            for i, x in enumerate(r[: len(r) - o + 1].tolist()):
+                own.setdefault(x, []).append((k, i))
+        self.first = {length: np.isin(np.arange(len(counts)), list(own)) for length, own in self.starts.items()}
 
 
 def token_counts(docs: DataFrame, text: str, index: Index) -> np.ndarray:
@@ -90,7 +130,7 @@ def token_counts(docs: DataFrame, text: str, index: Index) -> np.ndarray:
     schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 
     def work(batches):
-        total = np.zeros(len(index.vocabulary), np.int64)
+        total = np.zeros(len(shared.value.vocabulary), np.int64)
         for _, texts in slices(batches):
             at = shared.value.known(Words(texts, WORD, lower=True).hashes())
             total += np.bincount(at[at >= 0], minlength=len(total))
@@ -103,33 +143,34 @@ def token_counts(docs: DataFrame, text: str, index: Index) -> np.ndarray:
 
 
 def joined(texts: list[bytes], index: Index) -> tuple[Words, list[tuple[int, int, int, float]]]:
-    """All (text, first word of the block, template, containment) at or above the template's threshold."""
+    """All (text, first word of the block, template, containment) at or above the template's threshold, by text and block."""
     w = Words(texts, WORD, lower=True)
     at = index.known(w.hashes())
     place = np.flatnonzero(at >= 0)
     rank = index.rank[at[place]]
     owner = np.searchsorted(w.first, place, side="right") - 1
     inside = place - w.first[owner]
-    half, met = BLOCK // 2, set()
-    for p in np.flatnonzero(index.first[rank]).tolist():
-        begin = int(inside[p]) // half * half
-        met.update((int(owner[p]), b, int(rank[p])) for b in (begin, begin - half) if b == 0 or b > 0 and w.counts[owner[p]] > b + half)
-    out, blocks = {}, {}
-    for doc, begin, r in met:
-        if (doc, begin) not in blocks:
-            a, b = np.searchsorted(place, [w.first[doc] + begin, min(w.first[doc] + begin + BLOCK, w.first[doc + 1])])
-            blocks[doc, begin] = np.unique(rank[a:b])
-        block = blocks[doc, begin]
-        for k, i in index.starts[r]:
-            if (doc, begin, k) in out or len(block) < index.needed[k]:
-                continue
-            tokens = index.tokens[k]
-            j = int(np.searchsorted(block, r))
-            if i + 1 + min(len(tokens) - i - 1, len(block) - j - 1) < index.needed[k]:
-                continue
-            shared = len(np.intersect1d(tokens, block, assume_unique=True))
-            if shared >= index.needed[k]:
-                out[doc, begin, k] = shared / len(tokens)
+    out = {}
+    for length, starts in index.starts.items():
+        half, met, blocks = length // 2, set(), {}
+        for p in np.flatnonzero(index.first[length][rank]).tolist():
+            begin = int(inside[p]) // half * half
+            met.update((int(owner[p]), b, int(rank[p])) for b in (begin, begin - half) if b == 0 or b > 0 and w.counts[owner[p]] > b + half)
+        for doc, begin, r in met:
+            if (doc, begin) not in blocks:
+                a, b = np.searchsorted(place, [w.first[doc] + begin, min(w.first[doc] + begin + length, w.first[doc + 1])])
+                blocks[doc, begin] = np.unique(rank[a:b])
+            block = blocks[doc, begin]
+            for k, i in starts[r]:
+                if (doc, begin, k) in out or len(block) < index.needed[k]:
+                    continue
+                tokens = index.tokens[k]
+                j = int(np.searchsorted(block, r))
+                if i + 1 + min(len(tokens) - i - 1, len(block) - j - 1) < index.needed[k]:
+                    continue
+                shared = len(np.intersect1d(tokens, block, assume_unique=True))
+                if shared >= index.needed[k]:
+                    out[doc, begin, k] = shared / len(tokens)
     return w, [(*x, c) for x, c in sorted(out.items())]
 
 
@@ -143,7 +184,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     threshold (of a phrase, only blocks that hold it); places: label and first word of every
     phrase; labels: those of both, sorted and distinct; score: the highest containment, 0
     without any. A-Z are lower-cased; words are letters, digits and all beyond ASCII. Null and
-    empty texts have no words; rows are kept apart even if doc_ids repeat or are null.
+    empty texts have no words; rows are kept apart even if doc_ids repeat or are null; an empty
+    table gives none. Tokens of one frequency are ordered by hash, which changes no result.
     """
     index = Index(tuple(templates))
     index.order_by(token_counts(docs, text, index))
@@ -159,7 +201,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
                 t, words = ix.templates[k], ix.words[k]
                 if t.phrase:
                     a = w.first[doc] + begin
-                    own = [bytes(w.data[s:e]) for s, e in zip(w.start[a : min(a + BLOCK, w.first[doc + 1])], w.end[a : min(a + BLOCK, w.first[doc + 1])], strict=True)]
+                    b = min(a + ix.length[k], w.first[doc + 1])
+                    own = [bytes(w.data[s:e]) for s, e in zip(w.start[a:b], w.end[a:b], strict=True)]
                     here = [begin + i for i in range(len(own) - len(words) + 1) if own[i : i + len(words)] == words]
                     if not here:
                         continue

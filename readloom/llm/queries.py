@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ def op2_license_scans(spark, sf_dir):
 
 
 def op3_packing(spark, sf_dir):
-    return packing.pack(_table(spark, sf_dir, "documents"), added=True)
+    return packing.pack(_table(spark, sf_dir, "documents"))
 
 
 def op4_benchmark_decontamination(spark, sf_dir):
@@ -79,20 +81,22 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _PHRASES = ", ".join(f"('{t.label}', '{t.text}', {len(t.text.split())})" for t in license_scan.BASE)
-_TEMPLATES = ", ".join(f"('{t.label}', '{t.text}', {t.threshold})" for t in license_scan.TEMPLATES)
+_PLAIN = [re.findall("[0-9a-z]+", t.text.lower()) for t in license_scan.TEMPLATES]
+_TEMPLATES = ", ".join(f"('{t.label}', '{' '.join(w)}', {t.threshold}, {license_scan.block_length(len(w))})" for t, w in zip(license_scan.TEMPLATES, _PLAIN, strict=True))
 
 ORACLE_SQL = {
     "op2_license_scans": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 p(label, phrase, n) AS (VALUES {_PHRASES}),
-t AS (SELECT label, list_distinct(string_split(phrase, ' ')) AS own, least FROM (VALUES {_TEMPLATES}) v(label, phrase, least)),
+t AS (SELECT label, list_distinct(string_split(phrase, ' ')) AS own, least, n_block FROM (VALUES {_TEMPLATES}) v(label, phrase, least, n_block)),
+z AS (SELECT DISTINCT n_block FROM t),
 x AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
 f AS (SELECT doc_id, label, i - 1 AS word FROM x JOIN p ON array_to_string(w[i:i + n - 1], ' ') = phrase),
 b AS (
-  SELECT doc_id, list_distinct(w[i + 1:i + {license_scan.BLOCK}]) AS block
-  FROM (SELECT doc_id, w, unnest(range(0, len(w), {license_scan.BLOCK // 2})) AS i FROM d) WHERE i = 0 OR len(w) > i + {license_scan.BLOCK // 2}
+  SELECT doc_id, n_block, list_distinct(w[i + 1:i + n_block]) AS block
+  FROM (SELECT doc_id, n_block, w, unnest(range(0, len(w), n_block // 2)) AS i FROM d, z) WHERE i = 0 OR len(w) > i + n_block // 2
 ),
-m AS (SELECT doc_id, label, len(list_intersect(own, block)) AS k, len(own) AS n FROM b, t WHERE len(list_intersect(own, block)) >= least * len(own) - 1e-9),
+m AS (SELECT doc_id, label, len(list_intersect(own, block)) AS k, len(own) AS n FROM b JOIN t ON b.n_block = t.n_block WHERE len(list_intersect(own, block)) >= least * len(own) - 1e-9),
 s AS (
   SELECT doc_id, max(c) AS score, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels
   FROM (SELECT doc_id, label, CAST(k AS DOUBLE) / n AS c FROM m UNION ALL SELECT doc_id, label, 1.0 FROM f) GROUP BY doc_id
@@ -103,7 +107,7 @@ SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_ba
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id LEFT JOIN g ON d.doc_id = g.doc_id""",
     "op4_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
 bw AS (
   SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g
   FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)
@@ -115,7 +119,7 @@ dw AS (
 ),
 m AS (SELECT doc_id, i, dw.n AS n, item FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
 p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
-t AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list_distinct(list(item))), ',') AS items FROM m GROUP BY doc_id)
+t AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list_distinct(list(item) FILTER (item IS NOT NULL))), ',') AS items FROM m GROUP BY doc_id)
 SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""",

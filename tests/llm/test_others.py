@@ -44,22 +44,35 @@ def test_license_join_is_exact(spark):
     r = random.Random(4)
     voc = [f"w{k}" for k in range(30)]
     templates = tuple(license_scan.Template(f"t{k}", " ".join(r.choices(voc, k=r.randint(1, 12))), r.choice([0.5, 0.8, 1.0])) for k in range(25))
+    templates += tuple(license_scan.Template(f"long{k}", " ".join(r.choices(voc + [f"x{j}" for j in range(60)], k=n)), 0.6) for k, n in enumerate([24, 25, 60, 100, 300]))
     texts = [" ".join(r.choices(voc, k=r.randint(0, 130))) for _ in range(80)]
+    texts += [" ".join(r.choices(voc, k=r.randint(0, 700)) + [w for w in templates[-1 - k % 5].text.split() if r.random() < 0.9] + r.choices(voc, k=r.randint(0, 90))) for k in range(30)]
     found = {x.doc_id: x.blocks for x in license_scan.scan(spark.createDataFrame(brute.rows(*texts), "doc_id long, text string"), templates=templates).collect()}
-    half = license_scan.BLOCK // 2
     for i, t in enumerate(texts):
         w, want = t.split(), set()
-        for b in range(0, max(1, len(w)), half):
-            if b and len(w) <= b + half:
-                continue
-            block = set(w[b : b + 2 * half])
-            for x in templates:
-                own = set(x.text.split())
-                if len(own & block) >= x.threshold * len(own) - 1e-9 and own & block:
+        for x in templates:
+            own, half = set(x.text.split()), 24
+            while half < len(x.text.split()):
+                half *= 2
+            for b in range(0, max(1, len(w)), half):
+                block = set(w[b : b + 2 * half])
+                if (not b or len(w) > b + half) and len(own & block) >= x.threshold * len(own) - 1e-9 and own & block:
                     want.add((x.label, b, round(len(own & block) / len(own), 9)))
         assert {(x.label, x.word, round(x.containment, 9)) for x in found[i]} == want
 
 
+def test_whole_licenses(spark):
+    r = random.Random(2)
+    lead = " ".join(r.choices(["lorem", "ipsum", "dolor"], k=500))
+    texts = [f"{lead} Copyright 2020\n{t.text.upper()}\n{lead}" for t in license_scan.TEMPLATES[:6]]
+    cut = license_scan.TEMPLATES[4].text.split()
+    texts.append(" ".join(w for k, w in enumerate(cut) if k % 9))  # a word in nine is missing
+    found = {x.doc_id: x for x in license_scan.scan(spark.createDataFrame(brute.rows(*texts), "doc_id long, text string")).collect()}
+    for i, t in enumerate(license_scan.TEMPLATES[:6]):
+        assert t.label in found[i].labels and found[i].score == 1
+    assert "mit" in found[6].labels
+
+
 # packing
 
 
@@ -68,8 +81,7 @@ def test_packing_ids_and_places(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
-    texts = [t for _, t in made()] + ["<|endoftext|> x", "a" * 9000, "été " * 3000, "don't  stop\r\n\r\n 123\t😀"] + ["same text"] * 3
+    texts = [t for _, t in made()] + ["<|endoftext|> x", "a<|endoftext|><|endoftext|>b <|endoftext", "<|endoftext|>" * 3000, "a" * 9000, "été " * 3000, "don't  stop\r\n\r\n 123\t😀"] + ["same text"] * 3
     rows = packing.pack(spark.createDataFrame(brute.rows(*texts), "doc_id long, text string").repartition(3)).collect()
     ids = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
     pieces, sequences = {}, {}
@@ -90,6 +102,18 @@ def test_packing_ids_and_places(spark):
             at += r.length
         assert 0 < at <= 2048
     assert len(sequences) <= math.ceil(sum(map(len, ids.values())) / 2048) + 1
+    assert ids[len(made())][0] == 50256
+
+
+def test_packing_without_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tok.encode_special_tokens = True
+    texts = ["a <|endoftext|> x", "<|endoftext|>"]
+    rows = packing.pack(spark.createDataFrame(brute.rows(*texts), "doc_id long, text string"), added=False).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
 
 
 def test_packing_spreads_rows_that_are_alike(spark):
@@ -134,7 +158,7 @@ def contaminated(texts, items, window=13):
             for k in range(len(w) - len(g) + 1):
                 if tuple(w[k : k + len(g)]) == g:
                     hit.update(range(k, k + len(g)))
-                    names |= who
+                    names |= who - {None}
         found.append((i, len(w), len(hit), sorted(map(str, names)), len(hit) > 0 and 20 * len(hit) >= len(w)))
     return found
 
@@ -152,7 +176,7 @@ def test_contamination(spark, monkeypatch):
         texts.append(r.choice([" ", "\n", ", "]).join(w))
     docs = spark.createDataFrame(brute.rows(*texts), "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame(items + [(None, "9é")], "item_id long, text string")
-    want = contaminated(texts, items)
+    want = contaminated(texts, [*items, (None, "9é")])
     for size in (1 << 20, 500):  # in one pass, in several
         monkeypatch.setattr(positional_index, "QUERY_BYTES", size)
         got = sorted(tuple(x) for x in positional_index.contamination(docs, bench).collect())
