@@ -1,11 +1,12 @@
 """A quality classifier by co-training: a text view and a metadata view teach each other.
 
 Each view is a logistic regression. In every round each view, calibrated on labelled rows
-that are held out, labels the unlabelled pool rows it is surest of for the other view.
-At the end the calibrated views are combined by a third regression on the held-out rows.
+that are held out, labels the unlabelled rows it is sure of for the other view. At the end
+the calibrated views are combined by a third regression on the held-out rows.
 
-Fitting takes bounded samples, by the smallest hashes of doc_id: `labelled` labelled rows and
-a pool of `pool` unlabelled rows. Scoring reads every row.
+Features are staged once, for every row. A round looks at all unlabelled rows: it counts
+those that a view is sure of, and takes an even sample of them, by hash, `taught` at most.
+The one other bound is `labelled`, the labelled rows that are fitted on.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NONSPACE, Words, batch, slices
+from .common import NONSPACE, U64, Words, batch, mixed, slices, staged
 
-LABELLED, POOL, ROUNDS, CONFIDENT, TAUGHT = 20_000, 20_000, 5, 0.95, 1000
+#: Labelled rows to fit on; rounds; how sure a view must be; rows that a view teaches the other in a round.
+LABELLED, ROUNDS, CONFIDENT, TAUGHT = 20_000, 5, 0.95, 1000
 #: Rows with a lower score are rejected.
 THRESHOLD = 0.5
 
@@ -55,13 +57,18 @@ def text_view(texts: list[bytes]) -> np.ndarray:
 SOURCES, LANGS, SIZES = 64, 16, 20
 
 
-def metadata_view(source: list, lang: list, n_chars: list) -> np.ndarray:
-    """One-hot features of source and language (hashed) and the length class; nulls have values of their own."""
-    out = np.zeros((len(source), SOURCES + LANGS + SIZES))
-    at = np.arange(len(source))
-    out[at, [zlib.crc32(repr(s).encode()) % SOURCES for s in source]] = 1
-    out[at, [SOURCES + zlib.crc32(repr(s).encode()) % LANGS for s in lang]] = 1
-    out[at, [SOURCES + LANGS + (0 if c is None else min(SIZES - 1, 1 + int(math.log2(max(c, 0) + 1)))) for c in n_chars]] = 1
+def metadata(source: list, lang: list, n_chars: list) -> np.ndarray:
+    """Places of source, language (hashed) and length class in the metadata view; nulls have values of their own."""
+    own = [zlib.crc32(repr(s).encode()) % SOURCES for s in source]
+    spoken = [SOURCES + zlib.crc32(repr(s).encode()) % LANGS for s in lang]
+    size = [SOURCES + LANGS + (0 if c is None else min(SIZES - 1, 1 + int(math.log2(max(c, 0) + 1)))) for c in n_chars]
+    return np.array([own, spoken, size], np.int32).T.reshape(-1, 3)
+
+
+def metadata_view(places: np.ndarray) -> np.ndarray:
+    """One-hot features."""
+    out = np.zeros((len(places), SOURCES + LANGS + SIZES))
+    out[np.arange(len(places))[:, None], places] = 1
     return out
 
 
@@ -92,31 +99,57 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
 
+#: What a view may be sure of: own view, class.
+KINDS = [(view, good) for view in (0, 1) for good in (1.0, 0.0)]
+
+
+def sure_of(model: Model, views: list[np.ndarray], key: np.ndarray, taught: list[np.ndarray], confident: float) -> list[np.ndarray]:
+    """For each kind the rows of which the view is sure, without those (by key) that it has taught."""
+    p = [_sigmoid(model.calibrated(k, x)) for k, x in enumerate(views)]
+    return [np.flatnonzero(((p[view] if good else 1 - p[view]) >= confident) & ~np.isin(key, taught[view])) for view, good in KINDS]
+
+
+class LocalPool:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, views: list[np.ndarray]):
+        self.views, self.key = views, mixed(np.arange(len(views[0]), dtype=U64))
+
+    def pick(self, model: Model, wanted: list[int], taught: list[np.ndarray], confident: float, salt: int) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+        out = []
+        for n, sure in zip(wanted, sure_of(model, self.views, self.key, taught, confident), strict=True):
+            best = sure[np.argsort(mixed(self.key[sure] + U64(salt)))][:n]
+            out.append((self.key[best], [x[best] for x in self.views]))
+        return out
+
+
 class Model:
-    """Both views, their calibration and their combination; without rows of both classes the share of the good."""
+    """Both views, their calibration and their combination; without rows of both classes the share of the good.
+
+    pool.pick gives, for each of KINDS, keys and views of at most as many rows as wanted.
+    """
 
-    def __init__(self, views: list[np.ndarray], y: np.ndarray, held: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS, confident: float = CONFIDENT, taught: int = TAUGHT):
+    def __init__(self, views: list[np.ndarray], y: np.ndarray, held: np.ndarray, pool, rounds: int = ROUNDS, confident: float = CONFIDENT, taught: int = TAUGHT):
         self.prior = float(y.mean()) if len(y) else 1.0
         self.fitted = False
         if any(len(np.unique(part)) < 2 for part in (y[held], y[~held])):
             return
         train = [[x[~held]] for x in views]
         truth = [[y[~held]] for _ in views]
-        free = np.ones(len(pool[0]), bool)
+        done = [np.empty(0, U64), np.empty(0, U64)]
+        wanted = [max(1, round(taught * (self.prior if good else 1 - self.prior))) for _, good in KINDS]
         for k in range(rounds + 1):
             self.models = [Logistic(np.concatenate(x), np.concatenate(t)) for x, t in zip(train, truth, strict=True)]
             self.scales = [Logistic(m.logit(x[held])[:, None], y[held], 1e-2, False) for m, x in zip(self.models, views, strict=True)]
-            if k == rounds or not free.any():
+            if k == rounds:
+                break
+            found = pool.pick(self, wanted, done, confident, k)
+            if not any(len(key) for key, _ in found):
                 break
-            for own, other in ((0, 1), (1, 0)):
-                p = _sigmoid(self.calibrated(own, pool[own]))
-                for good, sure in ((1.0, p), (0.0, 1 - p)):
-                    best = np.flatnonzero(free & (sure >= confident))
-                    best = best[np.argsort(-sure[best], kind="stable")][: max(1, round(taught * (self.prior if good else 1 - self.prior)))]
-                    if len(best):
-                        train[other].append(pool[other][best])
-                        truth[other].append(np.full(len(best), good))
-                        free[best] = False
+            for (view, good), (key, rows) in zip(KINDS, found, strict=True):
+                train[1 - view].append(rows[1 - view])
+                truth[1 - view].append(np.full(len(key), good))
+                done[view] = np.concatenate([done[view], key])
         both = np.column_stack([self.calibrated(k, x[held]) for k, x in enumerate(views)])
         self.combined = Logistic(both, y[held], 1e-2, False)
         self.fitted = True
@@ -137,36 +170,90 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _views(rows: pa.RecordBatch, texts: list[bytes]) -> list[np.ndarray]:
-    return [text_view(texts), metadata_view(*(rows.column(c).to_pylist() for c in ("source", "lang", "n_chars")))]
+    return [text_view(texts).astype(np.float32).astype(float), metadata_view(metadata(*(rows.column(c).to_pylist() for c in ("source", "lang", "n_chars"))))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, **how) -> Model:
-    """The model from documents (doc_id, text, source, lang, n_chars) and labels (doc_id, quality 0/1).
+_FEATURES = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("text", pa.list_(pa.float32())), ("meta", pa.list_(pa.int32()))])
+
+
+def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """A staged table of doc_id, hash (of the whole row), text array<float>, meta array<int>, quality of every row.
 
     Labels without doc_id or quality are left out; of labels that disagree the better counts.
-    Of the rows of one doc_id that with the smallest hash is taken.
     """
-    order = F.xxhash64("doc_id")
-    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("quality"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    chosen = ids.join(known, "doc_id").orderBy(order, "doc_id").limit(labelled)
-    others = ids.join(known, "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool).withColumn("quality", F.lit(None).cast("double"))
-    sample = chosen.unionByName(others)
-    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("quality", pa.float64()), ("text", pa.list_(pa.float32())), ("meta", pa.list_(pa.float32()))])
 
     def work(batches):
         for rows, texts in slices(batches):
-            yield batch(schema, rows.column("doc_id"), rows.column("hash"), rows.column("quality"), *(list(v.astype(np.float32)) for v in _views(rows, texts)))
+            meta = metadata(*(rows.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
+            yield batch(_FEATURES, rows.column("doc_id"), rows.column("hash"), list(text_view(texts).astype(np.float32)), list(meta))
 
-    # at most labelled + pool rows of about 160 numbers
-    rows = _rows(docs).join(F.broadcast(sample), "doc_id").withColumn("hash", F.xxhash64("text", "source", "lang", "n_chars"))
-    found = rows.mapInArrow(work, "doc_id long, hash long, quality double, text array<float>, meta array<float>")
-    got = found.groupBy("doc_id").agg(F.min_by(F.struct("quality", "text", "meta"), "hash").alias("x")).select("doc_id", "x.*").toArrow().sort_by("doc_id")
+    rows = _rows(docs).withColumn("hash", F.xxhash64("text", "source", "lang", "n_chars"))
+    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("double").alias("quality"))
+    return staged(rows.mapInArrow(work, "doc_id long, hash long, text array<float>, meta array<int>").join(known, "doc_id", "left").select("doc_id", "hash", "text", "meta", "quality"), "features")
+
+
+def _stacked(rows: pa.RecordBatch | pa.Table, column: str) -> np.ndarray:
+    n, found = rows.num_rows, rows.column(column)
+    found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
+    return found.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 1), np.int32)
+
+
+def _stored(rows) -> list[np.ndarray]:
+    """Both views of stored features."""
+    return [_stacked(rows, "text").astype(float), metadata_view(_stacked(rows, "meta"))]
+
+
+class Pool:
+    """The unlabelled rows of a table of features; rows that are alike count once."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows.where("quality is null").select("hash", "text", "meta")
+
+    def pick(self, model: Model, wanted: list[int], taught: list[np.ndarray], confident: float, salt: int) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+        """One pass counts the rows that each view is sure of, another takes twice as many as wanted, evenly by hash; the smallest hashes are kept."""
+        counted, chosen = pa.schema([("kind", pa.int32()), ("n", pa.int64())]), pa.schema([("kind", pa.int32()), ("hash", pa.int64()), ("text", pa.list_(pa.float32())), ("meta", pa.list_(pa.int32()))])
+
+        def sure(rows):
+            key = rows.column("hash").to_numpy().view(U64)
+            return key, sure_of(model, _stored(rows), key, taught, confident)
+
+        def count(batches):
+            total = np.zeros(len(KINDS), np.int64)
+            for rows in batches:
+                if rows.num_rows:
+                    total += [len(x) for x in sure(rows)[1]]
+            yield batch(counted, np.arange(len(KINDS)), total)
+
+        n = dict(map(tuple, self.rows.mapInArrow(count, "kind int, n long").groupBy("kind").agg(F.sum("n")).collect()))
+        least = [min(1.0, 2 * k / max(1, n.get(kind, 0))) * 2.0**64 for kind, k in enumerate(wanted)]
+
+        def take(batches):
+            for rows in batches:
+                if not rows.num_rows:
+                    continue
+                key, found = sure(rows)
+                order = mixed(key + U64(salt)).astype(float)
+                for kind, at in enumerate(found):
+                    at = pa.array(at[order[at] < least[kind]])
+                    yield batch(chosen, np.full(len(at), kind), *(rows.column(c).take(at) for c in ("hash", "text", "meta")))
+
+        found = self.rows.mapInArrow(take, "kind int, hash long, text array<float>, meta array<int>").groupBy("kind", "hash").agg(F.any_value("text").alias("text"), F.any_value("meta").alias("meta")).toArrow()
+        kinds, keys, views = found.column("kind").to_numpy(), found.column("hash").to_numpy().view(U64), _stored(found)
+        out = []
+        for kind, k in enumerate(wanted):
+            mine = np.flatnonzero(kinds == kind)
+            mine = mine[np.argsort(mixed(keys[mine] + U64(salt)))][:k]
+            out.append((keys[mine], [v[mine] for v in views]))
+        return out
+
+
+def fit(found: DataFrame, labelled: int = LABELLED, **how) -> Model:
+    """The model from `features`. Of the rows of one doc_id that with the smallest hash is taken for its label."""
+    known = found.where("quality is not null").groupBy("doc_id").agg(F.min_by(F.struct("quality", "text", "meta"), "hash").alias("x")).select("doc_id", "x.*")
+    got = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).toArrow().sort_by("doc_id")
     y = got.column("quality").to_numpy()
-    views = [np.stack(got.column(c).to_numpy()).astype(float) if len(y) else np.zeros((0, 1)) for c in ("text", "meta")]
-    has = ~np.isnan(y)
     held = np.array([zlib.crc32(str(i).encode()) % 4 == 0 for i in got.column("doc_id").to_pylist()], bool)
-    return Model([v[has] for v in views], y[has], held[has], [v[~has] for v in views], **how)
+    return Model(_stored(got) if len(y) else [np.zeros((0, 1))] * 2, y, held, Pool(found), **how)
 
 
 _SCORES = pa.schema([("doc_id", pa.int64()), ("text_score", pa.float64()), ("metadata_score", pa.float64()), ("score", pa.float64())])
@@ -176,20 +263,23 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **ho
     """doc_id, text_score, metadata_score, score (0 to 1), accepted of every row of `docs`.
 
     Null texts are empty; null metadata is a value of its own. Without labels of both classes
-    every score is the share of good labels (1 without any).
+    every score is the share of good labels (1 without any). Rows that are repeated have
+    one score; an empty table gives none; a score of just `threshold` is accepted.
     """
-    model = fit(docs, labels, **how)
+    found = features(docs, labels)
+    model = fit(found, **how)
 
     def work(batches):
-        for rows, texts in slices(batches):
-            yield batch(_SCORES, rows.column("doc_id"), *model.scores(_views(rows, texts)))
+        for rows in batches:
+            if rows.num_rows:
+                yield batch(_SCORES, rows.column("doc_id"), *model.scores(_stored(rows)))
 
-    return _rows(docs).mapInArrow(work, "doc_id long, text_score double, metadata_score double, score double").withColumn("accepted", F.col("score") >= threshold)
+    return found.select("doc_id", "text", "meta").mapInArrow(work, "doc_id long, text_score double, metadata_score double, score double").withColumn("accepted", F.col("score") >= threshold)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **how) -> DataFrame:
-    """The rows of `docs` that are not rejected: doc_id, text, lang, source, n_chars as they are."""
-    model = fit(docs, labels, **how)
+    """The rows of `docs` that are not rejected: doc_id, text, lang, source, n_chars as they are. Cases are as in `score`."""
+    model = fit(features(docs, labels), **how)
 
     def work(batches):
         for rows, texts in slices(batches):

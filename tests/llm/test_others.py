@@ -232,12 +232,28 @@ def test_views_teach_each_other():
     text = np.column_stack([y * 3 + r.normal(size=4000), r.normal(size=(4000, 30))])
     meta = np.column_stack([y * 3 + r.normal(size=4000), r.normal(size=(4000, 30))])
     held = np.arange(60) % 4 == 0
-    model = cotraining.Model([text[:60], meta[:60]], y[:60], held, [text[60:2000], meta[60:2000]])
-    alone = cotraining.Model([text[:60], meta[:60]], y[:60], held, [text[60:2000], meta[60:2000]], rounds=0)
+    model = cotraining.Model([text[:60], meta[:60]], y[:60], held, cotraining.LocalPool([text[60:2000], meta[60:2000]]))
+    alone = cotraining.Model([text[:60], meta[:60]], y[:60], held, cotraining.LocalPool([text[60:2000], meta[60:2000]]), rounds=0)
     accuracy = lambda m: np.mean((m.scores([text[2000:], meta[2000:]])[2] > 0.5) == (y[2000:] > 0.5))
     assert accuracy(model) > 0.93 and accuracy(model) > accuracy(alone)
 
 
+def test_pool_of_a_table_picks_as_one_in_memory(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    again = d.unionByName(d.where("doc_id % 7 = 0").withColumn("doc_id", F.col("doc_id") + 100_000))  # copies count once
+    found = cotraining.features(again, labels)
+    model = cotraining.fit(found, rounds=0)
+    free = found.where("quality is null").dropDuplicates(["hash"]).toArrow()
+    local = cotraining.LocalPool(cotraining._stored(free))
+    local.key = free.column("hash").to_numpy().view(np.uint64)
+    taught = [np.sort(local.key)[::5], np.empty(0, np.uint64)]
+    for wanted in ([5, 5, 5, 5], [10**6] * 4):
+        one, two = (p.pick(model, wanted, taught, 0.8, 3) for p in (local, cotraining.Pool(found)))
+        for (a, _), (b, views) in zip(one, two, strict=True):
+            assert a.tolist() == b.tolist() and all(len(v) == len(b) for v in views)
+    assert sum(len(a) for a, _ in one) > 50
+
+
 def test_classifier_without_labels(spark, docs):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")
     got = cotraining.score(docs, none).collect()
