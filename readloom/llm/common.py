@@ -77,10 +77,42 @@ def staging(spark: SparkSession) -> Iterator[None]:
 
 def staged(df: DataFrame, name: str, row_group: int = 16 << 20) -> DataFrame:
     """`df` written to the shared folder and read back: cuts lineage, and survives the loss of executors."""
+    return staged_at(df, name, row_group)[0]
+
+
+def staged_at(df: DataFrame, name: str, row_group: int = 16 << 20) -> tuple[DataFrame, str]:
+    """As `staged`, with the table's whole address, by which `stored` reads it."""
     spark = df.sparkSession
-    path = f"{_staging(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{_staging(spark)}/{name}-{uuid.uuid4().hex}")
+    path = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
     df.write.option("parquet.block.size", row_group).option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _store(address: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(f"file://{address[5:]}" if address.startswith("file:/") and not address.startswith("file://") else address)
+
+
+def reachable(address: str) -> bool:
+    """Whether `stored` can read a table: in a mounted folder, or in a store that Arrow knows."""
+    try:
+        from pyarrow.fs import FileType
+
+        store, path = _store(address)
+        return store.get_file_info(path).type != FileType.NotFound
+    except (pa.ArrowException, OSError):
+        return False
+
+
+def stored(address: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """A staged table, read by a worker without Spark, some rows at a time."""
+    from pyarrow import dataset
+
+    store, path = _store(address)
+    return dataset.dataset(path, filesystem=store, format="parquet").to_batches(columns=columns, batch_size=1 << 16, batch_readahead=1, fragment_readahead=1)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -190,7 +222,9 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 BLOCK_BYTES = 8 << 20
 BLOCK = pa.schema([("block_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("packed", pa.binary())])
-_ZSTD = pa.Codec("zstd", compression_level=1)
+_ZSTD = pa.Codec("zstd", compression_level=3)
+#: Bits of a block_id for the blocks of one partition.
+PARTITION_BLOCKS = 12
 
 
 def _block(number: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
@@ -201,14 +235,18 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """A staged table of blocks of about `BLOCK_BYTES` of text: block_id, doc_ids, sizes and packed texts (null: empty).
 
     Once written the blocks are fixed, whatever is computed again later. Texts are packed by
-    zstd, so a join of blocks shuffles half their bytes; `block_texts` unpacks them.
+    zstd, so a join of blocks shuffles half their bytes; `block_texts` unpacks them. A
+    block_id is below 2**32, for up to a million partitions of 32 GB or 200 million rows each.
     """
 
     def pack(batches):
         from pyspark import TaskContext
 
-        made, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
+        begin = TaskContext.get().partitionId() << PARTITION_BLOCKS
+        made, ids, texts, size = begin, [], [], 0
         for rows, raw in slices(batches):
+            if made >> PARTITION_BLOCKS != begin >> PARTITION_BLOCKS or begin >> 32:
+                raise ValueError("too many blocks in a partition, or too many partitions; repartition the documents")
             ids += rows.column("doc_id").to_pylist()
             texts += raw
             size += sum(map(len, raw))

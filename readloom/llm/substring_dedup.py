@@ -90,55 +90,63 @@ def _distinct(key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 class Factors:
-    """A parse of some texts: windows `start` to `stop` (exclusive, as indices of places) follow places from (`block`, `word`) on."""
+    """A parse of some texts: `n` windows from word `start` on follow those from a block's `word` on."""
 
-    def __init__(self, windows: np.ndarray, places: np.ndarray, first: np.ndarray, block: np.ndarray, word: np.ndarray):
+    def __init__(self, windows: np.ndarray, places: np.ndarray, first: np.ndarray, source: np.ndarray):
         order = np.argsort(windows)
-        windows, block, word = windows[order], block[order], word[order]
-        at = places[windows]
+        at, source = places[windows[order]], source[order]
         text = np.searchsorted(first, at, side="right")
-        follows = (np.diff(at) == 1) & (np.diff(word) == 1) & (block[1:] == block[:-1]) & (text[1:] == text[:-1])
+        follows = (np.diff(at) == 1) & (np.diff(source) == 1) & (text[1:] == text[:-1])
         begin = np.flatnonzero(np.append(True, ~follows)) if len(at) else np.empty(0, np.int64)
         self.n = np.diff(np.append(begin, len(at)))
-        self.start, self.block, self.word = at[begin], block[begin], word[begin]
+        self.start, self.block, self.word = at[begin], source[begin] >> WORD_BITS, source[begin] & ((1 << WORD_BITS) - 1)
 
 
 #: What is known of a run: it occurs elsewhere; its windows take part in the look-up.
 COPIED, LOOKED_UP = 1, 2
 
-_SHARED = pa.schema([("block_id", pa.int64()), ("anchor", pa.int64()), ("run", pa.int64()), ("n", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
-_WINDOWS = pa.schema([("block_id", pa.int64()), ("win", pa.int64()), ("n", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
+#: A place is a block_id and a word of the block, in one number.
+WORD_BITS = 31
+
+_SHARED = pa.schema([("anchor", pa.int64()), ("run", pa.int64()), ("n", pa.int32()), ("place", pa.int64()), ("last", pa.int64())])
+_WINDOWS = pa.schema([("win", pa.int64()), ("n", pa.int32()), ("place", pa.int64()), ("last", pa.int64())])
 _FACTOR = pa.struct([("start", pa.int64()), ("words", pa.int64()), ("source_block", pa.int64()), ("source_word", pa.int64())])
 _KEPT = pa.schema([("block_id", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.large_binary()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("factors", pa.list_(_FACTOR))])
 
 
-def _places() -> list[Column]:
+def _rows(schema: pa.Schema, block: int, keys: tuple, n: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+    """Distinct keys of a block by their smallest place; their largest is null where they occur once."""
+    order, base = np.argsort(first), block << WORD_BITS
+    return batch(schema, *(signed(k[order]) for k in keys), n[order], first[order] + base, pa.array(last[order] + base, mask=n[order] == 1))
+
+
+def _placed(rows: DataFrame, key: str) -> DataFrame:
     """How often a key occurs in all blocks, and its smallest and largest place."""
-    return [F.sum("n").alias("total"), F.min(F.struct("block_id", F.col("first").alias("word"))).alias("low"), F.max(F.struct("block_id", F.col("last").alias("word"))).alias("high")]
+    return rows.groupBy(key).agg(F.sum("n").alias("total"), F.min("place").alias("low"), F.max(F.coalesce("last", "place")).alias("high"))
 
 
-def _source() -> list[Column]:
-    """Where a block's occurrences of a key are copied from: the smallest place, and for that one itself the largest."""
-    own = F.col("low.block_id") == F.col("block_id")
-    return [F.col("low.block_id").alias("source"), F.col("low.word").alias("word"), F.when(own, F.col("high.block_id")).alias("other"), F.when(own, F.col("high.word")).alias("other_word")]
+def _block(place: str) -> Column:
+    return F.shiftright(place, WORD_BITS)
 
 
 def _gathered(rows: DataFrame, key: str, *more: str) -> DataFrame:
-    """The keys of each block with what is known of them, as arrays in the order of the keys; at most as many as a block has words."""
-    named = ["source", "word", "other", "other_word", *more]
-    x = rows.groupBy("block_id").agg(F.sort_array(F.collect_list(F.struct(key, *named))).alias("x"))
-    return x.select("block_id", F.col(f"x.{key}").alias(f"{key}s"), *[F.col(f"x.{c}").alias(f"{key}_{c}s") for c in named])
+    """The keys of each block with where its occurrences are copied from, as arrays in the order of the keys; at most as many as a block has words.
+
+    Copied from the smallest place (source); for that one itself from the largest (other).
+    """
+    own = F.when(_block("low") == F.col("block_id"), F.col("high"))
+    x = rows.groupBy("block_id").agg(F.sort_array(F.collect_list(F.struct(key, F.col("low").alias("source"), own.alias("other"), *more))).alias("x"))
+    return x.select("block_id", F.col(f"x.{key}").alias(f"{key}s"), *[F.col(f"x.{c}").alias(f"{key}_{c}s") for c in ("source", "other", *more)])
 
 
-def _taken(rows: pa.RecordBatch, key: str, i: int, found: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Block and word from which the occurrences at some places of a block are copied; `found` are places in the arrays."""
-    block = rows.column("block_id")[i].as_py()
-    source, word = _column(rows, f"{key}_sources", i)[found], _column(rows, f"{key}_words", i)[found]
-    own = (source == block) & (word == place)
+def _taken(rows: pa.RecordBatch, key: str, i: int, found: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The places from which the occurrences at some places are copied; `found` are indices of the arrays."""
+    source = _column(rows, f"{key}_sources", i)[found]
+    own = source == place
     if own.any():
-        others = [rows.column(f"{key}_{c}s")[i].values.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("other", "other_word")]
-        source, word = np.where(own, others[0][found], source), np.where(own, others[1][found], word)
-    return source, word
+        other = rows.column(f"{key}_others")[i].values.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        source = np.where(own, other[found], source)
+    return source
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -165,16 +173,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     base += len(r.h)
                 run, anchor, place = map(np.concatenate, zip(*found, strict=True))
                 run, at, n, first, last = _distinct(run, place)
-                yield batch(_SHARED, np.full(len(run), rows.column("block_id")[i].as_py()), signed(anchor[at]), signed(run), n, first, last)
+                yield _rows(_SHARED, rows.column("block_id")[i].as_py(), (anchor[at], run), n, first, last)
 
-    found = staged(whole.mapInArrow(runs_of, "block_id long, anchor long, run long, n int, first int, last int"), "runs")
+    found = staged(whole.mapInArrow(runs_of, "anchor long, run long, n int, place long, last long"), "runs")
     anchors = found.groupBy("anchor").agg(F.sum("n").alias("total"), F.min("run").alias("lo"), F.max("run").alias("hi")).where("total > 1")
     met = staged(found.join(anchors.select("anchor", (F.col("lo") != F.col("hi")).alias("differ")), "anchor").drop("anchor"), "met")
     copied = F.col("total") > 1
-    asked = F.col("differ") & (~copied | (F.col("low.block_id") == F.col("block_id")))
-    known = met.select("block_id", "run", "differ").join(met.groupBy("run").agg(*_places()), "run")
+    asked = F.col("differ") & (~copied | (_block("low") == F.col("block_id")))
+    known = met.select(_block("place").alias("block_id"), "run", "differ").join(_placed(met, "run"), "run")
     known = known.withColumn("what", copied.cast("int") * COPIED + asked.cast("int") * LOOKED_UP).where("what > 0")
-    known = staged(_gathered(known.select("block_id", "run", "what", *_source()), "run", "what"), "known")
+    known = staged(_gathered(known, "run", "what"), "known")
 
     def windows_of(batches):
         for rows in batches:
@@ -191,33 +199,31 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     out.append((r.hashes(at), r.places[at] + base))
                     base += len(r.h)
                 win, _, n, first, last = _distinct(*map(np.concatenate, zip(*out, strict=True)))
-                yield batch(_WINDOWS, np.full(len(win), rows.column("block_id")[i].as_py()), signed(win), n, first, last)
+                yield _rows(_WINDOWS, rows.column("block_id")[i].as_py(), (win,), n, first, last)
 
     asking = known.where(F.exists("run_whats", lambda x: x >= LOOKED_UP)).select("block_id", "runs", "run_whats")
-    seen = staged(whole.join(asking, "block_id").mapInArrow(windows_of, "block_id long, win long, n int, first int, last int"), "windows")
-    again = seen.groupBy("win").agg(*_places()).where("total > 1")
-    twice = _gathered(seen.select("block_id", "win").join(again, "win").select("block_id", "win", *_source()), "win")
+    seen = staged(whole.join(asking, "block_id").mapInArrow(windows_of, "win long, n int, place long, last long"), "windows")
+    again = _placed(seen, "win").where("total > 1")
+    twice = _gathered(seen.select(_block("place").alias("block_id"), "win").join(again, "win"), "win")
 
     def kept_of(batches):
         for rows in batches:
             for i in range(rows.num_rows):
                 block, runs, whats, wins = rows.column("block_id")[i].as_py(), *(_column(rows, c, i) for c in ("runs", "run_whats", "wins"))
-                ids, base = rows.column("doc_ids")[i].as_py(), 0
+                ids, base = rows.column("doc_ids")[i].as_py(), block << WORD_BITS
                 for at, part in block_slices(block_texts(rows, i)):
                     r = Runs(part, window, gram)
                     place = _find(signed(r.run), runs)
                     what = np.where(place >= 0, whats[place] if len(whats) else 0, 0)
                     inside = np.flatnonzero(what & COPIED)
-                    source, word = _taken(rows, "run", i, place[inside], r.places[r.begin[inside]] + base)
-                    n = r.stop[inside] - r.begin[inside]
-                    windows = r.windows(inside)
-                    source, word = np.repeat(source, n), np.repeat(word, n) + r.places[windows] - np.repeat(r.places[r.begin[inside]], n)
+                    begin, windows = r.places[r.begin[inside]], r.windows(inside)
+                    shift = np.repeat(_taken(rows, "run", i, place[inside], begin + base) - begin, r.stop[inside] - r.begin[inside])
                     edges = r.windows(np.flatnonzero(what == LOOKED_UP))
                     there = _find(signed(r.hashes(edges)), wins)
                     edges, there = edges[there >= 0], there[there >= 0]
-                    more = _taken(rows, "win", i, there, r.places[edges] + base)
+                    source = [shift + r.places[windows], _taken(rows, "win", i, there, r.places[edges] + base)]
                     first = r.words.first
-                    parse = Factors(np.concatenate([windows, edges]), r.places, first, np.concatenate([source, more[0]]), np.concatenate([word, more[1]]))
+                    parse = Factors(np.concatenate([windows, edges]), r.places, first, np.concatenate(source))
                     size = parse.n + window - 1
                     edge = np.zeros(int(first[-1]) + 1, np.int64)
                     np.add.at(edge, parse.start, 1)
