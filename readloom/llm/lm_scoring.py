@@ -6,8 +6,9 @@ have a filter each, made of parts of equal size by the leading bits of the n-gra
 parts are built apart and a probe stays in one part. A filter has `BITS` bits for an entry,
 however many there are; no n-gram is left out.
 
-A filter of up to `filter_bytes` is broadcast. A larger one, which no worker could hold, stays
-a table: the distinct n-grams of each block of texts are sent to the ranges of parts that
+A filter of up to `filter_bytes` is broadcast: every worker loads it once, from the shared folder
+(through the driver only if that is a store which Arrow can't open). A larger one, which no worker
+could hold, stays a table: the distinct n-grams of each block of texts are sent to the ranges of parts that
 hold them, probed there, and their levels come back to the block. Both ways probe the same
 bits, so scores don't depend on which is taken; the texts are read a fixed number of times
 at every size.
@@ -18,6 +19,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pandas import factorize
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NONSPACE, U64, Words, batch, block_slices, block_texts, blocks, grams, mixed, signed, slices, staged
+from .common import NONSPACE, U64, Words, batch, block_slices, block_texts, blocks, grams, mixed, reachable, signed, slices, staged, staged_at, stored
 
 #: Least counts of the levels 1 to 62.
 LEVELS = np.array([1, 2, 3, *(round(4 * 2 ** (k / 2)) for k in range(59))], np.int64)
@@ -166,14 +168,22 @@ class FilterTable:
             if made is not None:
                 yield batch(_PART, [made.low], [made.bits.tobytes()])
 
-        self.rows = staged(counts.mapInArrow(work, "part int, bits binary"), "filter")
+        self.rows, self.address = staged_at(counts.mapInArrow(work, "part int, bits binary"), "filter")
 
     @property
     def bytes(self) -> int:
         return self.parts * self.size // 8
 
-    def load(self) -> Filter:
-        """The whole filter, an eighth at a time, to spare the driver."""
+    def load(self) -> Callable[[], Filter]:
+        """What gives a worker the whole filter."""
+        address, size, parts = self.address, self.size, self.parts
+        if reachable(address):
+            return lambda: loaded_filter(address, size, parts)
+        shared = self.rows.sparkSession.sparkContext.broadcast(self.collected())
+        return lambda: shared.value
+
+    def collected(self) -> Filter:
+        """The whole filter on the driver, an eighth at a time."""
         out, step = Filter(self.size, parts=self.parts), max(1, self.parts // 8)
         for at in range(0, self.parts, step):
             for part, bits in self.rows.where(F.col("part").between(at, at + step - 1)).collect():
@@ -256,6 +266,23 @@ class Known:
         return np.where(self.keys[at] == key, self.values[at], 0).astype(np.int64)
 
 
+@lru_cache(maxsize=4)
+def loaded_filter(address: str, size: int, parts: int) -> Filter:
+    """A filter from the shared folder, once for each worker."""
+    out = Filter(size, parts=parts)
+    for rows in stored(address, ["part", "bits"]):
+        for part, bits in zip(rows.column("part").to_pylist(), rows.column("bits").to_pylist(), strict=True):
+            out.put(part, bits)
+    return out
+
+
+@lru_cache(maxsize=2)
+def loaded_counts(address: str) -> Known:
+    """Exact counts from the shared folder, once for each worker."""
+    found = [(b.column("key").to_numpy().view(U64), b.column("n").to_numpy()) for b in stored(address, ["key", "n"]) if b.num_rows]
+    return Known(*(np.concatenate(x) for x in zip(*found, strict=True))) if found else Known(np.empty(0, U64), np.empty(0, np.int64))
+
+
 def _level(column: str):
     """The level of a count, as a column."""
     over = [F.when(F.col(column) >= int(x), 1).otherwise(0) for x in LEVELS]
@@ -301,7 +328,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     one token. Without training rows all probabilities are those of no count.
 
     Up to `most_broadcast` distinct tokens and filters of up to `filter_bytes` are broadcast; beyond,
-    blocks of texts ask the tables. The results are the same.
+    blocks of texts ask the tables. The results are the same. Rows that are alike score alike; an
+    empty table gives none; a text of any length is read as a whole.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -311,17 +339,18 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
         for part, texts in slices(batches):
             yield part.column("doc_id").to_pylist(), texts, None
 
-    ones = staged(_summed(rows.mapInArrow(lambda b: _counted(of_docs(b), lambda seq, first, known: seq), "key long, n long")), "unigrams")
+    ones, address = staged_at(_summed(rows.mapInArrow(lambda b: _counted(of_docs(b), lambda seq, first, known: seq), "key long, n long")), "unigrams")
     n_types, n_all = ones.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     table = FilterTable(ones)
     unigram = exact = None
     if n_types <= most_broadcast and table.bytes <= filter_bytes:
-        unigram = spark.sparkContext.broadcast(table.load())
-        found = ones.orderBy("key").toArrow()
-        keys, n = found.column("key").to_numpy(), found.column("n").to_numpy().astype(np.uint32 if n_all < 1 << 32 else np.int64)
-        exact = spark.sparkContext.broadcast((keys, n))
-        del found, keys, n
-        pa.default_memory_pool().release_unused()
+        unigram = table.load()
+        if reachable(address):
+            exact = lambda: loaded_counts(address)
+        else:
+            found = ones.toArrow()
+            shared = spark.sparkContext.broadcast(Known(found.column("key").to_numpy().view(U64), found.column("n").to_numpy()))
+            exact = lambda: shared.value
     else:
         whole = blocks(docs, doc_id, text)
 
@@ -349,22 +378,15 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
                     yield ids[at : at + len(part)], part, known
 
     def level_of(known):
-        return known["level"] if unigram is None else unigram.value.level
+        return known["level"] if unigram is None else unigram().level
 
     def count_of(known):
         if unigram is None:
             return known["count"]
-        keys, n = exact.value
-        ordered = np.searchsorted  # keys are ascending as signed numbers
 
         def of(key):
-            wanted = signed(key)
-            if not len(keys):
-                return np.zeros(len(key), np.int64)
-            order = np.argsort(wanted)
-            at = np.minimum(ordered(keys, wanted[order]), len(keys) - 1)
-            out = np.zeros(len(key), np.int64)
-            out[order] = np.where(keys[at] == wanted[order], n[at], 0)
+            order, out = np.argsort(key), np.empty(len(key), np.int64)
+            out[order] = exact().of(key[order])  # ascending keys are found faster
             return out
 
         return of
@@ -380,7 +402,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     table = FilterTable(twos, parts)
     bigram = None
     if table.bytes <= filter_bytes:
-        bigram = spark.sparkContext.broadcast(table.load())
+        bigram = table.load()
     else:
         whole = blocks(docs, doc_id, text) if whole is None else whole
 
@@ -403,7 +425,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
             h, second = bigrams(seq, first)
             v = level[back[second - 1]]
             kind, kinds = factorize((h & ~U64(63)) | v.astype(U64))
-            both = MEANS[(known["pair"] if bigram is None else bigram.value.level)(kinds)][kind]
+            both = MEANS[(known["pair"] if bigram is None else bigram().level)(kinds)][kind]
             weight = np.where(v > 0, share[v], 0.0)
             logs = np.zeros(len(seq))
             logs[second] = np.log10(weight * np.minimum(1.0, both / np.maximum(MEANS[v], 1.0)) + (1 - weight) * alone[back[second]])
