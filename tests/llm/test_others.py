@@ -404,8 +404,9 @@ def model(rows):
 def test_score_is_that_of_the_model(spark, docs, monkeypatch):
     want = model(made())
     got = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
-    # a probe that is wrong, one in a hundred, raises a count by a level
-    assert all(abs(got[i].score - want[i]) <= 0.1 * got[i].n_tokens for i in want)
+    # a probe that is wrong, one in a hundred, raises a count by a level, which at most doubles it
+    assert all(abs(got[i].score - want[i]) <= 2 * math.log10(2) * got[i].n_tokens for i in want)
+    assert sum(abs(got[i].score - want[i]) for i in want) <= 0.01 * sum(got[i].n_tokens for i in want)
     assert abs(sum(got[i].score for i in want) / sum(want.values()) - 1) < 0.01
     monkeypatch.setattr(lm_scoring, "BITS", 400)  # next to none is wrong
     got = {r.doc_id: r for r in lm_scoring.score(docs).collect()}
