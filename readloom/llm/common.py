@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -107,12 +107,27 @@ def reachable(address: str) -> bool:
         return False
 
 
-def stored(address: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    """A staged table, read by a worker without Spark, some rows at a time."""
+def stored(address: str, columns: list[str], rows: int) -> Iterator[pa.RecordBatch]:
+    """A staged table, read by a worker without Spark, so many rows at a time."""
     from pyarrow import dataset
 
     store, path = _store(address)
-    return dataset.dataset(path, filesystem=store, format="parquet").to_batches(columns=columns, batch_size=1 << 16, batch_readahead=1, fragment_readahead=1)
+    yield from dataset.dataset(path, filesystem=store, format="parquet").to_batches(columns=columns, batch_size=rows, batch_readahead=0, fragment_readahead=0, use_threads=False)
+    pa.default_memory_pool().release_unused()
+
+
+#: What this worker has loaded for one run, by name.
+_LOADED: dict[str, object] = {}
+
+
+def loaded(run: str, name: str, load: Callable[[], object]) -> object:
+    """What `load` gives, once for each worker and run; what was loaded for another run is given up first."""
+    if _LOADED.get("run") != run:
+        _LOADED.clear()
+        _LOADED["run"] = run
+    if name not in _LOADED:
+        _LOADED[name] = load()
+    return _LOADED[name]
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -17,9 +17,9 @@ at every size.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pandas import factorize
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NONSPACE, U64, Words, batch, block_slices, block_texts, blocks, grams, mixed, reachable, signed, slices, staged, staged_at, stored
+from .common import NONSPACE, U64, Words, batch, block_slices, block_texts, blocks, grams, loaded, mixed, reachable, signed, slices, staged, staged_at, stored
 
 #: Least counts of the levels 1 to 62.
 LEVELS = np.array([1, 2, 3, *(round(4 * 2 ** (k / 2)) for k in range(59))], np.int64)
@@ -174,11 +174,11 @@ class FilterTable:
     def bytes(self) -> int:
         return self.parts * self.size // 8
 
-    def load(self) -> Callable[[], Filter]:
+    def load(self, run: str) -> Callable[[], Filter]:
         """What gives a worker the whole filter."""
         address, size, parts = self.address, self.size, self.parts
         if reachable(address):
-            return lambda: loaded_filter(address, size, parts)
+            return lambda: loaded(run, address, lambda: loaded_filter(address, size, parts))
         shared = self.rows.sparkSession.sparkContext.broadcast(self.collected())
         return lambda: shared.value
 
@@ -266,20 +266,18 @@ class Known:
         return np.where(self.keys[at] == key, self.values[at], 0).astype(np.int64)
 
 
-@lru_cache(maxsize=4)
 def loaded_filter(address: str, size: int, parts: int) -> Filter:
-    """A filter from the shared folder, once for each worker."""
+    """A filter from the shared folder."""
     out = Filter(size, parts=parts)
-    for rows in stored(address, ["part", "bits"]):
+    for rows in stored(address, ["part", "bits"], 128):
         for part, bits in zip(rows.column("part").to_pylist(), rows.column("bits").to_pylist(), strict=True):
             out.put(part, bits)
     return out
 
 
-@lru_cache(maxsize=2)
 def loaded_counts(address: str) -> Known:
-    """Exact counts from the shared folder, once for each worker."""
-    found = [(b.column("key").to_numpy().view(U64), b.column("n").to_numpy()) for b in stored(address, ["key", "n"]) if b.num_rows]
+    """Exact counts from the shared folder."""
+    found = [(b.column("key").to_numpy().view(U64).copy(), b.column("n").to_numpy().copy()) for b in stored(address, ["key", "n"], 1 << 16) if b.num_rows]
     return Known(*(np.concatenate(x) for x in zip(*found, strict=True))) if found else Known(np.empty(0, U64), np.empty(0, np.int64))
 
 
@@ -333,7 +331,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    whole = None  # the texts in blocks, if tables are asked
+    whole, run = None, uuid.uuid4().hex  # the texts in blocks, if tables are asked
 
     def of_docs(batches):
         for part, texts in slices(batches):
@@ -344,9 +342,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     table = FilterTable(ones)
     unigram = exact = None
     if n_types <= most_broadcast and table.bytes <= filter_bytes:
-        unigram = table.load()
+        unigram = table.load(run)
         if reachable(address):
-            exact = lambda: loaded_counts(address)
+            exact = lambda: loaded(run, address, lambda: loaded_counts(address))
         else:
             found = ones.toArrow()
             shared = spark.sparkContext.broadcast(Known(found.column("key").to_numpy().view(U64), found.column("n").to_numpy()))
@@ -402,7 +400,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     table = FilterTable(twos, parts)
     bigram = None
     if table.bytes <= filter_bytes:
-        bigram = table.load()
+        bigram = table.load(run)
     else:
         whole = blocks(docs, doc_id, text) if whole is None else whole
 
