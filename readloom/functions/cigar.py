@@ -32,6 +32,12 @@ def reference_span(cigar: Column, read_length: Column) -> Column:
     return F.when(cigar.isin("", "*") | cigar.isNull(), read_length.cast("long")).otherwise(_span(cigar, REFERENCE_OPS))
 
 
+def clips(cigar: Column) -> tuple[Column, Column]:
+    """Soft-clipped bases at the begin and at the end."""
+    n = lambda pattern: F.coalesce(F.nullif(F.regexp_extract(cigar, pattern, 1), F.lit("")).cast("long"), F.lit(0))
+    return n(r"^(?:\d+H)?(\d+)S"), n(r"[^0-9](\d+)S(?:\d+H)?$")
+
+
 def bam_codes(cigar: Column) -> Column:
     """array<long>: length << 4 | code of each operation, as BAM has them."""
     return F.transform(tokens(cigar), lambda t: F.shiftleft(t["n"].cast("long"), 4).bitwiseOR((F.instr(F.lit(OPS), t["op"]) - 1).cast("long")))

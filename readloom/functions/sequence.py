@@ -47,6 +47,14 @@ def pack_bases(base: Column, lenient: bool = False) -> Column:
     return F.transform(first, lambda at: F.conv(F.reverse(F.substring(digits, at, F.lit(BASES_PER_WORD))), 8, 10).cast("long"))
 
 
+def unpack_bases(words: Column) -> Column:
+    """The bases of packed words, up to END; a word without an end and unused codes fail."""
+    digits = F.array_join(F.transform(words, lambda w: F.reverse(F.lpad(F.conv(w.cast("string"), 10, 8), BASES_PER_WORD, "0"))), "")
+    known = F.regexp_extract(digits, rf"^([0-{len(BASES) - 1}]*){END_CODE}", 1)
+    bad = F.raise_error(F.lit("packed bases without an end or with an unused code")).cast("string")
+    return F.when(digits.rlike(rf"^[0-{len(BASES) - 1}]*{END_CODE}"), F.translate(known, "".join(map(str, range(len(BASES)))), BASES)).when(words.isNotNull(), bad)
+
+
 def base_at(words: Column, place: Column) -> Column:
     """The base at a place (from 0) of packed words; null at END and beyond."""
     word = F.get(words, F.floor(place / BASES_PER_WORD).cast("int"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,6 +41,16 @@ def position_lookup(alignments: DataFrame, wanted: DataFrame) -> DataFrame:
     return alignments.join(wanted, ["ref_index", "position", "meta"])
 
 
+def position_range(rows: DataFrame, ref_index: int, low: int, high: int) -> DataFrame:
+    """Alignments of a contig with low <= position < high. Of a table that was written in coordinate order, only files and row groups that may hold them are read."""
+    return rows.where((F.col("ref_index") == ref_index) & (F.col("position") >= low) & (F.col("position") < high))
+
+
+def with_next(rows: DataFrame, column: str, chunk: str = "chunk", ordinal: str = "ordinal") -> DataFrame:
+    """Rows with `next`, the value of the next row of the chunk (null in the last)."""
+    return rows.withColumn("next", F.lead(column).over(Window.partitionBy(chunk).orderBy(ordinal)))
+
+
 def coordinate_sorted(alignments: DataFrame) -> DataFrame:
     return alignments.orderBy("ref_index", "position", "ordinal")
 

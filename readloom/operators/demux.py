@@ -24,16 +24,18 @@ def assign(reads: DataFrame, barcodes: DataFrame, length: int, barcode: str = "b
 
     The answer depends on the first `length` bases alone, so it is found once for each
     distinct key (a map-side distinct) and joined back. Rescue is an equi-join on the key with
-    one place masked, which meets all barcodes at a distance of one or less.
+    one place masked, which meets all barcodes at a distance of one or less. Of equal barcodes the
+    last (by `line`, where the list has it, else by name) counts; two barcodes of one name are
+    two candidates.
     """
     key = F.substring(F.col(barcode), 1, length)
-    known = barcodes.groupBy("b1").agg(F.last("name").alias("name"))
+    known = barcodes.groupBy("b1").agg(F.max_by("name", "line" if "line" in barcodes.columns else "name").alias("name"))
     masks = F.transform(F.sequence(F.lit(1), F.lit(length)), lambda i: F.concat(F.substring("key", F.lit(1), i - 1), F.lit("\0"), F.substring("key", i + 1, F.lit(length))))
     keys = reads.select(key.alias("key")).where("key is not null").distinct()
     exact = keys.join(known, keys["key"] == known["b1"], "left").select("key", "name")
     missed = exact.where(F.col("name").isNull() & (F.length("key") == length)).select("key", F.explode(masks).alias("mask"))
     masked = known.select(F.col("b1").alias("key"), F.col("name").alias("candidate")).where(F.length("key") == length).select("candidate", F.explode(masks).alias("mask"))
-    rescued = missed.join(masked, "mask").groupBy("key").agg(F.min("candidate").alias("low"), F.max("candidate").alias("high")).where("low = high").select("key", F.col("low").alias("saved"))
+    rescued = missed.join(masked, "mask").groupBy("key").agg(F.min("candidate").alias("saved"), F.count("*").alias("n")).where("n = 1").select("key", "saved")  # a barcode meets a key once
     found = exact.join(rescued, "key", "left").select(F.col("key").alias("own_key"), F.coalesce("name", "saved").alias("sample"), F.when(F.col("name").isNotNull(), EXACT).when(F.col("saved").isNotNull(), RESCUED).otherwise(REJECTED).alias("status"))
     return reads.join(found, key == found["own_key"], "left").drop("own_key").withColumn("status", F.coalesce("status", F.lit(REJECTED)))
 

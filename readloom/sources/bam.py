@@ -48,11 +48,59 @@ def record(r: dict) -> bytes:
     base = r["base"].upper().encode("ascii", "replace")
     packed = bytes.fromhex(base.translate(_DIGIT).decode() + "0" * (len(base) % 2))
     codes = r["codes"] or []
+    if r["qual"] is not None and len(r["qual"]) != len(base):
+        raise ValueError(f"bases and qualities of {r['name']} differ in length")
+    scores = b"\xff" * len(base) if r["qual"] is None else r["qual"].encode("latin-1").translate(_SCORE)  # 0xff: none
     body = struct.pack("<iiBBHHHiiii", r["ref_index"], r["position"], len(name), r["mapping_quality"], r["bin"] & 0xFFFF, len(codes), r["flag"], len(base), r["next_index"], r["next_position"], r["template_length"])
-    body += name + struct.pack(f"<{len(codes)}I", *codes) + packed + (r["qual"] or "").encode("latin-1").translate(_SCORE)
+    body += name + struct.pack(f"<{len(codes)}I", *codes) + packed + scores
     return struct.pack("<i", len(body)) + body
 
 
+_RECORD = pa.schema([("name", pa.string()), ("flag", pa.int32()), ("ref_index", pa.int32()), ("position", pa.int64()), ("mapping_quality", pa.int32()), ("bin", pa.int32()), ("cigar", pa.string()), ("next_index", pa.int32()), ("next_position", pa.int64()), ("template_length", pa.int64()), ("base", pa.string()), ("qual", pa.string())])
+RECORD = "name string, flag int, ref_index int, position long, mapping_quality int, bin int, cigar string, next_index int, next_position long, template_length long, base string, qual string"
+
+
+def unblocked(raw: bytes) -> bytes:
+    """The data of BGZF blocks; a wrong checksum fails."""
+    out, at = [], 0
+    while at < len(raw):
+        size = struct.unpack_from("<H", raw, at + 16)[0] + 1
+        part = zlib.decompress(raw[at + 18 : at + size - 8], -15)
+        if struct.unpack_from("<2I", raw, at + size - 8) != (zlib.crc32(part), len(part)):
+            raise ValueError("a broken block")
+        out.append(part)
+        at += size
+    return b"".join(out)
+
+
+def records(data: bytes) -> pa.RecordBatch:
+    """The records of unpacked BAM data without its header, as columns."""
+    out, at = [], 0
+    while at < len(data):
+        size, ref, pos, l_name, quality, bin_, n_codes, flag, n, next_ref, next_pos, length = struct.unpack_from("<iiiBBHHHiiii", data, at)
+        p = at + 36
+        name, p = data[p : p + l_name - 1].decode(), p + l_name
+        codes, p = struct.unpack_from(f"<{n_codes}I", data, p), p + 4 * n_codes
+        base, p = "".join(NIBBLES[int(d, 16)] for d in data[p : p + (n + 1) // 2].hex()[:n]), p + (n + 1) // 2
+        scores = data[p : p + n]
+        qual = None if scores == b"\xff" * n and n else bytes(b + 33 for b in scores).decode("latin-1")
+        out.append((name, flag, ref, pos, quality, bin_, "".join(f"{c >> 4}{cigar.OPS[c & 15]}" for c in codes), next_ref, next_pos, length, base, qual))
+        at += size + 4
+    columns = zip(*out, strict=True) if out else [[] for _ in _RECORD]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _RECORD.types, strict=True)], schema=_RECORD)
+
+
+def decoded(made: DataFrame) -> DataFrame:
+    """The records of `parts`, read back."""
+
+    def work(batches):
+        for b in batches:
+            for data in b.column("data").to_pylist():
+                yield records(unblocked(data))
+
+    return made.select("data").mapInArrow(work, RECORD)
+
+
 def fields(rows: DataFrame) -> DataFrame:
     """What a record has, from rows(ordinal, base, qual, meta, aln); rows without alignment are left out.
 

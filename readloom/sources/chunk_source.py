@@ -1,44 +1,61 @@
-"""Datasets of chunk files as a Spark data source, format("readchunks").
+"""Datasets of chunk files as a Spark data source, format("readchunks"), for batches and as a stream.
 
 Reading: a partition for each chunk; option columns (comma-separated) opens only those
-files; filters on ordinal drop chunks before they are opened. Writing: rows must come with
-ordinal and, for several samples, in folders of their own; each task writes its chunks,
-and the manifest is written once, on commit. Paths must be on a file system that all
-executors mount; other stores are read with `read_chunks`, through Spark's own readers.
+files; filters on ordinal drop chunks before they are opened. As a stream, the chunks that the
+manifest has got since come as new rows. Writing: rows must come with ordinal and, for
+several samples, in folders of their own; each task writes its chunks, and the manifest is
+written once, on commit. Paths are folders that all executors mount, or addresses of stores
+that Arrow opens; options store.* configure the store. What only Spark opens is read with `read_chunks`.
 """
 
 from __future__ import annotations
 
 import json
-import os
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 from ..schema import ALIGNMENT
-from . import chunk_format
+from . import chunk_format, text
+from .store import Store
 
 _PLACE = pa.struct([("position", pa.int64()), ("ref_index", pa.int32()), ("contig", pa.string())])
 _ALN = pa.struct([("flag", pa.int32()), ("mapping_quality", pa.int32()), ("position", _PLACE), ("next_position", _PLACE), ("template_length", pa.int64()), ("cigar", pa.string())])
-
-
-def _local(path: str) -> str:
-    return path.removeprefix("file://")
+MANIFEST = "metadata.json"
 
 
 def _values(column: str, records: list[bytes]) -> pa.Array:
     if column == "aln":
         return pa.array([chunk_format.decode_message(r) if r else None for r in records], _ALN)
-    return pa.array([r.decode() for r in records], pa.string())
+    return pa.array(records, pa.binary()).cast(pa.string())
+
+
+def _chunk(column: str, values: pa.Array, name: str, first: int) -> bytes:
+    """A chunk file; null is an empty record."""
+    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    if column == "aln":
+        records = [chunk_format.encode_message(r) if r is not None else b"" for r in values.to_pylist()]
+        return chunk_format.encode(records, name, first, chunk_format.STRUCTURED)
+    return chunk_format.encode([r or b"" for r in values.cast(pa.binary()).to_pylist()], name, first, chunk_format.TEXT)
 
 
 def _type(column: str) -> str:
     return ALIGNMENT if column == "aln" else "string"
 
 
+def _manifest(store: Store) -> dict:
+    return json.loads(store.read(MANIFEST))
+
+
+def _dense(ordinals: list[int], first: int) -> None:
+    if ordinals != list(range(first, first + len(ordinals))):
+        raise ValueError("the ordinals of a chunk must be dense and in order")
+
+
 @dataclass
 class ChunkPartition(InputPartition):
     path: str
@@ -47,8 +64,8 @@ class ChunkPartition(InputPartition):
 
 
 class ChunkReader(DataSourceReader):
-    def __init__(self, folder: str, columns: list[str]):
-        self.folder, self.columns, self.low, self.high = folder, columns, None, None
+    def __init__(self, store: Store, columns: list[str]):
+        self.store, self.columns, self.low, self.high = store, columns, None, None
 
     def pushFilters(self, filters):
         for f in filters:
@@ -61,72 +78,101 @@ class ChunkReader(DataSourceReader):
                     self.high = high if self.high is None else min(self.high, high)
             yield f  # only chunks are dropped here; Spark filters the rows
 
+    def chunks(self) -> list[ChunkPartition]:
+        return [ChunkPartition(r["path"], r["first"], r["last"]) for r in sorted(_manifest(self.store)["records"], key=lambda r: r["first"])]
+
     def partitions(self):
-        with open(f"{self.folder}/metadata.json", encoding="utf-8") as f:
-            records = sorted(json.load(f)["records"], key=lambda r: r["first"])
-        return [ChunkPartition(r["path"], r["first"], r["last"]) for r in records if (self.low is None or r["last"] > self.low) and (self.high is None or r["first"] < self.high)]
+        return [c for c in self.chunks() if (self.low is None or c.last > self.low) and (self.high is None or c.first < self.high)]
 
     def read(self, partition):
         columns, n = [], partition.last - partition.first
         for c in self.columns:
-            with open(f"{self.folder}/{partition.path}.{c}", "rb") as f:
-                chunk = chunk_format.decode(f.read())
+            chunk = chunk_format.decode(self.store.read(f"{partition.path}.{c}"))
             if len(chunk.records) != n:
                 raise chunk_format.FormatError(f"{partition.path}.{c} has {len(chunk.records)} records, the manifest {n}")
             columns.append(_values(c, chunk.records))
         yield pa.RecordBatch.from_arrays([pa.array(range(partition.first, partition.last), pa.int64()), *columns], names=["ordinal", *self.columns])
 
 
+class ChunkStream(DataSourceStreamReader):
+    """The chunks of a dataset that grows at its end; the offset is the number of chunks that were read."""
+
+    def __init__(self, store: Store, columns: list[str]):
+        self.reader = ChunkReader(store, columns)
+
+    def initialOffset(self):
+        return {"chunks": 0}
+
+    def latestOffset(self):
+        return {"chunks": len(self.reader.chunks())}
+
+    def partitions(self, start, end):
+        return self.reader.chunks()[start["chunks"] : end["chunks"]]
+
+    def read(self, partition):
+        return self.reader.read(partition)
+
+    def commit(self, end):
+        pass
+
+
 @dataclass
 class Written(WriterCommitMessage):
     records: list[tuple[int, int, str]]
 
 
 class ChunkWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str, name: str, columns: list[str], overwrite: bool, size: int):
-        self.folder, self.name, self.columns, self.overwrite, self.size = folder, name, columns, overwrite, size
-        if os.path.exists(f"{folder}/metadata.json") and not overwrite:
-            raise FileExistsError(f"{folder} holds a dataset")
+    def __init__(self, store: Store, name: str, columns: list[str], overwrite: bool, size: int):
+        self.store, self.name, self.columns, self.size = store, name, columns, size
+        self.old: set[str] = set()
+        if store.exists(MANIFEST):
+            if not overwrite:
+                raise FileExistsError(f"{store.folder} holds a dataset")
+            found = _manifest(store)
+            self.old = {f"{r['path']}.{c}" for r in found["records"] for c in found["columns"]}
 
     def write(self, iterator):
-        os.makedirs(self.folder, exist_ok=True)
-        made, held = [], {}
-        for batch in iterator:
-            rows = batch.to_pylist()
-            for r in rows:
-                held.setdefault(r["ordinal"] // self.size, []).append(r)
-            for k in sorted(held)[:-1]:  # rows come by ordinal
-                made.append(self._chunk(held.pop(k)))
-        made += [self._chunk(held[k]) for k in sorted(held)]
+        made, held, now = [], [], None
+        for rows in iterator:  # by ordinal
+            ordinals = rows.column("ordinal").to_numpy()
+            at = 0
+            while at < rows.num_rows:
+                k = int(ordinals[at]) // self.size
+                to = int(ordinals.searchsorted((k + 1) * self.size))
+                if to <= at:
+                    raise ValueError("the ordinals of a chunk must be dense and in order")
+                if held and k != now:
+                    made.append(self._put(held))
+                    held = []
+                held.append(rows.slice(at, to - at))
+                at, now = to, k
+        if held:
+            made.append(self._put(held))
         return Written(made)
 
-    def _chunk(self, rows):
-        first = rows[0]["ordinal"]
-        if [r["ordinal"] for r in rows] != list(range(first, first + len(rows))):
-            raise ValueError("the ordinals of a chunk must be dense and in order")
+    def _put(self, batches):
+        rows = pa.Table.from_batches(batches)
+        ordinals = rows.column("ordinal").to_pylist()
+        first = ordinals[0]
+        _dense(ordinals, first)
         path = f"{self.name}_{first}"
         for c in self.columns:
-            records = [(chunk_format.encode_message(r[c]) if r[c] is not None else b"") if c == "aln" else (r[c] or "").encode() for r in rows]
-            raw = chunk_format.encode(records, self.name, first, chunk_format.STRUCTURED if c == "aln" else chunk_format.TEXT)
-            temporary = f"{self.folder}/.{path}.{c}.{os.getpid()}"
-            with open(temporary, "wb") as f:
-                f.write(raw)
-            os.replace(temporary, f"{self.folder}/{path}.{c}")  # a repeated task writes the same
-        return first, first + len(rows), path
+            self.store.write(f"{path}.{c}", _chunk(c, rows.column(c), self.name, first))  # a repeated task writes the same
+        return first, first + len(ordinals), path
 
     def commit(self, messages):
         records = sorted(r for m in messages if m for r in m.records)
+        if any(a[1] > b[0] for a, b in zip(records, records[1:], strict=False)):
+            raise ValueError("chunks overlap; the rows of a chunk must come to one task")
         found = {"name": self.name, "version": 1, "columns": self.columns, "records": [{"first": a, "last": b, "path": p} for a, b, p in records]}
-        os.makedirs(self.folder, exist_ok=True)
-        with open(f"{self.folder}/metadata.json", "w", encoding="utf-8") as f:
-            json.dump(found, f)
+        self.store.write(MANIFEST, json.dumps(found).encode())
+        for name in (self.old & self.store.names()) - {f"{p}.{c}" for _, _, p in records for c in self.columns}:
+            self.store.delete(name)
 
     def abort(self, messages):
-        for m in messages:
-            for _, _, path in m.records if m else []:
-                for c in self.columns:
-                    if os.path.exists(f"{self.folder}/{path}.{c}"):
-                        os.remove(f"{self.folder}/{path}.{c}")
+        here = self.store.names() if messages else set()
+        for name in here & {f"{p}.{c}" for m in messages if m for _, _, p in m.records for c in self.columns}:
+            self.store.delete(name)
 
 
 class ChunkSource(DataSource):
@@ -134,9 +180,11 @@ class ChunkSource(DataSource):
     def name(cls):
         return "readchunks"
 
+    def _store(self) -> Store:
+        return Store(self.options["path"], {k.removeprefix("store."): v for k, v in self.options.items() if k.startswith("store.")})
+
     def _columns(self) -> list[str]:
-        with open(f"{_local(self.options['path'])}/metadata.json", encoding="utf-8") as f:
-            have = json.load(f)["columns"]
+        have = _manifest(self._store())["columns"]
         wanted = [c.strip() for c in self.options.get("columns", ",".join(have)).split(",")]
         if missing := [c for c in wanted if c not in have]:
             raise ValueError(f"the dataset has no column {missing[0]}")
@@ -146,11 +194,14 @@ class ChunkSource(DataSource):
         return ", ".join(["ordinal bigint", *(f"{c} {_type(c)}" for c in self._columns())])
 
     def reader(self, schema):
-        return ChunkReader(_local(self.options["path"]), [f.name for f in schema.fields if f.name != "ordinal"])
+        return ChunkReader(self._store(), [f.name for f in schema.fields if f.name != "ordinal"])
+
+    def streamReader(self, schema):
+        return ChunkStream(self._store(), [f.name for f in schema.fields if f.name != "ordinal"])
 
     def writer(self, schema, overwrite):
-        folder = _local(self.options["path"])
-        return ChunkWriter(folder, self.options.get("dataset", os.path.basename(folder.rstrip("/"))), [f.name for f in schema.fields if f.name != "ordinal"], overwrite, int(self.options.get("chunk", 100_000)))
+        store = self._store()
+        return ChunkWriter(store, self.options.get("dataset", store.folder.rpartition("/")[2]), [f.name for f in schema.fields if f.name != "ordinal"], overwrite, int(self.options.get("chunk", 100_000)))
 
 
 def register(spark: SparkSession) -> None:
@@ -158,53 +209,97 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ChunkSource)
 
 
-def write(rows: DataFrame, folder: str, name: str, chunk: int = 100_000, mode: str = "append") -> None:
-    """Rows with dense ordinals as a dataset: dealt by chunk, so that no chunk is split between tasks."""
+def _options(store: dict[str, str] | None) -> dict[str, str]:
+    return {f"store.{k}": v for k, v in (store or {}).items()}
+
+
+def write(rows: DataFrame, folder: str, name: str, chunk: int = 100_000, mode: str = "append", store: dict[str, str] | None = None) -> None:
+    """Rows with dense ordinals as a dataset: dealt by chunk, so that no chunk is split between tasks.
+
+    mode overwrite replaces a dataset and deletes the files of its chunks that aren't written again.
+    """
     if chunk <= 0:
         raise ValueError("the chunk size must be positive")
     register(rows.sparkSession)
     dealt = rows.repartition(F.floor(F.col("ordinal") / chunk)).sortWithinPartitions("ordinal")
-    dealt.write.format("readchunks").option("dataset", name).option("chunk", chunk).mode(mode).save(folder)
+    dealt.write.format("readchunks").options(dataset=name, chunk=chunk, **_options(store)).mode(mode).save(folder)
 
 
-def append_column(spark: SparkSession, folder: str, rows: DataFrame, column: str) -> None:
-    """Chunk files of one more column for a dataset, from rows(ordinal, column); the manifest is replaced last."""
-    from . import text
+def append_column(spark: SparkSession, folder: str, rows: DataFrame, column: str, ref_genome: list[tuple[str, int]] | None = None, store: dict[str, str] | None = None) -> None:
+    """Chunk files of one more column for a dataset, from rows(ordinal, column); the manifest is replaced last.
 
-    local = _local(folder)
-    chunks = text.chunks(text.manifest(spark, f"{folder}/metadata.json"))
-    placed = rows.select("ordinal", column).join(F.broadcast(chunks), (F.col("ordinal") >= F.col("first")) & (F.col("ordinal") < F.col("last")))
+    Fails, and leaves the manifest as it is, unless there is a row for each ordinal of the dataset.
+    Rows find their chunk by an equi-join with stretches of ordinals, two of a chunk at most.
+    """
+    files = Store(folder, store)
+    found = _manifest(files)
+    name, records = found["name"], [(r["first"], r["last"], r["path"]) for r in found["records"]]
+    size = max([b - a for a, b, _ in records], default=1) or 1
+    chunks = spark.createDataFrame(records, "first bigint, last bigint, path string").where("last > first")
+    bins = chunks.withColumn("bin", F.explode(F.array_distinct(F.array(F.floor(F.col("first") / size), F.floor((F.col("last") - 1) / size)))))
+    placed = rows.select("ordinal", column).withColumn("bin", F.floor(F.col("ordinal") / size)).join(bins, "bin").where("ordinal >= first and ordinal < last").drop("bin")
 
     def put(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        found = sorted(table.to_pylist(), key=lambda r: r["ordinal"])
-        records = [(chunk_format.encode_message(r[column]) if r[column] is not None else b"") if column == "aln" else (r[column] or "").encode() for r in found]
-        if len(records) != found[0]["last"] - found[0]["first"]:
+        table = table.sort_by("ordinal")
+        first, last = table.column("first")[0].as_py(), table.column("last")[0].as_py()
+        ordinals = table.column("ordinal").to_pylist()
+        _dense(ordinals, first)
+        if len(ordinals) != last - first:
             raise ValueError("a chunk's rows are not complete")
-        with open(f"{local}/{found[0]['path']}.{column}", "wb") as f:
-            f.write(chunk_format.encode(records, found[0]["name"], found[0]["first"], chunk_format.STRUCTURED if column == "aln" else chunk_format.TEXT))
-        return pa.table({"n": pa.array([len(records)], pa.int64())})
+        files.write(f"{key[0].as_py()}.{column}", _chunk(column, table.column(column), name, first))
+        return pa.table({"n": pa.array([len(ordinals)], pa.int64())})
+
+    n = placed.groupBy("path").applyInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
+    if n != sum(b - a for a, b, _ in records):
+        raise ValueError("there are not rows for all chunks of the dataset")
+    update_manifest(folder, column, ref_genome, store)
+
+
+def update_manifest(folder: str, column: str | None = None, ref_genome: list[tuple[str, int]] | None = None, store: dict[str, str] | None = None) -> None:
+    """Add a column to a dataset's manifest, once, and replace its reference (contigs as name and length)."""
+    files = Store(folder, store)
+    found = _manifest(files)
+    if column and column not in found["columns"]:
+        found["columns"].append(column)
+    if ref_genome is not None:
+        found["ref_genome"] = [{"name": n, "length": size} for n, size in ref_genome]
+    files.write(MANIFEST, json.dumps(found).encode())
+
+
+def load(spark: SparkSession, folder: str, columns: list[str] | None = None, store: dict[str, str] | None = None) -> DataFrame:
+    register(spark)
+    reader = spark.read.format("readchunks").options(**_options(store))
+    return (reader.option("columns", ",".join(columns)) if columns else reader).load(folder)
+
 
-    placed.groupBy("path").applyInArrow(put, "n long").agg(F.sum("n")).collect()
-    with open(f"{local}/metadata.json", encoding="utf-8") as f:
-        found = json.load(f)
-    found["columns"] = [*found["columns"], *([column] if column not in found["columns"] else [])]
-    with open(f"{local}/metadata.json", "w", encoding="utf-8") as f:
-        json.dump(found, f)
+def load_list(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """All rows of the datasets whose manifests a JSON list names, with `dataset`, the name in the manifest."""
+    parts = []
+    for manifest in text.dataset_list(spark, path):
+        folder = manifest.removesuffix(f"/{MANIFEST}")
+        parts.append(load(spark, folder, columns).withColumn("dataset", F.lit(_manifest(Store(folder))["name"])))
+    if not parts:
+        raise ValueError(f"{path} names no dataset")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_chunks(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
-    """ordinal and columns of a dataset in any store that Spark reads; the files of a chunk meet in one task."""
+    """ordinal and columns of a dataset in any store that Spark reads: the chunks that the manifest names, whose files meet in one task."""
+    named = text.manifest(spark, f"{folder}/{MANIFEST}")
+    chunks = named.select(F.explode("records").alias("r")).select(F.col("r.path").alias("chunk"), (F.col("r.last") - F.col("r.first")).alias("n"))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join([*columns, "none"]) + "}").load(folder)
     files = files.select(F.regexp_extract("path", r"([^/]*)\.([^./]*)$", 1).alias("chunk"), F.regexp_extract("path", r"\.([^./]*)$", 1).alias("column"), "content")
 
     def rows(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        found = {r["column"]: chunk_format.decode(r["content"]) for r in table.to_pylist()}
+        found = {r["column"]: chunk_format.decode(r["content"]) for r in table.to_pylist() if r["column"] is not None}
         if missing := [c for c in columns if c not in found]:
             raise chunk_format.FormatError(f"chunk {key[0]} has no column {missing[0]}")
         one = found[columns[0]]
+        if any(len(found[c].records) != table.column("n")[0].as_py() for c in columns):
+            raise chunk_format.FormatError(f"chunk {key[0]} has not the records of the manifest")
         return pa.Table.from_arrays([pa.array(range(one.first, one.last), pa.int64()), *(_values(c, found[c].records) for c in columns)], names=["ordinal", *columns])
 
-    return files.groupBy("chunk").applyInArrow(rows, ", ".join(["ordinal bigint", *(f"{c} {_type(c)}" for c in columns)]))
+    return chunks.join(files, "chunk", "left").groupBy("chunk").applyInArrow(rows, ", ".join(["ordinal bigint", *(f"{c} {_type(c)}" for c in columns)]))
 
 
 def write_samples(assigned: DataFrame, folder: str, chunk: int = 100_000) -> list[tuple[str, str]]:

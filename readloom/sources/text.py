@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import FEATURES, MANIFEST
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, line (from 0) of one file. Plain or compressed (.gz, which is one task until it is read)."""
-    context, encoders = spark.sparkContext._jsc.sc(), spark._jvm.org.apache.spark.sql.Encoders
-    numbered = context.textFile(path, context.defaultMinPartitions()).zipWithIndex()
-    rows = spark._jsparkSession.createDataset(numbered, encoders.tuple(encoders.STRING(), encoders.LONG()))  # no line passes through Python
-    return DataFrame(rows.toDF(), spark).toDF("value", "line")
+def _lines(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
+    """value, line (from 0) of one file. Plain or compressed (.gz, which is one task until it is read).
+
+    Lines are counted for each split of the file; a line's number is its place in the split and
+    the lines of those before, a broadcast table with a row for each split.
+    """
+    rows = spark.read.option("lineSep", separator).text(path).select("value", F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"))
+    counts = rows.groupBy("split").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(F.broadcast(counts.select("split", "low", before.alias("before"))), "split").select("value", (F.col("before") + F.col("id") - F.col("low")).alias("line"))
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
@@ -44,13 +48,21 @@ def gtf(spark: SparkSession, path: str) -> DataFrame:
 
 
 def barcodes(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    """(name, b1) rows and the length of the barcodes. The header must be Name, B1; lengths must agree."""
-    rows = spark.read.csv(path, sep="\t", header=True, inferSchema=False)
-    if rows.columns != ["Name", "B1"]:
+    """(name, b1, line) rows and the length of the barcodes. The header must be Name, B1; lengths must agree.
+
+    The list ends at the first blank line; of equal barcodes the last counts.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
+    first = lines.where("line = 0").first()
+    if first is None or first.value != "Name\tB1":
         raise ValueError("a barcode list has the columns Name and B1")
-    out = rows.where("Name is not null and B1 is not null").select(F.col("Name").alias("name"), F.col("B1").alias("b1"))
-    low, high = out.agg(F.min(F.length("b1")), F.max(F.length("b1"))).first()
-    if low is None or low != high:
+    end = lines.where(F.trim("value") == "").agg(F.min("line")).first()[0]
+    part = F.split("value", "\t")
+    rows = lines.where(F.col("line") > 0) if end is None else lines.where((F.col("line") > 0) & (F.col("line") < end))
+    rows = rows.select(part[0].alias("name"), F.get(part, F.lit(1)).alias("b1"), "line")
+    out = rows.groupBy("b1").agg(F.max_by("name", "line").alias("name"), F.max("line").alias("line")).select("name", "b1", "line")
+    low, high, missing = out.agg(F.min(F.length("b1")), F.max(F.length("b1")), F.count_if(F.col("b1").isNull() | (F.col("b1") == ""))).first()
+    if low is None or low != high or missing:
         raise ValueError("barcodes are missing or differ in length")
     return out, low
 
@@ -91,8 +103,15 @@ def with_column(manifests: DataFrame, column: str, ref_genome=None) -> DataFrame
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """ref_index, name, length, sequence of the contigs of one FASTA file, in its order."""
-    records = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
-    numbered = spark.createDataFrame(records.rdd.map(lambda r: r.value).zipWithIndex(), "value string, ref_index long")
-    body = F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", ""))
-    return numbered.select(F.col("ref_index").cast("int").alias("ref_index"), F.regexp_extract("value", r"^\S+", 0).alias("name"), F.length(body).cast("long").alias("length"), body.alias("sequence"))
+    """ref_index, name, length, sequence of the contigs of one FASTA file, in its order.
+
+    A contig begins with a line that begins with >, whatever stands further on in it; its name
+    ends at the first space. Lines before the first contig are left out.
+    """
+    records = _lines(spark, path, "\n>")
+    preamble = F.when((F.col("line") == 0) & ~F.col("value").startswith(">"), 1).otherwise(0)
+    lead = records.where("line = 0").agg(F.max(preamble)).first()[0] or 0
+    value = F.regexp_replace("value", "^>", "")
+    body = F.upper(F.regexp_replace(F.regexp_replace(value, r"^[^\n]*\n?", ""), r"\s", ""))
+    out = records.where(F.col("line") >= lead).select((F.col("line") - lead).cast("int").alias("ref_index"), F.regexp_extract(value, r"^\S*", 0).alias("name"), body.alias("sequence"))
+    return out.where("name <> '' or sequence <> ''").select("ref_index", "name", F.length("sequence").cast("long").alias("length"), "sequence")

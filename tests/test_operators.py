@@ -3,7 +3,7 @@ import random
 import duckdb
 import pytest
 from readloom.functions import cigar, flags, sequence
-from readloom.operators import align, alignments, chunking, demux, genecount, overlap
+from readloom.operators import align, alignments, chunking, demux, genecount, overlap, pairs
 from readloom.plans import queries
 from readloom.plans.fixtures import Fixtures
 from readloom.streaming import workqueue
@@ -140,7 +140,7 @@ def test_align_recovers_places(spark):
 
 def test_template_length(spark):
     df = spark.createDataFrame([(10, 20, 50, 60), (50, 60, 10, 20)], "a int, b int, c int, d int")
-    assert [r[0] for r in df.select(align.template_length(*map(F.col, "abcd"))).collect()] == [50, -50]
+    assert [r[0] for r in df.select(pairs.template_length(*map(F.col, "abcd"))).collect()] == [50, -50]
 
 
 def test_queue_goes_on_after_restart(spark, tmp_path):

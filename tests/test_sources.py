@@ -42,7 +42,10 @@ def test_gtf(spark, tmp_path):
 def test_barcodes(spark, tmp_path):
     (tmp_path / "b.txt").write_text("Name\tB1\nT0A\tGTCAAG\nT0B\tATGTAA\n")
     rows, length = text.barcodes(spark, str(tmp_path / "b.txt"))
-    assert length == 6 and sorted(map(tuple, rows.collect())) == [("T0A", "GTCAAG"), ("T0B", "ATGTAA")]
+    assert length == 6 and sorted((r.name, r.b1) for r in rows.collect()) == [("T0A", "GTCAAG"), ("T0B", "ATGTAA")]
+    (tmp_path / "d.txt").write_text("Name\tB1\nA\tGTC\nB\tATG\nC\tGTC\n\nD\tAAAA\n")
+    rows, _ = text.barcodes(spark, str(tmp_path / "d.txt"))
+    assert sorted((r.name, r.b1) for r in rows.collect()) == [("B", "ATG"), ("C", "GTC")]
     for bad in ("Name\tB2\nA\tAC\n", "Name\tB1\nA\tAC\nB\tACG\n", "Name\tB1\n"):
         (tmp_path / "c.txt").write_text(bad)
         with pytest.raises(ValueError):
@@ -190,5 +193,10 @@ def test_bam_in_parts(spark, tmp_path):
 
 def test_bam_bases_and_scores():
     read = {"name": "r", "base": "acgtnX", "qual": "!I~", "codes": None, "ref_index": 0, "position": 0, "mapping_quality": 0, "bin": 0, "flag": 0, "next_index": -1, "next_position": -1, "template_length": 0}
-    assert bam.record(read).endswith(b"r\0" + bytes([0x12, 0x48, 0xFF]) + bytes([0, 40, 93]))
-    assert bam.record(read | {"base": "A=C", "qual": None}).endswith(b"r\0" + bytes([0x10, 0x20]))
+    with pytest.raises(ValueError, match="differ in length"):
+        bam.record(read)
+    assert bam.record(read | {"qual": "!I~!!!"}).endswith(b"r\0" + bytes([0x12, 0x48, 0xFF]) + bytes([0, 40, 93, 0, 0, 0]))
+    none = bam.record(read | {"base": "A=C", "qual": None})
+    assert none.endswith(b"r\0" + bytes([0x10, 0x20]) + b"\xff" * 3) and struct.unpack_from("<i", none)[0] == len(none) - 4
+    back = bam.records(none + bam.record(read | {"qual": "!I~!!!"})).to_pylist()
+    assert [(r["base"], r["qual"]) for r in back] == [("A=C", None), ("ACGTNN", "!I~!!!")]
