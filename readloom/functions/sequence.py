@@ -59,7 +59,9 @@ def base_at(words: Column, place: Column) -> Column:
     """The base at a place (from 0) of packed words; null at END and beyond."""
     word = F.get(words, F.floor(place / BASES_PER_WORD).cast("int"))
     code = F.call_function("shiftright", word, (place % BASES_PER_WORD).cast("int") * 3).bitwiseAND(7)
-    return F.when(code < len(BASES), F.substring(F.lit(BASES), code.cast("int") + 1, 1))
+    # END is the highest digit that is set in the last word
+    length = (F.size(words) - 1) * BASES_PER_WORD + F.length(F.conv(F.element_at(words, -1).cast("string"), 10, 8)) - 1
+    return F.when((place < length) & (code < len(BASES)), F.substring(F.lit(BASES), code.cast("int") + 1, 1))
 
 
 def bam_bin(begin: Column, end: Column) -> Column:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar, flags, sequence
-from ..operators import align, alignments, chunking, demux, genecount, overlap
-from ..sources import bam, chunk_source
+from ..operators import align, alignments, chunking, demux, genecount, overlap, pairs
+from ..sources import bam, chunk_source, dump, text
 from ..streaming import workqueue
 from .fixtures import SAMPLES, WITH, Fixtures
 
@@ -218,17 +218,37 @@ def read_name(x):
     return x.reads.select("ordinal", sequence.read_name(F.col("meta")).alias("name"))
 
 
-_SHORT = "substr(base, 1, CAST(ordinal % 20 AS INT))"
+#: A read and its first ten bases again: two words, and one with END alone.
+_LONG_BASE = "concat(base, substr(base, 1, 10))"
+_CODES = "list_sum(list_transform(range(1, length(part) + 1), lambda i: (instr('ACTGN', part[i]) - 1) * (CAST(1 AS HUGEINT) << (3 * (i - 1))::INT)))"
+_WORD = f"coalesce({_CODES}, 0) + CASE WHEN length(part) < 21 THEN 7 * (CAST(1 AS HUGEINT) << (3 * length(part))::INT) ELSE 0 END"
 
 
-@query(f"SELECT ordinal, CAST(coalesce(list_sum(list_transform(range(1, length(b) + 1), lambda i: (instr('ACTGN', b[i]) - 1) * (8 ** (i - 1)))), 0) + 7 * 8 ** length(b) AS BIGINT) AS word FROM (SELECT ordinal, {_SHORT} AS b FROM rd)".replace("8 ** (i - 1)", "(CAST(1 AS BIGINT) << (3 * (i - 1))::INT)").replace("8 ** length(b)", "(CAST(1 AS BIGINT) << (3 * length(b))::INT)"))
+@query(f"""SELECT ordinal, string_agg(CAST(CASE WHEN size = 32 THEN {_WORD} END AS VARCHAR), ' ' ORDER BY k) AS words, string_agg(CAST(CASE WHEN size = 42 THEN {_WORD} END AS VARCHAR), ' ' ORDER BY k) AS more
+FROM (SELECT ordinal, length(b) AS size, k, substr(b, k * 21 + 1, 21) AS part FROM (SELECT ordinal, b, unnest(range(0, length(b) // 21 + 1)) AS k FROM (SELECT ordinal, base AS b FROM rd UNION ALL SELECT ordinal, {_LONG_BASE} FROM rd))) GROUP BY ordinal""")
 def bases_pack3(x):
-    return x.reads.select("ordinal", F.get(sequence.pack_bases(F.expr(_SHORT)), F.lit(0)).alias("word"))
+    shown = lambda base: F.array_join(F.transform(sequence.pack_bases(base), lambda w: w.cast("string")), " ")
+    return x.reads.select("ordinal", shown(F.col("base")).alias("words"), shown(F.expr(_LONG_BASE)).alias("more"))
 
 
-@query(f"SELECT ordinal, {_SHORT}[3] AS third FROM rd WHERE ordinal % 20 > 2")
+_SIZES = (0, 1, 20, 21, 22, 42)
+
+
+@query("SELECT ordinal, base, " + ", ".join(f"substr({_LONG_BASE}, 1, {n}) AS first_{n}" for n in _SIZES) + " FROM rd")
+def bases_unpack(x):
+    back = lambda base: sequence.unpack_bases(sequence.pack_bases(base))
+    return x.reads.select("ordinal", back(F.col("base")).alias("base"), *[back(F.substring(F.expr(_LONG_BASE), 1, n)).alias(f"first_{n}") for n in _SIZES])
+
+
+@query("SELECT ordinal, place, nullif(substr(base, CAST(place + 1 AS INT), 1), '') AS base FROM rd, (SELECT unnest(range(0, 34)) AS place)")
 def bases_at(x):
-    return x.reads.where("ordinal % 20 > 2").select("ordinal", sequence.base_at(sequence.pack_bases(F.expr(_SHORT)), F.lit(2)).alias("third"))
+    rows = x.reads.withColumn("words", sequence.pack_bases(F.col("base"))).select("ordinal", "words", F.explode(F.sequence(F.lit(0), F.lit(33))).alias("place"))
+    return rows.select("ordinal", F.col("place").cast("long").alias("place"), sequence.base_at(F.col("words"), F.col("place")).alias("base"))
+
+
+@query("SELECT ordinal, regexp_replace(translate(base, 'ACGT', '0123'), '[^0123]', '4', 'g') AS codes FROM rd")
+def base_codes(x):
+    return x.reads.select("ordinal", sequence.base_codes(F.col("base")).alias("codes"))
 
 
 @query(f"""SELECT ordinal, CAST(CASE WHEN b >> 14 = e >> 14 THEN 4681 + (b >> 14) WHEN b >> 17 = e >> 17 THEN 585 + (b >> 17) WHEN b >> 20 = e >> 20 THEN 73 + (b >> 20) WHEN b >> 23 = e >> 23 THEN 9 + (b >> 23) WHEN b >> 26 = e >> 26 THEN 1 + (b >> 26) ELSE 0 END AS INT) AS bin
@@ -238,10 +258,10 @@ def bam_bin(x):
     return x.alignments.select("ordinal", sequence.bam_bin(begin, begin + F.greatest(cigar.reference_span(F.col("cigar"), F.lit(0)), F.lit(1)) * 9).alias("bin"))
 
 
-@query("SELECT al.ordinal AS ordinal, ref_index, position, meta FROM al JOIN rd ON al.ordinal = rd.ordinal WHERE al.ordinal % 50 = 3")
+@query("SELECT al.ordinal AS ordinal, ref_index, position, meta FROM al JOIN rd ON al.ordinal = rd.ordinal")
 def position_lookup(x):
     rows = x.alignments.join(x.reads.select("ordinal", "meta"), "ordinal").select("ordinal", "ref_index", "position", "meta")
-    return alignments.position_lookup(rows, rows.where("ordinal % 50 = 3").drop("ordinal")).select("ordinal", "ref_index", "position", "meta")
+    return alignments.position_lookup(rows, rows.drop("ordinal")).select("ordinal", "ref_index", "position", "meta")
 
 
 @query("SELECT count(*) AS num_aligned, count(*) FILTER (ref_index <> -1) AS num_mapped, count(*) FILTER (ref_index <> -1) * 100.0::DOUBLE / count(*) AS percent_mapped FROM al WHERE NOT is_empty")
@@ -249,16 +269,17 @@ def align_stats(x):
     return alignments.stats(x.alignments.where("not is_empty")).withColumn("percent_mapped", F.col("percent_mapped").cast("double"))
 
 
-@query("SELECT ordinal, contig, sample AS dataset FROM al WHERE sample IN ('T0A', 'T14B')")
+@query("SELECT ordinal, contig, sample AS dataset FROM al")
 def dataset_union(x):
     part = lambda s: x.alignments.where(F.col("sample") == s).select("ordinal", "contig")
-    return alignments.union_of({s: part(s) for s in ("T0A", "T14B")})
+    return alignments.union_of({s: part(s) for s in SAMPLES})
 
 
-@query("SELECT k.ordinal AS ordinal, name, CAST(hamming(k.k, b1) AS INT) AS distance FROM (SELECT ordinal, substr(barcode_base, 1, 6) AS k FROM rd) k, bc WHERE hamming(k.k, b1) <= 1 AND name = 'T0B'")
+@query("SELECT k.ordinal AS ordinal, name, CAST(hamming(k.k, b1) AS INT) AS distance FROM (SELECT ordinal, substr(barcode_base, 1, 6) AS k FROM rd) k, bc")
 def hamming_distance(x):
-    d = sequence.hamming(F.substring("barcode_base", 1, 6), F.lit("ATGTAA"))
-    return x.reads.select("ordinal", F.lit("T0B").alias("name"), d.alias("distance")).where("distance <= 1")
+    known = F.explode(F.array(*[F.struct(F.lit(r["name"]).alias("name"), F.lit(r.b1).alias("b1")) for r in x.barcodes.collect()]))  # four
+    rows = x.reads.select("ordinal", F.substring("barcode_base", 1, 6).alias("k"), known.alias("known"))
+    return rows.select("ordinal", "known.name", sequence.hamming(F.col("k"), F.col("known.b1")).alias("distance"))
 
 
 @query("SELECT ordinal, concat('{\"obj_name\":\"', p, '\",\"pool\":\"\"}') AS message, 'ds' AS dataset, 'in/' AS base FROM (SELECT ordinal, concat('in/ds_', ordinal) AS p FROM rd)")
@@ -267,46 +288,262 @@ def queue_messages(x):
     return x.reads.select("ordinal", F.to_json(F.struct(path.alias("obj_name"), F.lit("").alias("pool"))).alias("message"), sequence.dataset_name(path).alias("dataset"), sequence.path_base(path).alias("base"))
 
 
-def _with_aln(x):
+def _with_aln(x, alignments=None):
     place = F.struct(F.col("position").cast("long").alias("position"), F.col("ref_index").cast("int").alias("ref_index"), F.col("contig").alias("contig"))
     nowhere = F.struct(F.lit(-1).cast("long").alias("position"), F.lit(-1).alias("ref_index"), F.lit("").alias("contig"))
     aln = F.struct(F.col("flag"), F.col("mapping_quality"), place.alias("position"), nowhere.alias("next_position"), F.lit(0).cast("long").alias("template_length"), F.col("cigar"))
-    return x.reads.join(x.alignments, "ordinal").select("ordinal", "base", "qual", "meta", F.when(~F.col("is_empty"), aln).alias("aln"))
+    return x.reads.join(x.alignments if alignments is None else alignments, "ordinal").select("ordinal", "base", "qual", "meta", F.when(~F.col("is_empty"), aln).alias("aln"))
 
 
 def _folder(x) -> str:
-    """A folder for data source files, which driver and executors must share."""
+    """A folder for files of sources and sinks, which driver and executors must share."""
     spark = x.reads.sparkSession
-    shared = (spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file://")
+    shared = (spark.conf.get("spark.checkpoint.dir", None) or "").removeprefix("file:").removeprefix("//")
+    if not shared.startswith("/") and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must be a folder that driver and executors mount")
     return tempfile.mkdtemp(prefix="dataset-", dir=shared if shared.startswith("/") else None)
 
 
-@query("SELECT rd.ordinal AS ordinal, base, qual, meta, CASE WHEN is_empty THEN NULL ELSE cigar END AS cigar, CASE WHEN is_empty THEN NULL ELSE CAST(ref_index AS VARCHAR) END AS ref_index FROM rd JOIN al ON rd.ordinal = al.ordinal WHERE rd.ordinal >= 150")
+_ALN = "CASE WHEN is_empty THEN NULL ELSE cigar END AS cigar, CASE WHEN is_empty THEN NULL ELSE CAST(ref_index AS VARCHAR) END AS ref_index"
+
+
+@query(f"SELECT rd.ordinal AS ordinal, base, qual, meta, {_ALN} FROM rd JOIN al ON rd.ordinal = al.ordinal WHERE rd.ordinal >= 150")
 def chunk_roundtrip(x):
+    """Chunks written, a column appended, read back from a row on, so that earlier chunks are not opened."""
     spark, folder = x.reads.sparkSession, _folder(x)
     chunk_source.write(_with_aln(x).drop("aln"), folder, "reads", 300)
     chunk_source.append_column(spark, folder, _with_aln(x), "aln")
     return spark.read.format("readchunks").load(folder).where("ordinal >= 150").select("ordinal", "base", "qual", "meta", "aln.cigar", F.col("aln.position.ref_index").cast("string").alias("ref_index"))
 
 
-@query()
+@query("SELECT ordinal, reverse(translate(base, 'ACGTN', 'TGCAN')) AS base, qual FROM rd")
+def chunk_overwrite(x):
+    """A dataset written over one of smaller chunks, read by the files that the manifest names."""
+    spark, folder = x.reads.sparkSession, _folder(x)
+    chunk_source.write(x.reads.select("ordinal", "base", "qual", "meta"), folder, "reads", 300)
+    chunk_source.write(x.reads.select("ordinal", sequence.reverse_complement(F.col("base")).alias("base"), "qual"), folder, "reads", 500, "overwrite")
+    return chunk_source.read_chunks(spark, folder, ["base", "qual"])
+
+
+@query("SELECT sample AS dataset, row_number() OVER (PARTITION BY sample ORDER BY rd.ordinal) - 1 AS ordinal, base, meta FROM rd JOIN al ON rd.ordinal = al.ordinal")
+def dataset_list_union(x):
+    """A dataset for each sample, and all of them by a list of their manifests."""
+    spark, folder = x.reads.sparkSession, _folder(x)
+    made = chunk_source.write_samples(x.reads.join(x.alignments.select("ordinal", "sample"), "ordinal"), folder, 400)
+    text.write_dataset_list(spark, [f"{path}/{chunk_source.MANIFEST}" for _, path in made], f"file://{folder}/list")
+    return chunk_source.load_list(spark, f"file://{folder}/list", ["base", "meta"]).select("dataset", "ordinal", "base", "meta")
+
+
+@query("SELECT 'reads' AS name, 'base,meta,aln' AS columns, array_to_string(list(concat(contig, ':', n) ORDER BY contig), ',') AS ref_genome, (SELECT CAST(count(*) AS BIGINT) FROM rd) AS rows FROM (SELECT contig, max(stop) AS n FROM ft GROUP BY contig)")
+def manifest_update(x):
+    """A column added twice and a reference replaced in a dataset's manifest."""
+    spark, folder = x.reads.sparkSession, _folder(x)
+    chunk_source.write(x.reads.select("ordinal", "base", "meta"), folder, "reads", 700)
+    contigs = [(r.contig, r.n) for r in x.features.groupBy("contig").agg(F.max("stop").alias("n")).orderBy("contig").collect()]
+    chunk_source.append_column(spark, folder, _with_aln(x), "aln", [("old", 1)])
+    chunk_source.update_manifest(folder, "aln", contigs)
+    found = text.manifest(spark, f"file://{folder}/{chunk_source.MANIFEST}")
+    shown = F.array_join(F.transform("ref_genome", lambda c: F.concat(c["name"], F.lit(":"), c["length"].cast("string"))), ",")
+    rows = F.aggregate("records", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"])
+    return found.select("name", F.array_join("columns", ",").alias("columns"), shown.alias("ref_genome"), rows.alias("rows"))
+
+
+@query("SELECT ordinal, base, qual FROM rd")
+def stream_dataset(x):
+    """A dataset as a stream of its chunks."""
+    spark, folder = x.reads.sparkSession, _folder(x)
+    chunk_source.write(x.reads.select("ordinal", "base", "qual"), f"{folder}/ds", "reads", 300)
+    found = spark.readStream.format("readchunks").load(f"{folder}/ds")
+    found.writeStream.format("parquet").option("checkpointLocation", f"file://{folder}/checkpoint").trigger(availableNow=True).start(f"file://{folder}/out").awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"file://{folder}/out")
+
+
+def _file(x, rows, name: str, **options) -> str:
+    """A file of lines(at, value), by `at`."""
+    folder = f"file://{_folder(x)}/{name}"
+    rows.coalesce(1).sortWithinPartitions("at").select("value").write.options(**options).text(folder)
+    return folder
+
+
+def _fastq(x):
+    lines = F.posexplode(F.array(F.concat(F.lit("@"), F.col("meta")), F.col("base"), F.lit("+"), F.col("qual")))
+    return x.reads.select("ordinal", lines.alias("k", "value")).select((F.col("ordinal") * 4 + F.col("k")).alias("at"), "value")
+
+
+_BY_ORDINAL = "SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, meta, base, qual FROM rd"
+
+
+@query(_BY_ORDINAL)
+def fastq_roundtrip(x):
+    return text.fastq(x.reads.sparkSession, _file(x, _fastq(x), "reads"))
+
+
+@query(_BY_ORDINAL)
+def fastq_gzip(x):
+    return text.fastq(x.reads.sparkSession, _file(x, _fastq(x), "reads", compression="gzip"))
+
+
+@query("SELECT chunk, chunk * 300 AS first, count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY ordinal) - 1) // 300 AS chunk FROM rd) GROUP BY chunk")
+def fastq_chunks(x):
+    """Chunks of a FASTQ file whose last record lacks its scores."""
+    tail = x.reads.sparkSession.sql("SELECT CAST(pow(2, 60) AS BIGINT) + id AS at, element_at(array('@cut', 'ACGT', '+'), CAST(id + 1 AS INT)) AS value FROM range(3)")
+    found = text.fastq(x.reads.sparkSession, _file(x, _fastq(x).unionByName(tail), "reads"))
+    rows = chunking.chunked(found.select("ordinal", F.lit("all").alias("sample")), 300, stretch=1000)
+    return rows.groupBy("chunk", "first").agg(F.count("*").alias("n"))
+
+
+@query("SELECT contig, type, start, stop, strand, gene_id, CASE WHEN gene_name = '' THEN gene_id ELSE gene_name END AS gene_name FROM ft WHERE gene_id <> ''")
+def gtf_parse(x):
+    """Features as a GTF file with comments, blank lines and rows without a gene, read back."""
+    genes = F.concat(F.lit('gene_id "'), F.col("gene_id"), F.lit('"; gene_name "'), F.col("gene_name"), F.lit('";'))
+    line = F.concat_ws("\t", "contig", F.lit("made"), "type", F.col("start").cast("string"), F.col("stop").cast("string"), F.lit("."), F.when(F.col("strand"), "+").otherwise("-"), F.lit("."), genes)
+    rows = x.features.select(F.explode(F.array(F.lit("# a comment"), line, F.lit(""), F.concat_ws("\t", "contig", F.lit("made\texon\t1\t2\t.\t+\t.\tother \"1\"")))).alias("value")).withColumn("at", F.lit(0))
+    return text.gtf(x.reads.sparkSession, _file(x, rows, "features")).select("contig", "type", "start", "stop", "strand", "gene_id", "gene_name")
+
+
+@query("SELECT name, b1 FROM bc")
+def barcodes_parse(x):
+    """A barcode list in which a name is corrected further on, and with lines after its end."""
+    rows = x.barcodes.select(F.posexplode(F.array(F.concat(F.lit("wrong\t"), F.col("b1")), F.concat_ws("\t", "name", "b1"))).alias("at", "value"))
+    more = x.reads.sparkSession.createDataFrame([(-1, "Name\tB1"), (8, ""), (9, "late\tAAAAAA")], "at int, value string")
+    path = _file(x, rows.unionByName(more), "barcodes")
+    return text.barcodes(x.reads.sparkSession, path)[0].select("name", "b1")
+
+
+_CONTIG = "SELECT ordinal // 200 AS k, string_agg(base, '' ORDER BY ordinal) AS sequence FROM rd GROUP BY ordinal // 200"
+
+
+def _contigs(x):
+    """Contigs that are made of 200 reads each."""
+    made = x.reads.groupBy(F.floor(F.col("ordinal") / 200).alias("k")).agg(F.sort_array(F.collect_list(F.struct("ordinal", "base"))).alias("r"))
+    return made.select("k", F.array_join(F.transform("r", lambda r: r["base"]), "").alias("sequence"))
+
+
+@query(f"SELECT CAST(row_number() OVER (ORDER BY k) - 1 AS INT) AS ref_index, concat('c', k) AS name, CAST(length(sequence) AS BIGINT) AS length, sequence FROM ({_CONTIG})")
+def fasta_contigs(x):
+    """Contigs as a FASTA file with remarks that hold a >, in small letters and lines of 70 bases."""
+    lines = F.concat(F.lit(">c"), F.col("k").cast("string"), F.lit(" note A->G >c9\n"), F.regexp_replace(F.lower("sequence"), "(.{70})", "$1\n"))
+    path = _file(x, _contigs(x).select(F.col("k").alias("at"), lines.alias("value")), "genome")
+    return text.fasta(x.reads.sparkSession, path)
+
+
+@query("SELECT name, concat('data/', name, '/metadata.json') AS path FROM bc")
+def sample_index(x):
+    """A sample index and a dataset list, written, read and joined."""
+    spark, folder = x.reads.sparkSession, f"file://{_folder(x)}"
+    text.write_sample_index(x.barcodes.select("name", F.concat(F.lit("data/"), F.col("name"), F.lit("/metadata.json")).alias("path")), f"{folder}/index")
+    found = text.sample_index(spark, f"{folder}/index")
+    text.write_dataset_list(spark, [r.path for r in found.collect()], f"{folder}/list")
+    listed = spark.createDataFrame([(p,) for p in text.dataset_list(spark, f"{folder}/list")], "path string")
+    return found.join(listed, "path").select("name", "path")
+
+
+@query(f"""SELECT string_split(meta, ' ')[1] AS name, flag, CAST(ref_index AS INT) AS ref_index, CAST(CASE WHEN ref_index < 0 THEN -1 ELSE position END AS BIGINT) AS position, mapping_quality, cigar, base, qual, -1 AS next_index, CAST(-1 AS BIGINT) AS next_position, CAST(0 AS BIGINT) AS template_length,
+CAST(CASE WHEN flag & 4 <> 0 THEN 4680 WHEN b >> 14 = e >> 14 THEN 4681 + (b >> 14) WHEN b >> 17 = e >> 17 THEN 585 + (b >> 17) ELSE 73 + (b >> 20) END AS INT) AS bin
+FROM (SELECT rd.*, al.flag, al.ref_index, al.position, al.mapping_quality, al.cigar, al.position AS b, al.position + {_REF_LEN} - 1 AS e FROM rd JOIN al ON rd.ordinal = al.ordinal WHERE NOT is_empty)""")
 def bam_roundtrip(x):
-    return bam.parts(_with_aln(x)).select("ordinal", F.length("data").alias("bytes"))
+    """All fields of BAM records, read back from their blocks."""
+    return bam.decoded(bam.parts(_with_aln(x)))
+
+
+@query("SELECT ordinal, CAST(least(ordinal, 3) AS BIGINT) AS n FROM rd WHERE ordinal >= 77 AND ordinal < 78")
+def record_at(x):
+    return alignments.at(x.reads, 77).select("ordinal", F.least("ordinal", F.lit(3)).cast("long").alias("n"))
+
+
+@query("SELECT ordinal, chunk, meta, lead(meta) OVER (PARTITION BY chunk ORDER BY ordinal) AS next FROM (SELECT ordinal, meta, ordinal // 500 AS chunk FROM rd)")
+def peek_next(x):
+    return alignments.with_next(x.reads.select("ordinal", "meta", F.floor(F.col("ordinal") / 500).alias("chunk")), "meta")
+
+
+@query("SELECT concat('{\"ordinal\":', ordinal, ',\"base\":\"', base, '\",\"qual_length\":', length(qual), '}') AS value FROM rd WHERE ordinal >= 20 AND ordinal < 90")
+def row_dump(x):
+    return dump.lines(x.reads.select("ordinal", "base", F.length("qual").alias("qual_length")), 20, 90)
 
 
-@query()
+@query("SELECT ordinal, ref_index, row_number() OVER (PARTITION BY ref_index ORDER BY position, ordinal) AS rank FROM al")
+def coordinate_sort(x):
+    """The place of each alignment in coordinate order within its contig, taken from a sorted table."""
+    laid = alignments.coordinate_sorted(x.alignments.select("ordinal", "ref_index", "position")).withColumn("at", F.monotonically_increasing_id())
+    return laid.select("ordinal", "ref_index", F.row_number().over(Window.partitionBy("ref_index").orderBy("at")).cast("long").alias("rank"))
+
+
+@query("SELECT ordinal, position, cigar FROM al WHERE ref_index = 3 AND position >= 2000 AND position < 9000")
+def position_range(x):
+    """A range of places, read from a table in coordinate order."""
+    spark, folder = x.reads.sparkSession, f"file://{_folder(x)}/sorted"
+    alignments.coordinate_sorted(x.alignments).write.parquet(folder)
+    return alignments.position_range(spark.read.schema(x.alignments.schema).parquet(folder), 3, 2000, 9000).select("ordinal", "position", "cigar")
+
+
+@query("SELECT ordinal, type, least(a, b) AS start, greatest(a, b) AS stop, gene_id FROM (SELECT ordinal, contig, position, position + 40 AS until FROM al) s JOIN (SELECT contig AS c, type, gene_id, CASE WHEN strand THEN start ELSE stop END AS a, CASE WHEN strand THEN stop ELSE start END AS b FROM ft) f ON contig = c AND greatest(a, b) >= position AND least(a, b) <= until")
+def interval_overlaps(x):
+    """Whole intervals, of which half are given backwards, that touch a span."""
+    turned = x.features.select("contig", F.when(F.col("strand"), F.col("start")).otherwise(F.col("stop")).alias("start"), F.when(F.col("strand"), F.col("stop")).otherwise(F.col("start")).alias("stop"), "type", "gene_id")
+    spans = x.alignments.select("ordinal", "contig", F.col("position").cast("long").alias("span_start"), (F.col("position") + 40).alias("span_stop"))
+    return overlap.overlap_join(spans, turned, "binned").select("ordinal", "type", "start", "stop", "gene_id")
+
+
+@query("SELECT ordinal, type, start, stop FROM al JOIN (SELECT contig AS c, type, start, stop FROM ft) f ON contig = c AND stop >= position AND start <= position + CASE WHEN ordinal % 3 = 0 THEN 15000 ELSE 20 END")
+def interval_long_spans(x):
+    """Spans, of which a third cover most of a contig, on bins of two sizes."""
+    length = F.when(F.col("ordinal") % 3 == 0, 15000).otherwise(20)
+    spans = x.alignments.select("ordinal", "contig", F.col("position").cast("long").alias("span_start"), (F.col("position") + length).alias("span_stop"))
+    return overlap.overlap_join(spans, x.features.select("contig", "type", "start", "stop"), "binned", 64).select("ordinal", "type", "start", "stop")
+
+
+@query("""+ p AS (SELECT a.ordinal AS ordinal, a.flag AS flag, a.ref_index AS i, a.position AS p, a.contig AS c, m.ordinal IS NOT NULL AS mate, a.flag & 4 <> 0 AS lost, m.flag & 4 <> 0 AS mate_lost, m.flag & 16 <> 0 AS mate_back, a.flag & 16 <> m.flag & 16 AS opposite,
+ m.ref_index AS mi, m.position AS mp, m.contig AS mc, a.position - coalesce(TRY_CAST(regexp_extract(a.cigar, '^(\d+)S', 1) AS BIGINT), 0) AS s, m.position - coalesce(TRY_CAST(regexp_extract(m.cigar, '^(\d+)S', 1) AS BIGINT), 0) AS ms FROM al a LEFT JOIN al m ON m.ordinal = xor(a.ordinal, 1)),
+t AS (SELECT *, CASE WHEN mate AND NOT lost AND NOT mate_lost AND i = mi THEN CASE WHEN s < ms THEN ms + 32 - s ELSE -(s + 32 - ms) END ELSE 0 END AS size FROM p)
+SELECT ordinal, CAST(CASE WHEN NOT mate THEN flag ELSE flag + 1 + CASE WHEN ordinal % 2 = 0 THEN 64 ELSE 128 END + CASE WHEN mate_lost THEN 8 ELSE 0 END + CASE WHEN NOT mate_lost AND mate_back THEN 32 ELSE 0 END + CASE WHEN NOT lost AND NOT mate_lost AND i = mi AND opposite AND abs(size) <= 9000 THEN 2 ELSE 0 END END AS INT) AS flag,
+ CAST(CASE WHEN mate AND lost AND NOT mate_lost THEN mi ELSE i END AS INT) AS ref_index, CAST(CASE WHEN mate AND lost AND NOT mate_lost THEN mp ELSE p END AS BIGINT) AS position, CASE WHEN mate AND lost AND NOT mate_lost THEN mc ELSE c END AS contig,
+ CAST(CASE WHEN NOT mate THEN -1 WHEN mate_lost THEN i ELSE mi END AS INT) AS next_index, CAST(CASE WHEN NOT mate THEN -1 WHEN mate_lost THEN p ELSE mp END AS BIGINT) AS next_position, CASE WHEN NOT mate THEN '' WHEN lost OR mate_lost OR c = mc THEN '=' ELSE mc END AS next_contig, CAST(size AS BIGINT) AS template_length FROM t""")
+def paired_alignments(x):
+    every = x.alignments.withColumn("is_empty", F.lit(False))
+    rows = pairs.mated(_with_aln(x, every).select("ordinal", "base", "aln"), max_insert=9000)
+    a = F.col("aln")
+    return rows.select("ordinal", a["flag"].alias("flag"), a["position"]["ref_index"].alias("ref_index"), a["position"]["position"].alias("position"), a["position"]["contig"].alias("contig"), a["next_position"]["ref_index"].alias("next_index"), a["next_position"]["position"].alias("next_position"), a["next_position"]["contig"].alias("next_contig"), a["template_length"].alias("template_length"))
+
+
+@query("SELECT ordinal, CAST(CASE WHEN ordinal % 5 = 0 THEN 4 WHEN ordinal % 3 = 0 THEN 16 ELSE 0 END + CASE WHEN ordinal % 7 = 0 THEN 256 ELSE 0 END AS INT) AS flag FROM rd")
+def flag_construction(x):
+    return x.reads.select("ordinal", pairs.flags(F.col("ordinal") % 5 == 0, F.col("ordinal") % 3 == 0, F.col("ordinal") % 7 == 0).alias("flag"))
+
+
+_PLACED = "SELECT ordinal, base, ordinal // 200 AS k, (row_number() OVER (PARTITION BY ordinal // 200 ORDER BY ordinal) - 1) * 32 AS p, length(base) - length(replace(base, 'N', '')) > 2 AS lost FROM rd"
+
+
+@query(f"SELECT ordinal, CAST(CASE WHEN lost THEN 4 ELSE 0 END AS INT) AS flag, CAST(CASE WHEN lost THEN 0 ELSE 60 END AS INT) AS mapping_quality, CAST(CASE WHEN lost THEN -1 ELSE k END AS INT) AS ref_index, CAST(CASE WHEN lost THEN 0 ELSE p END AS BIGINT) AS position, CASE WHEN lost THEN '*' ELSE concat('c', k) END AS contig, CASE WHEN lost THEN '' ELSE '32M' END AS cigar FROM ({_PLACED})")
 def align_reads(x):
-    whole = x.reads.where("ordinal < 40").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "base"))), lambda r: r["base"]), "").alias("sequence"))
-    contigs = whole.select(F.lit(0).alias("ref_index"), F.lit("made").alias("name"), "sequence")
-    return align.align(x.reads.select("ordinal", "base"), contigs, min_length=20).select("ordinal", "aln.*")
+    """All reads against contigs that are made of them."""
+    contigs = _contigs(x).select(F.col("k").cast("int").alias("ref_index"), F.concat(F.lit("c"), F.col("k").cast("string")).alias("name"), "sequence")
+    found = align.align(x.reads.select("ordinal", "base"), contigs, min_length=20, tile=1024)
+    return found.select("ordinal", "aln.flag", "aln.mapping_quality", "aln.position.ref_index", "aln.position.position", "aln.position.contig", "aln.cigar")
 
 
-@query("SELECT concat('ds_', ordinal) AS obj_name FROM rd WHERE ordinal % 100 = 0")
+@query("SELECT concat('ds_', ordinal) AS obj_name, '' AS pool FROM rd")
 def work_queue(x):
-    spark, folder = x.reads.sparkSession, _folder(x)
-    workqueue.push(x.reads.where("ordinal % 100 = 0").select(F.concat(F.lit("ds_"), F.col("ordinal").cast("string")).alias("path")).repartition(3), f"{folder}/queue")
+    spark, folder = x.reads.sparkSession, f"file://{_folder(x)}"
+    workqueue.push(x.reads.select(F.concat(F.lit("ds_"), F.col("ordinal").cast("string")).alias("path")).repartition(3), f"{folder}/queue")
     workqueue.process(workqueue.messages(spark, f"{folder}/queue", 1), lambda found: found, f"{folder}/done", f"{folder}/checkpoint").awaitTermination()
-    out = workqueue.completed(spark, f"{folder}/done").select("obj_name")
-    rows = spark.createDataFrame(out.toArrow())
-    shutil.rmtree(folder)
-    return rows
+    return workqueue.completed(spark, f"{folder}/done").select("obj_name", "pool")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS messages FROM rd")
+def queue_depths(x):
+    """Messages by batch, from the CSV that is kept of a stream."""
+    spark, folder = x.reads.sparkSession, f"file://{_folder(x)}"
+    workqueue.push(x.reads.select(F.concat(F.lit("ds_"), F.col("ordinal").cast("string")).alias("path")).repartition(4), f"{folder}/queue")
+    done = workqueue.process(workqueue.messages(spark, f"{folder}/queue", 1), lambda found: found, f"{folder}/done", f"{folder}/checkpoint")
+    done.awaitTermination()
+    workqueue.write_depths(done, f"{folder}/depths")
+    return spark.read.csv(f"{folder}/depths", header=True, schema="time string, messages long, per_second double").agg(F.sum("messages").alias("messages"))
+
+
+@query("SELECT contig, CAST(count(*) AS BIGINT) AS n, concat(gene, '(', names, ')') AS label FROM (SELECT contig, gene_id AS gene FROM ft WHERE gene_id <> '') f JOIN (SELECT gene_id, array_to_string(list_sort(list_distinct(list(CASE WHEN gene_name = '' THEN gene_id ELSE gene_name END))), ' ') AS names FROM ft GROUP BY gene_id) n ON gene = gene_id GROUP BY contig, label")
+def gene_labels(x):
+    """The labels of the matrix file's rows, as written, with the features that each contig has of them."""
+    spark, folder = x.reads.sparkSession, f"file://{_folder(x)}/matrix"
+    genecount.write_matrix(genecount.gene_counts(x.alignments, x.features, SAMPLES), x.features, SAMPLES, folder)
+    written = spark.read.csv(folder, header=True).select(F.col("gene_id").alias("label"), F.regexp_extract("gene_id", r"^[^(]*", 0).alias("gene"))
+    return x.features.where("gene_id <> ''").join(written, x.features["gene_id"] == written["gene"]).groupBy("contig", "label").agg(F.count("*").alias("n"))

@@ -46,7 +46,7 @@ def completed(spark: SparkSession, done: str) -> DataFrame:
 def write_depths(query: StreamingQuery, path: str) -> None:
     """A CSV with time, messages and rows a second of each recent batch of a query (Spark keeps the last hundred)."""
     rows = [(p["timestamp"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0)) for p in query.recentProgress]
-    query.sparkSession.createDataFrame(rows, "time string, messages long, per_second double").coalesce(1).write.csv(path, header=True)
+    SparkSession.active().createDataFrame(rows, "time string, messages long, per_second double").coalesce(1).write.csv(path, header=True)
 
 
 def depths(query: StreamingQuery) -> list[tuple[str, int]]:
