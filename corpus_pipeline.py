@@ -1,4 +1,9 @@
-"""The corpus pipeline: stages over `documents`, each written and read again as the next one's input."""
+"""The corpus pipeline: stages over `documents`, each written and read again as the next one's input.
+
+A stage reads the columns of documents alone, whatever else its input has. An empty table gives
+an empty one; null and empty texts pass all stages that don't compare them as copies; of rows that are
+alike in doc_id and text one is left by near-dedup. doc_ids may repeat or be null.
+"""
 
 from __future__ import annotations
 
@@ -16,19 +21,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
-    return cotraining.accepted(docs, _table(spark, sf_dir, "labels")).select(*COLUMNS)
+    """Documents that the quality classifier accepts; all, if labels have not both classes."""
+    return cotraining.accepted(docs.select(*COLUMNS), _table(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that many sources share; n_chars is counted again."""
-    out = line_dedup.remove_shared_lines(docs, keep=("lang", "source"))
+    out = line_dedup.remove_shared_lines(docs.select(*COLUMNS), keep=("lang", "source"))
     return out.select("doc_id", "text", "kept.lang", "kept.source", F.length("text").cast("long").alias("n_chars")).select(*COLUMNS)
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
-    """`docs` with text_hash (null: as empty)."""
-    return docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    """The documents with text_hash (null: as empty)."""
+    return docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
 def _kept(docs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -52,7 +57,8 @@ def _kept(docs: DataFrame, groups: DataFrame) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose five-word shingles are alike by 0.8; the smallest doc_id stays, a row without doc_id only if none has one.
 
-    Decided for each row, see `_kept`; `simhash_texts` says what a group is.
+    Decided for each row, see `_kept`; `simhash_texts` says what a group is. A text of other shingles than
+    all others, however short, stays; null, empty and blank texts are copies of each other.
     """
     return _kept(docs, simhash_texts.groups(_hashed(docs).withColumn("doc_id", F.col("doc_id").cast("long"))))
 
@@ -66,7 +72,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces and the sequences that they fill."""
-    return packing.pack(docs, added=True)
+    return packing.pack(docs.select(*COLUMNS))
 
 
 STAGES = [
