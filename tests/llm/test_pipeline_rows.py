@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
-from readloom.llm import simhash_texts
+import pytest
+from pyspark.sql import functions as F
+from readloom.llm import line_dedup, simhash_texts, substring_dedup
 
 from . import brute
 from .test_near import made
@@ -54,6 +56,48 @@ def test_many_nodes_at_one_key(spark, monkeypatch):
     assert sorted(i for i, _ in stage(spark, "SimHash near-dedup", rows)) == list(range(60))
 
 
+@pytest.mark.parametrize("kind", ["empty", "nulls"])
+def test_stages_take_odd_tables(spark, kind):
+    import corpus_pipeline as cp
+
+    folder = "/root/testdata/sf0.001"
+    some = spark.read.parquet(f"{folder}/documents.parquet").limit(30)
+    if kind == "empty":
+        docs = some.where("false")
+    else:
+        nothing = some.limit(3).select(*[F.lit(None).cast(t).alias(c) for c, t in some.dtypes])
+        docs = some.unionByName(nothing).unionByName(some.limit(4)).unionByName(some.limit(5).withColumn("doc_id", F.lit(None).cast("long")))
+        docs = docs.unionByName(some.limit(5).withColumn("text", F.lit("")).withColumn("doc_id", F.col("doc_id") + 900))
+    docs = docs.selectExpr("*", "1 AS d", "'a' AS t", "2 AS node", "'k' AS key", "3 AS text_hash", "4 AS n", "5 AS row", "6 AS low", "true AS stays", "7 AS kept", "8 AS bucket")
+    n, texts = docs.count(), len({(r.text or "") for r in docs.select("text").collect()})
+    for name, stage in cp.STAGES:
+        got = stage(spark, docs, folder).collect()
+        if kind == "empty":
+            assert got == [], name
+        elif name == "line dedup":
+            assert len(got) == n
+        elif name == "SimHash near-dedup":
+            assert 1 < len(got) <= texts and len({(r.text or "").strip() for r in got}) == len(got)
+        elif name == "packing":
+            assert len({(r.sequence_id, r.offset) for r in got}) == len(got) >= n
+        else:
+            assert 0 < len(got) <= n and {(r.doc_id, r.text) for r in got} <= {(r.doc_id, r.text) for r in docs.collect()}, name
+
+
+def test_texts_of_a_million_words(spark):
+    r = random.Random(9)
+    long = " ".join(r.choices([f"w{k}" for k in range(5000)], k=1_000_000))
+    rows = [(1, long), (2, long + " and more"), (3, "a short one"), (4, "\n".join(f"line {k % 1000}" for k in range(200_000)))]
+    kept = stage(spark, "SimHash near-dedup", rows)
+    assert sorted(i for i, _ in kept) == [1, 3, 4]
+    assert sorted(i for i, _ in stage(spark, "benchmark decontamination", rows)) == [1, 2, 3, 4]
+    pieces = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    assert {x.doc_id: x.n_words for x in substring_dedup.remove_repeats(pieces).collect()} == {i: len(t.split()) for i, t in rows}
+    shared = [(i, "\n".join([f"line {k}" for k in range(20_000)]), "en", f"s{i}", 1) for i in range(12)]
+    got = {x.doc_id: x.text for x in line_dedup.remove_shared_lines(spark.createDataFrame(shared, SCHEMA)).collect()}
+    assert got[0] == shared[0][1] and all(got[i] == "" for i in range(1, 12))
+
+
 def test_near_is_exact():
     a = np.arange(9, dtype=np.uint64)
     assert simhash_texts.near(a[:8], a[:8]) and simhash_texts.near(a[:4], a[:5]) and not simhash_texts.near(a[:7], a)
