@@ -41,7 +41,7 @@ FILTER_BYTES, RANGE_BYTES = 96 << 20, 16 << 20
 #: Distinct tokens of which filter and exact counts are broadcast (16 bytes each); more are asked for.
 MOST_BROADCAST = 6_000_000
 #: Bytes of text whose n-grams are counted before they are shuffled.
-COUNTED_BYTES = 16 << 20
+COUNTED_BYTES = 8 << 20
 END = mixed(np.array([0x5EED], U64))[0]
 
 _PAIR = pa.schema([("key", pa.int64()), ("n", pa.int64())])
@@ -255,8 +255,9 @@ class Known:
     """Values of keys."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.values = keys[order], values[order]
+        order = np.argsort(keys)
+        self.values = values[order]
+        self.keys = keys[order]
 
     def of(self, key: np.ndarray) -> np.ndarray:
         """The value of each key (0: not there)."""
@@ -275,10 +276,13 @@ def loaded_filter(address: str, size: int, parts: int) -> Filter:
     return out
 
 
-def loaded_counts(address: str) -> Known:
-    """Exact counts from the shared folder."""
-    found = [(b.column("key").to_numpy().view(U64).copy(), b.column("n").to_numpy().copy()) for b in stored(address, ["key", "n"], 1 << 16) if b.num_rows]
-    return Known(*(np.concatenate(x) for x in zip(*found, strict=True))) if found else Known(np.empty(0, U64), np.empty(0, np.int64))
+def loaded_counts(address: str, n_types: int, n_all: int) -> Known:
+    """Exact counts of so many types and tokens from the shared folder."""
+    keys, n, at = np.empty(n_types, U64), np.empty(n_types, np.uint32 if n_all < 1 << 32 else np.int64), 0
+    for b in stored(address, ["key", "n"], 1 << 14):
+        keys[at : at + b.num_rows], n[at : at + b.num_rows] = b.column("key").to_numpy().view(U64), b.column("n").to_numpy()
+        at += b.num_rows
+    return Known(keys, n)
 
 
 def _level(column: str):
@@ -344,7 +348,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_by
     if n_types <= most_broadcast and table.bytes <= filter_bytes:
         unigram = table.load(run)
         if reachable(address):
-            exact = lambda: loaded(run, address, lambda: loaded_counts(address))
+            exact = lambda: loaded(run, address, lambda: loaded_counts(address, n_types, n_all))
         else:
             found = ones.toArrow()
             shared = spark.sparkContext.broadcast(Known(found.column("key").to_numpy().view(U64), found.column("n").to_numpy()))
