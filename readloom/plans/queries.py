@@ -493,7 +493,7 @@ def interval_long_spans(x):
 
 
 @query("""+ p AS (SELECT a.ordinal AS ordinal, a.flag AS flag, a.ref_index AS i, a.position AS p, a.contig AS c, m.ordinal IS NOT NULL AS mate, a.flag & 4 <> 0 AS lost, m.flag & 4 <> 0 AS mate_lost, m.flag & 16 <> 0 AS mate_back, a.flag & 16 <> m.flag & 16 AS opposite,
- m.ref_index AS mi, m.position AS mp, m.contig AS mc, a.position - coalesce(TRY_CAST(regexp_extract(a.cigar, '^(\d+)S', 1) AS BIGINT), 0) AS s, m.position - coalesce(TRY_CAST(regexp_extract(m.cigar, '^(\d+)S', 1) AS BIGINT), 0) AS ms FROM al a LEFT JOIN al m ON m.ordinal = xor(a.ordinal, 1)),
+ m.ref_index AS mi, m.position AS mp, m.contig AS mc, a.position - coalesce(TRY_CAST(regexp_extract(a.cigar, '^(\\d+)S', 1) AS BIGINT), 0) AS s, m.position - coalesce(TRY_CAST(regexp_extract(m.cigar, '^(\\d+)S', 1) AS BIGINT), 0) AS ms FROM al a LEFT JOIN al m ON m.ordinal = xor(a.ordinal, 1)),
 t AS (SELECT *, CASE WHEN mate AND NOT lost AND NOT mate_lost AND i = mi THEN CASE WHEN s < ms THEN ms + 32 - s ELSE -(s + 32 - ms) END ELSE 0 END AS size FROM p)
 SELECT ordinal, CAST(CASE WHEN NOT mate THEN flag ELSE flag + 1 + CASE WHEN ordinal % 2 = 0 THEN 64 ELSE 128 END + CASE WHEN mate_lost THEN 8 ELSE 0 END + CASE WHEN NOT mate_lost AND mate_back THEN 32 ELSE 0 END + CASE WHEN NOT lost AND NOT mate_lost AND i = mi AND opposite AND abs(size) <= 9000 THEN 2 ELSE 0 END END AS INT) AS flag,
  CAST(CASE WHEN mate AND lost AND NOT mate_lost THEN mi ELSE i END AS INT) AS ref_index, CAST(CASE WHEN mate AND lost AND NOT mate_lost THEN mp ELSE p END AS BIGINT) AS position, CASE WHEN mate AND lost AND NOT mate_lost THEN mc ELSE c END AS contig,
