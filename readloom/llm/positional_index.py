@@ -4,7 +4,8 @@ The index is a staged table of segments, each over about 8 MB of text: its terms
 words, sorted), where each term's postings begin, and the postings, word places in the
 segment as differences. A segment answers alone, so nothing of the corpus is shuffled.
 A phrase is found by intersecting the postings of its terms, each shifted by the term's
-offset, from the term that is rarest in the whole corpus on.
+offset, from the term that is rarest in the whole corpus on. With slop the terms need not
+stand at their places, but at most so many words from them (a proximity match).
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ from pyspark.sql import functions as F
 from .common import WORD, Words, batch, block_slices, slices, staged
 
 WINDOW = 13
+#: Words that a term may lie away from its place in a proximity match.
+SLOP = 2
 SEGMENT_BYTES = 8 << 20
 #: Bytes of benchmark text that are looked up, and broadcast, at once; more takes another pass over the index.
 #: Some 350,000 phrases, for which driver and workers need about 300 MB.
 QUERY_BYTES = 2 << 20
 
 _SEGMENT = pa.schema([("segment_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("terms", pa.binary()), ("begins", pa.binary()), ("postings", pa.binary())])
-_HITS = pa.schema([("segment_id", pa.int64()), ("row", pa.int32()), ("items", pa.list_(pa.string())), ("hits", pa.list_(pa.int32()))])
+_HITS = pa.schema([("segment_id", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("items", pa.list_(pa.string())), ("hits", pa.list_(pa.int32())), ("near", pa.list_(pa.string()))])
 
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,7 +116,7 @@ class Segment:
     def __init__(self, terms: bytes, begins: bytes, postings: bytes, n_words: np.ndarray):
         self.terms, self.begins = np.frombuffer(terms, np.uint64), np.frombuffer(begins, "<u4")
         self.places = np.cumsum(np.frombuffer(postings, "<u4"), dtype=np.uint32).view(np.int32)
-        self.docs_end = np.cumsum(n_words)
+        self.docs_end = np.cumsum(n_words).astype(np.int32)
 
     def of(self, term: int) -> np.ndarray:
         return self.places[self.begins[term] : self.begins[term + 1]]
@@ -125,21 +128,34 @@ class Segment:
         at = np.minimum(np.searchsorted(self.terms, vocabulary), len(self.terms) - 1)
         return np.where(self.terms[at] == vocabulary, at, -1)
 
-    def find(self, ids: np.ndarray, order: np.ndarray, slop: int = 0) -> np.ndarray:
-        """Places where a phrase begins; with slop, where each term lies up to so many words from its place."""
-        at = self.of(ids[order[0]]) - order[0]
-        for k in order[1:]:
-            if not len(at):
-                break
-            other = self.of(ids[k])
-            near = np.searchsorted(other, at + k - slop)
-            at = at[(near < len(other)) & (other[np.minimum(near, len(other) - 1)] <= at + k + slop)]
-        n = len(ids)
-        if slop and len(at):  # a place may lie before the document
-            first = np.maximum(at + order[0], 0)
-            return at[np.searchsorted(self.docs_end, first, side="right") < len(self.docs_end)]
-        at = at[(at >= 0) & (at + n <= (self.docs_end[-1] if len(self.docs_end) else 0))]
-        return at[np.searchsorted(self.docs_end, at, side="right") == np.searchsorted(self.docs_end, at + n - 1, side="right")]
+    def find(self, ids: np.ndarray, order: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places where a phrase begins, and those from which each term lies up to slop words from its place.
+
+        Places are counted from the first term of the order; all terms lie in its document.
+        """
+        first, *others = order.tolist()  # places stay 32 bits wide
+        near = self.of(ids[first]) - np.int32(first)
+        for k in others:
+            if not len(near):
+                return near, near
+            near = near[self._within(near + (k - slop), near + (k + slop), ids[k])]
+        docs = np.searchsorted(self.docs_end, near + first, side="right")
+        low, high = np.append(np.int32(0), self.docs_end)[docs], self.docs_end[docs] - 1
+        if slop:
+            inside = np.ones(len(near), bool)
+            for k in others:
+                inside &= self._within(np.maximum(near + (k - slop), low), np.minimum(near + (k + slop), high), ids[k])
+            near, low, high = near[inside], low[inside], high[inside]
+        exact = (near >= low) & (near + (len(ids) - 1) <= high)
+        for k in others if slop else ():
+            exact &= self._within(near + k, near + k, ids[k])
+        return near[exact], near if slop else near[exact]
+
+    def _within(self, low: np.ndarray, high: np.ndarray, term: int) -> np.ndarray:
+        """Which of some stretches of places have a term."""
+        places = self.of(term)
+        at = np.searchsorted(places, low)
+        return (at < len(places)) & (places[np.minimum(at, len(places) - 1)] <= high)
 
 
 def _groups(items: DataFrame, item_id: str, text: str) -> list[list[tuple[str, str | None]]]:
@@ -151,13 +167,15 @@ def _groups(items: DataFrame, item_id: str, text: str) -> list[list[tuple[str, s
         yield [(r.item, r.text) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
 
 
-def phrase_matches(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text", window: int | None = WINDOW) -> DataFrame:
-    """segment_id, row, items array<string>, hits array<int>: exact matches by document of the index.
+def phrase_matches(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text", window: int | None = WINDOW, slop: int = 0) -> DataFrame:
+    """segment_id, row, doc_id, items array<string>, hits array<int>, near array<string>: matches by document of the index.
 
     A phrase is `window` consecutive words of an item, or all of an item with fewer (None: all
-    words of each). hits are the document's words that lie inside a match, items the items that
-    match. Documents without a match and items without words give no row; items without id match
-    but are not named; a document has a row for each group of items that it matches.
+    words of each). hits are the document's words that lie inside an exact match, items the items that
+    match so. near are the items with a phrase of which each word lies at most `slop` words from its
+    place, counted from the phrase's word that is rarest in the corpus (of equals the first); those
+    that match are among them. Documents without a match and items without words give no row; items
+    without id match but are not named; a document has a row for each group of items that it matches.
     """
     spark, found = index.sparkSession, None
     for group in _groups(items, item_id, text):
@@ -171,79 +189,54 @@ def phrase_matches(index: DataFrame, items: DataFrame, item_id: str = "item_id",
                 for i in range(rows.num_rows):
                     row = {c: rows.column(c)[i].as_py() for c in ("segment_id", "terms", "begins", "postings")}
                     n_words = rows.column("n_words")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
-                    yield matched(p, row, n_words)
+                    yield matched(p, row, n_words, rows.column("doc_ids")[i])
 
-        def matched(p, row, n_words):
+        def matched(p, row, n_words, doc_ids):
             seg = Segment(row["terms"], row["begins"], row["postings"], n_words)
             known = seg.known(p.vocabulary)
-            where, names = {}, {}
+            where, names, close = {}, {}, {}
             doc_start = seg.docs_end - n_words
             for k in p.possible(known):
-                n = p.size[k]
-                at = seg.find(known[p.ids(k)], p.order[k])
+                n, order = p.size[k], p.order[k]
+                at, near = seg.find(known[p.ids(k)], order, slop)
+                for d in np.unique(np.searchsorted(seg.docs_end, near + order[0], side="right")).tolist():
+                    close.setdefault(d, set()).update(p.items[k])  # none, if items have no id
                 docs = np.searchsorted(seg.docs_end, at, side="right")
                 for d, place in zip(docs.tolist(), (at - doc_start[docs]).tolist(), strict=True):
                     where.setdefault(d, set()).update(range(place, place + n))
-                    names.setdefault(d, set()).update(p.items[k])  # none, if items have no id
-            docs = sorted(where)
-            return batch(_HITS, [row["segment_id"]] * len(docs), docs, [sorted(names[d]) for d in docs], [sorted(where[d]) for d in docs])
+                    names.setdefault(d, set()).update(p.items[k])
+            docs = sorted(close)
+            return batch(_HITS, [row["segment_id"]] * len(docs), docs, [doc_ids[d].as_py() for d in docs], *([sorted(x.get(d, ())) for d in docs] for x in (names, where, close)))
 
-        part = index.mapInArrow(work, "segment_id long, row int, items array<string>, hits array<int>")
+        part = index.mapInArrow(work, "segment_id long, row int, doc_id long, items array<string>, hits array<int>, near array<string>")
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def proximity_matches(index: DataFrame, items: DataFrame, slop: int, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """doc_id, item: documents that have all words of an item, each at most `slop` words from its place.
+def proximity_matches(index: DataFrame, items: DataFrame, slop: int = SLOP, item_id: str = "item_id", text: str = "text", window: int | None = None) -> DataFrame:
+    """doc_id, item: documents with a proximity match of an item, as `phrase_matches` has them; by default of all its words.
 
-    Places are counted from the item's rarest word, of equals the first. An item counts once for a document;
-    items without id or words give no row.
+    An item counts once for a document; items without id or words give no row.
     """
-    spark, found = index.sparkSession, None
-    schema = pa.schema([("doc_id", pa.int64()), ("item", pa.string())])
-    for group in _groups(items, item_id, text):
-        phrases = Phrases(group, None)
-        phrases.order_by(term_counts(index, phrases.vocabulary))
-        shared = spark.sparkContext.broadcast(phrases)
+    return phrase_matches(index, items, item_id, text, window, slop).select("doc_id", F.explode("near").alias("item")).distinct()
 
-        def work(batches, shared=shared):
-            p = shared.value
-            for rows in batches:
-                for i in range(rows.num_rows):
-                    n_words = rows.column("n_words")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
-                    seg = Segment(*(rows.column(c)[i].as_py() for c in ("terms", "begins", "postings")), n_words)
-                    ids = rows.column("doc_ids")[i].as_py()
-                    known, pairs = seg.known(p.vocabulary), set()
-                    for k in p.possible(known):
-                        order, mine = p.order[k], known[p.ids(k)]
-                        anchors = seg.of(mine[order[0]])
-                        docs = np.searchsorted(seg.docs_end, anchors, side="right")
-                        lo, hi = (seg.docs_end - n_words)[docs], seg.docs_end[docs]
-                        ok = np.ones(len(anchors), bool)
-                        for j in order[1:]:
-                            other = seg.of(mine[j])
-                            place = anchors - order[0] + j
-                            near = np.searchsorted(other, np.maximum(place - slop, lo))
-                            ok &= (near < len(other)) & (other[np.minimum(near, len(other) - 1)] < np.minimum(place + slop + 1, hi))
-                        pairs |= {(d, name) for d in docs[ok].tolist() for name in p.items[k]}
-                    pairs = sorted(pairs)
-                    yield batch(schema, [ids[d] for d, _ in pairs], [name for _, name in pairs])
-
-        part = index.mapInArrow(work, "doc_id long, item string")
-        found = part if found is None else found.unionByName(part)
-    return found.distinct()
 
+def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """doc_id, n_words, n_hit, items and near array<string> (sorted), contaminated, for every row of `docs`.
 
-def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, items array<string> (sorted), contaminated, for every row of `docs`.
-
-    contaminated: some word is hit, and one word in twenty at least. Rows are kept apart even
+    contaminated: some word is hit, and one word in twenty at least. near: items with a window that
+    matches exactly or in proximity, each word at most `slop` words from its place. Rows are kept apart even
     if doc_ids repeat or are null; null and empty texts have no words; an empty table of items
     hits nothing. Words of items without id are hit, but such items are not among `items`; items
     of one id count as one, and an empty table of documents gives none.
     """
     index = build_index(docs, doc_id, text)
-    hits = phrase_matches(index, items, item_id, item_text, window).groupBy("segment_id", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"))
+
+    def merged(column: str):
+        return F.array_distinct(F.flatten(F.collect_list(column)))  # a row for each group of items
+
+    hits = phrase_matches(index, items, item_id, item_text, window, slop).groupBy("segment_id", "row").agg(F.array_sort(merged("items")).alias("items"), F.array_sort(merged("near")).alias("near"), F.size(merged("hits")).cast("long").alias("n_hit"))
     rows = index.select("segment_id", F.posexplode(F.arrays_zip("doc_ids", "n_words"))).select("segment_id", F.col("pos").alias("row"), F.col("col.doc_ids").alias("doc_id"), F.col("col.n_words").alias("n_words"))
-    out = rows.join(hits, ["segment_id", "row"], "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    none = F.array().cast("array<string>")
+    out = rows.join(hits, ["segment_id", "row"], "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", none).alias("items"), F.coalesce("near", none).alias("near"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))

@@ -31,7 +31,7 @@ def op3_packing(spark, sf_dir):
 
 def op4_benchmark_decontamination(spark, sf_dir):
     found = positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", F.size("near").cast("long").alias("n_near"))
 
 
 def op5_quality_classifier(spark, sf_dir):
@@ -107,6 +107,8 @@ SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_ba
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id LEFT JOIN g ON d.doc_id = g.doc_id""",
     "op4_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+x AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+c AS (SELECT word, count(*) AS n_all FROM x GROUP BY word),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
 bw AS (
   SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g
@@ -119,10 +121,18 @@ dw AS (
 ),
 m AS (SELECT doc_id, i, dw.n AS n, item FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
 p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
-t AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list_distinct(list(item) FILTER (item IS NOT NULL))), ',') AS items FROM m GROUP BY doc_id)
+t AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list_distinct(list(item) FILTER (item IS NOT NULL))), ',') AS items FROM m GROUP BY doc_id),
+o AS (SELECT g, n, j, string_split(g, ' ')[j] AS word FROM (SELECT g, n, unnest(range(1, n + 1)) AS j FROM (SELECT DISTINCT g, n FROM bw))),
+r AS (SELECT g, n, arg_min(o.word, n_all * 100 + j) AS rarest, arg_min(j, n_all * 100 + j) AS anchor FROM o JOIN c ON o.word = c.word GROUP BY g, n HAVING count(*) = n),
+a AS (SELECT g, n, doc_id, p - anchor AS start FROM r JOIN x ON rarest = word),
+e AS (
+  SELECT a.doc_id AS doc_id, a.g AS g FROM a JOIN o ON a.g = o.g JOIN x ON a.doc_id = x.doc_id AND o.word = x.word AND x.p BETWEEN start + j - {positional_index.SLOP} AND start + j + {positional_index.SLOP}
+  GROUP BY a.doc_id, a.g, a.n, start HAVING count(DISTINCT j) = a.n
+),
+q AS (SELECT doc_id, count(DISTINCT item) AS n_near FROM e JOIN bw ON e.g = bw.g GROUP BY doc_id)
 SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN t ON d.doc_id = t.doc_id""",
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN t ON d.doc_id = t.doc_id LEFT JOIN q ON d.doc_id = q.doc_id""",
     "op7_line_dedup": """
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS l FROM documents),
 x AS (SELECT doc_id, source, i, l[i] AS line FROM (SELECT doc_id, source, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
