@@ -66,7 +66,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text benchmark items don't contaminate, whatever doc_id they have."""
     rows = _hashed(docs)
-    found = positional_index.contamination(rows.select("text_hash", "text"), _table(spark, sf_dir, "benchmark"), "text_hash")
+    found = positional_index.contamination(rows.select("text_hash", "text"), _table(spark, sf_dir, "benchmark"), "text_hash", slop=0)
     return rows.join(found.where("contaminated").select(F.col("doc_id").alias("text_hash")).distinct(), "text_hash", "left_anti").select(*COLUMNS)
 
 
