@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, license_scan, line_dedup, link_graph, lm_scoring, minhash, packing, positional_index, simhash, substring_dedup
+from . import cotraining, importance, license_scan, line_dedup, link_graph, lm_scoring, minhash, packing, positional_index, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_target_resampling(spark, sf_dir):
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,12 +78,17 @@ QUERIES = {
         op8_substring_dedup,
         op9_lm_scoring,
         op10_simhash_near_dedup,
+        op11_target_resampling,
     )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# CRC-32 of the UTF-8 bytes of f, byte by byte through the table of its polynomial
+_CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b))"
+_BYTES = "list_transform(range(1, octet_length(encode(f)) + 1), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i - 1, 2) AS BIGINT))"
+
 _PHRASES = ", ".join(f"('{t.label}', '{t.text}', {len(t.text.split())})" for t in license_scan.BASE)
 _PLAIN = [re.findall("[0-9a-z]+", t.text.lower()) for t in license_scan.TEMPLATES]
 _TEMPLATES = ", ".join(f"('{t.label}', '{' '.join(w)}', {t.threshold}, {license_scan.block_length(len(w))})" for t, w in zip(license_scan.TEMPLATES, _PLAIN, strict=True))
@@ -153,4 +162,26 @@ x AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len
 k AS (SELECT x.doc_id AS doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.p) AS kept FROM x LEFT JOIN h ON x.doc_id = h.doc_id AND x.p = h.p WHERE h.p IS NULL GROUP BY x.doc_id)
 SELECT d.doc_id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
+    "op11_target_resampling": rf"""
+WITH crc AS (SELECT {_CRC_TABLE} AS z),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT {_WORDS} AS w FROM benchmark),
+n AS (SELECT unnest([1, 2, 3]) AS n),
+df AS (SELECT doc_id, array_to_string(w[i:i + n - 1], ' ') AS f FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, n)),
+bf AS (SELECT array_to_string(w[i:i + n - 1], ' ') AS f FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM b, n)),
+h AS (SELECT f, xor(list_reduce({_BYTES}, lambda c, x: xor(c >> 8, z[xor(c, x) % 256 + 1]), 4294967295), 4294967295) % 10000 AS k FROM (SELECT f FROM df UNION SELECT f FROM bf), crc),
+s AS (SELECT k, count(*) AS n FROM df JOIN h ON df.f = h.f GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM bf JOIN h ON bf.f = h.f GROUP BY k),
+g AS (
+  SELECT r.k AS k, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM df) + 10000 AS DOUBLE) / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * CAST((SELECT count(*) FROM bf) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM (SELECT unnest(range(10000)) AS k) r LEFT JOIN s ON r.k = s.k LEFT JOIN t ON r.k = t.k
+),
+x AS (SELECT doc_id, count(*) AS n_features, sum(gain) AS weight FROM df JOIN h ON df.f = h.f JOIN g ON h.k = g.k GROUP BY doc_id),
+y AS (
+  SELECT d.doc_id AS doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN x ON d.doc_id = x.doc_id
+),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM y WHERE n_words >= 20)
+SELECT y.doc_id AS doc_id, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank FROM y LEFT JOIN r ON y.doc_id = r.doc_id""",
 }
