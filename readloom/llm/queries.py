@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, importance, license_scan, line_dedup, link_graph, lm_scoring, minhash, packing, positional_index, simhash, substring_dedup
+from . import cotraining, importance, license_scan, line_dedup, link_graph, lm_scoring, minhash, packing, positional_index, simhash, substring_dedup, token_links
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op11_target_resampling(spark, sf_dir):
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_tokenizer_alignment(spark, sf_dir):
+    return token_links.align(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +83,7 @@ QUERIES = {
         op9_lm_scoring,
         op10_simhash_near_dedup,
         op11_target_resampling,
+        op13_tokenizer_alignment,
     )
 }
 
