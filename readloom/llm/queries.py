@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, importance, license_scan, line_dedup, link_graph, lm_scoring, minhash, packing, positional_index, simhash, substring_dedup, token_links
+from . import cotraining, importance, license_scan, line_dedup, link_graph, lm_scoring, minhash, nn_descent, packing, positional_index, simhash, substring_dedup, token_links
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op11_target_resampling(spark, sf_dir):
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_embedding_near_dedup(spark, sf_dir):
+    return nn_descent.near_groups(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_tokenizer_alignment(spark, sf_dir):
     return token_links.align(_table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ QUERIES = {
         op9_lm_scoring,
         op10_simhash_near_dedup,
         op11_target_resampling,
+        op12_embedding_near_dedup,
         op13_tokenizer_alignment,
     )
 }
@@ -189,4 +194,15 @@ y AS (
 ),
 r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM y WHERE n_words >= 20)
 SELECT y.doc_id AS doc_id, n_features, weight, score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank FROM y LEFT JOIN r ON y.doc_id = r.doc_id""",
+    "op12_embedding_near_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a AS a, l.b AS b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a""",
 }
