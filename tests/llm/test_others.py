@@ -456,7 +456,7 @@ def test_filter_holds_levels():
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_empty_and_null_tables(spark, tmp_path, name):
     for kind in ("empty", "nulls"):
-        for t in ("documents", "labels", "benchmark", "pages"):
+        for t in ("documents", "labels", "benchmark", "pages", "embeddings"):
             df = spark.read.parquet(f"{DATA}/{t}.parquet")
             if kind == "empty":
                 df = df.where("false")
@@ -499,7 +499,7 @@ def test_query_equals_sql(spark, name):
     import duckdb
 
     with duckdb.connect() as db:
-        for t in ("documents", "benchmark"):
+        for t in ("documents", "benchmark", "embeddings"):
             db.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
         want = db.execute(queries.ORACLE_SQL[name])
         columns = sorted(c[0] for c in want.description)
