@@ -16,8 +16,6 @@ from ..functions.sequence import clamp_mapq, reverse_complement
 SEED, MISMATCHES, MIN_LENGTH = 12, 2, 50
 #: Bases of a tile without what it shares with its neighbours.
 TILE = 16_384
-#: A seed with more places than this is left out of the index.
-MAX_HITS = 1000
 
 _TILE = pa.schema([("ref_index", pa.int32()), ("name", pa.string()), ("length", pa.int64()), ("tile", pa.int64()), ("start", pa.int64()), ("sequence", pa.string())])
 _PLACE = pa.schema([("seed", pa.int64()), ("ref_index", pa.int32()), ("place", pa.int64())])
@@ -45,7 +43,7 @@ def seed_code(seed: Column) -> Column:
     return F.when(seed.rlike("^[ACGT]+$"), F.conv(F.translate(seed, "ACGT", "0123"), 4, 10).cast("long"))
 
 
-def seed_places(cut: DataFrame, seed: int = SEED, size: int = TILE, max_hits: int | None = MAX_HITS) -> DataFrame:
+def seed_places(cut: DataFrame, seed: int = SEED, size: int = TILE, max_hits: int | None = None) -> DataFrame:
     """seed, ref_index, place of the seeds of tiles that have `max_hits` places at most (None: all)."""
 
     def places(batches):
@@ -153,12 +151,12 @@ def checked(candidates: DataFrame, mismatches: int, gaps: bool) -> DataFrame:
     return candidates.mapInArrow(work, ddl)
 
 
-def align(reads: DataFrame, contigs: DataFrame, seed: int = SEED, mismatches: int = MISMATCHES, min_length: int = MIN_LENGTH, gaps: bool = True, max_hits: int | None = MAX_HITS, tile: int = TILE) -> DataFrame:
+def align(reads: DataFrame, contigs: DataFrame, seed: int = SEED, mismatches: int = MISMATCHES, min_length: int = MIN_LENGTH, gaps: bool = True, max_hits: int | None = None, tile: int = TILE) -> DataFrame:
     """Reads (ordinal, base, ...) with `aln`: the place with the fewest edits, of either strand.
 
     A read with up to `mismatches` edits (differing, inserted or, with `gaps`, missing bases)
-    has an exact seed among its first mismatches + 1, if it is long enough for them and the seed has no
-    more than `max_hits` places. Reads that are shorter than min_length or have more N than `mismatches`
+    has an exact seed among its first mismatches + 1, if it is long enough for them (max_hits: and if
+    the seed has no more places). For genomes whose seeds stand in many places there is `mapping`. Reads that are shorter than min_length or have more N than `mismatches`
     are unmapped, as are reads without a place: contig '*', ref_index -1, position 0, flag 4.
     Ties go to alignments without gaps, then to the first contig and place.
     """

@@ -8,7 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar, flags, sequence
-from ..operators import align, alignments, chunking, demux, genecount, overlap, pairs
+from ..operators import align, alignments, chunking, demux, genecount, mapping, overlap, pairs
+from ..session import staged
 from ..sources import bam, chunk_source, dump, text
 from ..streaming import workqueue
 from .fixtures import SAMPLES, WITH, Fixtures
@@ -516,11 +517,46 @@ _PLACED = "SELECT ordinal, base, ordinal // 200 AS k, (row_number() OVER (PARTIT
 @query(f"SELECT ordinal, CAST(CASE WHEN lost THEN 4 ELSE 0 END AS INT) AS flag, CAST(CASE WHEN lost THEN 0 ELSE 60 END AS INT) AS mapping_quality, CAST(CASE WHEN lost THEN -1 ELSE k END AS INT) AS ref_index, CAST(CASE WHEN lost THEN 0 ELSE p END AS BIGINT) AS position, CASE WHEN lost THEN '*' ELSE concat('c', k) END AS contig, CASE WHEN lost THEN '' ELSE '32M' END AS cigar FROM ({_PLACED})")
 def align_reads(x):
     """All reads against contigs that are made of them."""
-    contigs = _contigs(x).select(F.col("k").cast("int").alias("ref_index"), F.concat(F.lit("c"), F.col("k").cast("string")).alias("name"), "sequence")
-    found = align.align(x.reads.select("ordinal", "base"), contigs, min_length=20, tile=1024)
+    found = align.align(x.reads.select("ordinal", "base"), _numbered_contigs(x), min_length=20, tile=1024)
     return found.select("ordinal", "aln.flag", "aln.mapping_quality", "aln.position.ref_index", "aln.position.position", "aln.position.contig", "aln.cigar")
 
 
+# fragments of 128 bases, four reads of a contig in a row, and what is done to them: by ordinal % 8 nothing, a mismatch, two bases
+# less (where no other two could be meant), two more, the other strand, that with two mismatches, other bases in front, three mismatches
+_FRAGMENT = """SELECT ordinal, base, k, p, base || b1 || b2 || b3 AS s FROM (
+ SELECT ordinal, base, ordinal // 200 AS k, (row_number() OVER w - 1) * 32 AS p, lead(base, 1) OVER w AS b1, lead(base, 2) OVER w AS b2, lead(base, 3) OVER w AS b3 FROM rd WINDOW w AS (PARTITION BY ordinal // 200 ORDER BY ordinal)) WHERE b3 IS NOT NULL"""
+_KIND = "CASE WHEN ordinal % 8 = 2 AND (substr(s, 50, 1) = substr(s, 52, 1) OR substr(s, 51, 1) = substr(s, 53, 1)) THEN 0 ELSE ordinal % 8 END"
+
+
+def _fragments(x):
+    """The reads of fragments with their edits: ordinal, base."""
+    w = Window.partitionBy("k").orderBy("ordinal")
+    rows = x.reads.select("ordinal", "base", F.floor(F.col("ordinal") / 200).alias("k"))
+    rows = rows.select("ordinal", "base", *(F.lead("base", n).over(w).alias(f"b{n}") for n in (1, 2, 3))).where("b3 is not null").select("ordinal", "base", F.concat("base", "b1", "b2", "b3").alias("s"))
+    rows = rows.where("s not like '%N%' or base like 'N%'").withColumn("kind", F.expr(_KIND))
+    part = lambda a, b: F.substring("s", a, b - a + 1)
+    other = lambda a, b: F.translate(part(a, b), "ACGT", "CGTA")
+    wrong = lambda *at: F.concat(*(piece for a, b in zip((0, *at), (*at, 101), strict=True) for piece in ([other(a, a)] if a else []) + [part(a + 1, b - 1)]))
+    plain = part(1, 100)
+    read = F.when(F.col("kind") == 1, wrong(50)).when(F.col("kind") == 2, F.concat(part(1, 50), part(53, 102))).when(F.col("kind") == 3, F.concat(part(1, 50), other(51, 51), other(50, 50), part(51, 98)))
+    read = read.when(F.col("kind") == 4, sequence.reverse_complement(plain)).when(F.col("kind") == 5, sequence.reverse_complement(wrong(30, 70))).when(F.col("kind") == 6, F.concat(F.translate(part(1, 7), "ACGT", "TACG"), other(8, 15), part(16, 100))).when(F.col("kind") == 7, wrong(25, 50, 75)).otherwise(plain)
+    return rows.select("ordinal", read.alias("base"))
+
+
+def _numbered_contigs(x):
+    return _contigs(x).select(F.col("k").cast("int").alias("ref_index"), F.concat(F.lit("c"), F.col("k").cast("string")).alias("name"), "sequence")
+
+
+@query(f"""+ fr AS ({_FRAGMENT}), kd AS (SELECT ordinal, k, p, base LIKE 'N%' AS lost, {_KIND} AS kind FROM fr WHERE s NOT LIKE '%N%' OR base LIKE 'N%')
+SELECT ordinal, CAST(CASE WHEN lost THEN 4 WHEN kind IN (4, 5) THEN 16 ELSE 0 END AS INT) AS flag, CAST(CASE WHEN lost THEN 0 ELSE 60 END AS INT) AS mapping_quality, CAST(CASE WHEN lost THEN -1 ELSE k END AS INT) AS ref_index,
+ CAST(CASE WHEN lost THEN 0 WHEN kind = 6 THEN p + 15 ELSE p END AS BIGINT) AS position, CASE WHEN lost THEN '' WHEN kind = 2 THEN '50M2D50M' WHEN kind = 3 THEN '50M2I48M' WHEN kind = 6 THEN '15S85M' ELSE '100M' END AS cigar,
+ CAST(CASE WHEN lost THEN NULL ELSE CASE kind WHEN 1 THEN 95 WHEN 2 THEN 92 WHEN 3 THEN 90 WHEN 5 THEN 90 WHEN 6 THEN 80 WHEN 7 THEN 85 ELSE 100 END END AS INT) AS score FROM kd""")
+def map_edited_reads(x):
+    """Reads with mismatches, gaps, other ends and of either strand, against an index of the contigs that they come from."""
+    found = mapping.map_reads(_fragments(x), mapping.index(staged(_numbered_contigs(x), "contigs"), tile=4096))
+    return found.select("ordinal", "aln.flag", "aln.mapping_quality", "aln.position.ref_index", "aln.position.position", "aln.cigar", "score")
+
+
 @query("SELECT concat('ds_', ordinal) AS obj_name, '' AS pool FROM rd")
 def work_queue(x):
     spark, folder = x.reads.sparkSession, f"file://{_folder(x)}"
