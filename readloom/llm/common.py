@@ -160,8 +160,7 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=U64) * U64(2) + U64(1)
-_IN_WORD, _IN_GRAM = Powers(0x9E3779B97F4A7C15), Powers(0xD6E8FEB86659FD93)
+_IN_GRAM = Powers(0xD6E8FEB86659FD93)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -171,6 +170,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+#: Bytes of a word that are mixed in eight at a time; a longer word is hashed by the xxhash library.
+LONG_WORD = 512
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans: eight bytes after the other are mixed in, so the hash is no sum in which the parts of a span could cancel out."""
+    size = (end - start).astype(np.int64)
+    order = np.argsort(-size, kind="stable")
+    size, at = size[order], start[order].astype(np.int64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    h = size.astype(U64) * U64(0x9E3779B97F4A7C15)
+    long = int(np.searchsorted(-size, -LONG_WORD, side="left"))
+    for k in range(0, int(size[long]) if long < len(size) else 0, 8):
+        on = slice(long, int(np.searchsorted(-size, -k, side="left")))  # those longer than k
+        missing = (np.clip(8 - (size[on] - k), 0, 7) * 8).astype(U64)
+        h[on] = mixed(h[on] ^ (eight[at[on] + k] << missing >> missing)) + U64(0xD1B54A32D192ED03)
+    if long:
+        import xxhash
+
+        raw = data.tobytes()
+        h[:long] = [xxhash.xxh64_intdigest(raw[a : a + n]) for a, n in zip(at[:long].tolist(), size[:long].tolist(), strict=True)]
+    out = np.empty_like(h)
+    out[order] = mixed(h)
+    return out
+
+
 class Words:
     """The words of some texts: byte places `start`/`end` in `data`; text i has words `first[i]` to `first[i + 1]`."""
 
@@ -188,10 +214,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hashes of the words' bytes."""
-        up, down = _IN_WORD.get(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, U64)
-        np.cumsum(_BYTE[self.data] * up[:-1], out=total[1:])
-        return mixed((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(U64))
+        return byte_hashes(self.data, self.start, self.end)
 
     def owner(self) -> np.ndarray:
         """The text of each word."""
@@ -208,12 +231,47 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return mixed((total[n:] - total[:-n]) * down[: len(h) - n + 1])
 
 
+_PRIME = U64((1 << 61) - 1)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x >> U64(61)) + (x & _PRIME)
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2**61 - 1 of numbers below it, by halves of 30 and 31 bits."""
+    a_high, a_low, b_high, b_low = a >> U64(31), a & U64(0x7FFFFFFF), b >> U64(31), b & U64(0x7FFFFFFF)
+    middle = a_low * b_high + a_high * b_low
+    return _reduced((a_high * b_high << U64(1)) + (middle >> U64(30)) + ((middle & U64(0x3FFFFFFF)) << U64(31)) + a_low * b_low)
+
+
+class PrimePowers:
+    """Powers of a number and of its inverse modulo 2**61 - 1, as far as asked for."""
+
+    def __init__(self, base: int):
+        self.bases = base, pow(base, -1, int(_PRIME))
+        self.kept = [np.ones(1, U64)] * 2
+
+    def get(self, n: int) -> list[np.ndarray]:
+        while len(self.kept[0]) < n:
+            size = len(self.kept[0])
+            self.kept = [np.concatenate([k, _product(k, np.full(size, pow(b, size, int(_PRIME)), U64))]) for k, b in zip(self.kept, self.bases, strict=True)]
+        return [k[:n] for k in self.kept]
+
+
+_IN_SPAN = PrimePowers(0x0D6E8FEB86659FD9)
+
+
 def span_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of items from start to end (exclusive)."""
-    up, down = _IN_GRAM.get(len(h) + 1)
-    total = np.zeros(len(h) + 1, U64)
-    np.cumsum(h * up[:-1], out=total[1:])
-    return mixed((total[end] - total[start]) * down[start] + (end - start).astype(U64))
+    """Hashes of the runs of items from start to end (exclusive): sums modulo a prime, in which no pattern of items cancels out for certain, however long."""
+    up, down = _IN_SPAN.get(len(h) + 1)
+    part = _product(_reduced(h), up[:-1])
+    low, high = np.zeros(len(h) + 1, U64), np.zeros(len(h) + 1, U64)
+    np.cumsum(part & U64(0x3FFFFFFF), out=low[1:])
+    np.cumsum(part >> U64(30), out=high[1:])
+    total = _reduced(_product(_reduced(high), np.full(len(high), 1 << 30, U64)) + _reduced(low))
+    return mixed(_product(_reduced(total[end] + _PRIME - total[start]), down[start]) + (end - start).astype(U64))
 
 
 def gram_places(first: np.ndarray, n: int) -> np.ndarray:
