@@ -55,17 +55,48 @@ def unpack(raw: bytes) -> str:
 
 def encode(records: list[bytes], name: str, first: int, kind: int = TEXT, compression: int = GZIP) -> bytes:
     """A chunk file: header, then the lengths of the records and the records themselves."""
-    body = np.array([len(r) for r in records], "<u4").tobytes() + b"".join(records)
+    return encode_body(np.array([len(r) for r in records], np.int64), b"".join(records), name, first, kind, compression)
+
+
+def encode_body(lengths: np.ndarray, data: bytes, name: str, first: int, kind: int = TEXT, compression: int = GZIP) -> bytes:
+    """A chunk file of records that lie one after the other."""
+    body = lengths.astype("<u4").tobytes() + data
     if compression == GZIP:
         packer = zlib.compressobj(6, zlib.DEFLATED, 31)
         body = packer.compress(body) + packer.flush()
     elif compression != UNCOMPRESSED:
         raise FormatError("only gzip and no compression are written")
-    return HEADER.pack(0, 1, kind, compression, HEADER.size, 0, first, first + len(records), name.encode()[:32]) + body
+    return HEADER.pack(0, 1, kind, compression, HEADER.size, 0, first, first + len(lengths), name.encode()[:32]) + body
+
+
+@dataclass
+class Body:
+    """A chunk file whose records are still in place: record i is data[begins[i] : ends[i]]."""
+
+    first: int
+    last: int
+    name: str
+    kind: int
+    data: bytes
+    begins: np.ndarray
+    ends: np.ndarray
+
+    def record(self, i: int) -> bytes:
+        return self.data[self.begins[i] : self.ends[i]]
+
+    def part(self, low: int, high: int) -> Body:
+        """Records low to high (exclusive)."""
+        return Body(self.first + low, self.first + high, self.name, self.kind, self.data, self.begins[low:high], self.ends[low:high])
 
 
 def decode(raw: bytes, verify: bool = True) -> Chunk:
     """The records of a chunk file; packed bases are unpacked to text."""
+    body = decode_body(raw, verify)
+    return Chunk(body.first, body.last, body.name, body.kind, [body.data[a:b] for a, b in zip(body.begins.tolist(), body.ends.tolist(), strict=True)])
+
+
+def decode_body(raw: bytes, verify: bool = True) -> Body:
+    """A chunk file's records, not cut apart; packed bases are unpacked to text."""
     if len(raw) < HEADER.size:
         raise FormatError("a chunk file is shorter than its header")
     _, _, kind, compression, start, _, first, last, name = HEADER.unpack_from(raw)
@@ -87,11 +118,12 @@ def decode(raw: bytes, verify: bool = True) -> Chunk:
     ends = 4 * n + np.cumsum(np.frombuffer(body, "<u4", n).astype(np.int64))
     if verify and n and ends[-1] != len(body) or n and ends[-1] > len(body):
         raise FormatError("record lengths don't add up to the data")
-    begins = np.concatenate([[4 * n], ends[:-1]]) if n else []
-    records = [body[a:b] for a, b in zip(begins, ends, strict=True)]
+    begins = np.concatenate([[4 * n], ends[:-1]]).astype(np.int64) if n else np.empty(0, np.int64)
     if kind == COMPACTED_BASES:
-        records = [unpack(r).encode() if r else b"" for r in records]
-    return Chunk(first, last, name.split(b"\0")[0].decode(), kind, records)
+        records = [unpack(body[a:b]).encode() if a < b else b"" for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+        body, ends = b"".join(records), np.cumsum([len(r) for r in records], dtype=np.int64)
+        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if n else np.empty(0, np.int64)
+    return Body(first, last, name.split(b"\0")[0].decode(), kind, body, begins, ends)
 
 
 # Alignment messages (protocol buffers, proto3: what is absent is 0 or empty). Fixed field numbers.
