@@ -477,6 +477,45 @@ def position_range(x):
     return alignments.position_range(spark.read.schema(x.alignments.schema).parquet(folder), 3, 2000, 9000).select("ordinal", "position", "cigar")
 
 
+def _laid(x):
+    """Reads with their alignments in coordinate order, unmapped ones first, numbered anew: ordinal, meta, aln."""
+    key = F.struct("ref_index", "position", "ordinal")
+    rows = _with_aln(x, x.alignments.withColumn("is_empty", F.lit(False))).select("ordinal", "meta", "aln", F.col("aln.position.ref_index").alias("ref_index"), F.col("aln.position.position").alias("position"))
+    before = rows.groupBy("ref_index").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("ref_index")) - F.col("n"))
+    place = F.row_number().over(Window.partitionBy("ref_index").orderBy(key)) - 1
+    return rows.withColumn("place", place).join(F.broadcast(before), "ref_index").select((F.col("before") + F.col("place")).alias("ordinal"), "meta", "aln")
+
+
+@query("SELECT rd.meta AS meta, position, cigar FROM rd JOIN al ON rd.ordinal = al.ordinal WHERE ref_index = 3 AND position >= 2000 AND position < 9000")
+def chunk_position_range(x):
+    """A range of places of a dataset in coordinate order: chunks are dropped by their zones, rows found by binary search."""
+    spark, folder = x.reads.sparkSession, _folder(x)
+    chunk_source.write(_laid(x), folder, "laid", 500)
+    p = F.col("aln.position")
+    return chunk_source.load(spark, folder).where((p["ref_index"] == 3) & (p["position"] >= 2000) & (p["position"] < 9000)).select("meta", p["position"].alias("position"), "aln.cigar")
+
+
+@query("SELECT rd.meta AS meta, CAST(ref_index AS INT) AS ref_index, CAST(position AS BIGINT) AS position, cigar FROM rd JOIN al ON rd.ordinal = al.ordinal WHERE rd.ordinal % 7 = 3")
+def chunk_look_up(x):
+    """Alignments of a dataset in coordinate order, looked up by place and name."""
+    spark, folder = x.reads.sparkSession, _folder(x)
+    rows = staged(_laid(x), "laid")
+    chunk_source.write(rows, folder, "laid", 500)
+    wanted = rows.where(F.regexp_extract("meta", r"^r(\d+)", 1).cast("long") % 7 == 3).select("aln.position.ref_index", "aln.position.position", "meta")
+    return chunk_source.look_up(spark, folder, wanted).select("meta", "ref_index", "position", "aln.cigar")
+
+
+@query("SELECT ordinal, base, qual FROM rd")
+def stream_sink(x):
+    """Reads that come as a stream of files, written as chunks batch by batch, and read back."""
+    spark, folder = x.reads.sparkSession, _folder(x)
+    x.reads.select("ordinal", "base", "qual").repartitionByRange(5, "ordinal").write.parquet(f"file://{folder}/in")
+    chunk_source.register(spark)
+    found = spark.readStream.schema("ordinal bigint, base string, qual string").option("maxFilesPerTrigger", 2).parquet(f"file://{folder}/in")
+    found.writeStream.format("readchunks").option("chunk", 300).option("checkpointLocation", f"file://{folder}/checkpoint").trigger(availableNow=True).start(f"{folder}/ds").awaitTermination()
+    return chunk_source.load(spark, f"{folder}/ds")
+
+
 @query("SELECT ordinal, type, least(a, b) AS start, greatest(a, b) AS stop, gene_id FROM (SELECT ordinal, contig, position, position + 40 AS until FROM al) s JOIN (SELECT contig AS c, type, gene_id, CASE WHEN strand THEN start ELSE stop END AS a, CASE WHEN strand THEN stop ELSE start END AS b FROM ft) f ON contig = c AND greatest(a, b) >= position AND least(a, b) <= until")
 def interval_overlaps(x):
     """Whole intervals, of which half are given backwards, that touch a span."""

@@ -1,46 +1,82 @@
 """Datasets of chunk files as a Spark data source, format("readchunks"), for batches and as a stream.
 
 Reading: a partition for each chunk; option columns (comma-separated) opens only those
-files; filters on ordinal drop chunks before they are opened. As a stream, the chunks that the
-manifest has got since come as new rows. Writing: rows must come with ordinal and, for
+files; filters on ordinal drop chunks before they are opened. A chunk of alignments has the least and
+the greatest place (ref_index, position) in the manifest, so filters on the place drop chunks too, and
+inside a chunk that is sorted by place the rows are found by binary search. As a stream, the
+chunks that the manifest has got since come as new rows. Writing: rows must come with ordinal and, for
 several samples, in folders of their own; each task writes its chunks, and the manifest is
-written once, on commit. Paths are folders that all executors mount, or addresses of stores
+written once, on commit. A stream is written as chunks that the manifest gets with the number of
+their batch, so a batch that is repeated counts once (option stream tells apart streams into one dataset). Paths are folders that all executors mount, or addresses of stores
 that Arrow opens; options store.* configure the store. What only Spark opens is read with `read_chunks`.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+import uuid
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 from ..schema import ALIGNMENT
-from . import chunk_format, text
+from . import chunk_format, messages, text
 from .store import Store
 
-_PLACE = pa.struct([("position", pa.int64()), ("ref_index", pa.int32()), ("contig", pa.string())])
-_ALN = pa.struct([("flag", pa.int32()), ("mapping_quality", pa.int32()), ("position", _PLACE), ("next_position", _PLACE), ("template_length", pa.int64()), ("cigar", pa.string())])
 MANIFEST = "metadata.json"
 
 
-def _values(column: str, records: list[bytes]) -> pa.Array:
+def _values(column: str, body: chunk_format.Body) -> pa.Array:
     if column == "aln":
-        return pa.array([chunk_format.decode_message(r) if r else None for r in records], _ALN)
-    return pa.array(records, pa.binary()).cast(pa.string())
+        return messages.decode(body.data, body.begins, body.ends)
+    return messages.strings(np.frombuffer(body.data, np.uint8), body.begins, body.ends)
 
 
 def _chunk(column: str, values: pa.Array, name: str, first: int) -> bytes:
     """A chunk file; null is an empty record."""
-    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) and values.num_chunks > 1 else values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
     if column == "aln":
-        records = [chunk_format.encode_message(r) if r is not None else b"" for r in values.to_pylist()]
-        return chunk_format.encode(records, name, first, chunk_format.STRUCTURED)
-    return chunk_format.encode([r or b"" for r in values.cast(pa.binary()).to_pylist()], name, first, chunk_format.TEXT)
+        return chunk_format.encode_body(*messages.encode(values.cast(messages.ALIGNMENT)), name, first, chunk_format.STRUCTURED)
+    raw = pc.fill_null(values.cast(pa.large_binary()), b"")
+    ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = raw.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if raw.buffers()[2] else b""
+    return chunk_format.encode_body(np.diff(ends), data, name, first, chunk_format.TEXT)
+
+
+Place = tuple[int, int]
+
+
+def zone(values: pa.Array) -> dict | None:
+    """The least and the greatest place of alignments, and whether all rows have one and lie in that order; None without any."""
+    values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
+    there = values.is_valid()
+    kept = values.filter(there)
+    if not len(kept):
+        return None
+    ref, position = (pc.fill_null(pc.struct_field(kept, ["position", c]), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("ref_index", "position"))
+    order = np.lexsort((position, ref))
+    in_order = (ref[1:] > ref[:-1]) | (ref[1:] == ref[:-1]) & (position[1:] >= position[:-1])
+    low, high = ([int(ref[i]), int(position[i])] for i in (order[0], order[-1]))
+    return {"low": low, "high": high, "sorted": bool(in_order.all()) and len(kept) == len(values)}
+
+
+def bound(body: chunk_format.Body, place: Place, after: bool = False) -> int:
+    """How many of the alignments of a sorted chunk lie before a place, or up to it; some twenty messages are read."""
+    low, high = 0, len(body.begins)
+    while low < high:
+        middle = (low + high) // 2
+        ref, position = messages.places(body.data, body.begins[middle : middle + 1], body.ends[middle : middle + 1])
+        here = int(ref[0]), int(position[0])
+        low, high = (middle + 1, high) if here < place or after and here == place else (low, middle)
+    return low
 
 
 def _type(column: str) -> str:
@@ -58,56 +94,109 @@ def _dense(ordinals: list[int], first: int) -> None:
 
 @dataclass
 class ChunkPartition(InputPartition):
+    """A chunk; of a sorted one only the rows from place `low` to place `high` are wanted."""
+
     path: str
     first: int
     last: int
+    low: Place | None = None
+    high: Place | None = None
+
+
+@dataclass
+class Bounds:
+    """Closed bounds of a number, which filters narrow."""
+
+    low: int | None = None
+    high: int | None = None
+
+    def narrow(self, f) -> None:
+        if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+            low = f.value + isinstance(f, GreaterThan)
+            self.low = low if self.low is None else max(self.low, low)
+        if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
+            high = f.value - isinstance(f, LessThan)
+            self.high = high if self.high is None else min(self.high, high)
+
+
+_FAR = 1 << 63
+_BOUNDED = {("ordinal",): "ordinal", ("aln", "position", "ref_index"): "ref", ("aln", "position", "position"): "position"}
 
 
 class ChunkReader(DataSourceReader):
     def __init__(self, store: Store, columns: list[str]):
-        self.store, self.columns, self.low, self.high = store, columns, None, None
+        self.store, self.columns = store, columns
+        self.bounds = {name: Bounds() for name in _BOUNDED.values()}
 
     def pushFilters(self, filters):
         for f in filters:
-            if getattr(f, "attribute", None) == ("ordinal",) and isinstance(getattr(f, "value", None), int):
-                if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
-                    low = f.value + isinstance(f, GreaterThan)
-                    self.low = low if self.low is None else max(self.low, low)
-                if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
-                    high = f.value + (not isinstance(f, LessThan))
-                    self.high = high if self.high is None else min(self.high, high)
-            yield f  # only chunks are dropped here; Spark filters the rows
-
-    def chunks(self) -> list[ChunkPartition]:
-        return [ChunkPartition(r["path"], r["first"], r["last"]) for r in sorted(_manifest(self.store)["records"], key=lambda r: r["first"])]
+            name = _BOUNDED.get(tuple(getattr(f, "attribute", ())))
+            if name and isinstance(getattr(f, "value", None), int):
+                self.bounds[name].narrow(f)
+            yield f  # only chunks, and parts of sorted ones, are dropped here; Spark filters the rows
+
+    def records(self) -> list[dict]:
+        return sorted(_manifest(self.store)["records"], key=lambda r: r["first"])
+
+    def places(self) -> tuple[Place, Place] | None:
+        """The least and the greatest place that the filters leave."""
+        ref, position = self.bounds["ref"], self.bounds["position"]
+        if ref.low is None and ref.high is None:
+            return None
+        one = ref.low is not None and ref.low == ref.high  # positions follow each other on one contig only
+        low = -_FAR if ref.low is None else ref.low, position.low if one and position.low is not None else -_FAR
+        return low, (_FAR if ref.high is None else ref.high, position.high if one and position.high is not None else _FAR)
 
     def partitions(self):
-        return [c for c in self.chunks() if (self.low is None or c.last > self.low) and (self.high is None or c.first < self.high)]
+        own, places, out = self.bounds["ordinal"], self.places(), []
+        for r in self.records():
+            if own.low is not None and r["last"] <= own.low or own.high is not None and r["first"] > own.high:
+                continue
+            found = r.get("zone")
+            if not (places and found):
+                out.append(ChunkPartition(r["path"], r["first"], r["last"]))
+            elif tuple(found["high"]) >= places[0] and tuple(found["low"]) <= places[1]:
+                out.append(ChunkPartition(r["path"], r["first"], r["last"], *(places if found["sorted"] else ())))
+        return out
+
+    def body(self, partition: ChunkPartition, column: str) -> chunk_format.Body:
+        body, n = chunk_format.decode_body(self.store.read(f"{partition.path}.{column}")), partition.last - partition.first
+        if len(body.begins) != n:
+            raise chunk_format.FormatError(f"{partition.path}.{column} has {len(body.begins)} records, the manifest {n}")
+        return body
 
     def read(self, partition):
-        columns, n = [], partition.last - partition.first
-        for c in self.columns:
-            chunk = chunk_format.decode(self.store.read(f"{partition.path}.{c}"))
-            if len(chunk.records) != n:
-                raise chunk_format.FormatError(f"{partition.path}.{c} has {len(chunk.records)} records, the manifest {n}")
-            columns.append(_values(c, chunk.records))
-        yield pa.RecordBatch.from_arrays([pa.array(range(partition.first, partition.last), pa.int64()), *columns], names=["ordinal", *self.columns])
+        low, high = 0, partition.last - partition.first
+        if partition.low is not None:
+            found = self.body(partition, "aln")
+            low, high = bound(found, partition.low), bound(found, partition.high, after=True)
+        columns = [_values(c, self.body(partition, c).part(low, high)) for c in self.columns] if low < high else []
+        if low < high:
+            yield pa.RecordBatch.from_arrays([pa.array(range(partition.first + low, partition.first + high), pa.int64()), *columns], names=["ordinal", *self.columns])
 
 
 class ChunkStream(DataSourceStreamReader):
-    """The chunks of a dataset that grows at its end; the offset is the number of chunks that were read."""
+    """The chunks of a dataset that grows. The offset is the number of the newest chunk that was read, in the order in which the manifest got them.
+
+    Chunks have their number in the manifest, or else their place in its list; so chunks may come before
+    others by ordinal. A dataset that was overwritten is another one, at which the stream stops.
+    """
 
     def __init__(self, store: Store, columns: list[str]):
         self.reader = ChunkReader(store, columns)
 
     def initialOffset(self):
-        return {"chunks": 0}
+        return {"made": _manifest(self.reader.store).get("made", ""), "number": 0}
 
     def latestOffset(self):
-        return {"chunks": len(self.reader.chunks())}
+        found = _manifest(self.reader.store)
+        return {"made": found.get("made", ""), "number": max((n for n, _ in _numbered(found)), default=0)}
 
     def partitions(self, start, end):
-        return self.reader.chunks()[start["chunks"] : end["chunks"]]
+        if start["made"] != end["made"]:
+            raise ValueError("the dataset was overwritten; its stream must begin anew")
+        wanted = [r for n, r in _numbered(_manifest(self.reader.store)) if start["number"] < n <= end["number"]]
+        return [ChunkPartition(r["path"], r["first"], r["last"]) for r in sorted(wanted, key=lambda r: r["first"])]
 
     def read(self, partition):
         return self.reader.read(partition)
@@ -116,9 +205,14 @@ class ChunkStream(DataSourceStreamReader):
         pass
 
 
+def _numbered(manifest: dict) -> list[tuple[int, dict]]:
+    """The chunks of a manifest with their numbers, from 1."""
+    return [(r.get("number", k + 1), r) for k, r in enumerate(manifest["records"])]
+
+
 @dataclass
 class Written(WriterCommitMessage):
-    records: list[tuple[int, int, str]]
+    records: list[dict] = field(default_factory=list)
 
 
 class ChunkWriter(DataSourceArrowWriter):
@@ -156,23 +250,77 @@ class ChunkWriter(DataSourceArrowWriter):
         first = ordinals[0]
         _dense(ordinals, first)
         path = f"{self.name}_{first}"
-        for c in self.columns:
-            self.store.write(f"{path}.{c}", _chunk(c, rows.column(c), self.name, first))  # a repeated task writes the same
-        return first, first + len(ordinals), path
+        return _put_chunk(self.store, self.columns, rows, self.name, first, path)  # a repeated task writes the same
 
     def commit(self, messages):
-        records = sorted(r for m in messages if m for r in m.records)
-        if any(a[1] > b[0] for a, b in zip(records, records[1:], strict=False)):
-            raise ValueError("chunks overlap; the rows of a chunk must come to one task")
-        found = {"name": self.name, "version": 1, "columns": self.columns, "records": [{"first": a, "last": b, "path": p} for a, b, p in records]}
+        records = sorted((r for m in messages if m for r in m.records), key=lambda r: r["first"])
+        _check_apart(records)
+        found = {"name": self.name, "version": 1, "made": uuid.uuid4().hex, "columns": self.columns, "records": records}
         self.store.write(MANIFEST, json.dumps(found).encode())
-        for name in (self.old & self.store.names()) - {f"{p}.{c}" for _, _, p in records for c in self.columns}:
+        for name in (self.old & self.store.names()) - {f"{r['path']}.{c}" for r in records for c in self.columns}:
             self.store.delete(name)
 
     def abort(self, messages):
-        here = self.store.names() if messages else set()
-        for name in here & {f"{p}.{c}" for m in messages if m for _, _, p in m.records for c in self.columns}:
-            self.store.delete(name)
+        _delete(self.store, messages, self.columns)
+
+
+def _put_chunk(store: Store, columns: list[str], rows: pa.Table, name: str, first: int, path: str) -> dict:
+    """The files of a chunk, and what the manifest has of it."""
+    for c in columns:
+        store.write(f"{path}.{c}", _chunk(c, rows.column(c), name, first))
+    own = {"first": first, "last": first + rows.num_rows, "path": path}
+    return own | ({"zone": zone(rows.column("aln"))} if "aln" in columns else {})
+
+
+def _check_apart(records: list[dict]) -> None:
+    """Chunks, by first, must not share ordinals."""
+    if any(a["last"] > b["first"] for a, b in zip(records, records[1:], strict=False)):
+        raise ValueError("chunks overlap; the rows of a chunk must come to one task")
+
+
+def _delete(store: Store, messages, columns: list[str]) -> None:
+    here = store.names() if messages else set()
+    for name in here & {f"{r['path']}.{c}" for m in messages if m for r in m.records for c in columns}:
+        store.delete(name)
+
+
+class ChunkStreamWriter(DataSourceStreamArrowWriter):
+    """A stream's rows as chunks of runs of ordinals, of one task each. The manifest gets a batch's chunks at once, with its number; a batch that it has already is not taken again."""
+
+    def __init__(self, store: Store, name: str, columns: list[str], size: int, stream: str):
+        self.store, self.name, self.columns, self.size, self.stream = store, name, columns, size, stream
+
+    def write(self, iterator):
+        batches = list(iterator)  # what a task has of one batch of the stream
+        rows = pa.Table.from_batches(batches).sort_by("ordinal").combine_chunks() if batches else None
+        if not rows or not rows.num_rows:
+            return Written()
+        ordinals = rows.column("ordinal").to_numpy()
+        if (ordinals[1:] == ordinals[:-1]).any():
+            raise ValueError("an ordinal comes twice")
+        cut = np.flatnonzero((np.diff(ordinals) != 1) | (ordinals[1:] // self.size != ordinals[:-1] // self.size)) + 1
+        made, attempt = [], uuid.uuid4().hex[:8]
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(ordinals)], strict=True):
+            first = int(ordinals[a])
+            made.append(_put_chunk(self.store, self.columns, rows.slice(a, b - a), self.name, first, f"{self.name}_{first}-{attempt}"))
+        return Written(made)
+
+    def commit(self, messages, batchId):
+        found = _manifest(self.store) if self.store.exists(MANIFEST) else {"name": self.name, "version": 1, "made": uuid.uuid4().hex, "columns": self.columns, "records": []}
+        if found["columns"] != self.columns:
+            raise ValueError(f"the dataset has the columns {found['columns']}")
+        if found.get("batches", {}).get(self.stream, -1) >= batchId:  # the commit came through, but Spark did not learn of it
+            _delete(self.store, messages, self.columns)
+            return
+        last = max((n for n, _ in _numbered(found)), default=0)
+        new = sorted((r for m in messages if m for r in m.records), key=lambda r: r["first"])
+        records = [r | {"number": n} for n, r in _numbered(found)] + [r | {"number": last + k + 1, "batch": batchId} for k, r in enumerate(new)]
+        _check_apart(sorted(records, key=lambda r: r["first"]))
+        found |= {"records": records, "batches": found.get("batches", {}) | {self.stream: batchId}}
+        self.store.write(MANIFEST, json.dumps(found).encode())
+
+    def abort(self, messages, batchId):
+        _delete(self.store, messages, self.columns)
 
 
 class ChunkSource(DataSource):
@@ -199,6 +347,12 @@ class ChunkSource(DataSource):
     def streamReader(self, schema):
         return ChunkStream(self._store(), [f.name for f in schema.fields if f.name != "ordinal"])
 
+    def streamWriter(self, schema, overwrite):
+        if overwrite:
+            raise ValueError("a stream is appended to a dataset")
+        store = self._store()
+        return ChunkStreamWriter(store, self.options.get("dataset", store.folder.rpartition("/")[2]), [f.name for f in schema.fields if f.name != "ordinal"], int(self.options.get("chunk", 100_000)), self.options.get("stream", ""))
+
     def writer(self, schema, overwrite):
         store = self._store()
         return ChunkWriter(store, self.options.get("dataset", store.folder.rpartition("/")[2]), [f.name for f in schema.fields if f.name != "ordinal"], overwrite, int(self.options.get("chunk", 100_000)))
@@ -247,22 +401,25 @@ def append_column(spark: SparkSession, folder: str, rows: DataFrame, column: str
         if len(ordinals) != last - first:
             raise ValueError("a chunk's rows are not complete")
         files.write(f"{key[0].as_py()}.{column}", _chunk(column, table.column(column), name, first))
-        return pa.table({"n": pa.array([len(ordinals)], pa.int64())})
+        shown = json.dumps(zone(table.column(column))) if column == "aln" else None
+        return pa.table({"path": pa.array([key[0].as_py()]), "n": pa.array([len(ordinals)], pa.int64()), "zone": pa.array([shown], pa.string())})
 
-    n = placed.groupBy("path").applyInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
-    if n != sum(b - a for a, b, _ in records):
+    made = placed.groupBy("path").applyInArrow(put, "path string, n long, zone string").collect()  # a row a chunk, as in the manifest
+    if sum(r.n for r in made) != sum(b - a for a, b, _ in records):
         raise ValueError("there are not rows for all chunks of the dataset")
-    update_manifest(folder, column, ref_genome, store)
+    update_manifest(folder, column, ref_genome, store, {r.path: json.loads(r.zone) for r in made} if column == "aln" else None)
 
 
-def update_manifest(folder: str, column: str | None = None, ref_genome: list[tuple[str, int]] | None = None, store: dict[str, str] | None = None) -> None:
-    """Add a column to a dataset's manifest, once, and replace its reference (contigs as name and length)."""
+def update_manifest(folder: str, column: str | None = None, ref_genome: list[tuple[str, int]] | None = None, store: dict[str, str] | None = None, zones: dict[str, dict | None] | None = None) -> None:
+    """Add a column to a dataset's manifest, once, and replace its reference (contigs as name and length), or its chunks' zones by path."""
     files = Store(folder, store)
     found = _manifest(files)
     if column and column not in found["columns"]:
         found["columns"].append(column)
     if ref_genome is not None:
         found["ref_genome"] = [{"name": n, "length": size} for n, size in ref_genome]
+    if zones is not None:
+        found["records"] = [r | {"zone": zones.get(r["path"])} for r in found["records"]]
     files.write(MANIFEST, json.dumps(found).encode())
 
 
@@ -272,6 +429,79 @@ def load(spark: SparkSession, folder: str, columns: list[str] | None = None, sto
     return (reader.option("columns", ",".join(columns)) if columns else reader).load(folder)
 
 
+def look_up(spark: SparkSession, folder: str, wanted: DataFrame, columns: list[str] | None = None, store: dict[str, str] | None = None) -> DataFrame:
+    """Rows of a dataset at wanted places: all columns of `wanted`, ordinal, and the dataset's columns (none may clash).
+
+    wanted: ref_index and position, and with a column meta only rows with that text count; equal wanted rows get
+    their rows each. Only chunks whose zone has the place are opened, each once for a share of 10,000
+    wanted rows; in a sorted chunk a place is found by binary search, and in others after all their places are read.
+    """
+    files = Store(folder, store)
+    found = _manifest(files)
+    columns = columns or found["columns"]
+    if missing := [c for c in [*columns, "aln"] if c not in found["columns"]]:
+        raise ValueError(f"the dataset has no column {missing[0]}")
+    names, by_meta = wanted.columns, "meta" in wanted.columns
+    shown = [c for c in columns if not (by_meta and c == "meta")]
+    records = sorted((r for r in found["records"] if r.get("zone")), key=lambda r: r["zone"]["low"])
+    lows, tops, top = [tuple(r["zone"]["low"]) for r in records], [], (-_FAR, -_FAR)
+    for r in records:
+        top = max(top, tuple(r["zone"]["high"]))
+        tops.append(top)
+    reader = ChunkReader(files, columns)
+    place = "struct<" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in wanted.schema.fields) + ">"
+    row = F.struct(*(F.col(c) for c in names)).alias("asked")
+
+    def chunks_of(batches):
+        for b in batches:
+            at, chunk = [], []
+            for i, here in enumerate(zip(b.column("ref_index").to_pylist(), b.column("position").to_pylist(), strict=True)):
+                if None not in here:
+                    mine = [k for k in range(bisect_left(tops, here), bisect_right(lows, here)) if tuple(records[k]["zone"]["high"]) >= here]
+                    at += [i] * len(mine)
+                    chunk += mine
+            yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int32()), b.column("asked").take(pa.array(at, pa.int64()))], names=["chunk", "asked"])
+
+    def opened(batches) -> Iterator[pa.RecordBatch]:
+        now = None
+        for b in batches:
+            chunk = b.column("chunk").to_numpy()
+            asked = b.column("asked")
+            places = list(zip(pc.struct_field(asked, "ref_index").to_pylist(), pc.struct_field(asked, "position").to_pylist(), strict=True))
+            for k in np.unique(chunk).tolist():
+                r = records[k]
+                if k != now:
+                    now, own = k, ChunkPartition(r["path"], r["first"], r["last"])
+                    bodies = {c: reader.body(own, c) for c in {*columns, "aln"} | ({"meta"} if by_meta else set())}
+                    order = None
+                    if not r["zone"]["sorted"]:
+                        body = bodies["aln"]
+                        ref, position = messages.places(body.data, body.begins, body.ends)
+                        order = np.lexsort((position, ref, body.begins == body.ends))
+                        order = order[: int((body.begins < body.ends).sum())]
+                        key = list(zip(ref[order].tolist(), position[order].tolist(), strict=True))
+                at, rows = [], []
+                for i in np.flatnonzero(chunk == k).tolist():
+                    if order is None:
+                        hits = range(bound(bodies["aln"], places[i]), bound(bodies["aln"], places[i], after=True))
+                    else:
+                        hits = order[bisect_left(key, places[i]) : bisect_right(key, places[i])].tolist()
+                    if by_meta:
+                        text_ = asked[i]["meta"].as_py()
+                        hits = [h for h in hits if text_ is not None and bodies["meta"].record(h) == text_.encode()]
+                    at += [i] * len(hits)
+                    rows += list(hits)
+                if at:
+                    part = [chunk_format.Body(b_.first, b_.last, b_.name, b_.kind, b_.data, b_.begins[rows], b_.ends[rows]) for b_ in (bodies[c] for c in shown)]
+                    taken = asked.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([*(pc.struct_field(taken, c) for c in names), pa.array(r["first"] + np.array(rows)), *(_values(c, p) for c, p in zip(shown, part, strict=True))], names=[*names, "ordinal", *shown])
+
+    dealt = wanted.select(F.col("ref_index").cast("long"), F.col("position").cast("long"), row).mapInArrow(chunks_of, f"chunk int, asked {place}")
+    shares = F.pmod(F.monotonically_increasing_id(), F.lit(max(1, -(-wanted.count() // 10_000))))
+    out = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields), "ordinal bigint", *(f"{c} {_type(c)}" for c in shown)])
+    return dealt.withColumn("share", shares).repartition("chunk", "share").sortWithinPartitions("chunk").drop("share").mapInArrow(opened, out)
+
+
 def load_list(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """All rows of the datasets whose manifests a JSON list names, with `dataset`, the name in the manifest."""
     parts = []
@@ -286,18 +516,18 @@ def load_list(spark: SparkSession, path: str, columns: list[str] | None = None)
 def read_chunks(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
     """ordinal and columns of a dataset in any store that Spark reads: the chunks that the manifest names, whose files meet in one task."""
     named = text.manifest(spark, f"{folder}/{MANIFEST}")
-    chunks = named.select(F.explode("records").alias("r")).select(F.col("r.path").alias("chunk"), (F.col("r.last") - F.col("r.first")).alias("n"))
+    chunks = named.select(F.explode("records").alias("r")).select(F.col("r.path").alias("chunk"), F.col("r.first").alias("first"), (F.col("r.last") - F.col("r.first")).alias("n"))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join([*columns, "none"]) + "}").load(folder)
     files = files.select(F.regexp_extract("path", r"([^/]*)\.([^./]*)$", 1).alias("chunk"), F.regexp_extract("path", r"\.([^./]*)$", 1).alias("column"), "content")
 
     def rows(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        found = {r["column"]: chunk_format.decode(r["content"]) for r in table.to_pylist() if r["column"] is not None}
+        found = {r["column"]: chunk_format.decode_body(r["content"]) for r in table.to_pylist() if r["column"] is not None}
         if missing := [c for c in columns if c not in found]:
             raise chunk_format.FormatError(f"chunk {key[0]} has no column {missing[0]}")
-        one = found[columns[0]]
-        if any(len(found[c].records) != table.column("n")[0].as_py() for c in columns):
+        first, n = table.column("first")[0].as_py(), table.column("n")[0].as_py()
+        if any(len(found[c].begins) != n for c in columns):
             raise chunk_format.FormatError(f"chunk {key[0]} has not the records of the manifest")
-        return pa.Table.from_arrays([pa.array(range(one.first, one.last), pa.int64()), *(_values(c, found[c].records) for c in columns)], names=["ordinal", *columns])
+        return pa.Table.from_arrays([pa.array(range(first, first + n), pa.int64()), *(_values(c, found[c]) for c in columns)], names=["ordinal", *columns])
 
     return chunks.join(files, "chunk", "left").groupBy("chunk").applyInArrow(rows, ", ".join(["ordinal bigint", *(f"{c} {_type(c)}" for c in columns)]))
 
