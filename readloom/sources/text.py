@@ -8,26 +8,39 @@ from pyspark.sql import functions as F
 from ..schema import FEATURES, MANIFEST
 
 
-def _lines(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
-    """value, line (from 0) of one file. Plain or compressed (.gz, which is one task until it is read).
+def _lines(spark: SparkSession, path: str, separator: str = "\n") -> tuple[DataFrame, DataFrame]:
+    """value, file and line (from 0 in its file) of the files of a path, file being a hash of its name; and file, name and n lines of each file.
 
-    Lines are counted for each split of the file; a line's number is its place in the split and
-    the lines of those before, a broadcast table with a row for each split.
+    Plain or compressed (.gz, which is one task a file until it is read). Lines are counted for each split of a file;
+    a line's number is its place in the split and the lines of the splits before. The counts are broadcast: four
+    numbers a split, so 30 MB for 100 TB in splits of 128 MB.
     """
-    rows = spark.read.option("lineSep", separator).text(path).select("value", F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"))
-    counts = rows.groupBy("split").agg(F.min("id").alias("low"), F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(F.broadcast(counts.select("split", "low", before.alias("before"))), "split").select("value", (F.col("before") + F.col("id") - F.col("low")).alias("line"))
+    name = F.col("_metadata.file_path")
+    rows = spark.read.option("lineSep", separator).text(path).select("value", F.xxhash64(name).alias("file"), name.alias("name"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"))
+    counts = rows.groupBy("file", "split").agg(F.min("name").alias("name"), F.min("id").alias("low"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = F.broadcast(counts.select("file", "split", "low", before.alias("before")))
+    lines = rows.join(splits, ["file", "split"]).select("value", "file", (F.col("before") + F.col("id") - F.col("low")).alias("line"))
+    return lines, counts.groupBy("file").agg(F.min("name").alias("name"), F.sum("n").alias("n"))
+
+
+def _offsets(files: DataFrame) -> DataFrame:
+    """file and offset of files(file, name, n): the n of all files before it, by name. A row a file, broadcast."""
+    before = F.sum("n").over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1))
+    return F.broadcast(files.select("file", F.coalesce(before, F.lit(0)).alias("offset")))
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """ordinal, meta, base, qual of one FASTQ file.
+    """ordinal, meta, base, qual of the FASTQ files of a path (a file, a folder or a pattern), numbered on from file to file by name.
 
-    Records are four lines by number, so a quality line may begin with @. An unfinished last
-    record is left out; a record whose base and quality differ in length fails.
+    Records are four lines by number in their file, so a quality line may begin with @. An unfinished last
+    record of a file is left out; a record whose base and quality differ in length fails.
     """
     part = lambda k: F.max(F.when(F.col("line") % 4 == k, F.regexp_replace("value", "\r$", "")))
-    records = _lines(spark, path).groupBy(F.floor(F.col("line") / 4).alias("ordinal")).agg(part(0).alias("meta"), part(1).alias("base"), part(3).alias("qual"), F.count("*").alias("n")).where("n = 4")
+    lines, files = _lines(spark, path)
+    records = lines.groupBy("file", F.floor(F.col("line") / 4).alias("own")).agg(part(0).alias("meta"), part(1).alias("base"), part(3).alias("qual"), F.count("*").alias("n")).where("n = 4")
+    offsets = _offsets(files.withColumn("n", F.floor(F.col("n") / 4)))
+    records = records.drop("n").join(offsets, "file").withColumn("ordinal", F.col("offset") + F.col("own"))
     failed = F.raise_error(F.concat(F.lit("base and quality differ in length at record "), F.col("ordinal").cast("string"))).cast("string")
     return records.select("ordinal", F.regexp_replace("meta", "^@", "").alias("meta"), "base", F.when(F.length("base") == F.length("qual"), F.col("qual")).otherwise(failed).alias("qual"))
 
@@ -103,15 +116,16 @@ def with_column(manifests: DataFrame, column: str, ref_genome=None) -> DataFrame
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """ref_index, name, length, sequence of the contigs of one FASTA file, in its order.
+    """ref_index, name, length, sequence of the contigs of the FASTA files of a path, in their order, file by file by name.
 
     A contig begins with a line that begins with >, whatever stands further on in it; its name
-    ends at the first space. Lines before the first contig are left out.
+    ends at the first space. Lines before the first contig of a file are left out.
     """
-    records = _lines(spark, path, "\n>")
-    preamble = F.when((F.col("line") == 0) & ~F.col("value").startswith(">"), 1).otherwise(0)
-    lead = records.where("line = 0").agg(F.max(preamble)).first()[0] or 0
+    records, files = _lines(spark, path, "\n>")
     value = F.regexp_replace("value", "^>", "")
     body = F.upper(F.regexp_replace(F.regexp_replace(value, r"^[^\n]*\n?", ""), r"\s", ""))
-    out = records.where(F.col("line") >= lead).select((F.col("line") - lead).cast("int").alias("ref_index"), F.regexp_extract(value, r"^\S*", 0).alias("name"), body.alias("sequence"))
-    return out.where("name <> '' or sequence <> ''").select("ref_index", "name", F.length("sequence").cast("long").alias("length"), "sequence")
+    found = records.where((F.col("line") > 0) | F.col("value").startswith(">")).select("file", "line", F.regexp_extract(value, r"^\S*", 0).alias("name"), body.alias("sequence")).where("name <> '' or sequence <> ''")
+    counts = found.groupBy("file").agg(F.count("*").alias("n"), F.min("line").alias("first"))
+    offsets = _offsets(counts.select("file", "n").join(files.select("file", "name"), "file"))
+    placed = found.join(offsets, "file").join(F.broadcast(counts.select("file", "first")), "file")
+    return placed.select((F.col("offset") + F.col("line") - F.col("first")).cast("int").alias("ref_index"), "name", F.length("sequence").cast("long").alias("length"), "sequence")
