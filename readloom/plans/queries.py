@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar, flags, sequence
@@ -414,13 +415,12 @@ def gtf_parse(x):
     return text.gtf(x.reads.sparkSession, _file(x, rows, "features")).select("contig", "type", "start", "stop", "strand", "gene_id", "gene_name")
 
 
-@query("SELECT name, b1 FROM bc")
+@query("SELECT arg_max(concat('s', ordinal), ordinal) AS name, barcode_base AS b1, CAST(max(ordinal) - min(low) + 1 AS BIGINT) AS line FROM rd, (SELECT min(ordinal) AS low FROM rd) GROUP BY barcode_base")
 def barcodes_parse(x):
-    """A barcode list in which a name is corrected further on, and with lines after its end."""
-    rows = x.barcodes.select(F.posexplode(F.array(F.concat(F.lit("wrong\t"), F.col("b1")), F.concat_ws("\t", "name", "b1"))).alias("at", "value"))
-    more = x.reads.sparkSession.createDataFrame([(-1, "Name\tB1"), (8, ""), (9, "late\tAAAAAA")], "at int, value string")
-    path = _file(x, rows.unionByName(more), "barcodes")
-    return text.barcodes(x.reads.sparkSession, path)[0].select("name", "b1")
+    """The barcodes of all reads as one list, a line a read, in which the last name of a barcode counts, and with lines after its end."""
+    rows = x.reads.select((F.col("ordinal") + 1).alias("at"), F.concat(F.lit("s"), F.col("ordinal").cast("string"), F.lit("\t"), F.col("barcode_base")).alias("value"))
+    more = x.reads.sparkSession.sql("SELECT * FROM VALUES (-1L, 'Name\\tB1'), (1L << 60, ''), ((1L << 60) + 1, 'late\\tAAAAAAAAAAAA') AS t(at, value)")
+    return text.barcodes(x.reads.sparkSession, _file(x, rows.unionByName(more), "barcodes"))[0].select("name", "b1", F.col("line").cast("long").alias("line"))
 
 
 _CONTIG = "SELECT ordinal // 200 AS k, string_agg(base, '' ORDER BY ordinal) AS sequence FROM rd GROUP BY ordinal // 200"
@@ -440,15 +440,16 @@ def fasta_contigs(x):
     return text.fasta(x.reads.sparkSession, path)
 
 
-@query("SELECT name, concat('data/', name, '/metadata.json') AS path FROM bc")
+@query("SELECT sample AS name, CAST(count(*) AS BIGINT) AS rows, CAST(ceil(count(*) / 400) AS BIGINT) AS chunks FROM rd JOIN al ON rd.ordinal = al.ordinal GROUP BY sample")
 def sample_index(x):
-    """A sample index and a dataset list, written, read and joined."""
-    spark, folder = x.reads.sparkSession, f"file://{_folder(x)}"
-    text.write_sample_index(x.barcodes.select("name", F.concat(F.lit("data/"), F.col("name"), F.lit("/metadata.json")).alias("path")), f"{folder}/index")
-    found = text.sample_index(spark, f"{folder}/index")
-    text.write_dataset_list(spark, [r.path for r in found.collect()], f"{folder}/list")
-    listed = spark.createDataFrame([(p,) for p in text.dataset_list(spark, f"{folder}/list")], "path string")
-    return found.join(listed, "path").select("name", "path")
+    """Datasets of all samples by the index that is written of them, with what their manifests count."""
+    spark, folder = x.reads.sparkSession, _folder(x)
+    made = chunk_source.write_samples(x.reads.join(x.alignments.select("ordinal", "sample"), "ordinal"), folder, 400)
+    text.write_sample_index(spark.createDataFrame(made, "name string, path string"), f"file://{folder}/index")
+    found = text.sample_index(spark, f"file://{folder}/index")
+    manifests = [text.manifest(spark, f"file://{r.path}/{chunk_source.MANIFEST}").select("name", "records") for r in found.collect()]
+    rows = F.aggregate("records", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"])
+    return reduce(DataFrame.unionByName, manifests).join(found.select("name"), "name").select("name", rows.alias("rows"), F.size("records").cast("long").alias("chunks"))
 
 
 @query(f"""SELECT string_split(meta, ' ')[1] AS name, flag, CAST(ref_index AS INT) AS ref_index, CAST(CASE WHEN ref_index < 0 THEN -1 ELSE position END AS BIGINT) AS position, mapping_quality, cigar, base, qual, -1 AS next_index, CAST(-1 AS BIGINT) AS next_position, CAST(0 AS BIGINT) AS template_length,
@@ -616,15 +617,18 @@ def work_queue(x):
     return workqueue.completed(spark, f"{folder}/done").select("obj_name", "pool")
 
 
-@query("SELECT CAST(count(*) AS BIGINT) AS messages FROM rd")
+@query("SELECT row_number() OVER (ORDER BY least(ordinal % 9, 5)) - 1 AS batch, CAST(count(*) AS BIGINT) AS messages FROM rd GROUP BY least(ordinal % 9, 5)")
 def queue_depths(x):
-    """Messages by batch, from the CSV that is kept of a stream."""
+    """Messages of each batch, from the log that is kept while a stream runs; pushes of unlike sizes, each a batch."""
     spark, folder = x.reads.sparkSession, f"file://{_folder(x)}"
-    workqueue.push(x.reads.select(F.concat(F.lit("ds_"), F.col("ordinal").cast("string")).alias("path")).repartition(4), f"{folder}/queue")
-    done = workqueue.process(workqueue.messages(spark, f"{folder}/queue", 1), lambda found: found, f"{folder}/done", f"{folder}/checkpoint")
-    done.awaitTermination()
-    workqueue.write_depths(done, f"{folder}/depths")
-    return spark.read.csv(f"{folder}/depths", header=True, schema="time string, messages long, per_second double").agg(F.sum("messages").alias("messages"))
+    with workqueue.logged_depths(spark, f"{folder}/depths", "depths") as log:
+        for k in range(6):
+            part = x.reads.where(F.least(F.col("ordinal") % 9, F.lit(5)) == k).select(F.concat(F.lit("ds_"), F.col("ordinal").cast("string")).alias("path"))
+            workqueue.push(part.coalesce(1), f"{folder}/queue")
+            done = workqueue.process(workqueue.messages(spark, f"{folder}/queue", 1), lambda found: found, f"{folder}/done", f"{folder}/checkpoint", name="depths")
+            done.awaitTermination()
+            log.wait(done)
+    return workqueue.depths(spark, f"{folder}/depths").where("messages > 0").select("batch", "messages")
 
 
 @query("SELECT contig, CAST(count(*) AS BIGINT) AS n, concat(gene, '(', names, ')') AS label FROM (SELECT contig, gene_id AS gene FROM ft WHERE gene_id <> '') f JOIN (SELECT gene_id, array_to_string(list_sort(list_distinct(list(CASE WHEN gene_name = '' THEN gene_id ELSE gene_name END))), ' ') AS names FROM ft GROUP BY gene_id) n ON gene = gene_id GROUP BY contig, label")
