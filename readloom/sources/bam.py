@@ -6,11 +6,14 @@ import os
 import struct
 import zlib
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cigar, sequence
+from .messages import spread, strings
 
 # Fixed values of the SAM/BAM specification.
 NIBBLES = "=ACMGRSVTWYHKDBN"
@@ -44,6 +47,7 @@ def header(ref_genome: list[tuple[str, int]]) -> bytes:
 
 
 def record(r: dict) -> bytes:
+    """A single record; `packed` makes those of a batch."""
     name = r["name"].encode()[:254] + b"\0"
     base = r["base"].upper().encode("ascii", "replace")
     packed = bytes.fromhex(base.translate(_DIGIT).decode() + "0" * (len(base) % 2))
@@ -56,6 +60,66 @@ def record(r: dict) -> bytes:
     return struct.pack("<i", len(body)) + body
 
 
+_FIXED = np.dtype([("size", "<i4"), ("ref_index", "<i4"), ("position", "<i4"), ("l_name", "u1"), ("mapping_quality", "u1"), ("bin", "<u2"), ("n_codes", "<u2"), ("flag", "<u2"), ("n", "<i4"), ("next_index", "<i4"), ("next_position", "<i4"), ("template_length", "<i4")])
+_NIBBLE = np.array([NIBBLES.find(chr(b).upper()) % 16 for b in range(256)], np.uint8)
+_LETTER = np.frombuffer(NIBBLES.encode(), np.uint8)
+
+
+def _raw(column: pa.Array, encoding: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts, one after the other, and the length of each; null is empty."""
+    if not pc.all(pc.fill_null(pc.string_is_ascii(column), True)).as_py():
+        column = pa.array([None if x is None else x.encode(encoding, "replace") for x in column.to_pylist()], pa.large_binary())
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.empty(0, np.uint8)
+    return data[ends[0] : ends[-1]], np.diff(ends)
+
+
+def packed(rows: pa.RecordBatch) -> bytes:
+    """The records of `fields` rows, one after the other: all fixed parts at once, then all names, CIGARs, bases and scores, each put where its record has it."""
+    n = rows.num_rows
+    name, long_name = _raw(rows.column("name"), "utf-8")
+    l_name = np.minimum(long_name, 254)
+    base, size = _raw(rows.column("base"), "ascii")
+    qual, scores = _raw(rows.column("qual"), "latin-1")
+    has_qual = rows.column("qual").is_valid().to_numpy(zero_copy_only=False)
+    if (wrong := np.flatnonzero(has_qual & (scores != size))).size:
+        raise ValueError(f"bases and qualities of {rows.column('name')[int(wrong[0])]} differ in length")
+    codes = rows.column("codes")
+    n_codes = pc.fill_null(pc.list_value_length(codes), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    half = (size + 1) // 2
+    whole = 36 + l_name + 1 + 4 * n_codes + half + size
+    fixed = np.zeros(n, _FIXED)
+    columns = {c: rows.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("ref_index", "position", "mapping_quality", "flag", "next_index", "next_position", "template_length")}
+    columns |= {"size": whole - 4, "l_name": l_name + 1, "bin": rows.column("bin").to_numpy(zero_copy_only=False).astype(np.int64) & 0xFFFF, "n_codes": n_codes, "n": size}
+    for c, values in columns.items():
+        limit = np.iinfo(_FIXED[c])
+        if len(values) and (values.min() < limit.min or values.max() > limit.max):
+            raise ValueError(f"a BAM record has no place for the {c} {values.max() if values.max() > limit.max else values.min()}")
+        fixed[c] = values
+    out = np.zeros(int(whole.sum()), np.uint8)
+    at = np.cumsum(whole) - whole
+    out[spread(at, np.full(n, 36))] = fixed.view(np.uint8)
+    at = at + 36
+    out[spread(at, l_name)] = name[spread(np.cumsum(long_name) - long_name, l_name)]
+    at = at + l_name + 1
+    out[spread(at, 4 * n_codes)] = codes.flatten().to_numpy(zero_copy_only=False).astype("<u4").view(np.uint8)
+    at = at + 4 * n_codes
+    nibble = _NIBBLE[base]
+    if (size % 2).any():  # a record with an odd number of bases has a half byte more
+        wide = np.zeros(int(2 * half.sum()), np.uint8)
+        wide[spread(2 * (np.cumsum(half) - half), size)] = nibble
+        nibble = wide
+    out[spread(at, half)] = nibble[::2] << 4 | nibble[1::2]
+    at = at + half
+    score = qual - np.uint8(33)
+    if not has_qual.all():
+        score = np.full(int(size.sum()), 255, np.uint8)  # 0xff: none
+        score[np.repeat(has_qual, size)] = qual - np.uint8(33)
+    out[spread(at, size)] = score
+    return out.tobytes()
+
+
 _RECORD = pa.schema([("name", pa.string()), ("flag", pa.int32()), ("ref_index", pa.int32()), ("position", pa.int64()), ("mapping_quality", pa.int32()), ("bin", pa.int32()), ("cigar", pa.string()), ("next_index", pa.int32()), ("next_position", pa.int64()), ("template_length", pa.int64()), ("base", pa.string()), ("qual", pa.string())])
 RECORD = "name string, flag int, ref_index int, position long, mapping_quality int, bin int, cigar string, next_index int, next_position long, template_length long, base string, qual string"
 
@@ -75,19 +139,38 @@ def unblocked(raw: bytes) -> bytes:
 
 def records(data: bytes) -> pa.RecordBatch:
     """The records of unpacked BAM data without its header, as columns."""
-    out, at = [], 0
+    starts, at = [], 0
     while at < len(data):
-        size, ref, pos, l_name, quality, bin_, n_codes, flag, n, next_ref, next_pos, length = struct.unpack_from("<iiiBBHHHiiii", data, at)
-        p = at + 36
-        name, p = data[p : p + l_name - 1].decode(), p + l_name
-        codes, p = struct.unpack_from(f"<{n_codes}I", data, p), p + 4 * n_codes
-        base, p = "".join(NIBBLES[int(d, 16)] for d in data[p : p + (n + 1) // 2].hex()[:n]), p + (n + 1) // 2
-        scores = data[p : p + n]
-        qual = None if scores == b"\xff" * n and n else bytes(b + 33 for b in scores).decode("latin-1")
-        out.append((name, flag, ref, pos, quality, bin_, "".join(f"{c >> 4}{cigar.OPS[c & 15]}" for c in codes), next_ref, next_pos, length, base, qual))
-        at += size + 4
-    columns = zip(*out, strict=True) if out else [[] for _ in _RECORD]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _RECORD.types, strict=True)], schema=_RECORD)
+        starts.append(at)
+        at += int.from_bytes(data[at : at + 4], "little", signed=True) + 4
+    raw, at = np.frombuffer(data, np.uint8), np.array(starts, np.int64)
+    fixed = raw[spread(at, np.full(len(at), 36))].view(_FIXED)
+    size, l_name, n_codes = (fixed[c].astype(np.int64) for c in ("n", "l_name", "n_codes"))
+    name = at + 36
+    code = name + l_name
+    base = code + 4 * n_codes
+    score = base + (size + 1) // 2
+    known: dict[bytes, str] = {}
+
+    def shown(part: bytes) -> str:
+        if part not in known:
+            known[part] = "".join(f"{c >> 4}{cigar.OPS[c & 15]}" for c in np.frombuffer(part, "<u4").tolist())
+        return known[part]
+
+    place, ends = spread(np.zeros(len(at), np.int64), size), np.cumsum(size)
+    pair = raw[np.repeat(base, size) + place // 2]
+    letters = _LETTER[np.where(place % 2 == 0, pair >> 4, pair & 15)]
+    scores = raw[spread(score, size)]
+    none = np.ones(len(at), bool)
+    none[np.repeat(np.arange(len(at)), size)[scores != 255]] = False
+    if (scores[~np.repeat(none, size)] >= 95).any():  # more than ASCII has letters for
+        qual = pa.array([None if x and n else bytes((b + 33) % 256 for b in scores[e - n : e].tolist()).decode("latin-1") for x, n, e in zip(none.tolist(), size.tolist(), ends.tolist(), strict=True)], pa.string())
+    else:
+        qual = pc.if_else(pa.array(none & (size > 0)), pa.scalar(None, pa.string()), strings(np.where(scores == 255, 0, scores + np.uint8(33)).astype(np.uint8), ends - size, ends))
+    cigars = pa.array([shown(data[a:b]) for a, b in zip(code.tolist(), base.tolist(), strict=True)], pa.string())
+    numbers = {c: pa.array(fixed[c].astype(np.int64)).cast(t) for c, t in zip(_RECORD.names, _RECORD.types, strict=True) if c in _FIXED.names}
+    columns = numbers | {"name": strings(raw, name, code - 1), "cigar": cigars, "base": strings(letters, ends - size, ends), "qual": qual}
+    return pa.RecordBatch.from_arrays([columns[c] for c in _RECORD.names], schema=_RECORD)
 
 
 def decoded(made: DataFrame) -> DataFrame:
@@ -120,10 +203,10 @@ def parts(rows: DataFrame) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            found = b.to_pylist()
-            for at in range(0, len(found), 2000):
-                part = found[at : at + 2000]
-                yield pa.RecordBatch.from_arrays([pa.array([part[0]["ordinal"]], pa.int64()), pa.array([blocks(b"".join(map(record, part)))], pa.binary())], schema=schema)
+            for at in range(0, b.num_rows, 2000):
+                part = b.slice(at, 2000)
+                part = part.take(pa.array(range(part.num_rows)))  # lists of a slice keep their places
+                yield pa.RecordBatch.from_arrays([part.column("ordinal").slice(0, 1), pa.array([blocks(packed(part))], pa.binary())], schema=schema)
 
     return fields(rows).orderBy("ordinal").mapInArrow(work, "ordinal long, data binary")
 
