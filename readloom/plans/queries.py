@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import cigar, flags, sequence
 from ..operators import align, alignments, chunking, demux, genecount, mapping, overlap, pairs
 from ..session import staged
-from ..sources import bam, chunk_source, dump, text
+from ..sources import bam, block_text, chunk_source, dump, text
 from ..streaming import workqueue
 from .fixtures import SAMPLES, WITH, Fixtures
 
@@ -397,6 +397,14 @@ def fastq_gzip(x):
     return text.fastq(x.reads.sparkSession, _file(x, _fastq(x), "reads", compression="gzip"))
 
 
+@query(_BY_ORDINAL)
+def fastq_blocks(x):
+    """Two files of compressed blocks, each read by many tasks."""
+    spark, folder = x.reads.sparkSession, f"file://{_folder(x)}/blocks"
+    block_text.write_lines(_fastq(x).repartitionByRange(2, F.floor(F.col("at") / 4)).sortWithinPartitions("at"), folder)
+    return text.fastq(spark, folder, blocks=True, split=30_000)
+
+
 @query("SELECT chunk, chunk * 300 AS first, count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY ordinal) - 1) // 300 AS chunk FROM rd) GROUP BY chunk")
 def fastq_chunks(x):
     """Chunks of a FASTQ file whose last record lacks its scores."""

@@ -45,6 +45,21 @@ class Store:
         if own != path:
             store.move(own, path)
 
+    def open(self, name: str):
+        """A file to read from any place."""
+        store, path = self._at(name)
+        return store.open_input_file(path)
+
+    def length(self, name: str) -> int:
+        store, path = self._at(name)
+        return store.get_file_info(path).size
+
+    def is_folder(self) -> bool:
+        from pyarrow.fs import FileType
+
+        store, path = self._at()
+        return store.get_file_info(path).type == FileType.Directory
+
     def exists(self, name: str) -> bool:
         from pyarrow.fs import FileType
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import FEATURES, MANIFEST
+from . import block_text
 
 
 def _lines(spark: SparkSession, path: str, separator: str = "\n") -> tuple[DataFrame, DataFrame]:
@@ -30,14 +31,15 @@ def _offsets(files: DataFrame) -> DataFrame:
     return F.broadcast(files.select("file", F.coalesce(before, F.lit(0)).alias("offset")))
 
 
-def fastq(spark: SparkSession, path: str) -> DataFrame:
+def fastq(spark: SparkSession, path: str, blocks: bool = False, **how) -> DataFrame:
     """ordinal, meta, base, qual of the FASTQ files of a path (a file, a folder or a pattern), numbered on from file to file by name.
 
+    blocks: the path is a file or folder in compressed blocks, of which one is read by many tasks; `how` as in `block_text.lines`.
     Records are four lines by number in their file, so a quality line may begin with @. An unfinished last
     record of a file is left out; a record whose base and quality differ in length fails.
     """
     part = lambda k: F.max(F.when(F.col("line") % 4 == k, F.regexp_replace("value", "\r$", "")))
-    lines, files = _lines(spark, path)
+    lines, files = block_text.lines(spark, path, **how) if blocks else _lines(spark, path)
     records = lines.groupBy("file", F.floor(F.col("line") / 4).alias("own")).agg(part(0).alias("meta"), part(1).alias("base"), part(3).alias("qual"), F.count("*").alias("n")).where("n = 4")
     offsets = _offsets(files.withColumn("n", F.floor(F.col("n") / 4)))
     records = records.drop("n").join(offsets, "file").withColumn("ordinal", F.col("offset") + F.col("own"))
