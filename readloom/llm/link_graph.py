@@ -44,6 +44,11 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(after, "^[^/?#]*(/[^?#]*)?", 1), F.lit(""))
 
 
+def site_of(host: Column) -> Column:
+    """A host without user and port, by which pages and links are the same node of the graph."""
+    return F.regexp_replace(host, r"^[^@]*@|:[0-9]*$", "")
+
+
 def _first_fitting(rules: tuple[Rule, ...], host: Column, path: Column, value) -> Column:
     out = F.lit(None).cast("string")
     for r in sorted(rules[::-1], key=lambda r: len(r.host + r.path)):  # the longest is asked first, of equals the first
@@ -52,9 +57,9 @@ def _first_fitting(rules: tuple[Rule, ...], host: Column, path: Column, value) -
 
 
 def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """src, dst, n: how many absolute links the pages of a host have to another host."""
-    links = pages.select(host_of(F.col(url)).alias("src"), F.explode(F.regexp_extract_all(F.col(html), F.lit(_LINK), 1)).alias("link"))
-    links = links.select("src", F.regexp_replace(F.translate("link", _CAPITALS, _SMALL), r"^[^@]*@|:[0-9]*$", "").alias("dst"))
+    """src, dst, n: how many absolute links the pages of a host have to another host, both without user and port."""
+    links = pages.select(site_of(host_of(F.col(url))).alias("src"), F.explode(F.regexp_extract_all(F.col(html), F.lit(_LINK), 1)).alias("link"))
+    links = links.select("src", site_of(F.translate("link", _CAPITALS, _SMALL)).alias("dst"))
     return links.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
@@ -90,7 +95,8 @@ def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
     """page_id, host, path, rule, verdict of every row.
 
     The longest rule that fits decides. Other pages are blocked if their host's distrust is
-    above its trust, else allowed; hosts that neither reaches are allowed. Null urls and urls
+    above its trust, else allowed; hosts that neither reaches are allowed. Ports and users make no
+    other host in the graph. Null urls and urls
     without :// have an empty host and are allowed; null html has no links; repeated rows
     are judged alike. Of rules as long as each other that fit the first in `rules` decides; equal trust
     and distrust allow. An empty table gives none.
@@ -98,10 +104,11 @@ def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
     found = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule = _first_fitting(rules, F.col("host"), F.col("path"), lambda r: r.host + r.path)
     ruled = found.withColumn("rule", rule).withColumn("ruled", _first_fitting(rules, F.col("host"), F.col("path"), lambda r: r.verdict))
-    share = ruled.where("host <> ''").groupBy("host").agg(F.count("*").alias("n"), F.sum(F.when(F.col("ruled") == "allow", 1).otherwise(0)).alias("allowed"), F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("blocked"))
+    ruled = ruled.withColumn("site", site_of(F.col("host")))
+    share = ruled.where("site <> ''").groupBy(F.col("site").alias("host")).agg(F.count("*").alias("n"), F.sum(F.when(F.col("ruled") == "allow", 1).otherwise(0)).alias("allowed"), F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("blocked"))
     kind = F.when(F.col("allowed") >= SEED_SHARE * F.col("n"), "trust").when(F.col("blocked") >= SEED_SHARE * F.col("n"), "distrust")
     seeds = share.select(kind.alias("kind"), "host", F.col("n").cast("double").alias("weight")).where("kind is not null")
     ranks = propagated(host_edges(pages, url, html), seeds)
     rank = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
-    blocked = ranks.groupBy("host").agg(rank("trust").alias("trust"), rank("distrust").alias("distrust")).where("distrust > trust").select("host", F.lit("block").alias("own"))
-    return ruled.join(blocked, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("ruled", "own", F.lit("allow")).alias("verdict"))
+    blocked = ranks.groupBy("host").agg(rank("trust").alias("trust"), rank("distrust").alias("distrust")).where("distrust > trust").select(F.col("host").alias("site"), F.lit("block").alias("own"))
+    return ruled.join(blocked, "site", "left").select("page_id", "host", "path", "rule", F.coalesce("ruled", "own", F.lit("allow")).alias("verdict"))
