@@ -36,6 +36,8 @@ class Template(NamedTuple):
     threshold: float = 0.8
     #: the words must stand together, in order
     phrase: bool = False
+    #: words of the text that a block must have in any case, as they tell it from others
+    telling: str = ""
 
 
 def block_length(words: int) -> int:
@@ -70,21 +72,28 @@ You should have received a copy of the GNU General Public License along with thi
 
 #: Templates of the method: opening sentences and whole texts.
 TEMPLATES = (
-    Template("apache-2.0", _APACHE),
+    Template("apache-2.0", _APACHE, telling="apache 2 0"),
     Template("bsd", _BSD),
-    Template("gpl-3.0", _GPL),
+    Template("gpl-3.0", _GPL, telling="gnu 3"),
     Template("isc", _ISC),
     Template("mit", _MIT),
     Template("zlib", _ZLIB),
-    Template("apache-2.0", "licensed under the apache license version 2 0"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
-    Template("cc0", "to the extent possible under law the author has waived all copyright and related rights"),
-    Template("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
+    Template("agpl-3.0", "gnu affero general public license version 3", telling="affero general public license 3"),
+    Template("apache-2.0", "licensed under the apache license version 2 0", telling="apache license 2 0"),
+    Template("boost-1.0", "distributed under the boost software license version 1 0", telling="boost software license"),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", telling="redistribution"),
+    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", telling="cc by nc 4 0"),
+    Template("cc-by-nd-4.0", "licensed under cc by nd 4 0", telling="cc by nd 4 0"),
+    Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", telling="cc by sa 4 0"),
+    Template("cc0", "to the extent possible under law the author has waived all copyright and related rights", telling="waived"),
+    Template("epl-2.0", "terms of the eclipse public license 2 0", telling="eclipse public license 2 0"),
+    Template("gpl-3.0", "this work is licensed under the gnu general public license version 3", telling="gnu general public license 3"),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose"),
-    Template("mit", "released under the mit license"),
+    Template("lgpl", "gnu lesser general public license", telling="lesser general public license"),
+    Template("mit", "released under the mit license", telling="mit license"),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy"),
-    Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
+    Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", telling="mozilla public license 2 0"),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", telling="unencumbered public domain"),
 )
 
 
@@ -104,6 +113,10 @@ class Index:
         self.sequence = [h[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         self.words = [[bytes(w.data[s:e]) for s, e in zip(w.start[a:b], w.end[a:b], strict=True)] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         self.vocabulary = np.unique(h)
+        telling = Words([t.telling.encode() for t in templates], WORD, lower=True)
+        self.telling_words = np.split(telling.hashes(), telling.first[1:-1])
+        if not all(np.isin(t, s).all() for t, s in zip(self.telling_words, self.sequence, strict=True)):
+            raise ValueError("a telling word that its template does not have")
 
     def known(self, h: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
@@ -114,6 +127,7 @@ class Index:
         rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
         self.rank = rank  # of a vocabulary place in the global order
         self.tokens = [np.sort(rank[np.unique(np.searchsorted(self.vocabulary, s))]) for s in self.sequence]
+        self.telling = [np.sort(rank[np.unique(np.searchsorted(self.vocabulary, t))]) for t in self.telling_words]
         self.needed = [max(1, math.ceil(t.threshold * len(r) - 1e-9)) for t, r in zip(self.templates, self.tokens, strict=True)]
         #: by length of block and rank: (template, place in its order)
         self.starts: dict[int, dict[int, list[tuple[int, int]]]] = {}
@@ -169,7 +183,7 @@ def joined(texts: list[bytes], index: Index) -> tuple[Words, list[tuple[int, int
                 if i + 1 + min(len(tokens) - i - 1, len(block) - j - 1) < index.needed[k]:
                     continue
                 shared = len(np.intersect1d(tokens, block, assume_unique=True))
-                if shared >= index.needed[k]:
+                if shared >= index.needed[k] and np.isin(index.telling[k], block, assume_unique=True).all():
                     out[doc, begin, k] = shared / len(tokens)
     return w, [(*x, c) for x, c in sorted(out.items())]
 
@@ -181,7 +195,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     """doc_id, n_words, places, labels, blocks, score of every row.
 
     blocks: label, first word and containment of every block that reaches a template's
-    threshold (of a phrase, only blocks that hold it); places: label and first word of every
+    threshold and has all its telling words (of a phrase, only blocks that hold it); places: label and first word of every
     phrase; labels: those of both, sorted and distinct; score: the highest containment, 0
     without any. A-Z are lower-cased; words are letters, digits and all beyond ASCII. Null and
     empty texts have no words; rows are kept apart even if doc_ids repeat or are null; an empty

@@ -101,13 +101,13 @@ _BYTES = "list_transform(range(1, octet_length(encode(f)) + 1), lambda i: CAST('
 
 _PHRASES = ", ".join(f"('{t.label}', '{t.text}', {len(t.text.split())})" for t in license_scan.BASE)
 _PLAIN = [re.findall("[0-9a-z]+", t.text.lower()) for t in license_scan.TEMPLATES]
-_TEMPLATES = ", ".join(f"('{t.label}', '{' '.join(w)}', {t.threshold}, {license_scan.block_length(len(w))})" for t, w in zip(license_scan.TEMPLATES, _PLAIN, strict=True))
+_TEMPLATES = ", ".join(f"('{t.label}', '{' '.join(w)}', {t.threshold}, {license_scan.block_length(len(w))}, '{t.telling}')" for t, w in zip(license_scan.TEMPLATES, _PLAIN, strict=True))
 
 ORACLE_SQL = {
     "op2_license_scans": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 p(label, phrase, n) AS (VALUES {_PHRASES}),
-t AS (SELECT label, list_distinct(string_split(phrase, ' ')) AS own, least, n_block FROM (VALUES {_TEMPLATES}) v(label, phrase, least, n_block)),
+t AS (SELECT label, list_distinct(string_split(phrase, ' ')) AS own, CASE WHEN telling = '' THEN [] ELSE string_split(telling, ' ') END AS telling, least, n_block FROM (VALUES {_TEMPLATES}) v(label, phrase, least, n_block, telling)),
 z AS (SELECT DISTINCT n_block FROM t),
 x AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
 f AS (SELECT doc_id, label, i - 1 AS word FROM x JOIN p ON array_to_string(w[i:i + n - 1], ' ') = phrase),
@@ -115,7 +115,7 @@ b AS (
   SELECT doc_id, n_block, list_distinct(w[i + 1:i + n_block]) AS block
   FROM (SELECT doc_id, n_block, w, unnest(range(0, len(w), n_block // 2)) AS i FROM d, z) WHERE i = 0 OR len(w) > i + n_block // 2
 ),
-m AS (SELECT doc_id, label, len(list_intersect(own, block)) AS k, len(own) AS n FROM b JOIN t ON b.n_block = t.n_block WHERE len(list_intersect(own, block)) >= least * len(own) - 1e-9),
+m AS (SELECT doc_id, label, len(list_intersect(own, block)) AS k, len(own) AS n FROM b JOIN t ON b.n_block = t.n_block WHERE len(list_intersect(own, block)) >= least * len(own) - 1e-9 AND len(list_intersect(telling, block)) = len(telling)),
 s AS (
   SELECT doc_id, max(c) AS score, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels
   FROM (SELECT doc_id, label, CAST(k AS DOUBLE) / n AS c FROM m UNION ALL SELECT doc_id, label, 1.0 FROM f) GROUP BY doc_id

@@ -40,6 +40,14 @@ def test_license_places(spark):
     assert [found[i].labels for i in (11, 12, 13)] == [["mit"], ["mit"], ["mit"]] and found[12].score == pytest.approx(0.8)
 
 
+def test_license_names_are_told_apart(spark):
+    texts = ["released under the Apache license", "released under the BSD license", "licensed under CC BY 4.0", "licensed under CC BY-SA 4.0", "This work is licensed under the GNU General Public License version 2", "Licensed under the Apache License version 1.0", "subject to the terms of the Mozilla Public License v 1.1", license_scan._GPL.replace("version 3", "version 2").replace("3", "2")]
+    texts += ["Released under the MIT license.", "licensed under cc by-nc 4.0", "Licensed under the Apache License, Version 2.0", "subject to the terms of the Mozilla Public License, v. 2.0", "this work is licensed under the GNU General Public License, version 3", "the GNU Lesser General Public License", "GNU Affero General Public License version 3", "This is free and unencumbered software released into the public domain.", "Distributed under the Boost Software License, Version 1.0", "terms of the Eclipse Public License 2.0", "licensed under CC BY-ND 4.0"]
+    got = {r.doc_id: set(r.labels) for r in license_scan.scan(spark.createDataFrame(brute.rows(*texts), "doc_id long, text string")).collect()}
+    named = [set(), set(), {"cc-by"}, {"cc-by", "cc-by-sa-4.0"}, {"gpl"}, set(), set(), {"gpl"}, {"mit"}, {"cc-by", "cc-by-nc-4.0"}, {"apache-2.0"}, {"mpl-2.0"}, {"gpl", "gpl-3.0"}, {"gpl", "lgpl"}, {"gpl", "agpl-3.0"}, {"unlicense"}, {"boost-1.0"}, {"epl-2.0"}, {"cc-by", "cc-by-nd-4.0"}]
+    assert [got[i] for i in range(len(texts))] == named
+
+
 def test_license_join_is_exact(spark):
     r = random.Random(4)
     voc = [f"w{k}" for k in range(30)]
@@ -330,6 +338,13 @@ def test_link_graph(spark):
             assert x.verdict == ("block" if distrust[x.host] > trust[x.host] else "allow")
 
 
+def test_ports_make_no_other_host(spark):
+    pages = [(1, "http://u.org:8080/spam/x", ""), (2, "http://v.org:8080/", '<a href="http://U.org:8080/">'), (3, "https://v.org/", ""), (4, "http://w.org:81/", '<a href="//u.org">'), (5, "http://me@x.org:1/", '<a href="http://a:b@u.org:9/">'), (6, "http://y.org/", ""), (7, "http://:80/", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: (r.host, r.verdict) for r in link_graph.judged(df, rules=(Rule("block", "org:8080", "/spam/"),)).collect()}
+    assert got == {1: ("u.org:8080", "block"), 2: ("v.org:8080", "block"), 3: ("v.org", "block"), 4: ("w.org:81", "block"), 5: ("me@x.org:1", "block"), 6: ("y.org", "allow"), 7: (":80", "allow")}
+
+
 # line dedup
 
 
