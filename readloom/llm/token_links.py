@@ -67,10 +67,12 @@ class Pair:
         self.sizes = [np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes)]
 
     def b_ids(self, texts: list[str]) -> list[list[int]]:
-        """Ids of texts, each of which stands after a space; long ones in parts."""
+        """Ids of texts, each of which stands after a space; long ones in parts. The library gives an empty text nothing, but here it is the space."""
+        space = [self.b.piece_to_id("▁")]
+        encode = lambda found: [ids if t else space for t, ids in zip(found, self.b.encode(found, num_threads=1), strict=True)]
         if all(len(t) <= CUT for t in texts):
-            return self.b.encode(texts, num_threads=1)
-        return [[i for p in parts(t, CUT) for i in self.b.encode(p, num_threads=1)] if len(t) > CUT else self.b.encode(t, num_threads=1) for t in texts]
+            return encode(texts)
+        return [[i for ids in encode(parts(t, CUT)) for i in ids] for t in texts]
 
 
 def parts(text: str, least: int) -> list[str]:
@@ -254,7 +256,7 @@ class Block:
             e = slice(link_edge[edge[s]], link_edge[edge[s + 1]])
             keys = np.diff(pair[p] - s * height * known.width, prepend=0).astype("<u4")
             counted = _packed(keys, docs_of[p].astype("<u4"))
-            linked = _packed(np.diff(doc[e], prepend=0).astype("<u2"), times[e].astype("<u4"))
+            linked = _packed(np.diff(doc[e], prepend=0).astype("<u2"), times[e].astype("<u8"))
             yield [[self.number], [s], [p.stop - p.start], [int(e.stop - e.start)], [counted], [linked], *([x] for x in empty)]
 
 
@@ -364,7 +366,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
                     best = block.reshape(height, width).max(axis=1)
                     continue
                 at, docs_of = _unpacked(counted.as_py(), ("<u4", n), ("<u4", n))
-                doc, times = _unpacked(linked.as_py(), ("<u2", m), ("<u4", m))
+                doc, times = _unpacked(linked.as_py(), ("<u2", m), ("<u8", m))
                 at, doc, times = np.cumsum(at, dtype=np.int64), np.cumsum(doc, dtype=np.uint16).astype(np.int64), times.astype(np.int64)
                 count = block[at]
                 is_best = np.repeat(count == best[at // width], docs_of)
@@ -372,7 +374,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
                 np.add.at(sums[:, 0], doc, times * is_best)
                 np.add.at(sums[:, 1], doc, times * np.repeat(count, docs_of))
                 some = np.flatnonzero(sums[:, 1])
-                kept = _packed(np.diff(some, prepend=0).astype("<u2"), sums[some, 0].astype("<u4"), sums[some, 1].astype("<u8"))
+                kept = _packed(np.diff(some, prepend=0).astype("<u2"), sums[some, 0].astype("<u8"), sums[some, 1].astype("<u8"))
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([len(some)], pa.int32()), pa.array([kept], pa.binary())], schema=_SCORED)
 
     def finish(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -382,7 +384,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
         total = np.zeros((len(ids), 2), np.int64)
         for n, raw in zip(table.column("n").to_pylist(), table.column("scored").to_pylist(), strict=True):
             if raw is not None:
-                doc, found, count = _unpacked(raw, ("<u2", n), ("<u4", n), ("<u8", n))
+                doc, found, count = _unpacked(raw, ("<u2", n), ("<u8", n), ("<u8", n))
                 total[np.cumsum(doc, dtype=np.int64)] += np.stack([found.astype(np.int64), count.astype(np.int64)], axis=1)
         return pa.Table.from_arrays([ids, *(pa.array(c) for c in sums.T), *(pa.array(c) for c in total.T), shas], schema=_OUT)
 

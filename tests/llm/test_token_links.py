@@ -91,3 +91,10 @@ def test_a_million_spaces_and_words(spark):
     a_side, b_side = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     for i, t in rows:
         assert (got[i].n_a, got[i].n_b) == (len(a_side.encode(f" {t}", add_special_tokens=False).ids), len(b_side.encode(t)))
+
+
+@pytest.mark.parametrize("texts", [["a ", "the cat ", "x  y ", "é 1 ", "plain"], ["x" * 70_000 + " ", "ab " * 30_000, "a"]])
+def test_a_space_at_the_end_is_a_token(spark, texts):
+    rows = list(enumerate(texts))
+    out = token_links.align(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(repr(tuple(r)) for r in out.collect()) == plain(rows)
