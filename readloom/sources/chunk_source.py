@@ -19,6 +19,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -429,12 +430,40 @@ def load(spark: SparkSession, folder: str, columns: list[str] | None = None, sto
     return (reader.option("columns", ",".join(columns)) if columns else reader).load(folder)
 
 
+#: A place that more chunks may hold is looked up by a join with their rows, and rows of a chunk that are wanted by one task.
+CROWDED, SHARE = 8, 10_000
+
+
+class Zones:
+    """The zones of a dataset's chunks, by their least places."""
+
+    def __init__(self, records: list[dict]):
+        self.records = sorted((r for r in records if r.get("zone")), key=lambda r: r["zone"]["low"])
+        self.lows, self.highs = ([tuple(r["zone"][k]) for r in self.records] for k in ("low", "high"))
+        self.ends = sorted(self.highs)
+        self.tops = list(accumulate(self.highs, max))
+
+    def n(self, place: Place) -> int:
+        """How many chunks may hold a place."""
+        return bisect_right(self.lows, place) - bisect_left(self.ends, place)
+
+    def holding(self, place: Place) -> list[int]:
+        return [k for k in range(bisect_left(self.tops, place), bisect_right(self.lows, place)) if self.highs[k] >= place]
+
+    def crowded(self) -> list[int]:
+        """Chunks with a place that more than `CROWDED` chunks may hold; the number is greatest where some zone begins."""
+        many = [p for p in dict.fromkeys(self.lows) if self.n(p) > CROWDED]
+        # a crowded stretch goes from such a place up to the next end of a zone
+        return [k for k, (low, high) in enumerate(zip(self.lows, self.highs, strict=True)) if self.n(low) > CROWDED or bisect_right(many, high) > bisect_left(many, low)]
+
+
 def look_up(spark: SparkSession, folder: str, wanted: DataFrame, columns: list[str] | None = None, store: dict[str, str] | None = None) -> DataFrame:
     """Rows of a dataset at wanted places: all columns of `wanted`, ordinal, and the dataset's columns (none may clash).
 
     wanted: ref_index and position, and with a column meta only rows with that text count; equal wanted rows get
-    their rows each. Only chunks whose zone has the place are opened, each once for a share of 10,000
-    wanted rows; in a sorted chunk a place is found by binary search, and in others after all their places are read.
+    their rows each. Only chunks whose zone has the place are opened, each once for a share of 10,000 rows that
+    are wanted of it; in a sorted chunk few places are found by binary search, many, and those of others, after all its places are read.
+    Places that more than `CROWDED` chunks may hold (as those of unmapped reads) are met by a join: these chunks are opened once.
     """
     files = Store(folder, store)
     found = _manifest(files)
@@ -443,63 +472,100 @@ def look_up(spark: SparkSession, folder: str, wanted: DataFrame, columns: list[s
         raise ValueError(f"the dataset has no column {missing[0]}")
     names, by_meta = wanted.columns, "meta" in wanted.columns
     shown = [c for c in columns if not (by_meta and c == "meta")]
-    records = sorted((r for r in found["records"] if r.get("zone")), key=lambda r: r["zone"]["low"])
-    lows, tops, top = [tuple(r["zone"]["low"]) for r in records], [], (-_FAR, -_FAR)
-    for r in records:
-        top = max(top, tuple(r["zone"]["high"]))
-        tops.append(top)
-    reader = ChunkReader(files, columns)
+    zones, reader = Zones(found["records"]), ChunkReader(files, columns)
+    needed = {*shown, "aln"} | ({"meta"} if by_meta else set())
     place = "struct<" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in wanted.schema.fields) + ">"
     row = F.struct(*(F.col(c) for c in names)).alias("asked")
 
+    def opened(k: int) -> dict[str, chunk_format.Body]:
+        r = zones.records[k]
+        own = ChunkPartition(r["path"], r["first"], r["last"])
+        return {c: reader.body(own, c) for c in needed}
+
+    def part(bodies, rows: np.ndarray) -> list[pa.Array]:
+        of = [chunk_format.Body(b.first, b.last, b.name, b.kind, b.data, b.begins[rows], b.ends[rows]) for b in (bodies[c] for c in shown)]
+        return [_values(c, p) for c, p in zip(shown, of, strict=True)]
+
     def chunks_of(batches):
+        """The chunks that each wanted row is looked up in; -1 for those that are met by the join."""
         for b in batches:
             at, chunk = [], []
             for i, here in enumerate(zip(b.column("ref_index").to_pylist(), b.column("position").to_pylist(), strict=True)):
                 if None not in here:
-                    mine = [k for k in range(bisect_left(tops, here), bisect_right(lows, here)) if tuple(records[k]["zone"]["high"]) >= here]
+                    mine = [-1] if zones.n(here) > CROWDED else zones.holding(here)
                     at += [i] * len(mine)
                     chunk += mine
             yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int32()), b.column("asked").take(pa.array(at, pa.int64()))], names=["chunk", "asked"])
 
-    def opened(batches) -> Iterator[pa.RecordBatch]:
+    def looked_up(batches) -> Iterator[pa.RecordBatch]:
         now = None
         for b in batches:
-            chunk = b.column("chunk").to_numpy()
-            asked = b.column("asked")
-            places = list(zip(pc.struct_field(asked, "ref_index").to_pylist(), pc.struct_field(asked, "position").to_pylist(), strict=True))
-            for k in np.unique(chunk).tolist():
-                r = records[k]
-                if k != now:
-                    now, own = k, ChunkPartition(r["path"], r["first"], r["last"])
-                    bodies = {c: reader.body(own, c) for c in {*columns, "aln"} | ({"meta"} if by_meta else set())}
-                    order = None
-                    if not r["zone"]["sorted"]:
-                        body = bodies["aln"]
-                        ref, position = messages.places(body.data, body.begins, body.ends)
-                        order = np.lexsort((position, ref, body.begins == body.ends))
-                        order = order[: int((body.begins < body.ends).sum())]
-                        key = list(zip(ref[order].tolist(), position[order].tolist(), strict=True))
+            chunk, asked = b.column("chunk").to_numpy(), b.column("asked")
+            edge = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1], True]) if len(chunk) else np.zeros(1, np.int64)
+            for low, high in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                if chunk[low] != now:
+                    now = int(chunk[low])
+                    r, bodies, places = zones.records[now], opened(now), None
+                own = asked.slice(low, high - low)
+                by_place: dict[Place, list[int]] = {}
+                for i, here in enumerate(zip(pc.struct_field(own, "ref_index").to_pylist(), pc.struct_field(own, "position").to_pylist(), strict=True)):
+                    by_place.setdefault(here, []).append(i)
+                if places is None and not (r["zone"]["sorted"] and len(by_place) * 32 < r["last"] - r["first"]):
+                    places = rows_of(bodies["aln"])
+                texts = pc.struct_field(own, "meta").to_pylist() if by_meta else None
                 at, rows = [], []
-                for i in np.flatnonzero(chunk == k).tolist():
-                    if order is None:
-                        hits = range(bound(bodies["aln"], places[i]), bound(bodies["aln"], places[i], after=True))
-                    else:
-                        hits = order[bisect_left(key, places[i]) : bisect_right(key, places[i])].tolist()
+                for here, mine in by_place.items():
+                    hits = places.get(here, ()) if places is not None else range(bound(bodies["aln"], here), bound(bodies["aln"], here, after=True))
                     if by_meta:
-                        text_ = asked[i]["meta"].as_py()
-                        hits = [h for h in hits if text_ is not None and bodies["meta"].record(h) == text_.encode()]
-                    at += [i] * len(hits)
-                    rows += list(hits)
+                        of_text: dict[str, list[int]] = {}
+                        for h in hits:
+                            of_text.setdefault(bodies["meta"].record(h), []).append(h)
+                    for i in mine:
+                        of = hits if not by_meta else of_text.get(texts[i].encode(), ()) if texts[i] is not None else ()
+                        at += [i] * len(of)
+                        rows += of
                 if at:
-                    part = [chunk_format.Body(b_.first, b_.last, b_.name, b_.kind, b_.data, b_.begins[rows], b_.ends[rows]) for b_ in (bodies[c] for c in shown)]
-                    taken = asked.take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays([*(pc.struct_field(taken, c) for c in names), pa.array(r["first"] + np.array(rows)), *(_values(c, p) for c, p in zip(shown, part, strict=True))], names=[*names, "ordinal", *shown])
+                    taken, rows = own.take(pa.array(at)), np.array(rows)
+                    yield pa.RecordBatch.from_arrays([*(pc.struct_field(taken, c) for c in names), pa.array(r["first"] + rows), *part(bodies, rows)], names=[*names, "ordinal", *shown])
+
+    def rows_of(body: chunk_format.Body) -> dict[Place, list[int]]:
+        """The rows of a chunk by their places."""
+        ref, position = messages.places(body.data, body.begins, body.ends)
+        out: dict[Place, list[int]] = {}
+        for h in np.flatnonzero(body.begins < body.ends).tolist():
+            out.setdefault((int(ref[h]), int(position[h])), []).append(h)
+        return out
 
+    def crowd(batches):
+        """The rows at crowded places."""
+        for b in batches:
+            for k in b.column("id").to_pylist():
+                bodies, r = opened(k), zones.records[k]
+                kept = [(h, here) for here, rows in rows_of(bodies["aln"]).items() if zones.n(here) > CROWDED for h in rows]
+                if kept:
+                    rows = np.array([h for h, _ in kept])
+                    meta = [messages.strings(np.frombuffer(bodies["meta"].data, np.uint8), bodies["meta"].begins[rows], bodies["meta"].ends[rows])] if by_meta else []
+                    yield pa.RecordBatch.from_arrays([*(pa.array([here[j] for _, here in kept], pa.int64()) for j in (0, 1)), *meta, pa.array(r["first"] + rows), *part(bodies, rows)], names=[*keys, "ordinal", *shown])
+
+    own_columns = ", ".join(["ordinal bigint", *(f"{c} {_type(c)}" for c in shown)])
+    out = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields), own_columns])
+    keys = ["of_ref", "of_position", *(["of_meta"] if by_meta else [])]
     dealt = wanted.select(F.col("ref_index").cast("long"), F.col("position").cast("long"), row).mapInArrow(chunks_of, f"chunk int, asked {place}")
-    shares = F.pmod(F.monotonically_increasing_id(), F.lit(max(1, -(-wanted.count() // 10_000))))
-    out = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields), "ordinal bigint", *(f"{c} {_type(c)}" for c in shown)])
-    return dealt.withColumn("share", shares).repartition("chunk", "share").sortWithinPartitions("chunk").drop("share").mapInArrow(opened, out)
+    single = dealt.where("chunk >= 0")
+    many = single.groupBy("chunk").agg(F.ceil(F.count("*") / SHARE).alias("shares")).where("shares > 1")  # a row a chunk at most
+    shares = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("shares")), F.lit(0))
+    placed = single.join(F.broadcast(many), "chunk", "left").withColumn("share", shares).repartition("chunk", "share").sortWithinPartitions("chunk", "share")
+    looked = placed.select("chunk", "asked").mapInArrow(looked_up, out)
+    crowded = zones.crowded()
+    if not crowded:
+        return looked
+    # the chunks' numbers, a task for some 16 of them
+    chunks = spark.createDataFrame([(k,) for k in crowded], "id int").repartition(-(-len(crowded) // 16), "id")
+    theirs = chunks.mapInArrow(crowd, ", ".join(["of_ref bigint, of_position bigint", *(["of_meta string"] if by_meta else []), own_columns]))
+    asked = dealt.where("chunk < 0").select("asked")
+    same = [F.col(f"asked.{c}") == F.col(k) for c, k in zip(["ref_index", "position", "meta"], keys, strict=False)]
+    met = asked.join(theirs, reduce(lambda x, y: x & y, same))
+    return looked.unionByName(met.select(*(F.col(f"asked.{c}").alias(c) for c in names), "ordinal", *shown))
 
 
 def load_list(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -174,3 +174,21 @@ def test_stream_reads_chunks_that_come_before_others(spark, tmp_path):
     chunk_source.write(spark.range(10).select(F.col("id").alias("ordinal"), F.lit("x").alias("base")), folder, "ds", 50, "overwrite")
     with pytest.raises(Exception, match="overwritten"):
         read()
+
+
+def test_places_of_many_chunks_are_looked_up_once(spark, tmp_path, monkeypatch):
+    """1500 reads at one place, in 15 chunks and with others at both ends: each of these chunks is opened by one task."""
+    place = lambda ref, p: {"flag": 0, "mapping_quality": 0, "position": {"position": p, "ref_index": ref, "contig": ""}, "next_position": {"position": -1, "ref_index": -1, "contig": ""}, "template_length": 0, "cigar": ""}
+    rows = [(k, f"m{k % 1400}", place(*((-1, 0) if k < 1450 else (1, k // 3)))) for k in range(3000)]
+    chunk_source.write(spark.createDataFrame(rows, SCHEMA), f"{tmp_path}/ds", "ds", 100)
+    wanted = [(a["position"]["ref_index"], a["position"]["position"], m, n) for n, (_, m, a) in enumerate(rows) if n % 4 == 0] + [(-1, 0, None, 9000), (-1, 0, "m2", 9001), (-1, 0, "none", 9002)]
+    of = {}
+    for k, m, a in rows:
+        of.setdefault((a["position"]["ref_index"], a["position"]["position"], m), []).append(k)
+    df = spark.createDataFrame(wanted, "ref_index int, position long, meta string, asked long")
+    expected = sorted((n, k) for a, p, m, n in wanted for k in of.get((a, p, m), []))
+    assert sorted((r.asked, r.ordinal) for r in chunk_source.look_up(spark, f"{tmp_path}/ds", df).collect()) == expected
+    zones = chunk_source.Zones(json.loads(Store(f"{tmp_path}/ds").read("metadata.json"))["records"])
+    assert zones.n((-1, 0)) == 15 and zones.crowded() == list(range(15)) and zones.holding((1, 999)) == [29]
+    every = chunk_source.look_up(spark, f"{tmp_path}/ds", df.where("asked >= 9000").drop("meta"), ["meta"])
+    assert every.count() == 3 * 1450
