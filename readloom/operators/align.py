@@ -139,7 +139,7 @@ def checked(candidates: DataFrame, mismatches: int, gaps: bool) -> DataFrame:
                     rest = np.flatnonzero(n > mismatches)
                     if gaps and len(rest):
                         best, ops, begin = gapped(reads[rest], around[rest], mismatches)
-                        found += [(part[r], int(b), True, o, position[part[r]] - mismatches + int(d)) for r, b, o, d in zip(rest.tolist(), best, ops, begin, strict=True) if b <= mismatches]
+                        found += [(part[r], int(b), any(op != MATCH for op, _ in o), o, position[part[r]] - mismatches + int(d)) for r, b, o, d in zip(rest.tolist(), best, ops, begin, strict=True) if b <= mismatches]
                     for k, edits, with_gaps, o, place in found:
                         text, place = clipped(o, place)
                         span = sum(int(m) for op, m in o if op != INSERT)

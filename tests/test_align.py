@@ -144,3 +144,11 @@ def test_overwrite_leaves_no_old_chunks(spark, tmp_path):
     with pytest.raises(ValueError, match="no store options"):
         Store(f"{tmp_path}/ds", {"region": "x"})
     assert Store("s3://bucket/x", {"region": "eu-west-1"})._at("f")[1] == "bucket/x/f"
+
+
+def test_a_repeat_before_a_read_is_no_second_place(spark):
+    """A seed that is met two bases before its place leads to the same alignment by the search with gaps."""
+    read = "TGTGTGTGTGTGCCGTTAGCACCTCGGTGAGC"
+    contigs = spark.createDataFrame([(0, "c", "ACCAGCATTG" + read + "CATTACGA")], "ref_index int, name string, sequence string")
+    found = align.align(spark.createDataFrame([(1, read)], "ordinal long, base string"), contigs, min_length=20).first().aln
+    assert (found.position.position, found.mapping_quality, found.cigar) == (10, 60, "32M")
