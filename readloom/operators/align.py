@@ -167,11 +167,11 @@ def align(reads: DataFrame, contigs: DataFrame, seed: int = SEED, mismatches: in
     strands = able.select("ordinal", F.explode(F.array(F.struct(F.lit(False).alias("reverse"), F.col("base").alias("s")), F.struct(F.lit(True).alias("reverse"), reverse_complement(F.col("base")).alias("s")))).alias("x")).select("ordinal", "x.*")
     tries = F.sequence(F.lit(0), F.least(F.lit(mismatches), F.floor(F.length("s") / seed).cast("int") - 1))
     seeds = strands.select("ordinal", "reverse", "s", F.explode(tries).alias("k")).select("*", seed_code(F.substring("s", F.col("k") * seed + 1, F.lit(seed))).alias("seed")).where("seed is not null")
-    met = seeds.join(seed_places(cut, seed, tile, max_hits), "seed").select("ordinal", "reverse", "s", "ref_index", (F.col("place") - F.col("k") * seed).alias("position")).distinct()
+    met = seeds.join(seed_places(cut, seed, tile, max_hits).hint("merge"), "seed").select("ordinal", "reverse", "s", "ref_index", (F.col("place") - F.col("k") * seed).alias("position")).distinct()
     met = met.withColumn("tile", F.floor(F.greatest("position", F.lit(0)) / tile))
     begin = F.col("position") - mismatches
     window = F.substring("sequence", (F.greatest(begin, F.lit(0)) - F.col("start") + 1).cast("int"), (F.length("s") + 2 * mismatches + F.least(begin, F.lit(0))).cast("int"))
-    candidates = met.join(cut, ["ref_index", "tile"]).select("ordinal", "reverse", "s", "ref_index", "name", "length", "position", F.greatest(-begin, F.lit(0)).alias("lead"), window.alias("window"))
+    candidates = met.join(cut.hint("merge"), ["ref_index", "tile"]).select("ordinal", "reverse", "s", "ref_index", "name", "length", "position", F.greatest(-begin, F.lit(0)).alias("lead"), window.alias("window"))
     found = checked(candidates, mismatches, gaps).distinct()  # neighbouring candidates may give one alignment
     alike = found.groupBy("ordinal", "n").agg(F.count("*").alias("ties"), F.min(F.struct("gapped", "ref_index", "position", "reverse", "name", "cigar")).alias("x"))
     best = alike.groupBy("ordinal").agg(F.min(F.struct("n", "x", "ties")).alias("y")).select("ordinal", "y.n", "y.ties", "y.x.*")
@@ -179,7 +179,7 @@ def align(reads: DataFrame, contigs: DataFrame, seed: int = SEED, mismatches: in
     nowhere = place(F.lit(-1), F.lit(-1), F.lit(""))
     quality = clamp_mapq(F.when(F.col("ties") > 1, 3).otherwise(60 - 10 * F.col("n")), F.lit(True))
     chosen = best.select("ordinal", F.struct(F.when(F.col("reverse"), 16).otherwise(0).alias("flag"), quality.alias("mapping_quality"), place(F.col("position"), F.col("ref_index"), F.col("name")).alias("position"), nowhere.alias("next_position"), F.lit(0).cast("long").alias("template_length"), F.col("cigar")).alias("aln"))
-    return reads.join(chosen, "ordinal", "left").withColumn("aln", F.coalesce("aln", unmapped()))
+    return reads.join(chosen.hint("merge"), "ordinal", "left").withColumn("aln", F.coalesce("aln", unmapped()))
 
 
 def unmapped() -> Column:

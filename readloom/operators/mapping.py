@@ -63,6 +63,11 @@ class Index:
     overlap: int
 
 
+def _sides_shuffled(rows: DataFrame) -> DataFrame:
+    """Rows that no join broadcasts: what tasks make of a file has no size that Spark knows, and it takes the small file's for it."""
+    return rows.hint("merge")
+
+
 def _hashed(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits."""
     x = (x ^ (x >> _U64(33))) * _U64(0xFF51AFD7ED558CCD)
@@ -118,7 +123,7 @@ def index(contigs: DataFrame, k: int = K, window: int = WINDOW, rare: int = RARE
 
     places = cut.mapInArrow(found, "hash long, ref_index int, place long, reverse boolean")
     frequent = places.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > rare)
-    marked = places.join(frequent.select("hash", F.lit(True).alias("frequent")), "hash", "left").withColumn("frequent", F.coalesce("frequent", F.lit(False)))
+    marked = places.join(_sides_shuffled(frequent.select("hash", F.lit(True).alias("frequent"))), "hash", "left").withColumn("frequent", F.coalesce("frequent", F.lit(False)))
     return Index(marked, cut, frequent, k, window, tile, overlap)
 
 
@@ -159,7 +164,7 @@ def anchors(found: DataFrame, places: DataFrame, k: int) -> DataFrame:
     """Where a read's minimizers stand: ordinal, reverse, ref_index, place, at (from the begin of the read as it lies on the strand), length."""
     other = places.select("hash", "ref_index", "place", F.col("reverse").alias("turned"))
     reverse = F.col("reverse") != F.col("turned")
-    return found.join(other, "hash").select("ordinal", reverse.alias("reverse"), "ref_index", "place", F.when(reverse, F.col("length") - k - F.col("at")).otherwise(F.col("at")).alias("at"), "length")
+    return found.join(_sides_shuffled(other), "hash").select("ordinal", reverse.alias("reverse"), "ref_index", "place", F.when(reverse, F.col("length") - k - F.col("at")).otherwise(F.col("at")).alias("at"), "length")
 
 
 _CHAIN = pa.schema([("ordinal", pa.int64()), ("reverse", pa.bool_()), ("ref_index", pa.int32()), ("begin", pa.int64()), ("score", pa.int32()), ("anchors", pa.int32()), ("chains", pa.int32())])
@@ -356,11 +361,11 @@ def verified(candidates: DataFrame, band: int = BAND, sc: Scoring = Scoring(), l
 def _hits(reads: DataFrame, found: DataFrame, made: Index, band: int, candidates: int, sc: Scoring, least: float) -> DataFrame:
     """Alignments of reads with these anchors."""
     best = chains(found, made.k, band, candidates, sc)
-    joined = best.join(reads.select("ordinal", "base"), "ordinal").withColumn("s", F.when(F.col("reverse"), reverse_complement(F.col("base"))).otherwise(F.col("base")))
+    joined = best.join(_sides_shuffled(reads.select("ordinal", "base")), "ordinal").withColumn("s", F.when(F.col("reverse"), reverse_complement(F.col("base"))).otherwise(F.col("base")))
     begin = F.col("begin") - band
     window = F.substring("sequence", (F.greatest(begin, F.lit(0)) - F.col("start") + 1).cast("int"), (F.length("s") + 2 * band + F.least(begin, F.lit(0))).cast("int"))
     placed = joined.withColumn("tile", F.floor(F.greatest("begin", F.lit(0)) / made.tile))
-    windows = placed.join(made.tiles.select("ref_index", "tile", "name", "start", "sequence"), ["ref_index", "tile"]).select("ordinal", "reverse", "s", "ref_index", "name", "begin", "anchors", "chains", F.greatest(-begin, F.lit(0)).alias("lead"), window.alias("window"))
+    windows = placed.join(_sides_shuffled(made.tiles.select("ref_index", "tile", "name", "start", "sequence")), ["ref_index", "tile"]).select("ordinal", "reverse", "s", "ref_index", "name", "begin", "anchors", "chains", F.greatest(-begin, F.lit(0)).alias("lead"), window.alias("window"))
     return verified(windows, band, sc, least)
 
 
@@ -386,8 +391,8 @@ def map_reads(reads: DataFrame, made: Index, band: int = BAND, candidates: int =
     else:
         rare = staged(rare, "hits")  # asked twice
         best = rare.groupBy("ordinal").agg(F.max(F.struct("score", "anchors")).alias("best"))
-        met = own.join(made.frequent, "hash")
-        left = met.withColumn("many", F.count("*").over(Window.partitionBy("ordinal"))).join(best, "ordinal", "left")
+        met = own.join(_sides_shuffled(made.frequent), "hash")
+        left = met.withColumn("many", F.count("*").over(Window.partitionBy("ordinal"))).join(_sides_shuffled(best), "ordinal", "left")
         left = left.where("best is null").unionByName(left.where((F.col("best.score") < F.col("length") * sc.match) & (F.col("many") > F.col("best.anchors"))))
         rank = F.row_number().over(Window.partitionBy("ordinal").orderBy("n", "hash", "at"))
         rarest = left.withColumn("rank", rank).where(F.col("rank") <= RESCUE).select("ordinal", "length", "at", "hash", "reverse")
@@ -400,7 +405,7 @@ def map_reads(reads: DataFrame, made: Index, band: int = BAND, candidates: int =
     floor_ = F.ceil(least * top["length"] * sc.match)
     quality = F.when((second == score) | (top["chains"] > candidates), TIED).otherwise(F.least(F.lit(MOST_QUALITY), PER_POINT * (score - F.greatest(second, floor_)) + TIED)).cast("int")
     chosen = per_read.select("ordinal", _aligned(top, quality).alias("aln"), score.alias("score"), top["chains"].alias("chains"))
-    return reads.join(chosen, "ordinal", "left").withColumn("aln", F.coalesce("aln", unmapped()))
+    return reads.join(_sides_shuffled(chosen), "ordinal", "left").withColumn("aln", F.coalesce("aln", unmapped()))
 
 
 def _aligned(top: Column, quality: Column) -> Column:

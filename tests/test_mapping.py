@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from readloom.operators import mapping
+from readloom.operators import align, mapping
 
 TURN = str.maketrans("ACGT", "TGCA")
 
@@ -269,3 +269,11 @@ def test_limits(spark):
     empty = ref.where("false")
     assert [x.aln.flag for x in mapping.map_reads(spark.createDataFrame([(1, "ACGT" * 20)], "ordinal long, base string"), mapping.index(empty)).collect()] == [4]
     assert mapping.map_reads(spark.createDataFrame([], "ordinal long, base string"), mapping.index(ref)).collect() == []
+
+
+def test_no_table_of_reads_or_places_is_broadcast(spark):
+    """Spark takes what tasks make of a small file for small, and would send it whole to the driver."""
+    contigs = spark.createDataFrame([(0, "c", "ACGTTGCATGCCATGGATCA" * 40)], "ref_index int, name string, sequence string")
+    reads = spark.createDataFrame([(1, "ACGTTGCATGCCATGGATCA" * 4)], "ordinal long, base string")
+    for found in (mapping.map_reads(reads, mapping.index(contigs, rare=2, overlap=256)), align.align(reads, contigs)):
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
