@@ -65,9 +65,11 @@ def gtf(spark: SparkSession, path: str) -> DataFrame:
 def barcodes(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     """(name, b1, line) rows and the length of the barcodes. The header must be Name, B1; lengths must agree.
 
-    The list ends at the first blank line; of equal barcodes the last counts.
+    The list ends at the first blank line; of equal barcodes the last counts. A list in several files goes on from file to file by name.
     """
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("line", "value"))
+    found, files = _lines(spark, path)
+    number = (F.col("offset") + F.col("line")).alias("line")
+    lines = found.join(_offsets(files), "file").select(number, F.regexp_replace("value", "\r$", "").alias("value"))
     first = lines.where("line = 0").first()
     if first is None or first.value != "Name\tB1":
         raise ValueError("a barcode list has the columns Name and B1")
