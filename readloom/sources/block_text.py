@@ -56,6 +56,17 @@ class Range(InputPartition):
     length: int
 
 
+#: Tasks that read a path at most; of more ranges some that follow each other go to one task.
+TASKS = 1024
+
+
+@dataclass
+class Bundle(InputPartition):
+    """Ranges that are read one after the other."""
+
+    parts: list[Range]
+
+
 class BlockReader(DataSourceReader):
     def __init__(self, store: Store, only: str | None, split: int):
         self.store, self.only, self.split = store, only, split
@@ -66,7 +77,8 @@ class BlockReader(DataSourceReader):
             if not name.startswith((".", "_")):
                 length = store.length(name)
                 out += [Range(name, k, begin, min(begin + self.split, length), length) for k, begin in enumerate(range(0, length, self.split))]
-        return out
+        size = -(-len(out) // TASKS) or 1
+        return [Bundle(out[k : k + size]) for k in range(0, len(out), size)]
 
     def data(self, f, part: Range) -> Iterator[tuple[bool, bytes]]:
         """The unpacked blocks from the first that begins in a range on, each with whether it begins there."""
@@ -115,6 +127,10 @@ class BlockReader(DataSourceReader):
             yield held
 
     def read(self, partition):
+        for part in partition.parts:
+            yield from self.rows(part)
+
+    def rows(self, partition: Range) -> Iterator[pa.RecordBatch]:
         at = 0
         with self.store.open(partition.name) as f:
             for data in self.lines(f, partition):

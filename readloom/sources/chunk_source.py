@@ -104,6 +104,22 @@ class ChunkPartition(InputPartition):
     high: Place | None = None
 
 
+#: Tasks that read a dataset at most; of more chunks some that follow each other go to one task.
+TASKS = 1024
+
+
+@dataclass
+class Bundle(InputPartition):
+    """Chunks that are read one after the other."""
+
+    parts: list[ChunkPartition]
+
+
+def bundled(parts: list[ChunkPartition]) -> list[Bundle]:
+    size = -(-len(parts) // TASKS) or 1
+    return [Bundle(parts[k : k + size]) for k in range(0, len(parts), size)]
+
+
 @dataclass
 class Bounds:
     """Closed bounds of a number, which filters narrow."""
@@ -158,7 +174,7 @@ class ChunkReader(DataSourceReader):
                 out.append(ChunkPartition(r["path"], r["first"], r["last"]))
             elif tuple(found["high"]) >= places[0] and tuple(found["low"]) <= places[1]:
                 out.append(ChunkPartition(r["path"], r["first"], r["last"], *(places if found["sorted"] else ())))
-        return out
+        return bundled(out)
 
     def body(self, partition: ChunkPartition, column: str) -> chunk_format.Body:
         body, n = chunk_format.decode_body(self.store.read(f"{partition.path}.{column}")), partition.last - partition.first
@@ -167,6 +183,10 @@ class ChunkReader(DataSourceReader):
         return body
 
     def read(self, partition):
+        for part in partition.parts:
+            yield from self.chunk(part)
+
+    def chunk(self, partition: ChunkPartition) -> Iterator[pa.RecordBatch]:
         low, high = 0, partition.last - partition.first
         if partition.low is not None:
             found = self.body(partition, "aln")
@@ -197,7 +217,7 @@ class ChunkStream(DataSourceStreamReader):
         if start["made"] != end["made"]:
             raise ValueError("the dataset was overwritten; its stream must begin anew")
         wanted = [r for n, r in _numbered(_manifest(self.reader.store)) if start["number"] < n <= end["number"]]
-        return [ChunkPartition(r["path"], r["first"], r["last"]) for r in sorted(wanted, key=lambda r: r["first"])]
+        return bundled([ChunkPartition(r["path"], r["first"], r["last"]) for r in sorted(wanted, key=lambda r: r["first"])])
 
     def read(self, partition):
         return self.reader.read(partition)
