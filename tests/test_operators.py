@@ -50,6 +50,29 @@ def test_binned_equals_direct(spark, size):
         assert sorted(map(tuple, got)) == want
 
 
+@pytest.mark.parametrize("square", [3, 4096])
+def test_joins_of_short_and_long_equal_direct(spark, monkeypatch, square):
+    monkeypatch.setattr(overlap, "SQUARE", square, raising=False)
+    r = random.Random(square)
+    one = lambda: r.choice([None, 7, r.randint(-500, 1500), r.randint(-500, 1500)])
+    ends = lambda most: (s := one(), None if s is None else s + r.choice([-1, 0, 0, 1, 40, 2000, most]))
+    left = spark.createDataFrame([(k, r.choice(["a", "a", "b", None]), *ends(10**7)) for k in range(200)], "s long, contig string, span_start long, span_stop long")
+    right = spark.createDataFrame([(k, r.choice(["a", "a", "c", None]), *ends(10**6)) for k in range(200)], "i long, contig string, start long, stop long")
+    for join, least in ((overlap.overlap_join, 1000), (overlap.contained, 300)):
+        rows = lambda *how: sorted(map(tuple, join(left, right, strategy=how[0], bin_size=how[1]).select("contig", "s", "i", "start", "stop", "span_start", "span_stop").collect()))  # noqa: B023, E731
+        want = rows("direct", None)
+        assert len(want) > least and rows("binned", None) == want and rows("binned", 256) == want
+
+
+@pytest.mark.parametrize("join", [overlap.overlap_join, overlap.contained])
+def test_pairs_of_one_bin_are_made_by_many_tasks(spark, monkeypatch, join):
+    monkeypatch.setattr(overlap, "SQUARE", 50, raising=False)
+    spans = spark.range(300, numPartitions=1).selectExpr("id as s", "'a' as contig", "0L as span_start", "15000L as span_stop")
+    intervals = spark.range(300, numPartitions=1).selectExpr("id as i", "'a' as contig", "8000L as start", "8010L as stop")
+    tasks = [r.n for r in join(spans, intervals, strategy="binned", bin_size=64).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(tasks) == 300 * 300 and len(tasks) >= 3 and max(tasks) < 0.6 * sum(tasks)
+
+
 def test_rescue_needs_one_candidate(spark):
     barcodes = spark.createDataFrame([("x", "AAAA"), ("y", "AATT"), ("z", "CCCC")], "name string, b1 string")
     keys = ["AAAAGG", "AAAT", "CCNC", "CC", None, "GGGG", "AAAC", "NNCC"]
