@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the chunk format: a base's code is its place here, END closes a sequence.
 BASES, END_CODE, BASES_PER_WORD = "ACTGN", 7, 21
@@ -33,6 +36,56 @@ def hamming(a: Column, b: Column) -> Column:
     return F.when(F.length(a) == F.length(b), F.aggregate(places, F.lit(0), lambda n, i: n + F.when(F.substring(a, i, 1) != F.substring(b, i, 1), 1).otherwise(0)))
 
 
+_SHIFTS = 3 * np.arange(BASES_PER_WORD, dtype=np.uint64)
+_LETTERS = np.frombuffer(BASES.encode(), np.uint8)
+_CODES = np.zeros(256, np.uint8)
+_CODES[_LETTERS] = np.arange(len(BASES))
+
+
+def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, one run after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(begins - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def _begins(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _packed(bases: pa.Array) -> pa.Array:
+    """Words of texts that have letters of BASES only, a batch at once."""
+    there = np.asarray(bases.is_valid())
+    ends = np.frombuffer(bases.buffers()[1], np.int64 if pa.types.is_large_string(bases.type) else np.int32)[bases.offset : bases.offset + len(bases) + 1].astype(np.int64)
+    lengths, data = np.where(there, np.diff(ends), 0), np.frombuffer(bases.buffers()[2] or b"", np.uint8)
+    first = _begins(np.where(there, lengths // BASES_PER_WORD + 1, 0))
+    codes, cell = np.zeros(first[-1] * BASES_PER_WORD, np.uint8), first[:-1] * BASES_PER_WORD
+    codes[_runs(cell, lengths)] = _CODES[data[_runs(ends[:-1], lengths)]]
+    codes[(cell + lengths)[there]] = END_CODE
+    words = (codes.reshape(-1, BASES_PER_WORD).astype(np.uint64) << _SHIFTS).sum(axis=1, dtype=np.uint64).astype(np.int64)
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(words), mask=pa.array(~there))
+
+
+def _unpacked(words: pa.Array) -> pa.Array:
+    """The texts of packed words, a batch at once."""
+    if words.values.null_count:
+        words = pa.array([None if row is None else [w for w in row if w is not None] for row in words.to_pylist()], pa.list_(pa.int64()))
+    there, ends = np.asarray(words.is_valid()), np.asarray(words.offsets).astype(np.int64)
+    codes = (np.asarray(words.values).astype(np.uint64)[:, None] >> _SHIFTS & np.uint64(7)).astype(np.uint8).ravel()
+    begin, limit = ends[:-1] * BASES_PER_WORD, ends[1:] * BASES_PER_WORD
+
+    def first(found):
+        """The first place of those found at or behind each begin."""
+        at = np.flatnonzero(found)
+        return np.append(at, len(codes))[np.searchsorted(at, begin)]
+
+    end = first(codes == END_CODE)
+    if (there & ((end >= limit) | (first((codes >= len(BASES)) & (codes != END_CODE)) < end))).any():
+        raise ValueError("packed bases without an end or with an unused code")
+    lengths = np.where(there, end - begin, 0)
+    letters = np.append(_LETTERS, np.zeros(3, np.uint8))[codes[_runs(begin, lengths)]]
+    return pa.Array.from_buffers(pa.string(), len(words), [pa.array(there).buffers()[1], pa.py_buffer(_begins(lengths).astype(np.int32)), pa.py_buffer(letters)])
+
+
 def pack_bases(base: Column, lenient: bool = False) -> Column:
     """array<long>: 21 bases of three bits a word, closed by END; unknown letters fail, or are N if lenient.
 
@@ -41,18 +94,12 @@ def pack_bases(base: Column, lenient: bool = False) -> Column:
     s, other = F.upper(F.replace(base, F.lit("\n"), F.lit(""))), f"[^{BASES}]"
     bad = F.raise_error(F.concat(F.lit("not a base: "), F.regexp_extract(s, other, 0))).cast("string")
     known = F.regexp_replace(s, other, "N") if lenient else F.when(s.rlike(other), bad).otherwise(s)
-    # a code is an octal digit, the first base's the lowest
-    digits = F.concat(F.translate(known, BASES, "".join(map(str, range(len(BASES))))), F.lit(str(END_CODE)))
-    first = F.sequence(F.lit(1), F.length(digits), F.lit(BASES_PER_WORD))
-    return F.transform(first, lambda at: F.conv(F.reverse(F.substring(digits, at, F.lit(BASES_PER_WORD))), 8, 10).cast("long"))
+    return F.arrow_udf(_packed, T.ArrayType(T.LongType()))(known)
 
 
 def unpack_bases(words: Column) -> Column:
     """The bases of packed words, up to END; a word without an end and unused codes fail."""
-    digits = F.array_join(F.transform(words, lambda w: F.reverse(F.lpad(F.conv(w.cast("string"), 10, 8), BASES_PER_WORD, "0"))), "")
-    known = F.regexp_extract(digits, rf"^([0-{len(BASES) - 1}]*){END_CODE}", 1)
-    bad = F.raise_error(F.lit("packed bases without an end or with an unused code")).cast("string")
-    return F.when(digits.rlike(rf"^[0-{len(BASES) - 1}]*{END_CODE}"), F.translate(known, "".join(map(str, range(len(BASES)))), BASES)).when(words.isNotNull(), bad)
+    return F.arrow_udf(_unpacked, T.StringType())(words)
 
 
 def base_at(words: Column, place: Column) -> Column:

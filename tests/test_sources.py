@@ -75,6 +75,23 @@ def test_packed_bases(spark, n):
         assert spark.createDataFrame([(s,)], "s string").select(sequence.base_at(sequence.pack_bases(F.col("s")), F.lit(n - 1))).first()[0] == s[-1]
 
 
+def test_bases_are_packed_and_unpacked_by_batches(spark):
+    r = random.Random(4)
+    rows = [(k, None if k % 7 == 3 else "".join(r.choices("ACGTN", k=r.choice([0, 1, 20, 21, 22, 42, r.randrange(300)])))) for k in range(500)]
+    packed = spark.createDataFrame(rows, "k long, s string").repartition(3).withColumn("w", sequence.pack_bases(F.col("s")))
+    back = packed.select("k", "w", sequence.unpack_bases(F.col("w")).alias("s"), sequence.unpack_bases(sequence.pack_bases(F.lower("s"))).alias("t"))
+    got = back.orderBy("k").collect()
+    assert [(x.k, x.s) for x in got] == rows and all(x.s == x.t for x in got)
+    assert all((x.w is None) if x.s is None else struct.pack(f"<{len(x.w)}q", *x.w) == chunk_format.pack(x.s) for x in got)
+    lines = back._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in lines  # no word is looked at by an expression of its own
+    one = lambda *words: spark.createDataFrame([([0 | 7 << 3],), (None,), (list(words),)], "w array<long>").select(sequence.unpack_bases(F.col("w")).alias("s"))
+    assert [x.s for x in one(0, None, 4 | 7 << 3).collect()] == ["A", None, "A" * 21 + "N"]
+    for words in ((), (0,), (5 | 7 << 3,), (0, 6)):
+        with pytest.raises(Exception, match="without an end or with an unused code"):
+            one(*words).collect()
+
+
 def test_bad_bases(spark):
     with pytest.raises(chunk_format.FormatError):
         chunk_format.pack("ACX")
