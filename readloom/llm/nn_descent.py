@@ -84,8 +84,8 @@ class Updates:
         if self.n >= HELD:
             yield from self.rows()
 
-    def meet(self, x: np.ndarray, ids: np.ndarray, sizes: np.ndarray, worst: np.ndarray, threshold: float, fresh: np.ndarray | None = None, sides: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-        """Compare vectors with each other: each gets those that are better than its worst neighbour, or links. fresh: a pair has one of these at least; sides: a pair has one of either."""
+    def meet(self, x: np.ndarray, ids: np.ndarray, sizes: np.ndarray, worst: np.ndarray, threshold: float, neighbours: int, fresh: np.ndarray | None = None, sides: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """Compare vectors with each other: each gets those that are better than its worst neighbour, or links; of the first the best `neighbours`, as no list takes more. fresh: a pair has one of these at least; sides: a pair has one of either."""
         sim = x @ x.T
         wanted = (sim > worst[:, None]) | (sim >= threshold)
         np.fill_diagonal(wanted, False)
@@ -93,6 +93,9 @@ class Updates:
             wanted &= fresh[:, None] | fresh
         if sides is not None:
             wanted &= sides[:, None] != sides
+        if len(x) > neighbours:
+            best = np.where(wanted, sim, -np.inf)
+            wanted &= (sim >= np.partition(best, len(x) - neighbours, axis=1)[:, len(x) - neighbours, None]) | (sim >= threshold)
         a, b = np.nonzero(wanted)
         yield from self.add(ids[a], ids[b], sim[a, b], sizes[b])
 
@@ -135,7 +138,7 @@ def usable(embedding: str, label: str):
     return F.coalesce(F.col(label).isNotNull() & F.forall(embedding, finite) & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
-def windows(found: DataFrame, kind: str, threshold: float, orders: int, seed: int, buckets: int) -> DataFrame:
+def windows(found: DataFrame, kind: str, threshold: float, neighbours: int, orders: int, seed: int, buckets: int) -> DataFrame:
     """Updates of what meets in windows of random orders: by label, then the signs of 60 random projections."""
     row = pa.schema([("turn", pa.int32()), ("label", pa.string()), ("dim", pa.int32()), ("code", pa.int64()), ("id", pa.int64()), ("size", pa.int64()), ("vector", pa.binary())])
 
@@ -154,7 +157,7 @@ def windows(found: DataFrame, kind: str, threshold: float, orders: int, seed: in
         out, held, now = Updates(buckets), [], None
 
         def window():
-            yield from out.meet(units([h[2] for h in held], kind), np.array([h[0] for h in held]), np.array([h[1] for h in held]), np.full(len(held), -2.0), threshold)
+            yield from out.meet(units([h[2] for h in held], kind), np.array([h[0] for h in held]), np.array([h[1] for h in held]), np.full(len(held), -2.0), threshold, neighbours)
 
         for b in batches:
             for turn, label, dim, own, size, vector in zip(*(b.column(c).to_pylist() for c in ("turn", "label", "dim", "id", "size", "vector")), strict=True):
@@ -274,7 +277,7 @@ def joined(state: DataFrame, kind: str, turn: int, buckets: int, threshold: floa
             return
         i, j = b.column("i")[0].as_py(), b.column("j")[0].as_py()
         sides = b.column("side").to_numpy(zero_copy_only=False) if i != j else None
-        yield from out.meet(units(b.column("vector").to_pylist(), kind), *(b.column(c).to_numpy() for c in ("id", "size", "worst")), threshold, fresh, sides)
+        yield from out.meet(units(b.column("vector").to_pylist(), kind), *(b.column(c).to_numpy() for c in ("id", "size", "worst")), threshold, neighbours, fresh, sides)
 
     slim = state.select("id", "links", "new_links", "ids", "since")
     heavy = slim.mapInArrow(places, "pivot long").groupBy("pivot").agg(F.count("*").alias("n")).where(F.col("n") > TILE).select("pivot", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
@@ -317,8 +320,9 @@ def graph(found: DataFrame, kind: str, threshold: float = THRESHOLD, neighbours:
     links, turn, made = 0, 0, None
     for audit in range(AUDITS):
         for k in range(ROUNDS):
-            buckets = max(8, -(-(n * neighbours * 2 + links * LONGER) // MERGED))
-            updates = windows(found, kind, threshold, orders, seed + audit, buckets) if k == 0 else joined(state, kind, turn, buckets, threshold, neighbours)
+            # a node meets others in two windows of each order, or at its pivots
+            buckets = max(8, -(-(n * neighbours * (2 * orders if k == 0 else neighbours + 1) + links * (PIVOTS + 1)) // MERGED))
+            updates = windows(found, kind, threshold, neighbours, orders, seed + audit, buckets) if k == 0 else joined(state, kind, turn, buckets, threshold, neighbours)
             state = staged(merged(state, updates, turn, buckets, threshold, neighbours), "neighbours")
             turn += 1
             links, new, new_links = state.agg(F.sum("links"), F.sum("new"), F.sum("new_links")).first()

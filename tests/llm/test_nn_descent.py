@@ -84,3 +84,31 @@ def test_empty_and_double_tables(spark):
     assert [tuple(r) for r in nn_descent.near_groups(spark.createDataFrame([(1, None, 1)], SCHEMA)).collect()] == [(1, 0, 1, True)]
     double = [(1, [0.1, 0.2], 1), (2, [0.1, 0.2 + 1e-12], 1), (3, [1e200, 2e200], 1), (4, [0.2, -0.1], 1)]
     assert sorted(tuple(r) for r in nn_descent.near_groups(spark.createDataFrame(double, "vec_id long, embedding array<double>, label int")).collect()) == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True)]
+
+
+def test_a_window_sends_no_more_than_lists_take(spark, monkeypatch):
+    """All pairs of a window were sent, six times as many as lists can take; a task that merged them went out of memory."""
+    r = np.random.default_rng(7)
+    x = r.standard_normal((90, 16))
+    x[60:] = x[60] + 0.01 * r.standard_normal((30, 16))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    ids, sizes, worst = np.arange(90) * 7, np.ones(90, np.int64), np.full(90, -2.0)
+    out = nn_descent.Updates(1)
+    assert not list(out.meet(x, ids, sizes, worst, 0.93, 10))
+    (rows,) = out.rows()
+    got = {(a, b) for a, b in zip(rows.column("owner")[0].as_py(), rows.column("other")[0].as_py(), strict=True)}
+    sim = x @ x.T
+    np.fill_diagonal(sim, -2)
+    rank = np.argsort(np.argsort(-sim, axis=1), axis=1)
+    assert got == {(7 * a, 7 * b) for a, b in zip(*np.nonzero((rank < 10) | (sim >= 0.93)), strict=True)}
+
+    made = [(k, [float(v) for v in r.standard_normal(8)], 1) for k in range(300)]
+    found = nn_descent.nodes(spark.createDataFrame(made, SCHEMA), "vec_id", "embedding", "label")
+    sent = nn_descent.windows(found, "<f4", 0.93, 10, 3, 42, 8).selectExpr("sum(size(owner))").first()[0]
+    assert 300 * 10 <= sent <= 300 * 10 * 2 * 3 * 1.1
+
+    asked = []
+    monkeypatch.setattr(nn_descent, "MERGED", 1000)
+    monkeypatch.setattr(nn_descent, "merged", lambda *a, f=nn_descent.merged: asked.append(a[3]) or f(*a))
+    nn_descent.graph(found, "<f4", orders=3)
+    assert asked[0] * 1000 >= sent  # a bucket has no more than a task merges
