@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import clamp_mapq, reverse_complement
+from ..session import staged
 
 SEED, MISMATCHES, MIN_LENGTH = 12, 2, 50
 #: Bases of a tile without what it shares with its neighbours.
@@ -151,6 +152,63 @@ def checked(candidates: DataFrame, mismatches: int, gaps: bool) -> DataFrame:
     return candidates.mapInArrow(work, ddl)
 
 
+_KEY = pa.schema([("ordinal", pa.int64()), ("s", pa.string()), ("at", pa.int32()), ("hash", pa.int64()), ("turned", pa.bool_())])
+_WORD = pa.schema([("hash", pa.int64()), ("ref_index", pa.int32()), ("place", pa.int64()), ("reverse", pa.bool_())])
+#: Bases of a window whose least word is looked up to find a read as it is, and the least length of such a word, if reads are that long.
+WHOLE, WORD = 32, 15
+
+
+def whole(reads: DataFrame, cut: DataFrame, shortest: int, size: int = TILE) -> DataFrame:
+    """ordinal, reverse, ref_index, name, position: all places at which reads (ordinal, base; of A, C, G and T, at least `shortest` bases) stand in tiles as they are.
+
+    Of the words of a read's first window the one with the least hash is looked up among the words of the contigs that are least in some window: these
+    are few and long, so little is found that isn't such a place, in references of any size. Equal to its place's, the read has the same least word.
+    """
+    from .mapping import minimizers
+
+    window = min(shortest, WHOLE)
+    k = max(min(window, WORD), window - WHOLE // 2 + 1)
+    k -= k % 2 == 0  # a word that is its own reverse complement would have no strand
+
+    def keys(batches):
+        for rows in batches:
+            texts = [t[:window].encode() for t in rows.column("base").to_pylist()]
+            at, h, reverse = minimizers(b"\n".join(texts), k, window - k + 1)
+            row, first = np.unique(at // (window + 1), return_index=True)
+            columns = at[first] % (window + 1), h[first], reverse[first]
+            yield pa.RecordBatch.from_arrays([*(rows.column(c).take(pa.array(row)) for c in ("ordinal", "base")), *(pa.array(c, t) for c, t in zip(columns, _KEY.types[2:], strict=True))], schema=_KEY)
+
+    def words(batches):
+        for rows in batches:
+            for index, number, start, sequence in zip(*(rows.column(c).to_pylist() for c in ("ref_index", "tile", "start", "sequence")), strict=True):
+                at, h, reverse = minimizers(sequence.encode("ascii", "replace"), k, window - k + 1)
+                at = at + start
+                own = (at >= number * size) & (at < (number + 1) * size)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((h[own], np.full(int(own.sum()), index), at[own], reverse[own]), _WORD.types, strict=True)], schema=_WORD)
+
+    asked = reads.select("ordinal", F.col("base").cast("string").alias("base")).mapInArrow(keys, "ordinal long, s string, at int, hash long, turned boolean")
+    met = asked.join(cut.mapInArrow(words, "hash long, ref_index int, place long, reverse boolean").hint("merge"), "hash")
+    reverse = F.col("reverse") != F.col("turned")
+    begin = F.col("place") - F.when(reverse, F.length("s") - k - F.col("at")).otherwise(F.col("at"))
+    placed = met.select("ordinal", F.when(reverse, reverse_complement(F.col("s"))).otherwise(F.col("s")).alias("s"), reverse.alias("reverse"), "ref_index", begin.alias("position")).where("position >= 0")
+    same = F.substring("sequence", (F.col("position") - F.col("start") + 1).cast("int"), F.length("s")) == F.col("s")
+    placed = placed.withColumn("tile", F.floor(F.col("position") / size))
+    return placed.join(cut.select("ref_index", "tile", "name", "start", "sequence").hint("merge"), ["ref_index", "tile"]).where(same).select("ordinal", "reverse", "ref_index", "name", "position")
+
+
+def _searched(able: DataFrame, cut: DataFrame, seed: int, mismatches: int, gaps: bool, max_hits: int | None, tile: int) -> DataFrame:
+    """The alignments of reads within so many edits, by the places of their seeds."""
+    strands = able.select("ordinal", F.explode(F.array(F.struct(F.lit(False).alias("reverse"), F.col("base").alias("s")), F.struct(F.lit(True).alias("reverse"), reverse_complement(F.col("base")).alias("s")))).alias("x")).select("ordinal", "x.*")
+    tries = F.sequence(F.lit(0), F.least(F.lit(mismatches), F.floor(F.length("s") / seed).cast("int") - 1))
+    seeds = strands.select("ordinal", "reverse", "s", F.explode(tries).alias("k")).select("*", seed_code(F.substring("s", F.col("k") * seed + 1, F.lit(seed))).alias("seed")).where("seed is not null")
+    met = seeds.join(seed_places(cut, seed, tile, max_hits).hint("merge"), "seed").select("ordinal", "reverse", "s", "ref_index", (F.col("place") - F.col("k") * seed).alias("position")).distinct()
+    met = met.withColumn("tile", F.floor(F.greatest("position", F.lit(0)) / tile))
+    begin = F.col("position") - mismatches
+    window = F.substring("sequence", (F.greatest(begin, F.lit(0)) - F.col("start") + 1).cast("int"), (F.length("s") + 2 * mismatches + F.least(begin, F.lit(0))).cast("int"))
+    candidates = met.join(cut.hint("merge"), ["ref_index", "tile"]).select("ordinal", "reverse", "s", "ref_index", "name", "length", "position", F.greatest(-begin, F.lit(0)).alias("lead"), window.alias("window"))
+    return checked(candidates, mismatches, gaps).distinct()  # neighbouring candidates may give one alignment
+
+
 def align(reads: DataFrame, contigs: DataFrame, seed: int = SEED, mismatches: int = MISMATCHES, min_length: int = MIN_LENGTH, gaps: bool = True, max_hits: int | None = None, tile: int = TILE) -> DataFrame:
     """Reads (ordinal, base, ...) with `aln`: the place with the fewest edits, of either strand.
 
@@ -158,21 +216,21 @@ def align(reads: DataFrame, contigs: DataFrame, seed: int = SEED, mismatches: in
     has an exact seed among its first mismatches + 1, if it is long enough for them (max_hits: and if
     the seed has no more places). For genomes whose seeds stand in many places there is `mapping`. Reads that are shorter than min_length or have more N than `mismatches`
     are unmapped, as are reads without a place: contig '*', ref_index -1, position 0, flag 4.
-    Ties go to alignments without gaps, then to the first contig and place.
+    Ties go to alignments without gaps, then to the first contig and place. Reads that stand in a contig as they are
+    have no better place, so they are looked up first, by longer words, and the others by their seeds.
     """
     usable = (F.length("base") >= max(min_length, seed)) & (F.length("base") - F.length(F.replace("base", F.lit("N"), F.lit(""))) <= mismatches)
     able = reads.where(usable).select("ordinal", "base")
-    longest = able.agg(F.max(F.length("base"))).first()[0] or 0
+    shortest, longest = (n or 0 for n in able.agg(F.min(F.length("base")), F.max(F.length("base"))).first())
     cut = tiles(contigs, longest + 2 * mismatches + 1, tile)
-    strands = able.select("ordinal", F.explode(F.array(F.struct(F.lit(False).alias("reverse"), F.col("base").alias("s")), F.struct(F.lit(True).alias("reverse"), reverse_complement(F.col("base")).alias("s")))).alias("x")).select("ordinal", "x.*")
-    tries = F.sequence(F.lit(0), F.least(F.lit(mismatches), F.floor(F.length("s") / seed).cast("int") - 1))
-    seeds = strands.select("ordinal", "reverse", "s", F.explode(tries).alias("k")).select("*", seed_code(F.substring("s", F.col("k") * seed + 1, F.lit(seed))).alias("seed")).where("seed is not null")
-    met = seeds.join(seed_places(cut, seed, tile, max_hits).hint("merge"), "seed").select("ordinal", "reverse", "s", "ref_index", (F.col("place") - F.col("k") * seed).alias("position")).distinct()
-    met = met.withColumn("tile", F.floor(F.greatest("position", F.lit(0)) / tile))
-    begin = F.col("position") - mismatches
-    window = F.substring("sequence", (F.greatest(begin, F.lit(0)) - F.col("start") + 1).cast("int"), (F.length("s") + 2 * mismatches + F.least(begin, F.lit(0))).cast("int"))
-    candidates = met.join(cut.hint("merge"), ["ref_index", "tile"]).select("ordinal", "reverse", "s", "ref_index", "name", "length", "position", F.greatest(-begin, F.lit(0)).alias("lead"), window.alias("window"))
-    found = checked(candidates, mismatches, gaps).distinct()  # neighbouring candidates may give one alignment
+    if max_hits is None and longest:
+        asked = able.where(F.col("base").rlike("^[ACGT]+$"))
+        first = staged(able.join(whole(asked, cut, shortest, tile).hint("merge"), "ordinal", "left"), "whole")  # asked twice
+        as_is = first.where("position is not null").select("ordinal", "reverse", "ref_index", "name", "position", F.lit(0).alias("n"), F.lit(False).alias("gapped"), F.concat(F.length("base").cast("string"), F.lit("M")).alias("cigar")).distinct()
+        rest = first.where("position is null").select("ordinal", "base")
+        found = as_is if rest.isEmpty() else as_is.unionByName(_searched(rest, cut, seed, mismatches, gaps, max_hits, tile))
+    else:
+        found = _searched(able, cut, seed, mismatches, gaps, max_hits, tile)
     alike = found.groupBy("ordinal", "n").agg(F.count("*").alias("ties"), F.min(F.struct("gapped", "ref_index", "position", "reverse", "name", "cigar")).alias("x"))
     best = alike.groupBy("ordinal").agg(F.min(F.struct("n", "x", "ties")).alias("y")).select("ordinal", "y.n", "y.ties", "y.x.*")
     place = lambda position, index, contig: F.struct(position.cast("long").alias("position"), index.cast("int").alias("ref_index"), contig.alias("contig"))

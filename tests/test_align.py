@@ -152,3 +152,39 @@ def test_a_repeat_before_a_read_is_no_second_place(spark):
     contigs = spark.createDataFrame([(0, "c", "ACCAGCATTG" + read + "CATTACGA")], "ref_index int, name string, sequence string")
     found = align.align(spark.createDataFrame([(1, read)], "ordinal long, base string"), contigs, min_length=20).first().aln
     assert (found.position.position, found.mapping_quality, found.cigar) == (10, 60, "32M")
+
+
+@pytest.mark.parametrize("least", [14, 20, 40])
+def test_reads_as_they_are_have_the_same_places(spark, monkeypatch, least):
+    """Looking up whole reads first changes no result; other reads are met by their seeds as before."""
+    r = random.Random(least)
+    turn = str.maketrans("ACGT", "TGCA")
+    some = "".join(r.choices("ACGT", k=300))
+    half = "".join(r.choices("ACGT", k=30))
+    contigs = ["".join(r.choices("ACGT", k=700)) + some, some + "".join(r.choices("ACGTN", (9, 9, 9, 9, 1), k=600)) + some.translate(turn)[::-1], half + half.translate(turn)[::-1] + "AC" * 40 + "A" * 60, "ACGTACG"]
+    rows = [half[-20:] + half.translate(turn)[::-1][:20], "AC" * 22, "A" * 41, contigs[0][:45], contigs[0][-45:], contigs[1][-60:], contigs[1][:43].translate(turn)[::-1], "G" * 50, "", "acgt" * 12]
+    for _ in range(120):
+        c = r.choice(contigs[:3])
+        n = r.randint(least, 70)
+        p = r.randrange(len(c) - n)
+        s = c[p : p + n]
+        if r.random() < 0.4:
+            k = r.randrange(n)
+            s = s[:k] + r.choice(["", "N", "A", "C", "GT"]) + s[k + 1 :]
+        rows.append(s.translate(turn)[::-1] if r.random() < 0.5 else s)
+    ref = spark.createDataFrame([(i, f"c{i}", s) for i, s in enumerate(contigs)], "ref_index int, name string, sequence string")
+    reads = spark.createDataFrame([*enumerate(rows), (7, rows[7]), (5, rows[5]), (None, rows[3]), (500, None)], "ordinal long, base string").repartition(3)
+    found = lambda **how: sorted(map(str, align.align(reads, ref, min_length=least, tile=150, **how).collect()))
+    got = [found(), found(gaps=False), found(max_hits=9)]
+    monkeypatch.setattr(align, "whole", lambda reads, *_: reads.where("false").selectExpr("ordinal", "false as reverse", "0 as ref_index", "'' as name", "0L as position"))
+    assert got == [found(), found(gaps=False), found(max_hits=9)]
+
+
+def test_reads_as_they_are_need_no_seeds(spark, monkeypatch):
+    """Seeds of 12 bases stand in many places of a large reference, so the candidates of all reads grew with the square of the input."""
+    r = random.Random(6)
+    contig = "".join(r.choices("ACGT", k=3000))
+    monkeypatch.setattr(align, "seed_places", lambda *_: pytest.fail("places of seeds were made"))
+    reads = spark.createDataFrame([(k, contig[k * 30 : k * 30 + 32]) for k in range(90)], "ordinal long, base string")
+    got = align.align(reads, spark.createDataFrame([(0, "c", contig)], "ref_index int, name string, sequence string"), min_length=20, tile=512).collect()
+    assert sorted((x.ordinal, x.aln.position.position, x.aln.cigar, x.aln.mapping_quality) for x in got) == [(k, 30 * k, "32M", 60) for k in range(90)]
