@@ -73,6 +73,21 @@ def test_pairs_of_one_bin_are_made_by_many_tasks(spark, monkeypatch, join):
     assert sum(tasks) == 300 * 300 and len(tasks) >= 3 and max(tasks) < 0.6 * sum(tasks)
 
 
+def test_copies_grow_with_rows_not_with_pairs(spark, monkeypatch):
+    """Each row was copied for every few rows of the other side that its bin has, so ten times the input had a hundred times the rows to shuffle."""
+    monkeypatch.setattr(overlap, "SQUARE", 5)
+
+    def copies(n):
+        side = lambda name: spark.range(n).selectExpr(f"id as {name}", "'a' as contig", "3 as bin_level", "0L as bin_at")
+        return [rows.count() for rows in overlap._dealt(side("s"), side("i"), 4)]
+
+    assert copies(4) == [4, 4]
+    few, many = copies(400), copies(4000)
+    assert max(few) <= 400 * 6 and max(many) <= 4000 * 6  # 4 partitions, 8 squares each: 6 on a side
+    monkeypatch.setattr(overlap, "LARGEST", 100)
+    assert copies(4000) == [4000 * 40] * 2
+
+
 def test_rescue_needs_one_candidate(spark):
     barcodes = spark.createDataFrame([("x", "AAAA"), ("y", "AATT"), ("z", "CCCC")], "name string, b1 string")
     keys = ["AAAAGG", "AAAT", "CCNC", "CC", None, "GGGG", "AAAC", "NNCC"]
