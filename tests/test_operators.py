@@ -88,6 +88,19 @@ def test_copies_grow_with_rows_not_with_pairs(spark, monkeypatch):
     assert copies(4000) == [4000 * 40] * 2
 
 
+@pytest.mark.parametrize("kind", ["bigint", "double"])
+def test_intervals_that_are_alike_are_met_once(spark, monkeypatch, kind):
+    """Each of many equal intervals was compared with each span; doubles, of which 0.0 and -0.0 would be one, still are."""
+    met = []
+    monkeypatch.setattr(overlap, "_met", lambda left, right, touch, f=overlap._met: met.append(right.count()) or f(left, right, touch))
+    spans = spark.range(40).selectExpr("id as s", "'a' as contig", "id * 3 as span_start", "id * 3 + 20 as span_stop")
+    some = spark.range(60).selectExpr(f"cast(id % 6 as {kind}) as i", "'a' as contig", "id % 3 * 10 as start", "id % 3 * 10 + 8 as stop", "if(id % 6 = 5, null, 'x') as note")
+    for join in (overlap.overlap_join, overlap.contained):
+        rows = lambda how: sorted(map(str, join(spans, some, strategy=how, bin_size=64).select("contig", "s", "i", "start", "stop", "span_start", "span_stop", "note").collect()))  # noqa: B023, E731
+        assert len(rows("direct")) > 100 and rows("binned") == rows("direct")
+    assert (max(met) <= 6 * 4) == (kind == "bigint")
+
+
 def test_rescue_needs_one_candidate(spark):
     barcodes = spark.createDataFrame([("x", "AAAA"), ("y", "AATT"), ("z", "CCCC")], "name string, b1 string")
     keys = ["AAAAGG", "AAAT", "CCNC", "CC", None, "GGGG", "AAAC", "NNCC"]
